@@ -76,7 +76,9 @@ def size_from_average(
 ):
     """Records per message for an average row size, clamped to ``[50, 1000]``."""
     fit = F.lit(float(max_message_bytes)) / (avg_row_bytes * F.lit(1.0 + buffer_factor))
-    return F.greatest(F.lit(MIN_BATCH), F.least(F.lit(MAX_BATCH), F.floor(fit))).cast("int")
+    clamped = F.greatest(F.lit(MIN_BATCH), F.least(F.lit(MAX_BATCH), F.floor(fit))).cast("int")
+    # greatest/least skip NULLs, so an empty sample must stay NULL explicitly
+    return F.when(avg_row_bytes.isNotNull(), clamped)
 
 
 def table_batch_sizes(

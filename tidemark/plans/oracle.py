@@ -92,8 +92,8 @@ def sample_stats_cte(log: str, raw: str, name: str) -> str:
 
 
 SIZE = (
-    "CAST(greatest(50, least(1000, floor(CAST(262144 AS DOUBLE) / "
-    "(avg_row_bytes * CAST(1.2 AS DOUBLE))))) AS INTEGER)"
+    "CASE WHEN avg_row_bytes IS NOT NULL THEN CAST(greatest(50, least(1000, floor(CAST(262144 AS DOUBLE) / "
+    "(avg_row_bytes * CAST(1.2 AS DOUBLE))))) AS INTEGER) END"
 )
 
 
