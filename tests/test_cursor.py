@@ -120,3 +120,28 @@ def test_poll_plans_window_group_limit(spark):
     sizes = table_batch_sizes(spark, ["t"], log)
     plan = poll(log, cur, sizes, 1)._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan
+
+
+def test_loaded_cursors_equal_cursor_frame(spark):
+    from tidemark.operators.cursor import load_cursors
+    from tidemark.sources.fixtures import EVENT_TABLES, events_ct, offsets_fixture
+
+    log = events_ct(spark, "/root/testdata/sf0.001")
+    offs = offsets_fixture(log)
+    frame = {r.table_name: (None if r.lsn is None else bytes(r.lsn), None if r.seq is None else bytes(r.seq))
+             for r in resume_cursor(spark, EVENT_TABLES, offs, log).collect()}
+    assert load_cursors(spark, EVENT_TABLES, offs, log) == frame
+
+
+def test_many_tables_use_join_path(spark):
+    from tidemark.operators import cursor as C
+
+    rows = [(f"t{k}", i, i, 2, i, "x") for k in range(70) for i in range(1, 4)]
+    log = make_log(spark, rows)
+    cur = {f"t{k}": (bytes(b10(1)), bytes(b10(1))) for k in range(70)}
+    cur["t0"] = (None, bytes(b10(0)))
+    assert len(cur) > C.MAX_LITERAL_TABLES
+    got = changes_after(log, cur).count()
+    assert got == 69 * 2
+    small = {t: cur[t] for t in list(cur)[:5]}
+    assert changes_after(log, small).count() == 4 * 2

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.decode import raw_record_json
-from tidemark.operators.common import broadcast_bounded, table_count, table_frame
+from tidemark.operators.common import broadcast_bounded, collect_bounded, table_count, table_frame
 from tidemark.operators.ordering import sequence_rank
 from tidemark.schema import (
     DEFAULT_BATCH,
@@ -31,20 +31,33 @@ from tidemark.schema import (
 )
 
 
-def sample_recent(log: DataFrame, sample_size: int = DEFAULT_SAMPLE_SIZE) -> DataFrame:
+def sample_recent(log: DataFrame, sample_size: int = DEFAULT_SAMPLE_SIZE, table_bound: int | None = None) -> DataFrame:
     """Newest ``sample_size`` rows per table by ``(lsn, seq, operation)`` descending.
 
-    The literal bound makes Spark plan a ``WindowGroupLimit``: each task keeps
-    only its newest rows per table before the shuffle.  Adds ``sample_rank``.
+    Two phases, so wide rows are never sorted: the newest keys are picked from
+    the four key columns only (the literal bound gives a ``WindowGroupLimit``
+    that keeps ``sample_size`` keys per table and task before the shuffle),
+    then the full rows are fetched by a join with those keys, which hold at most
+    ``sample_size`` x tables rows and are broadcast when that bound is known.
+    Adds ``sample_rank``.
     """
+    keys = [TABLE_NAME, START_LSN, SEQVAL, OPERATION]
     w = Window.partitionBy(TABLE_NAME).orderBy(
         F.col(START_LSN).desc(), F.col(SEQVAL).desc(), F.col(OPERATION).desc()
     )
-    return (
-        log.withColumn("sample_rank", F.row_number().over(w))
+    top = (
+        log.select(*[F.col(f"`{k}`") for k in keys])
+        .withColumn("sample_rank", F.row_number().over(w))
         .where(F.col("sample_rank") <= F.lit(int(sample_size)))
-        .withColumn("sample_rank", F.col("sample_rank").cast("long"))
+        .select(*[F.col(f"`{k}`").alias(f"_k{i}") for i, k in enumerate(keys)], F.col("sample_rank").cast("long"))
     )
+    bound = None if table_bound is None else table_bound * int(sample_size)
+    top = broadcast_bounded(top, bound)
+    cond = None
+    for i, k in enumerate(keys):
+        c = F.col(f"`{k}`").eqNullSafe(F.col(f"_k{i}"))
+        cond = c if cond is None else cond & c
+    return log.join(top, cond, "inner").drop(*[f"_k{i}" for i in range(len(keys))])
 
 
 def sample_row_bytes(sample: DataFrame) -> DataFrame:
@@ -97,9 +110,12 @@ def table_batch_sizes(
     that is not positive is read as 100.
     """
     logs = logs if isinstance(logs, list) else [logs]
+    bound = table_count(tables)
     stats = None
     for lg in logs:
-        s = sample_stats(sample_row_bytes(sample_recent(lg, sample_size)))
+        if bound is not None:
+            lg = lg.where(F.col(TABLE_NAME).isin(sorted(set(tables))))
+        s = sample_stats(sample_row_bytes(sample_recent(lg, sample_size, bound)))
         stats = s if stats is None else stats.unionByName(s)
     cfg = table_frame(spark, tables)
     st = broadcast_bounded(stats, table_count(tables))
@@ -144,11 +160,15 @@ def drain_batches(
     Equal to polling again and again when no two changes tie on ``(lsn, seq)``;
     tied changes share a batch.  Adds ``seq_rank``, ``batch_size`` and ``batch_no``.
     """
-    sizes = broadcast_bounded(batch_sizes.select(TABLE_NAME, "batch_size"), table_bound)
     ranked = sequence_rank(changes, "seq_rank", buckets=buckets, table_bound=table_bound)
-    return ranked.join(sizes, TABLE_NAME, "inner").withColumn(
-        "batch_no", F.floor((F.col("seq_rank") - 1) / F.col("batch_size")).cast("long")
-    )
+    if isinstance(batch_sizes, dict):
+        from tidemark.operators.cursor import size_lookup
+
+        sized = ranked.withColumn("batch_size", size_lookup(batch_sizes)).where(F.col("batch_size").isNotNull())
+    else:
+        sizes = broadcast_bounded(batch_sizes.select(TABLE_NAME, "batch_size"), table_bound)
+        sized = ranked.join(sizes, TABLE_NAME, "inner")
+    return sized.withColumn("batch_no", F.floor((F.col("seq_rank") - 1) / F.col("batch_size")).cast("long"))
 
 
 def batch_counts(batches: DataFrame) -> DataFrame:
@@ -167,3 +187,8 @@ def table_high_water(changes: DataFrame) -> DataFrame:
     """Cursor after all given changes of each table: ``(table_name, lsn, seq)``."""
     hw = changes.groupBy(TABLE_NAME).agg(F.max(F.struct(START_LSN, SEQVAL)).alias("_hw"))
     return hw.select(TABLE_NAME, F.col(f"_hw.`{START_LSN}`").alias("lsn"), F.col(f"_hw.`{SEQVAL}`").alias("seq"))
+
+
+def batch_size_values(sizes: DataFrame, table_bound: int) -> dict:
+    """Batch sizes as driver-side values (one row per configured table; bound checked)."""
+    return {r[0]: int(r[1]) for r in collect_bounded(sizes.select(TABLE_NAME, "batch_size"), table_bound, "batch sizes")}

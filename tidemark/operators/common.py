@@ -41,3 +41,14 @@ def table_count(tables: Iterable[str] | DataFrame) -> int | None:
     if isinstance(tables, DataFrame):
         return None
     return len(set(tables))
+
+
+def collect_bounded(df: DataFrame, bound: int, what: str) -> list:
+    """Collect a control frame known to hold at most ``bound`` rows (one per configured table).
+
+    Raises instead of truncating when the bound does not hold.
+    """
+    rows = df.limit(bound + 1).collect()
+    if len(rows) > bound:
+        raise ValueError(f"{what}: more than {bound} rows, expected at most one per configured table")
+    return rows

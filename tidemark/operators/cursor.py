@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.decode import zero_cursor
-from tidemark.operators.common import broadcast_bounded, table_count, table_frame
+from tidemark.operators.common import broadcast_bounded, collect_bounded, table_count, table_frame
 from tidemark.schema import MAX_BATCH, OPERATION, PUBLISHED_OPS, SEQVAL, START_LSN, TABLE_NAME
 
 
@@ -96,8 +96,94 @@ def resume_cursor(
     return j.select(TABLE_NAME, lsn.alias("lsn"), seq.alias("seq"))
 
 
-def changes_after(log: DataFrame, cursor: DataFrame, table_bound: int | None = None) -> DataFrame:
-    """Published changes strictly after each table's cursor (tables without a cursor drop out)."""
+# Up to this many tables the cursor is written into the scan filter itself.
+MAX_LITERAL_TABLES = 64
+
+Cursors = dict  # table_name -> (lsn bytes | None, seq bytes | None)
+
+
+def load_cursors(
+    spark: SparkSession,
+    tables: Iterable[str],
+    offsets: DataFrame,
+    log: DataFrame,
+) -> Cursors:
+    """``resume_cursor`` for a configured table list, as driver-side values.
+
+    The offsets of the configured tables are at most one row per table, so they
+    are collected (the bound is checked).  The sequence backfill runs only when
+    some row needs it, as a scan filtered by ``lsn IN (<stored LSNs>)`` literals
+    that reach the Parquet scan.
+    """
+    from tidemark.schema import ZERO_CURSOR_HEX
+
+    tables = sorted(set(tables))
+    zero = bytes.fromhex(ZERO_CURSOR_HEX)
+    rows = collect_bounded(
+        _configured_offsets(offsets, tables).select(TABLE_NAME, "last_lsn", "last_seq"),
+        len(tables),
+        "offsets",
+    )
+    stored = {r[0]: (None if r[1] is None else bytes(r[1]), None if r[2] is None else bytes(r[2])) for r in rows}
+    need = {t: lsn for t, (lsn, seq) in stored.items() if seq is None and lsn is not None}
+    back = {}
+    if need:
+        lsns = sorted(set(need.values()))
+        hits = op_filter(
+            log.where(F.col(TABLE_NAME).isin(sorted(need)) & F.col(START_LSN).isin([bytearray(b) for b in lsns]))
+        )
+        for t, lsn, seq in collect_bounded(
+            hits.groupBy(TABLE_NAME, START_LSN).agg(F.min(SEQVAL)), len(need) * len(lsns), "backfill"
+        ):
+            if need.get(t) == bytes(lsn):
+                back[t] = bytes(seq)
+    out = {}
+    for t in tables:
+        if t not in stored:
+            out[t] = (zero, zero)
+        else:
+            lsn, seq = stored[t]
+            out[t] = (lsn, seq if seq is not None else back.get(t, zero))
+    return out
+
+
+def cursor_frame(spark: SparkSession, cursors: Cursors) -> DataFrame:
+    rows = [(t, None if l is None else bytearray(l), None if s is None else bytearray(s)) for t, (l, s) in sorted(cursors.items())]
+    return spark.createDataFrame(rows, "table_name string, lsn binary, seq binary")
+
+
+def cursor_predicate(cursors: Cursors) -> Column:
+    """``OR`` over tables of ``table = t AND (lsn, seq) > cursor_t``, all literals.
+
+    Tables whose cursor LSN is NULL match nothing and are left out.
+    """
+    pred = None
+    for t, (lsn, seq) in sorted(cursors.items()):
+        if lsn is None:
+            continue
+        term = (F.col(TABLE_NAME) == F.lit(t)) & after_cursor(bytearray(lsn), bytearray(seq if seq is not None else b""))
+        pred = term if pred is None else pred | term
+    return pred if pred is not None else F.lit(False)
+
+
+def changes_after(log: DataFrame, cursor, table_bound: int | None = None) -> DataFrame:
+    """Published changes strictly after each table's cursor (tables without a cursor drop out).
+
+    ``cursor`` is a cursor frame or driver-side ``Cursors``.  With up to
+    ``MAX_LITERAL_TABLES`` tables the cursor becomes a literal filter that is
+    pushed into the Parquet scan (row groups below every cursor are skipped);
+    with more, a broadcast join applies it after a pushed ``lsn >= min cursor``.
+    """
+    if isinstance(cursor, dict):
+        live = {t: c for t, c in cursor.items() if c[0] is not None}
+        if len(cursor) <= MAX_LITERAL_TABLES:
+            return op_filter(log.where(cursor_predicate(cursor)))
+        if not live:
+            return op_filter(log.where(F.lit(False)))
+        floor = min(c[0] for c in live.values())
+        log = log.where(F.col(START_LSN) >= F.lit(bytearray(floor)))
+        cursor = cursor_frame(log.sparkSession, live)
+        table_bound = len(live)
     cur = broadcast_bounded(
         cursor.select(F.col(TABLE_NAME).alias("_ct"), F.col("lsn").alias("_clsn"), F.col("seq").alias("_cseq")),
         table_bound,
@@ -115,6 +201,10 @@ def poll(
 ) -> DataFrame:
     """One poll for every table: the first ``batch_size`` published changes after the cursor.
 
+    ``cursor`` and ``batch_sizes`` are frames or driver-side per-table values
+    (``load_cursors`` / ``batch_size_values``); with values the whole poll is one
+    scan with a pushed filter and one shuffle.
+
     Order is ``(lsn, seq)`` within a table.  Rows tied on ``(lsn, seq)`` share a
     rank and are kept together, so a batch can run over its size at a tie.  The
     literal bound ``rank <= max_batch`` lets Spark plan a ``WindowGroupLimit``
@@ -122,15 +212,25 @@ def poll(
     so even a table holding most of the log sends few rows across the network.
     Adds ``batch_size`` and ``poll_rank`` columns.
     """
-    sizes = broadcast_bounded(
-        batch_sizes.select(F.col(TABLE_NAME).alias("_st"), F.col("batch_size")), table_bound
-    )
     after = changes_after(log, cursor, table_bound)
     w = Window.partitionBy(TABLE_NAME).orderBy(F.col(START_LSN), F.col(SEQVAL))
     ranked = after.withColumn("poll_rank", F.rank().over(w)).where(F.col("poll_rank") <= F.lit(max_batch))
-    return (
-        ranked.join(sizes, F.col(TABLE_NAME) == F.col("_st"), "inner")
-        .where(F.col("poll_rank") <= F.col("batch_size"))
-        .drop("_st")
-        .withColumn("poll_rank", F.col("poll_rank").cast("long"))
+    if isinstance(batch_sizes, dict):
+        size = size_lookup(batch_sizes)
+        out = ranked.withColumn("batch_size", size).where(F.col("batch_size").isNotNull())
+    else:
+        sizes = broadcast_bounded(
+            batch_sizes.select(F.col(TABLE_NAME).alias("_st"), F.col("batch_size")), table_bound
+        )
+        out = ranked.join(sizes, F.col(TABLE_NAME) == F.col("_st"), "inner").drop("_st")
+    return out.where(F.col("poll_rank") <= F.col("batch_size")).withColumn(
+        "poll_rank", F.col("poll_rank").cast("long")
     )
+
+
+def size_lookup(sizes: dict) -> Column:
+    """Per-table batch size from driver-side values, as a literal map lookup."""
+    kv = []
+    for t, n in sorted(sizes.items()):
+        kv += [F.lit(t), F.lit(int(n))]
+    return F.element_at(F.create_map(*kv), F.col(TABLE_NAME)) if kv else F.lit(None).cast("int")

@@ -22,9 +22,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.decode import lsn_hex
-from tidemark.operators.batching import drain_batches, table_batch_sizes, table_high_water
+from tidemark.operators.batching import batch_size_values, drain_batches, table_batch_sizes, table_high_water
 from tidemark.operators.common import table_count
-from tidemark.operators.cursor import changes_after, poll, resume_cursor
+from tidemark.operators.cursor import changes_after, load_cursors, poll
 from tidemark.operators.offsets import OffsetStore, merge_offsets
 from tidemark.plans.feed import decoded_changes, with_change_json
 from tidemark.schema import (
@@ -76,8 +76,10 @@ def cycle_changes(
     """
     tables = sorted(set(tables))
     bound = table_count(tables)
-    cursor = resume_cursor(spark, tables, offsets, _keys(logs))
-    sizes = table_batch_sizes(spark, tables, logs, sample_size, max_message_bytes, buffer_factor)
+    cursor = load_cursors(spark, tables, offsets, _keys(logs))
+    sizes = batch_size_values(
+        table_batch_sizes(spark, tables, logs, sample_size, max_message_bytes, buffer_factor), len(tables)
+    )
     out = None
     for lg in logs:
         d = decoded_changes(lg.where(F.col(TABLE_NAME).isin(tables)), double_scale=double_scale)

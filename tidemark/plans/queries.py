@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.decode import lsn_display, lsn_from_long, lsn_hex, stringify, to_json_keep_nulls
 from tidemark.operators.batching import (
+    batch_size_values,
     batch_counts,
     batch_high_water,
     batch_metrics,
@@ -26,7 +27,15 @@ from tidemark.operators.batching import (
     table_batch_sizes,
     table_high_water,
 )
-from tidemark.operators.cursor import changes_after, changes_between, op_filter, poll, resume_cursor, seq_backfill
+from tidemark.operators.cursor import (
+    changes_after,
+    changes_between,
+    load_cursors,
+    op_filter,
+    poll,
+    resume_cursor,
+    seq_backfill,
+)
 from tidemark.operators.offsets import merge_offsets, upgrade_offsets
 from tidemark.operators.ordering import sequence_rank
 from tidemark.plans.feed import batch_envelopes, change_events, decoded_changes, multi_table_changes, uniform_changes
@@ -181,8 +190,10 @@ def q_null_cursor(spark, sf):
 
 
 def _poll(spark, sf):
-    log, offs, cur = _cursor(spark, sf)
-    sizes = table_batch_sizes(spark, EVENT_TABLES, log)
+    log = events_ct(spark, sf)
+    offs = offsets_fixture(log)
+    cur = load_cursors(spark, EVENT_TABLES, offs, log)
+    sizes = batch_size_values(table_batch_sizes(spark, EVENT_TABLES, log), len(EVENT_TABLES))
     return log, offs, poll(log, cur, sizes, len(EVENT_TABLES))
 
 
@@ -237,8 +248,8 @@ def _drain(spark, sf):
     keys = logs[0].select(TABLE_NAME, START_LSN, SEQVAL, OPERATION).unionByName(
         logs[1].select(TABLE_NAME, START_LSN, SEQVAL, OPERATION)
     )
-    cur = resume_cursor(spark, ALL_TABLES, offs, keys)
-    sizes = table_batch_sizes(spark, ALL_TABLES, logs)
+    cur = load_cursors(spark, ALL_TABLES, offs, keys)
+    sizes = batch_size_values(table_batch_sizes(spark, ALL_TABLES, logs), len(ALL_TABLES))
     after = changes_after(keys, cur, len(ALL_TABLES))
     return drain_batches(after, sizes, len(ALL_TABLES))
 
@@ -259,7 +270,7 @@ def q_batch_high_water(spark, sf):
 
 def q_batch_envelope(spark, sf):
     docs = documents_ct(spark, sf)
-    sizes = table_batch_sizes(spark, DOCUMENT_TABLES, docs)
+    sizes = batch_size_values(table_batch_sizes(spark, DOCUMENT_TABLES, docs), len(DOCUMENT_TABLES))
     d = decoded_changes(docs, double_scale=DOUBLE_SCALE)
     b = drain_batches(d, sizes, len(DOCUMENT_TABLES))
     return batch_envelopes(b, SERVER_NAME, POLL_INTERVAL)
