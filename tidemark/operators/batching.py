@@ -31,7 +31,12 @@ from tidemark.schema import (
 )
 
 
-def sample_recent(log: DataFrame, sample_size: int = DEFAULT_SAMPLE_SIZE, table_bound: int | None = None) -> DataFrame:
+def sample_recent(
+    log: DataFrame,
+    sample_size: int = DEFAULT_SAMPLE_SIZE,
+    table_bound: int | None = None,
+    two_phase: bool = True,
+) -> DataFrame:
     """Newest ``sample_size`` rows per table by ``(lsn, seq, operation)`` descending.
 
     Two phases, so wide rows are never sorted: the newest keys are picked from
@@ -45,6 +50,12 @@ def sample_recent(log: DataFrame, sample_size: int = DEFAULT_SAMPLE_SIZE, table_
     w = Window.partitionBy(TABLE_NAME).orderBy(
         F.col(START_LSN).desc(), F.col(SEQVAL).desc(), F.col(OPERATION).desc()
     )
+    if not two_phase:
+        return (
+            log.withColumn("sample_rank", F.row_number().over(w))
+            .where(F.col("sample_rank") <= F.lit(int(sample_size)))
+            .withColumn("sample_rank", F.col("sample_rank").cast("long"))
+        )
     top = (
         log.select(*[F.col(f"`{k}`") for k in keys])
         .withColumn("sample_rank", F.row_number().over(w))

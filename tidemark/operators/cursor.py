@@ -206,26 +206,43 @@ def poll(
     scan with a pushed filter and one shuffle.
 
     Order is ``(lsn, seq)`` within a table.  Rows tied on ``(lsn, seq)`` share a
-    rank and are kept together, so a batch can run over its size at a tie.  The
-    literal bound ``rank <= max_batch`` lets Spark plan a ``WindowGroupLimit``
-    that trims each table to ``max_batch`` rows per task *before* the shuffle,
-    so even a table holding most of the log sends few rows across the network.
+    rank and are kept together, so a batch can run over its size at a tie.
+
+    Two phases: the ranking runs on the key columns only, and the literal bound
+    ``rank <= max_batch`` lets Spark plan a ``WindowGroupLimit`` that trims each
+    table to ``max_batch`` keys per task *before* the shuffle, so even a table
+    holding most of the log sends few keys across the network.  The full rows
+    of the chosen keys (at most ``max_batch`` x tables, broadcast when that is
+    small) are then fetched by a join, so wide rows are never sorted.
     Adds ``batch_size`` and ``poll_rank`` columns.
     """
     after = changes_after(log, cursor, table_bound)
+    keys = after.select(TABLE_NAME, START_LSN, SEQVAL)
     w = Window.partitionBy(TABLE_NAME).orderBy(F.col(START_LSN), F.col(SEQVAL))
-    ranked = after.withColumn("poll_rank", F.rank().over(w)).where(F.col("poll_rank") <= F.lit(max_batch))
+    ranked = keys.withColumn("poll_rank", F.rank().over(w)).where(F.col("poll_rank") <= F.lit(max_batch))
     if isinstance(batch_sizes, dict):
         size = size_lookup(batch_sizes)
-        out = ranked.withColumn("batch_size", size).where(F.col("batch_size").isNotNull())
+        sized = ranked.withColumn("batch_size", size).where(F.col("batch_size").isNotNull())
     else:
         sizes = broadcast_bounded(
             batch_sizes.select(F.col(TABLE_NAME).alias("_st"), F.col("batch_size")), table_bound
         )
-        out = ranked.join(sizes, F.col(TABLE_NAME) == F.col("_st"), "inner").drop("_st")
-    return out.where(F.col("poll_rank") <= F.col("batch_size")).withColumn(
-        "poll_rank", F.col("poll_rank").cast("long")
+        sized = ranked.join(sizes, F.col(TABLE_NAME) == F.col("_st"), "inner").drop("_st")
+    # Distinct keys with rank <= max_batch are at most max_batch per table.
+    top = (
+        sized.where(F.col("poll_rank") <= F.col("batch_size"))
+        .dropDuplicates([TABLE_NAME, START_LSN, SEQVAL])
+        .select(
+            F.col(TABLE_NAME).alias("_pt"),
+            F.col(START_LSN).alias("_pl"),
+            F.col(SEQVAL).alias("_ps"),
+            F.col("poll_rank").cast("long").alias("poll_rank"),
+            "batch_size",
+        )
     )
+    bound = None if table_bound is None else table_bound * max_batch
+    cond = (F.col(TABLE_NAME) == F.col("_pt")) & (F.col(START_LSN) == F.col("_pl")) & (F.col(SEQVAL) == F.col("_ps"))
+    return after.join(broadcast_bounded(top, bound), cond, "inner").drop("_pt", "_pl", "_ps")
 
 
 def size_lookup(sizes: dict) -> Column:
