@@ -12,7 +12,7 @@ from tidemark.operators.batching import (
     sample_recent,
     table_batch_sizes,
 )
-from tidemark.operators.ordering import bucket_of, sample_boundaries, sequence_rank
+from tidemark.operators.ordering import sample_boundaries, sequence_rank, with_bucket
 from tidemark.schema import SEQVAL, START_LSN, TABLE_NAME
 
 
@@ -82,7 +82,7 @@ def test_bucketed_rank_equals_window_rank(spark, buckets, ties):
 def test_boundaries_keep_ties_together(spark):
     log = make_log(spark, [("t", 5, 5, 2, i, "same") for i in range(40)] + [("t", i, i, 2, i, "x") for i in range(6, 60)])
     bounds = sample_boundaries(log, 8)
-    b = log.withColumn("b", bucket_of(bounds)).where(F.col("name") == "same").select("b").distinct().count()
+    b = with_bucket(log, bounds, "b").where(F.col("name") == "same").select("b").distinct().count()
     assert b == 1
 
 
@@ -130,3 +130,16 @@ def test_drain_ties_share_a_batch(spark):
     d = drain_batches(make_log(spark, rows), sizes, 1, buckets=3)
     by = {r.id: r.batch_no for r in d.select("id", "batch_no").collect()}
     assert by[10] == by[11] == 0 and by[12] == 1
+
+
+def test_bucket_search_matches_bisect(spark):
+    import bisect
+
+    rows = [("t", (i * 7919) % 1000, i, 2, i, "x") for i in range(1, 400)]
+    log = make_log(spark, rows)
+    for nb in (1, 2, 7, 64, 300):
+        bounds = sample_boundaries(log, nb + 1)
+        got = {r.id: r.b for r in with_bucket(log, bounds, "b").select("id", "b").collect()}
+        for t, l, s, _, i, _ in rows:
+            key = (bytes(b10(l)), bytes(b10(s)))
+            assert got[i] == bisect.bisect_right(bounds, key)

@@ -6,9 +6,9 @@ core.  ``sequence_rank`` computes the same rank in three steps:
 
 1. Range buckets.  A bounded random sample of ``(lsn, seq)`` keys goes to the
    driver once (``buckets x oversample`` rows at most); every ``k``-th sorted key
-   becomes a boundary.  The boundaries are fixed as literals in a balanced tree
-   of comparisons, so re-evaluating the plan (for example after a lost executor)
-   gives the same buckets.  Equal keys always land in one bucket, so ``rank``
+   becomes a boundary.  The boundaries are fixed as one literal array searched
+   by a few comparison steps, so re-evaluating the plan (for example after a
+   lost executor) gives the same buckets.  Equal keys always land in one bucket, so ``rank``
    ties are never split; different sequence values of one LSN may be, so one
    huge transaction is split too.
 2. Local rank inside ``(table_name, bucket)`` with a window: many tasks per table.
@@ -29,26 +29,60 @@ from tidemark.operators.common import broadcast_bounded
 from tidemark.schema import SEQVAL, START_LSN, TABLE_NAME
 
 ROWS_PER_BUCKET = 2_000_000   # target rows per window task at scale
-MAX_BUCKETS = 512             # keeps the boundary tree small enough for codegen
+MAX_BUCKETS = 4096            # boundaries travel as one literal array per step
 OVERSAMPLE = 20               # sampled keys per bucket
 SAMPLE_SEED = 17
+SMALL_INPUT_PARTITIONS = 8    # "auto": at most this many input splits -> plain window
+KEY_BYTES = 10
 
 
-def _key_ge(lsn: bytes, seq: bytes) -> Column:
-    return (F.col(START_LSN) > F.lit(lsn)) | ((F.col(START_LSN) == F.lit(lsn)) & (F.col(SEQVAL) >= F.lit(seq)))
+def _sort_key() -> Column:
+    """Fixed-width hex of ``(lsn, seq)``: its string order is the binary order."""
+    return F.concat(
+        F.lpad(F.hex(F.col(START_LSN)), 2 * KEY_BYTES, "0"), F.lpad(F.hex(F.col(SEQVAL)), 2 * KEY_BYTES, "0")
+    )
+
+
+def _bound_key(lsn: bytes, seq: bytes) -> str:
+    return lsn.hex().upper().rjust(2 * KEY_BYTES, "0") + seq.hex().upper().rjust(2 * KEY_BYTES, "0")
+
+
+TREE_MAX_BOUNDS = 255  # up to this many boundaries: a comparison tree (codegen); above: a folded search
+
+
+def with_bucket(df: DataFrame, bounds: list[tuple[bytes, bytes]], name: str = "_bucket") -> DataFrame:
+    """Add ``name`` = number of boundaries ``<=`` the row's ``(lsn, seq)``.
+
+    The row key is the fixed-width hex of ``(lsn, seq)``, computed once.  Up to
+    ``TREE_MAX_BOUNDS`` boundaries the bucket is a balanced tree of single string
+    comparisons (one expression, compiled by whole-stage codegen).  Above that
+    it is a binary search over one sorted literal array, ``log2(B)`` halving
+    steps folded with ``aggregate``, so the expression does not grow with the
+    number of buckets.  (A chain of projections would be expanded exponentially
+    by the optimizer's constraint inference, so neither form uses one.)
+    """
+    n = len(bounds)
+    keys = [_bound_key(l, s) for l, s in bounds]
+    key = F.col("_bkey")
+    if n <= TREE_MAX_BOUNDS:
 
+        def node(lo: int, hi: int) -> Column:
+            if lo == hi:
+                return F.lit(lo)
+            mid = (lo + hi) // 2
+            return F.when(key >= F.lit(keys[mid]), node(mid + 1, hi)).otherwise(node(lo, mid))
 
-def bucket_of(bounds: list[tuple[bytes, bytes]]) -> Column:
-    """Number of boundaries ``<=`` the row's ``(lsn, seq)``: a balanced comparison tree."""
+        bucket = node(0, n)
+    else:
+        arr = F.split(F.lit(",".join(keys)), ",")
+        steps = F.array(*[F.lit(1 << k) for k in reversed(range(n.bit_length()))])
 
-    def node(lo: int, hi: int) -> Column:
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi) // 2
-        lsn, seq = bounds[mid]
-        return F.when(_key_ge(lsn, seq), node(mid + 1, hi)).otherwise(node(lo, mid))
+        def step(acc, size):
+            cand = acc + size
+            return F.when((cand <= F.lit(n)) & (F.element_at(arr, cand) <= key), cand).otherwise(acc)
 
-    return node(0, len(bounds))
+        bucket = F.aggregate(steps, F.lit(0), step)
+    return df.withColumn("_bkey", _sort_key()).withColumn(name, bucket).drop("_bkey")
 
 
 def choose_buckets(n_rows: int, rows_per_bucket: int = ROWS_PER_BUCKET, max_buckets: int = MAX_BUCKETS) -> int:
@@ -85,20 +119,26 @@ def sequence_rank(
 ) -> DataFrame:
     """Add ``rank() over (partition by table_name order by lsn, seq)`` as ``out``.
 
-    ``buckets="auto"`` sizes buckets from a row count (one aggregate pass);
-    an int forces the number.  ``table_bound`` is a proven bound on the number of
+    ``buckets="auto"`` uses the plain window for inputs of a few splits and
+    otherwise sizes buckets from a row count (one narrow pass); an int forces
+    the number.  ``table_bound`` is a proven bound on the number of
     tables, used to decide whether the bucket-offset frame may be broadcast.
     """
     n_rows = None
     if buckets == "auto":
-        n_rows = df.count()
-        buckets = choose_buckets(n_rows)
+        # Few input splits means a small input: one window task per table is fine
+        # and the counting pass is skipped.  Otherwise size buckets from a count.
+        if df.rdd.getNumPartitions() <= SMALL_INPUT_PARTITIONS:
+            buckets = 1
+        else:
+            n_rows = df.count()
+            buckets = choose_buckets(n_rows)
     if buckets <= 1:
         w = Window.partitionBy(TABLE_NAME).orderBy(F.col(START_LSN), F.col(SEQVAL))
         return df.withColumn(out, F.rank().over(w).cast("long"))
 
     bounds = sample_boundaries(df, buckets, n_rows)
-    b = df.withColumn("_bucket", bucket_of(bounds))
+    b = with_bucket(df, bounds)
     counts = b.groupBy(TABLE_NAME, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
     run = Window.partitionBy(TABLE_NAME).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, 0)
     offsets = counts.select(
