@@ -96,8 +96,9 @@ def resume_cursor(
     return j.select(TABLE_NAME, lsn.alias("lsn"), seq.alias("seq"))
 
 
-# Up to this many tables the cursor is written into the scan filter itself.
-MAX_LITERAL_TABLES = 64
+# Up to this many tables the exact cursor is written into the scan filter itself;
+# beyond, a long OR of per-table terms costs more per row than a hash join.
+MAX_LITERAL_TABLES = 4
 
 Cursors = dict  # table_name -> (lsn bytes | None, seq bytes | None)
 
@@ -170,18 +171,17 @@ def changes_after(log: DataFrame, cursor, table_bound: int | None = None) -> Dat
     """Published changes strictly after each table's cursor (tables without a cursor drop out).
 
     ``cursor`` is a cursor frame or driver-side ``Cursors``.  With up to
-    ``MAX_LITERAL_TABLES`` tables the cursor becomes a literal filter that is
-    pushed into the Parquet scan (row groups below every cursor are skipped);
-    with more, a broadcast join applies it after a pushed ``lsn >= min cursor``.
+    ``MAX_LITERAL_TABLES`` live tables the exact cursor becomes a literal filter
+    pushed into the Parquet scan; with more, ``table_name IN (...)`` and
+    ``lsn >= min(cursor)`` are pushed (partition pruning and row-group
+    skipping) and a broadcast join applies each table's exact cursor.
     """
     if isinstance(cursor, dict):
         live = {t: c for t, c in cursor.items() if c[0] is not None}
-        if len(cursor) <= MAX_LITERAL_TABLES:
-            return op_filter(log.where(cursor_predicate(cursor)))
-        if not live:
-            return op_filter(log.where(F.lit(False)))
+        if len(live) <= MAX_LITERAL_TABLES:
+            return op_filter(log.where(cursor_predicate(live)))
         floor = min(c[0] for c in live.values())
-        log = log.where(F.col(START_LSN) >= F.lit(bytearray(floor)))
+        log = log.where(F.col(TABLE_NAME).isin(sorted(live)) & (F.col(START_LSN) >= F.lit(bytearray(floor))))
         cursor = cursor_frame(log.sparkSession, live)
         table_bound = len(live)
     cur = broadcast_bounded(
