@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -52,3 +53,16 @@ def collect_bounded(df: DataFrame, bound: int, what: str) -> list:
     if len(rows) > bound:
         raise ValueError(f"{what}: more than {bound} rows, expected at most one per configured table")
     return rows
+
+
+def run_concurrently(*thunks: Callable):
+    """Run independent actions (small control jobs) from separate threads.
+
+    Spark schedules jobs submitted from different threads at the same time, so
+    short jobs that each leave most cores idle overlap instead of queueing.
+    """
+    if len(thunks) == 1:
+        return [thunks[0]()]
+    with ThreadPoolExecutor(max_workers=len(thunks)) as pool:
+        futures = [pool.submit(t) for t in thunks]
+        return [f.result() for f in futures]

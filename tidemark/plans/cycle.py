@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.decode import lsn_hex
 from tidemark.operators.batching import batch_size_values, drain_batches, table_batch_sizes, table_high_water
-from tidemark.operators.common import table_count
+from tidemark.operators.common import run_concurrently, table_count
 from tidemark.operators.cursor import changes_after, load_cursors, poll
 from tidemark.operators.offsets import OffsetStore, merge_offsets
 from tidemark.plans.feed import decoded_changes, with_change_json
@@ -76,9 +76,11 @@ def cycle_changes(
     """
     tables = sorted(set(tables))
     bound = table_count(tables)
-    cursor = load_cursors(spark, tables, offsets, _keys(logs))
-    sizes = batch_size_values(
-        table_batch_sizes(spark, tables, logs, sample_size, max_message_bytes, buffer_factor), len(tables)
+    cursor, sizes = run_concurrently(
+        lambda: load_cursors(spark, tables, offsets, _keys(logs)),
+        lambda: batch_size_values(
+            table_batch_sizes(spark, tables, logs, sample_size, max_message_bytes, buffer_factor), len(tables)
+        ),
     )
     out = None
     for lg in logs:

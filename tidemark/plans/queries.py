@@ -27,9 +27,11 @@ from tidemark.operators.batching import (
     table_batch_sizes,
     table_high_water,
 )
+from tidemark.operators.common import run_concurrently
 from tidemark.operators.cursor import (
     changes_after,
     changes_between,
+    cursor_frame,
     load_cursors,
     op_filter,
     poll,
@@ -181,10 +183,11 @@ def q_seq_backfill(spark, sf):
 
 
 def q_null_cursor(spark, sf):
-    log, _, cur = _cursor(spark, sf)
-    nulls = cur.where(F.col("lsn").isNull())
-    n = changes_after(log, nulls, len(EVENT_TABLES)).groupBy(TABLE_NAME).agg(F.count(F.lit(1)).alias("n_changes"))
-    return nulls.select(TABLE_NAME).join(n, TABLE_NAME, "left").select(
+    log = events_ct(spark, sf)
+    cur = load_cursors(spark, EVENT_TABLES, offsets_fixture(log), log)
+    nulls = {t: c for t, c in cur.items() if c[0] is None}
+    n = changes_after(log, nulls, len(nulls)).groupBy(TABLE_NAME).agg(F.count(F.lit(1)).alias("n_changes"))
+    return cursor_frame(spark, nulls).select(TABLE_NAME).join(n, TABLE_NAME, "left").select(
         TABLE_NAME, F.coalesce("n_changes", F.lit(0)).alias("n_changes")
     )
 
@@ -192,8 +195,10 @@ def q_null_cursor(spark, sf):
 def _poll(spark, sf):
     log = events_ct(spark, sf)
     offs = offsets_fixture(log)
-    cur = load_cursors(spark, EVENT_TABLES, offs, log)
-    sizes = batch_size_values(table_batch_sizes(spark, EVENT_TABLES, log), len(EVENT_TABLES))
+    cur, sizes = run_concurrently(
+        lambda: load_cursors(spark, EVENT_TABLES, offs, log),
+        lambda: batch_size_values(table_batch_sizes(spark, EVENT_TABLES, log), len(EVENT_TABLES)),
+    )
     return log, offs, poll(log, cur, sizes, len(EVENT_TABLES))
 
 
@@ -248,8 +253,10 @@ def _drain(spark, sf):
     keys = logs[0].select(TABLE_NAME, START_LSN, SEQVAL, OPERATION).unionByName(
         logs[1].select(TABLE_NAME, START_LSN, SEQVAL, OPERATION)
     )
-    cur = load_cursors(spark, ALL_TABLES, offs, keys)
-    sizes = batch_size_values(table_batch_sizes(spark, ALL_TABLES, logs), len(ALL_TABLES))
+    cur, sizes = run_concurrently(
+        lambda: load_cursors(spark, ALL_TABLES, offs, keys),
+        lambda: batch_size_values(table_batch_sizes(spark, ALL_TABLES, logs), len(ALL_TABLES)),
+    )
     after = changes_after(keys, cur, len(ALL_TABLES))
     return drain_batches(after, sizes, len(ALL_TABLES))
 
