@@ -90,3 +90,16 @@ def test_drain_mode_numbers_batches(spark):
     d = cycle_changes(spark, [make_log(spark, rows)], ["t"], offs, mode="drain", buckets=3)
     counts = sorted((r.batch_no, r["count"]) for r in d.groupBy("batch_no").count().collect())
     assert counts == [(0, 50), (1, 50), (2, 30)]
+
+
+def test_offset_store_skips_a_crashed_version(spark, scratch):
+    import os
+
+    store = OffsetStore(spark, f"{scratch}/offsets")
+    first = spark.createDataFrame([("t", b10(1), T0, b10(1))], OFFSETS_ROWS_SCHEMA)
+    assert store.write(first) == 1
+    os.makedirs(f"{scratch}/offsets/version=2/_temporary/0")  # what a crashed save leaves
+    assert store.latest_version() == 1
+    second = spark.createDataFrame([("t", b10(2), T1, b10(2))], OFFSETS_ROWS_SCHEMA)
+    assert store.write(second) == 3
+    assert bytes(store.read().first().last_lsn) == bytes(b10(2))

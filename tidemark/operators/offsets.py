@@ -85,8 +85,20 @@ class OffsetStore:
             return empty_offsets(self.spark)
         return upgrade_offsets(self._all().where(F.col("version") == v).drop("version"))
 
-    def write(self, offsets: DataFrame) -> int:
-        """Commit ``offsets`` as the next version and return its number."""
+    def write(self, offsets: DataFrame, attempts: int = 5) -> int:
+        """Commit ``offsets`` as the next version and return its number.
+
+        A save that crashed leaves a ``version=N`` folder with no committed
+        files (readers ignore it); the next save then moves on to ``N + 1``.
+        """
+        data = upgrade_offsets(offsets).coalesce(1)
         v = (self.latest_version() or 0) + 1
-        upgrade_offsets(offsets).coalesce(1).write.mode("errorifexists").parquet(f"{self.root}/version={v}")
-        return v
+        for _ in range(attempts):
+            try:
+                data.write.mode("errorifexists").parquet(f"{self.root}/version={v}")
+                return v
+            except Exception as e:
+                if "PATH_ALREADY_EXISTS" not in str(e) and "already exists" not in str(e):
+                    raise
+                v += 1
+        raise RuntimeError(f"could not find a free offsets version under {self.root}")
