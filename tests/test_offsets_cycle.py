@@ -103,3 +103,19 @@ def test_offset_store_skips_a_crashed_version(spark, scratch):
     second = spark.createDataFrame([("t", b10(2), T1, b10(2))], OFFSETS_ROWS_SCHEMA)
     assert store.write(second) == 3
     assert bytes(store.read().first().last_lsn) == bytes(b10(2))
+
+
+def test_batch_sizer_resamples_after_interval(spark, scratch):
+    from tidemark.operators.batching import BatchSizer
+
+    rows = [("t", i, i, 2, i, "x" * 9000) for i in range(1, 131)]
+    log = make_log(spark, rows)
+    store = OffsetStore(spark, f"{scratch}/offsets")
+    sizer = BatchSizer(resample_seconds=3600)
+    out = f"{scratch}/out"
+    t = dt.datetime(2024, 1, 1, 0, 0, 0)
+    r1 = run_cycle(spark, [log], ["t"], store, json_lines_publisher(out), 1, now=t, sizer=sizer)
+    r2 = run_cycle(spark, [log], ["t"], store, json_lines_publisher(out), 2, now=t + dt.timedelta(minutes=30), sizer=sizer)
+    assert (r1.rows, r2.rows, sizer.samples) == (50, 50, 1)
+    run_cycle(spark, [log], ["t"], store, json_lines_publisher(out), 3, now=t + dt.timedelta(minutes=61), sizer=sizer)
+    assert sizer.samples == 2 and sizer.sizes == {"t": 50}

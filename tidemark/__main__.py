@@ -15,6 +15,7 @@ from __future__ import annotations
 import argparse
 import sys
 
+from tidemark.operators.batching import BatchSizer
 from tidemark.operators.offsets import OffsetStore
 from tidemark.plans.cycle import json_lines_publisher, run_cycle
 from tidemark.session import get_session
@@ -33,6 +34,7 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--max-message-bytes", type=int, default=256 * 1024)
     ap.add_argument("--buffer-factor", type=float, default=0.2)
     ap.add_argument("--sample-size", type=int, default=100)
+    ap.add_argument("--resample-seconds", type=float, default=3600.0)
     ap.add_argument("--max-files-per-trigger", type=int)
     ap.add_argument("--processing-time", help="e.g. '5 seconds'; default: drain available files and stop")
     a = ap.parse_args(argv)
@@ -55,13 +57,11 @@ def main(argv: list[str] | None = None) -> int:
     logs = [read_change_log(spark, p, tables, merge_schema=True) for p in a.log]
     store = OffsetStore(spark, a.offsets)
     publish = json_lines_publisher(a.out)
+    sizer = BatchSizer(a.sample_size, a.max_message_bytes, a.buffer_factor, a.resample_seconds)
     start = (store.latest_version() or 0) * 1000
     cycles = 1 if a.mode == "drain" else a.cycles
     for i in range(cycles):
-        r = run_cycle(
-            spark, logs, tables, store, publish, cycle_id=start + i, mode=a.mode,
-            sample_size=a.sample_size, max_message_bytes=a.max_message_bytes, buffer_factor=a.buffer_factor,
-        )
+        r = run_cycle(spark, logs, tables, store, publish, cycle_id=start + i, mode=a.mode, sizer=sizer)
         print(f"cycle {start + i}: published={r.published} rows={r.rows} offsets_version={r.offsets_version}",
               file=sys.stderr)
         if r.rows == 0:

@@ -203,3 +203,45 @@ def table_high_water(changes: DataFrame) -> DataFrame:
 def batch_size_values(sizes: DataFrame, table_bound: int) -> dict:
     """Batch sizes as driver-side values (one row per configured table; bound checked)."""
     return {r[0]: int(r[1]) for r in collect_bounded(sizes.select(TABLE_NAME, "batch_size"), table_bound, "batch sizes")}
+
+
+class BatchSizer:
+    """Batch sizes kept between cycles and re-estimated after an interval.
+
+    Sizes are estimated at the first call and again once ``resample_seconds``
+    have passed (default hourly), as a long-running feed does.  The values are
+    one per configured table, so they live on the driver.
+    """
+
+    def __init__(
+        self,
+        sample_size: int = DEFAULT_SAMPLE_SIZE,
+        max_message_bytes: int = STANDARD_MESSAGE_BYTES,
+        buffer_factor: float = DEFAULT_BUFFER_FACTOR,
+        resample_seconds: float = 3600.0,
+    ):
+        self.sample_size = sample_size
+        self.max_message_bytes = max_message_bytes
+        self.buffer_factor = buffer_factor
+        self.resample_seconds = resample_seconds
+        self.sizes: dict | None = None
+        self.tables: tuple | None = None
+        self.last_sample_time = None
+        self.samples = 0
+
+    def due(self, tables, now) -> bool:
+        if self.sizes is None or self.tables != tuple(sorted(set(tables))):
+            return True
+        return (now - self.last_sample_time).total_seconds() >= self.resample_seconds
+
+    def get(self, spark: SparkSession, tables, logs, now) -> dict:
+        if self.due(tables, now):
+            tables = sorted(set(tables))
+            frame = table_batch_sizes(
+                spark, tables, logs, self.sample_size, self.max_message_bytes, self.buffer_factor
+            )
+            self.sizes = batch_size_values(frame, len(tables))
+            self.tables = tuple(tables)
+            self.last_sample_time = now
+            self.samples += 1
+        return self.sizes

@@ -8,6 +8,8 @@ in place, so the feed replays the unsaved batch (at-least-once).
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -72,11 +74,12 @@ class OffsetStore:
             raise
 
     def latest_version(self) -> int | None:
+        """Highest version with committed files, from the file listing (no job)."""
         df = self._all()
         if df is None:
             return None
-        v = df.agg(F.max("version")).first()[0]
-        return None if v is None else int(v)
+        found = [int(m.group(1)) for f in df.inputFiles() if (m := re.search(r"/version=(\d+)/", f))]
+        return max(found) if found else None
 
     def read(self) -> DataFrame:
         """Latest committed version, upgraded to the current schema (empty if none)."""

@@ -22,7 +22,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.decode import lsn_hex
-from tidemark.operators.batching import batch_size_values, drain_batches, table_batch_sizes, table_high_water
+from tidemark.operators.batching import (
+    BatchSizer,
+    batch_size_values,
+    drain_batches,
+    table_batch_sizes,
+    table_high_water,
+)
 from tidemark.operators.common import run_concurrently, table_count
 from tidemark.operators.cursor import changes_after, load_cursors, poll
 from tidemark.operators.offsets import OffsetStore, merge_offsets
@@ -67,21 +73,26 @@ def cycle_changes(
     buffer_factor: float = DEFAULT_BUFFER_FACTOR,
     double_scale: int | None = None,
     buckets: int | str = "auto",
+    sizer: BatchSizer | None = None,
+    now: _dt.datetime | None = None,
 ) -> DataFrame:
     """Changes to publish in this cycle, uniform across logs.
 
     ``mode="poll"``: the first batch of every table (one poll);
     ``mode="drain"``: the whole backlog, numbered into batches.
+    With a ``sizer``, batch sizes are reused until its resample interval passes.
     Columns: ``table_name``, system columns, ``batch_no``, ``change_json``.
     """
     tables = sorted(set(tables))
     bound = table_count(tables)
-    cursor, sizes = run_concurrently(
-        lambda: load_cursors(spark, tables, offsets, _keys(logs)),
-        lambda: batch_size_values(
+    if sizer is not None:
+        stamp = now or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
+        size_job = lambda: sizer.get(spark, tables, logs, stamp)
+    else:
+        size_job = lambda: batch_size_values(
             table_batch_sizes(spark, tables, logs, sample_size, max_message_bytes, buffer_factor), len(tables)
-        ),
-    )
+        )
+    cursor, sizes = run_concurrently(lambda: load_cursors(spark, tables, offsets, _keys(logs)), size_job)
     out = None
     for lg in logs:
         d = decoded_changes(lg.where(F.col(TABLE_NAME).isin(tables)), double_scale=double_scale)
@@ -109,7 +120,7 @@ def run_cycle(
     """Resume -> read -> publish -> (on ack) merge and save offsets."""
     checkpoint_dir(spark)
     offsets = store.read()
-    batch = cycle_changes(spark, logs, tables, offsets, **kw).checkpoint(eager=True)
+    batch = cycle_changes(spark, logs, tables, offsets, now=now, **kw).checkpoint(eager=True)
     n = batch.count()
     if n == 0:
         return CycleResult(True, 0, None)
