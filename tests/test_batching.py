@@ -143,3 +143,23 @@ def test_bucket_search_matches_bisect(spark):
         for t, l, s, _, i, _ in rows:
             key = (bytes(b10(l)), bytes(b10(s)))
             assert got[i] == bisect.bisect_right(bounds, key)
+
+
+@pytest.mark.parametrize("buckets", [4, 12])
+def test_rank_with_a_huge_copy_group(spark, buckets):
+    from tidemark.operators.ordering import heavy_keys, sample_keys
+
+    rnd = random.Random(5)
+    rows = []
+    for i in range(900):
+        t = "t0" if i % 3 else "t1"
+        rows.append((t, rnd.randrange(1, 300), i + 1, 2, i, "v"))
+    rows += [("t0", 150, 5000, 2, 10_000 + i, "copy") for i in range(1200)]   # ~57 % of all rows
+    rows += [("t1", 40, 6000, 2, 20_000 + i, "copy2") for i in range(300)]
+    rows += [("t0", 7, 7, 2, 30_000 + i, "tie") for i in range(3)]            # a few light copies
+    log = make_log(spark, rows)
+    assert len(heavy_keys(sample_keys(log, buckets))) >= 1
+    w = Window.partitionBy(TABLE_NAME).orderBy(START_LSN, SEQVAL)
+    want = sorted(tuple(r) for r in log.select("id", F.rank().over(w).alias("r")).collect())
+    got = sorted(tuple(r) for r in sequence_rank(log, "r", buckets=buckets, table_bound=2).select("id", "r").collect())
+    assert got == want

@@ -145,3 +145,20 @@ def test_many_tables_use_join_path(spark):
     assert got == 69 * 2
     small = {t: cur[t] for t in list(cur)[:C.MAX_LITERAL_TABLES + 1]}
     assert changes_after(log, small).count() == C.MAX_LITERAL_TABLES * 2
+
+
+def test_poll_with_a_huge_copy_group(spark):
+    # 3000 copies of one change, then more changes: the copies share rank 1 and
+    # form one (oversized) batch; the next keys rank after all of them.
+    rows = [("t", 5, 5, 2, i, "copy") for i in range(3000)] + [("t", 6 + i, 6 + i, 2, 10_000 + i, "x") for i in range(20)]
+    log = make_log(spark, rows)
+    cur = resume_cursor(spark, ["t"], offsets(spark, []), log)
+    sizes = spark.createDataFrame([("t", 10)], "table_name string, batch_size int")
+    p = poll(log, cur, sizes, 1)
+    got = {r.name: r["count"] for r in p.groupBy("name").count().collect()}
+    assert got == {"copy": 3000}
+    # a cursor placed on the copied change reads the next ten changes
+    offs = offsets(spark, [("t", b10(5), T0, b10(5))])
+    cur2 = resume_cursor(spark, ["t"], offs, log)
+    p2 = poll(log, cur2, sizes, 1).select("poll_rank", "id").collect()
+    assert sorted(r.poll_rank for r in p2) == list(range(1, 11))

@@ -209,9 +209,10 @@ def poll(
     rank and are kept together, so a batch can run over its size at a tie.
 
     Two phases: the ranking runs on the key columns only, and the literal bound
-    ``rank <= max_batch`` lets Spark plan a ``WindowGroupLimit`` that trims each
-    table to ``max_batch`` keys per task *before* the shuffle, so even a table
-    holding most of the log sends few keys across the network.  The full rows
+    ``row_number <= max_batch`` lets Spark plan a ``WindowGroupLimit`` that trims
+    each table to ``max_batch`` keys per task *before* the shuffle, so even a
+    table (or one key's copies) holding most of the log sends few keys across
+    the network.  The full rows
     of the chosen keys (at most ``max_batch`` x tables, broadcast when that is
     small) are then fetched by a join, so wide rows are never sorted.
     Adds ``batch_size`` and ``poll_rank`` columns.
@@ -219,7 +220,11 @@ def poll(
     after = changes_after(log, cursor, table_bound)
     keys = after.select(TABLE_NAME, START_LSN, SEQVAL)
     w = Window.partitionBy(TABLE_NAME).orderBy(F.col(START_LSN), F.col(SEQVAL))
-    ranked = keys.withColumn("poll_rank", F.rank().over(w)).where(F.col("poll_rank") <= F.lit(max_batch))
+    # row_number keeps at most max_batch rows per table and task even when one key
+    # has a huge number of copies; a key's rank is the row number of its first copy
+    # (copies are contiguous in the order), which is exactly rank().
+    first = keys.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= F.lit(max_batch))
+    ranked = first.groupBy(TABLE_NAME, START_LSN, SEQVAL).agg(F.min("_rn").alias("poll_rank"))
     if isinstance(batch_sizes, dict):
         size = size_lookup(batch_sizes)
         sized = ranked.withColumn("batch_size", size).where(F.col("batch_size").isNotNull())
@@ -231,7 +236,6 @@ def poll(
     # Distinct keys with rank <= max_batch are at most max_batch per table.
     top = (
         sized.where(F.col("poll_rank") <= F.col("batch_size"))
-        .dropDuplicates([TABLE_NAME, START_LSN, SEQVAL])
         .select(
             F.col(TABLE_NAME).alias("_pt"),
             F.col(START_LSN).alias("_pl"),
