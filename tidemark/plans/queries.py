@@ -14,7 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.decode import lsn_display, lsn_from_long, lsn_hex, stringify, to_json_keep_nulls
+from tidemark.functions.decode import lsn_display, lsn_hex, stringify, to_json_keep_nulls
 from tidemark.operators.batching import (
     batch_size_values,
     batch_counts,
