@@ -37,12 +37,19 @@ def get_session(app: str = "tidemark", master: str | None = None, shuffle_partit
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder of the session; set a scratch one only if unset."""
+    """The shared checkpoint folder named by the session (``spark.checkpoint.dir``).
+
+    Only a local-mode session without one gets a scratch folder (tests and
+    local runs); on a cluster a machine-local folder would not survive a lost
+    executor, so a missing setting is an error there.
+    """
     d = spark.sparkContext.getCheckpointDir()
     if d:
         return d
     conf = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not conf:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a shared folder (for example on HDFS or object storage)")
         conf = tempfile.mkdtemp(prefix="tidemark-ckpt-")
     spark.sparkContext.setCheckpointDir(conf)
     return spark.sparkContext.getCheckpointDir() or conf
