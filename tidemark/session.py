@@ -24,12 +24,24 @@ LOCAL_DEFAULTS = {
 
 
 def get_session(app: str = "tidemark", master: str | None = None, shuffle_partitions: int | None = None) -> SparkSession:
-    cpus = os.environ.get("BENCH_CPUS", "8")
-    b = SparkSession.builder.appName(app).master(master or f"local[{cpus}]")
+    """Session for jobs and local runs.
+
+    Under ``spark-submit`` (a master is already configured) only the app name
+    and settings that are unset are added; the cluster's master, memory and
+    shuffle sizing are kept.  Without a master, a local session is built.
+    """
+    from pyspark import SparkConf
+
+    conf = SparkConf()
+    b = SparkSession.builder.appName(app)
     for k, v in LOCAL_DEFAULTS.items():
-        b = b.config(k, v)
-    b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions or int(cpus)))
-    b = b.config("spark.driver.memory", os.environ.get("SPARK_DRIVER_MEMORY", "16g"))
+        if not conf.contains(k):
+            b = b.config(k, v)
+    if master or not conf.contains("spark.master"):
+        cpus = os.environ.get("BENCH_CPUS", "8")
+        b = b.master(master or f"local[{cpus}]")
+        b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions or int(cpus)))
+        b = b.config("spark.driver.memory", os.environ.get("SPARK_DRIVER_MEMORY", "16g"))
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     checkpoint_dir(spark)
