@@ -163,3 +163,21 @@ def test_rank_with_a_huge_copy_group(spark, buckets):
     want = sorted(tuple(r) for r in log.select("id", F.rank().over(w).alias("r")).collect())
     got = sorted(tuple(r) for r in sequence_rank(log, "r", buckets=buckets, table_bound=2).select("id", "r").collect())
     assert got == want
+
+
+def test_envelopes_stay_small_with_a_copy_group(spark):
+    from tidemark.plans.feed import batch_envelopes, decoded_changes
+
+    rows = [("t", i, i, 2, i, "x") for i in range(1, 400)] + [("t", 200, 200, 2, 1000 + i, "copy") for i in range(2000)]
+    log = make_log(spark, rows)
+    d = decoded_changes(log)
+    sizes = spark.createDataFrame([("t", 100)], "table_name string, batch_size int")
+    b = drain_batches(d, sizes, 1, buckets=6)
+    env = batch_envelopes(b, "h", "5s").select("batch_no", "n_changes").collect()
+    assert sum(r.n_changes for r in env) == 399 + 2000
+    assert max(r.n_changes for r in env) <= 120   # parts of ~50 copies; plain batches of 100
+    # ranks are still exact
+    w = Window.partitionBy(TABLE_NAME).orderBy(START_LSN, SEQVAL)
+    want = sorted(tuple(r) for r in log.select("id", F.rank().over(w).alias("r")).collect())
+    got = sorted(tuple(r) for r in b.select(F.col("data.id").cast("long").alias("id"), "seq_rank").collect())
+    assert got == want

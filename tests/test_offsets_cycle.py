@@ -119,3 +119,23 @@ def test_batch_sizer_resamples_after_interval(spark, scratch):
     assert (r1.rows, r2.rows, sizer.samples) == (50, 50, 1)
     run_cycle(spark, [log], ["t"], store, json_lines_publisher(out), 3, now=t + dt.timedelta(minutes=61), sizer=sizer)
     assert sizer.samples == 2 and sizer.sizes == {"t": 50}
+
+
+def test_failed_read_keeps_offsets(spark, scratch):
+    import pytest
+
+    store = OffsetStore(spark, f"{scratch}/offsets")
+    first = spark.createDataFrame([("t", b10(3), T0, b10(3))], OFFSETS_ROWS_SCHEMA)
+    store.write(first)
+
+    class Broken:
+        def __getattr__(self, name):
+            raise RuntimeError("change table unreadable")
+
+    with pytest.raises(Exception):
+        run_cycle(spark, [Broken()], ["t"], store, json_lines_publisher(f"{scratch}/out"), 1)
+    assert store.latest_version() == 1 and bytes(store.read().first().last_lsn) == bytes(b10(3))
+    # the next cycle resumes from the same cursor
+    log = make_log(spark, [("t", i, i, 2, i, "x") for i in range(1, 6)])
+    r = run_cycle(spark, [log], ["t"], store, json_lines_publisher(f"{scratch}/out"), 2, now=T1)
+    assert r.rows == 2

@@ -169,9 +169,11 @@ def drain_batches(
     """Split every table's backlog into consecutive batches: ``batch_no = (rank - 1) div batch_size``.
 
     Equal to polling again and again when no two changes tie on ``(lsn, seq)``;
-    tied changes share a batch.  Adds ``seq_rank``, ``batch_size`` and ``batch_no``.
+    tied changes share a batch.  Adds ``seq_rank``, ``batch_size``, ``batch_no``
+    and ``envelope_part`` (0, except for the copies of a hugely copied change,
+    which are spread over parts of at most about 50 rows for message building).
     """
-    ranked = sequence_rank(changes, "seq_rank", buckets=buckets, table_bound=table_bound)
+    ranked = sequence_rank(changes, "seq_rank", buckets=buckets, table_bound=table_bound, part_size=MIN_BATCH)
     if isinstance(batch_sizes, dict):
         from tidemark.operators.cursor import size_lookup
 

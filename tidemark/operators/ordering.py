@@ -145,6 +145,7 @@ def sequence_rank(
     out: str = "seq_rank",
     buckets: int | str = "auto",
     table_bound: int | None = None,
+    part_size: int | None = None,
 ) -> DataFrame:
     """Add ``rank() over (partition by table_name order by lsn, seq)`` as ``out``.
 
@@ -152,6 +153,10 @@ def sequence_rank(
     otherwise sizes buckets from a row count (one narrow pass); an int forces
     the number.  ``table_bound`` is a proven bound on the number of tables,
     used to decide whether the bucket-offset frame may be broadcast.
+
+    With ``part_size``, an ``envelope_part`` column is added: 0 for every row
+    except the copies of heavy keys, which are spread over
+    ``ceil(copies / part_size)`` parts so that a group built per part stays small.
     """
     n_rows = None
     if buckets == "auto":
@@ -162,17 +167,18 @@ def sequence_rank(
         else:
             n_rows = df.count()
             buckets = choose_buckets(n_rows)
+    part = (lambda d: d.withColumn("envelope_part", F.lit(0).cast("long"))) if part_size else (lambda d: d)
     if buckets <= 1:
         w = Window.partitionBy(TABLE_NAME).orderBy(F.col(START_LSN), F.col(SEQVAL))
-        return df.withColumn(out, F.rank().over(w).cast("long"))
+        return part(df.withColumn(out, F.rank().over(w).cast("long")))
 
     points = sample_keys(df, buckets, n_rows)
     bounds = boundaries(points, buckets)
     heavy = heavy_keys(points)
     bucket_bound = None if table_bound is None else table_bound * (len(bounds) + 1)
     if not heavy:
-        return _bucketed_rank(df.withColumn("_marker", F.lit(0)), bounds, bucket_bound, out).drop("_marker")
-    return _rank_with_heavy_keys(df, bounds, heavy, bucket_bound, out)
+        return part(_bucketed_rank(df.withColumn("_marker", F.lit(0)), bounds, bucket_bound, out).drop("_marker"))
+    return _rank_with_heavy_keys(df, bounds, heavy, bucket_bound, out, part_size)
 
 
 def _bucketed_rank(df: DataFrame, bounds, bucket_bound: int | None, out: str) -> DataFrame:
@@ -193,7 +199,9 @@ def _bucketed_rank(df: DataFrame, bounds, bucket_bound: int | None, out: str) ->
     )
 
 
-def _rank_with_heavy_keys(df: DataFrame, bounds, heavy, bucket_bound: int | None, out: str) -> DataFrame:
+def _rank_with_heavy_keys(
+    df: DataFrame, bounds, heavy, bucket_bound: int | None, out: str, part_size: int | None = None
+) -> DataFrame:
     spark = df.sparkSession
     hschema = T.StructType(
         [
@@ -244,4 +252,14 @@ def _rank_with_heavy_keys(df: DataFrame, bounds, heavy, bucket_bound: int | None
         .withColumn(out, F.col("_hr"))
         .drop("_ht", "_hl", "_hs", "_hr")
     )
+    if part_size:
+        # spread each heavy key's copies over ceil(copies / part_size) parts; the row
+        # id keeps identical copies apart (Spark reruns such a stage as a whole)
+        kv = []
+        for t, l, s in heavy:
+            kv += [F.lit(t + TABLE_SEP + _bound_key(l, s)), F.lit(max(1, math.ceil(copies.get((t, l, s), 1) / part_size)))]
+        n_parts = F.element_at(F.create_map(*kv), F.concat(F.col(TABLE_NAME), F.lit(TABLE_SEP), _sort_key()))
+        h = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns], F.monotonically_increasing_id())
+        light_out = light_out.withColumn("envelope_part", F.lit(0).cast("long"))
+        heavy_out = heavy_out.withColumn("envelope_part", (F.lit(1) + F.pmod(h, n_parts)).cast("long"))
     return light_out.unionByName(heavy_out)

@@ -109,14 +109,16 @@ def batch_envelopes(batched: DataFrame, server_name: str, poll_interval: str) ->
     """One envelope per ``(table_name, batch_no)``: the batch's events in order.
 
     ``batched`` is a decoded frame with ``batch_no``.  A batch holds at most
-    ``batch_size`` changes (plus ties), so each group is small and bounded.
+    ``batch_size`` changes plus ties; with ``envelope_part`` (from
+    ``drain_batches``) the copies of a hugely copied change are split over
+    several envelopes, so every group stays small.
     """
+    keys = [TABLE_NAME, "batch_no"] + (["envelope_part"] if "envelope_part" in batched.columns else [])
     per = batched.select(
-        TABLE_NAME,
-        "batch_no",
+        *keys,
         F.struct(F.col(START_LSN).alias("k1"), F.col(SEQVAL).alias("k2"), change_event_struct().alias("ev")).alias("_e"),
     )
-    g = per.groupBy(TABLE_NAME, "batch_no").agg(
+    g = per.groupBy(*keys).agg(
         F.array_sort(F.collect_list("_e")).alias("_evs"), F.count(F.lit(1)).alias("n_changes")
     )
     env = F.struct(
