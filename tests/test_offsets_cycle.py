@@ -139,3 +139,25 @@ def test_failed_read_keeps_offsets(spark, scratch):
     log = make_log(spark, [("t", i, i, 2, i, "x") for i in range(1, 6)])
     r = run_cycle(spark, [log], ["t"], store, json_lines_publisher(f"{scratch}/out"), 2, now=T1)
     assert r.rows == 2
+
+
+def test_published_lines_keep_table_order(spark, scratch):
+    import glob
+    import json
+    import random
+
+    rnd = random.Random(2)
+    rows = [("t" if i % 4 else "u", rnd.randrange(1, 500), i + 1, 2, i, "x") for i in range(800)]
+    rnd.shuffle(rows)
+    log = make_log(spark, rows).repartition(7)
+    store = OffsetStore(spark, f"{scratch}/offsets")
+    out = f"{scratch}/out"
+    run_cycle(spark, [log], ["t", "u"], store, json_lines_publisher(out, files=5), 1, mode="drain", buckets=3)
+    for t in ("t", "u"):
+        keys = []
+        for f in sorted(glob.glob(f"{out}/cycle=1/table_name={t}/part-*")):
+            for line in open(f):
+                m = json.loads(line)["metadata"]
+                keys.append((m["LSN"], m["Seq"]))
+        assert len(keys) == sum(1 for r in rows if r[0] == t)
+        assert keys == sorted(keys)

@@ -135,16 +135,26 @@ def run_cycle(
     return CycleResult(True, n, store.write(merged))
 
 
-def json_lines_publisher(path: str) -> Publisher:
+def json_lines_publisher(path: str, files: int | None = None) -> Publisher:
     """Publisher writing one JSON line per change, partitioned by table.
 
-    Each cycle appends a new ``cycle=N`` folder; a cycle that is replayed after a
+    Lines keep the change order of each table: the batch is range-partitioned
+    on ``(table, lsn, seq)`` (so a hot table is spread over several files whose
+    names follow the order) and sorted within partitions, with the write's
+    partition columns leading so the writer adds no sort of its own.  Each
+    cycle appends a new ``cycle=N`` folder; a cycle that is replayed after a
     failed save writes its lines again (at-least-once).
     """
 
     def publish(batch: DataFrame, cycle_id: int) -> bool:
+        n = files or batch.sparkSession.sparkContext.defaultParallelism
         (
-            batch.select(TABLE_NAME, F.lit(cycle_id).alias("cycle"), F.col("change_json").alias("value"))
+            batch.repartitionByRange(n, TABLE_NAME, START_LSN, SEQVAL)
+            .select(
+                F.lit(cycle_id).alias("cycle"), TABLE_NAME, START_LSN, SEQVAL, F.col("change_json").alias("value")
+            )
+            .sortWithinPartitions("cycle", TABLE_NAME, START_LSN, SEQVAL)
+            .drop(START_LSN, SEQVAL)
             .write.mode("append")
             .partitionBy("cycle", TABLE_NAME)
             .text(path)
