@@ -32,3 +32,20 @@ def test_job_poll_then_drain(spark, scratch):
     ids = out.select(F.col("table_name"), F.get_json_object("value", "$.data.id").cast("int").alias("id"))
     got = sorted((r.table_name, r.id) for r in ids.collect())
     assert got == sorted([("t", i) for i in range(1, 121)] + [("u", i) for i in range(1, 8)])
+
+
+def test_written_log_skips_row_groups_before_the_cursor(spark, scratch):
+    from tidemark.operators.cursor import changes_after
+    from tidemark.sources.changelog import write_change_log
+
+    rows = [("t", i, i, 2, i, "x") for i in range(1, 20001)]
+    write_change_log(make_log(spark, rows), f"{scratch}/log", files_per_write=8)
+    log = read_change_log(spark, f"{scratch}/log", ["t"])
+    cur = {"t": ((19990).to_bytes(10, "big"), (19990).to_bytes(10, "big"))}
+    after = changes_after(log, cur)
+    plan = after._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters" in plan and "__$start_lsn" in plan
+    assert after.count() == 10
+    # the files hold disjoint, ordered LSN ranges, so most can be skipped by statistics
+    files = sorted(log.inputFiles())
+    assert len(files) == 8

@@ -92,3 +92,22 @@ def read_change_log_jdbc(
         f"[{START_LSN}] >= 0x{lo} AND [{START_LSN}] < 0x{hi}" for lo, hi in lsn_ranges
     ]
     return spark.read.jdbc(url, table, predicates=preds, properties=properties or {})
+
+
+def write_change_log(df: DataFrame, path: str, files_per_write: int | None = None, mode: str = "append") -> None:
+    """Write changes in the layout the readers prune best.
+
+    Partitioned by ``table_name`` (a ``table_name IN (...)`` filter prunes
+    directories) and range-partitioned and sorted by ``(lsn, seq)`` within each
+    write, so Parquet row-group min/max statistics on the LSN are tight and a
+    pushed ``lsn >= cursor`` skips everything already published.  A hot table
+    is spread over several files by the range partitioning.
+    """
+    n = files_per_write or df.sparkSession.sparkContext.defaultParallelism
+    (
+        df.repartitionByRange(n, TABLE_NAME, START_LSN, SEQVAL)
+        .sortWithinPartitions(TABLE_NAME, START_LSN, SEQVAL)
+        .write.mode(mode)
+        .partitionBy(TABLE_NAME)
+        .parquet(path)
+    )
