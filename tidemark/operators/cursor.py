@@ -202,8 +202,9 @@ def poll(
     """One poll for every table: the first ``batch_size`` published changes after the cursor.
 
     ``cursor`` and ``batch_sizes`` are frames or driver-side per-table values
-    (``load_cursors`` / ``batch_size_values``); with values the whole poll is one
-    scan with a pushed filter and one shuffle.
+    (``load_cursors`` / ``batch_size_values``); with values the cursor reaches
+    the scan as pushed filters and the only shuffle carries at most
+    ``max_batch`` keys per table and task.
 
     Order is ``(lsn, seq)`` within a table.  Rows tied on ``(lsn, seq)`` share a
     rank and are kept together, so a batch can run over its size at a tie.
