@@ -24,9 +24,9 @@ def _ids(spark, out):
     return sorted(int(r.i) for r in df.select(F.get_json_object("value", "$.data.id").alias("i")).collect())
 
 
-def _run(spark, src, out, ckpt, cursor=None):
+def _run(spark, src, out, ckpt, cursor=None, fmt="text"):
     s = read_change_stream(spark, src, LOG_SCHEMA, tables=["t"], max_files_per_trigger=1)
-    q = start_text_feed(published_stream(s, cursor, 1), out, ckpt)
+    q = start_text_feed(published_stream(s, cursor, 1), out, ckpt, fmt=fmt)
     q.awaitTermination(120)
     assert q.exception() is None
 
@@ -57,3 +57,14 @@ def test_strict_cursor_drops_late_rows(spark, scratch):
     assert _ids(spark, out) == [8, 9, 10, 12]
     merged = {r.table_name: r for r in save_stream_offsets(spark, out, offs, F.lit(T0)).collect()}
     assert bytes(merged["t"].last_lsn) == bytes(b10(12))
+
+
+def test_parquet_feed_high_water_from_key_columns(spark, scratch):
+    src, out, ckpt = f"{scratch}/log", f"{scratch}/out", f"{scratch}/ckpt"
+    _write(spark, src, [("t", i, i, 2, i, "a") for i in range(1, 9)] + [("t", 9, 9, 3, 9, "before")])
+    _run(spark, src, out, ckpt, fmt="parquet")
+    pub = spark.read.parquet(out)
+    assert sorted(pub.columns) == ["lsn", "operation", "seq", "table_name", "value"]
+    assert pub.count() == 8
+    hw = published_high_water(spark, out, "parquet").first()
+    assert bytes(hw.lsn) == bytes(b10(8)) and bytes(hw.seq) == bytes(b10(8))

@@ -37,6 +37,7 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--resample-seconds", type=float, default=3600.0)
     ap.add_argument("--max-files-per-trigger", type=int)
     ap.add_argument("--processing-time", help="e.g. '5 seconds'; default: drain available files and stop")
+    ap.add_argument("--format", default="text", choices=["text", "parquet"], help="stream sink format")
     a = ap.parse_args(argv)
     tables = [t for t in a.tables.split(",") if t]
     spark = get_session("tidemark-job")
@@ -48,7 +49,7 @@ def main(argv: list[str] | None = None) -> int:
             ap.error("stream needs --checkpoint")
         schema = spark.read.parquet(a.log[0]).schema
         s = read_change_stream(spark, a.log[0], schema, tables, a.max_files_per_trigger)
-        q = start_text_feed(published_stream(s), a.out, a.checkpoint, processing_time=a.processing_time)
+        q = start_text_feed(published_stream(s), a.out, a.checkpoint, processing_time=a.processing_time, fmt=a.format)
         q.awaitTermination()
         return 0
 

@@ -28,7 +28,8 @@ from tidemark.operators.common import broadcast_bounded
 from tidemark.operators.cursor import after_cursor, op_filter
 from tidemark.operators.offsets import merge_offsets
 from tidemark.plans.feed import decoded_changes, with_change_json
-from tidemark.schema import TABLE_NAME
+from tidemark.functions.decode import lsn_hex
+from tidemark.schema import OPERATION, SEQVAL, START_LSN, TABLE_NAME
 
 
 def read_change_stream(
@@ -55,7 +56,8 @@ def published_stream(
 ) -> DataFrame:
     """Stateless: (optional strict cursor) -> op filter -> decode -> JSON line.
 
-    Output: ``table_name`` and ``value`` (the change JSON).
+    Output: ``table_name``, the key ``(lsn, seq, operation)`` in hex, and
+    ``value`` (the change JSON).
     """
     src = op_filter(changes)
     if cursor is not None:
@@ -69,7 +71,13 @@ def published_stream(
             .drop("_ct", "_clsn", "_cseq")
         )
     d = with_change_json(decoded_changes(src, double_scale=double_scale))
-    return d.select(TABLE_NAME, F.col("change_json").alias("value"))
+    return d.select(
+        TABLE_NAME,
+        lsn_hex(START_LSN).alias("lsn"),
+        lsn_hex(SEQVAL).alias("seq"),
+        F.col(OPERATION).alias("operation"),
+        F.col("change_json").alias("value"),
+    )
 
 
 def start_text_feed(
@@ -79,10 +87,18 @@ def start_text_feed(
     available_now: bool = True,
     processing_time: str | None = None,
     query_name: str | None = None,
+    fmt: str = "text",
 ) -> StreamingQuery:
-    """Write JSON lines partitioned by table; ``availableNow`` drains and stops."""
+    """Write the feed partitioned by table; ``availableNow`` drains and stops.
+
+    ``fmt="text"`` writes bare JSON lines.  ``fmt="parquet"`` keeps the key
+    columns next to ``value``, so ``published_high_water`` reads two narrow
+    columns instead of parsing every line.
+    """
+    cols = ["value"] if fmt == "text" else ["lsn", "seq", "operation", "value"]
     w = (
-        published.writeStream.format("text")
+        published.select(TABLE_NAME, *cols)
+        .writeStream.format(fmt)
         .outputMode("append")
         .partitionBy(TABLE_NAME)
         .option("checkpointLocation", checkpoint_location)
@@ -97,23 +113,28 @@ def start_text_feed(
     return w.start()
 
 
-def published_high_water(spark: SparkSession, out_path: str) -> DataFrame:
+def published_high_water(spark: SparkSession, out_path: str, fmt: str = "text") -> DataFrame:
     """Cursor per table from what the sink committed: ``(table_name, lsn, seq)``.
 
     Reads the sink through its commit log, so files of failed batches are not
-    counted.  LSN and Seq are fixed-width lowercase hex, so their string order
-    is the binary order.
+    counted.  A Parquet feed is read on its key columns only; a text feed's
+    lines are parsed.  LSN and Seq are fixed-width lowercase hex, so their
+    string order is the binary order.
     """
-    pub = spark.read.format("text").load(out_path)
-    meta = pub.select(
-        TABLE_NAME,
-        F.get_json_object("value", "$.metadata.LSN").alias("l"),
-        F.get_json_object("value", "$.metadata.Seq").alias("s"),
-    )
+    if fmt == "parquet":
+        pub = spark.read.format("parquet").load(out_path)
+        meta = pub.select(TABLE_NAME, F.col("lsn").alias("l"), F.col("seq").alias("s"))
+    else:
+        pub = spark.read.format("text").load(out_path)
+        meta = pub.select(
+            TABLE_NAME,
+            F.get_json_object("value", "$.metadata.LSN").alias("l"),
+            F.get_json_object("value", "$.metadata.Seq").alias("s"),
+        )
     hw = meta.groupBy(TABLE_NAME).agg(F.max(F.struct("l", "s")).alias("c"))
     return hw.select(TABLE_NAME, F.unhex("c.l").alias("lsn"), F.unhex("c.s").alias("seq"))
 
 
-def save_stream_offsets(spark: SparkSession, out_path: str, offsets: DataFrame, now) -> DataFrame:
+def save_stream_offsets(spark: SparkSession, out_path: str, offsets: DataFrame, now, fmt: str = "text") -> DataFrame:
     """Offsets after a stream run: stored offsets merged with the published high water."""
-    return merge_offsets(offsets, published_high_water(spark, out_path), now)
+    return merge_offsets(offsets, published_high_water(spark, out_path, fmt), now)
