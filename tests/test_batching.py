@@ -181,3 +181,19 @@ def test_envelopes_stay_small_with_a_copy_group(spark):
     want = sorted(tuple(r) for r in log.select("id", F.rank().over(w).alias("r")).collect())
     got = sorted(tuple(r) for r in b.select(F.col("data.id").cast("long").alias("id"), "seq_rank").collect())
     assert got == want
+
+
+@pytest.mark.parametrize("n", [0, 1, 2, 5, 255, 256, 700])
+@pytest.mark.parametrize("strict", [False, True])
+def test_count_below_matches_bisect(spark, n, strict):
+    import bisect
+
+    from tidemark.operators.ordering import count_below
+
+    rnd = random.Random(n * 7 + strict)
+    keys = sorted({"%06d" % rnd.randrange(0, 50_000) for _ in range(n)})
+    probes = ["%06d" % rnd.randrange(0, 50_000) for _ in range(150)] + keys[:20]
+    df = spark.createDataFrame([(p,) for p in probes], "k string")
+    got = [r.c for r in df.select("k", count_below(keys, F.col("k"), strict).alias("c")).orderBy("k").collect()]
+    fn = bisect.bisect_left if strict else bisect.bisect_right
+    assert got == [fn(keys, p) for p in sorted(probes)]

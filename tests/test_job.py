@@ -49,3 +49,14 @@ def test_written_log_skips_row_groups_before_the_cursor(spark, scratch):
     # the files hold disjoint, ordered LSN ranges, so most can be skipped by statistics
     files = sorted(log.inputFiles())
     assert len(files) == 8
+
+
+def test_job_stream_parquet(spark, scratch):
+    rows = [("t", i, i, 2, i, "x") for i in range(1, 30)] + [("t", 40, 40, 3, 40, "before")]
+    make_log(spark, rows).write.parquet(f"{scratch}/log")
+    env = dict(os.environ, PYTHONPATH=REPO, BENCH_CPUS="2")
+    cmd = [sys.executable, "-m", "tidemark", "stream", "--log", f"{scratch}/log", "--tables", "t",
+           "--out", f"{scratch}/out", "--checkpoint", f"{scratch}/ckpt", "--format", "parquet"]
+    subprocess.run(cmd, check=True, env=env, timeout=600, capture_output=True)
+    out = spark.read.parquet(f"{scratch}/out")
+    assert out.count() == 29 and out.where(F.col("operation") == 3).count() == 0
