@@ -161,3 +161,35 @@ def test_published_lines_keep_table_order(spark, scratch):
                 keys.append((m["LSN"], m["Seq"]))
         assert len(keys) == sum(1 for r in rows if r[0] == t)
         assert keys == sorted(keys)
+
+
+def test_helpers_schema_and_keys(spark):
+    from pyspark.sql import types as T
+
+    from tidemark.functions.decode import change_struct, to_json_keep_nulls
+    from tidemark.operators.batching import batch_metrics, table_batch_sizes
+    from tidemark.operators.offsets import has_seq_column
+    from tidemark.plans.cycle import published_keys
+    from tidemark.plans.feed import decoded_changes, with_change_json
+    from tidemark.schema import BATCH_STATS_SCHEMA, OPERATION, SEQVAL, START_LSN
+    from tidemark.sources.changelog import change_log_schema, with_system_names
+
+    log = make_log(spark, [("t", 1, 1, 2, 5, None), ("t", 2, 2, 4, 6, "b")])
+    # metrics record follows the declared schema
+    m = batch_metrics(table_batch_sizes(spark, ["t"], log), "2024-01-01 00:00:00")
+    assert [(f.name, f.dataType) for f in m.schema.fields] == [(f.name, f.dataType) for f in BATCH_STATS_SCHEMA.fields]
+    # offsets column check
+    old = spark.createDataFrame([("t", b10(1), T0)], "table_name string, last_lsn binary, updated_at timestamp_ntz")
+    assert not has_seq_column(old) and has_seq_column(upgrade_offsets(old))
+    # envelope from the raw log equals the decoded path
+    raw = sorted(r[0] for r in log.select(to_json_keep_nulls(change_struct(log))).collect())
+    dec = sorted(r[0] for r in with_change_json(decoded_changes(log)).select("change_json").collect())
+    assert raw == dec
+    # plain system-column names and the declared log schema
+    plain = log.withColumnRenamed(START_LSN, "start_lsn").withColumnRenamed(SEQVAL, "seqval").withColumnRenamed(OPERATION, "operation")
+    assert with_system_names(plain).columns == log.columns
+    src = T.StructType([f for f in log.schema.fields if f.name in ("id", "name")])
+    assert [f.name for f in change_log_schema(src).fields] == log.columns
+    # de-duplication keys of published rows
+    k = published_keys(log).collect()
+    assert k[0].lsn == "00000000000000000001" and k[0][OPERATION] == 2

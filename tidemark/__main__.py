@@ -17,6 +17,7 @@ import sys
 
 from tidemark.operators.batching import BatchSizer
 from tidemark.operators.offsets import OffsetStore
+from tidemark.schema import PREMIUM_MESSAGE_BYTES, STANDARD_MESSAGE_BYTES
 from tidemark.plans.cycle import json_lines_publisher, run_cycle
 from tidemark.session import get_session
 from tidemark.sources.changelog import read_change_log
@@ -31,7 +32,9 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--offsets")
     ap.add_argument("--checkpoint")
     ap.add_argument("--cycles", type=int, default=1)
-    ap.add_argument("--max-message-bytes", type=int, default=256 * 1024)
+    ap.add_argument("--tier", choices=["standard", "premium"], default="standard",
+                    help="message budget: 256 KiB (standard) or 1 MiB (premium)")
+    ap.add_argument("--max-message-bytes", type=int, help="overrides --tier")
     ap.add_argument("--buffer-factor", type=float, default=0.2)
     ap.add_argument("--sample-size", type=int, default=100)
     ap.add_argument("--resample-seconds", type=float, default=3600.0)
@@ -58,7 +61,8 @@ def main(argv: list[str] | None = None) -> int:
     logs = [read_change_log(spark, p, tables, merge_schema=True) for p in a.log]
     store = OffsetStore(spark, a.offsets)
     publish = json_lines_publisher(a.out)
-    sizer = BatchSizer(a.sample_size, a.max_message_bytes, a.buffer_factor, a.resample_seconds)
+    budget = a.max_message_bytes or (PREMIUM_MESSAGE_BYTES if a.tier == "premium" else STANDARD_MESSAGE_BYTES)
+    sizer = BatchSizer(a.sample_size, budget, a.buffer_factor, a.resample_seconds)
     start = (store.latest_version() or 0) * 1000
     cycles = 1 if a.mode == "drain" else a.cycles
     for i in range(cycles):

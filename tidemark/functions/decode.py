@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.schema import (
+    OP_NAMES,
     OPERATION,
     SEQVAL,
     START_LSN,
@@ -29,11 +30,10 @@ def _col(c) -> Column:
 def operation_type(op="__$operation") -> Column:
     """1 -> Delete, 2 -> Insert, 3/4 -> Update; any other code or NULL -> NULL."""
     op = _col(op)
-    return (
-        F.when(op == 2, F.lit("Insert"))
-        .when(op.isin(3, 4), F.lit("Update"))
-        .when(op == 1, F.lit("Delete"))
-    )
+    out = None
+    for code, name in sorted(OP_NAMES.items()):
+        out = F.when(op == code, F.lit(name)) if out is None else out.when(op == code, F.lit(name))
+    return out
 
 
 def lsn_hex(c) -> Column:

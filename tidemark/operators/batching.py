@@ -20,6 +20,7 @@ from tidemark.operators.ordering import sequence_rank
 from tidemark.schema import (
     DEFAULT_BATCH,
     DEFAULT_BUFFER_FACTOR,
+    DEFAULT_RESAMPLE_SECONDS,
     DEFAULT_SAMPLE_SIZE,
     MAX_BATCH,
     MIN_BATCH,
@@ -220,7 +221,7 @@ class BatchSizer:
         sample_size: int = DEFAULT_SAMPLE_SIZE,
         max_message_bytes: int = STANDARD_MESSAGE_BYTES,
         buffer_factor: float = DEFAULT_BUFFER_FACTOR,
-        resample_seconds: float = 3600.0,
+        resample_seconds: float = DEFAULT_RESAMPLE_SECONDS,
     ):
         self.sample_size = sample_size
         self.max_message_bytes = max_message_bytes
