@@ -197,3 +197,20 @@ def test_count_below_matches_bisect(spark, n, strict):
     got = [r.c for r in df.select("k", count_below(keys, F.col("k"), strict).alias("c")).orderBy("k").collect()]
     fn = bisect.bisect_left if strict else bisect.bisect_right
     assert got == [fn(keys, p) for p in sorted(probes)]
+
+
+def test_recent_first_sample_equals_full_sample(spark):
+    from tidemark.operators.batching import recent_first_sample, sample_recent
+
+    rows = [("busy", i, i, 2 if i % 3 else 3, i, "b" * (i % 50)) for i in range(1, 600)]
+    rows += [("quiet", i * 7, 10_000 + i, 2, i, "q" * i) for i in range(1, 40)]    # old and few
+    rows += [("mid", 500 + i, 20_000 + i, 1, i, "m") for i in range(1, 150)]      # straddles the window
+    log = make_log(spark, rows)
+    tables = ["busy", "quiet", "mid", "none"]
+    for recent in (450, 560, 10_000):
+        got = sorted(tuple(r) for r in recent_first_sample(log, tables, bytes(b10(recent)), 100).select("id", "table_name", "sample_rank").collect())
+        want = sorted(tuple(r) for r in sample_recent(log, 100, 4).select("id", "table_name", "sample_rank").collect())
+        assert got == want
+    a = {r.table_name: r.batch_size for r in table_batch_sizes(spark, tables, log, recent_from=bytes(b10(560))).collect()}
+    b = {r.table_name: r.batch_size for r in table_batch_sizes(spark, tables, log).collect()}
+    assert a == b

@@ -72,6 +72,35 @@ def sample_recent(
     return log.join(top, cond, "inner").drop(*[f"_k{i}" for i in range(len(keys))])
 
 
+def recent_first_sample(
+    log: DataFrame, tables, recent_from: bytes, sample_size: int = DEFAULT_SAMPLE_SIZE
+) -> DataFrame:
+    """``sample_recent`` that reads history only for tables that need it.
+
+    If a table has at least ``sample_size`` rows with ``lsn >= recent_from``,
+    its newest ``sample_size`` rows all lie there, so only that window is read
+    (a pushed filter: row groups before it are skipped).  The other tables are
+    sampled from their whole history, with ``table_name IN (...)`` pruning the
+    rest.  The per-table counts of the window are one row per configured table.
+    """
+    tables = sorted(set(tables))
+    window = log.where(F.col(START_LSN) >= F.lit(bytearray(recent_from)))
+    counts = collect_bounded(window.groupBy(TABLE_NAME).count(), len(tables), "recent counts")
+    full = sorted(r[0] for r in counts if r[1] >= sample_size)
+    rest = sorted(set(tables) - set(full))
+    parts = []
+    if full:
+        parts.append(sample_recent(window.where(F.col(TABLE_NAME).isin(full)), sample_size, len(full)))
+    if rest:
+        parts.append(sample_recent(log.where(F.col(TABLE_NAME).isin(rest)), sample_size, len(rest)))
+    if not parts:
+        return sample_recent(log.where(F.lit(False)), sample_size, 1)
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
 def sample_row_bytes(sample: DataFrame) -> DataFrame:
     """Byte length of each sampled raw row as JSON (``table_name`` and helper columns left out)."""
     raw = sample.drop("sample_rank")
@@ -113,9 +142,14 @@ def table_batch_sizes(
     sample_size: int = DEFAULT_SAMPLE_SIZE,
     max_message_bytes: int = STANDARD_MESSAGE_BYTES,
     buffer_factor: float = DEFAULT_BUFFER_FACTOR,
+    recent_from: bytes | None = None,
 ) -> DataFrame:
     """Batch size per configured table: ``(table_name, batch_size, sample_rows, avg_row_bytes)``.
 
+    ``recent_from`` (an LSN, for example the highest saved cursor) lets the
+    sampler read only ``lsn >= recent_from`` for tables with enough rows there;
+    see ``recent_first_sample``.
+
     ``logs`` may be several change logs with different columns; each one is
     sampled and encoded with its own schema.  A configured table missing from
     every log (or with an empty sample) gets the default of 100, and a size
@@ -127,7 +161,11 @@ def table_batch_sizes(
     for lg in logs:
         if bound is not None:
             lg = lg.where(F.col(TABLE_NAME).isin(sorted(set(tables))))
-        s = sample_stats(sample_row_bytes(sample_recent(lg, sample_size, bound)))
+        if recent_from is not None and bound is not None:
+            sample = recent_first_sample(lg, tables, recent_from, sample_size)
+        else:
+            sample = sample_recent(lg, sample_size, bound)
+        s = sample_stats(sample_row_bytes(sample))
         stats = s if stats is None else stats.unionByName(s)
     cfg = table_frame(spark, tables)
     st = broadcast_bounded(stats, table_count(tables))
@@ -237,11 +275,11 @@ class BatchSizer:
             return True
         return (now - self.last_sample_time).total_seconds() >= self.resample_seconds
 
-    def get(self, spark: SparkSession, tables, logs, now) -> dict:
+    def get(self, spark: SparkSession, tables, logs, now, recent_from: bytes | None = None) -> dict:
         if self.due(tables, now):
             tables = sorted(set(tables))
             frame = table_batch_sizes(
-                spark, tables, logs, self.sample_size, self.max_message_bytes, self.buffer_factor
+                spark, tables, logs, self.sample_size, self.max_message_bytes, self.buffer_factor, recent_from
             )
             self.sizes = batch_size_values(frame, len(tables))
             self.tables = tuple(tables)

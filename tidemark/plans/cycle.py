@@ -85,12 +85,16 @@ def cycle_changes(
     """
     tables = sorted(set(tables))
     bound = table_count(tables)
+    # The highest saved cursor bounds the window the sampler reads first.
+    top = offsets.where(F.col(TABLE_NAME).isin(tables)).agg(F.max("last_lsn")).first()[0]
+    recent = bytes(top) if top is not None else None
     if sizer is not None:
         stamp = now or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
-        size_job = lambda: sizer.get(spark, tables, logs, stamp)
+        size_job = lambda: sizer.get(spark, tables, logs, stamp, recent)
     else:
         size_job = lambda: batch_size_values(
-            table_batch_sizes(spark, tables, logs, sample_size, max_message_bytes, buffer_factor), len(tables)
+            table_batch_sizes(spark, tables, logs, sample_size, max_message_bytes, buffer_factor, recent),
+            len(tables),
         )
     cursor, sizes = run_concurrently(lambda: load_cursors(spark, tables, offsets, _keys(logs)), size_job)
     out = None
