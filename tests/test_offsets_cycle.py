@@ -193,3 +193,15 @@ def test_helpers_schema_and_keys(spark):
     # de-duplication keys of published rows
     k = published_keys(log).collect()
     assert k[0].lsn == "00000000000000000001" and k[0][OPERATION] == 2
+
+
+def test_publisher_spreads_a_copy_group_over_files(spark, scratch):
+    import glob
+
+    rows = [("t", i, i, 2, i, "x") for i in range(1, 50)] + [("t", 25, 25, 2, 1000 + i, "copy") for i in range(3000)]
+    store = OffsetStore(spark, f"{scratch}/offsets")
+    out = f"{scratch}/out"
+    r = run_cycle(spark, [make_log(spark, rows)], ["t"], store, json_lines_publisher(out, files=6), 1, mode="drain", buckets=3)
+    assert r.rows == 49 + 3000
+    sizes = [sum(1 for _ in open(f)) for f in glob.glob(f"{out}/cycle=1/table_name=t/part-*")]
+    assert sum(sizes) == 3049 and max(sizes) < 3000

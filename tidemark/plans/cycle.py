@@ -152,13 +152,16 @@ def json_lines_publisher(path: str, files: int | None = None) -> Publisher:
 
     def publish(batch: DataFrame, cycle_id: int) -> bool:
         n = files or batch.sparkSession.sparkContext.defaultParallelism
+        # A row id breaks ties so that many copies of one change still spread over
+        # files; the cycle hands over a checkpointed batch, so the ids are stable.
         (
-            batch.repartitionByRange(n, TABLE_NAME, START_LSN, SEQVAL)
+            batch.withColumn("_tb", F.monotonically_increasing_id())
+            .repartitionByRange(n, TABLE_NAME, START_LSN, SEQVAL, "_tb")
             .select(
-                F.lit(cycle_id).alias("cycle"), TABLE_NAME, START_LSN, SEQVAL, F.col("change_json").alias("value")
+                F.lit(cycle_id).alias("cycle"), TABLE_NAME, START_LSN, SEQVAL, "_tb", F.col("change_json").alias("value")
             )
-            .sortWithinPartitions("cycle", TABLE_NAME, START_LSN, SEQVAL)
-            .drop(START_LSN, SEQVAL)
+            .sortWithinPartitions("cycle", TABLE_NAME, START_LSN, SEQVAL, "_tb")
+            .drop(START_LSN, SEQVAL, "_tb")
             .write.mode("append")
             .partitionBy("cycle", TABLE_NAME)
             .text(path)
