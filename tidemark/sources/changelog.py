@@ -105,8 +105,11 @@ def write_change_log(df: DataFrame, path: str, files_per_write: int | None = Non
     """
     n = files_per_write or df.sparkSession.sparkContext.defaultParallelism
     (
-        df.repartitionByRange(n, TABLE_NAME, START_LSN, SEQVAL)
-        .sortWithinPartitions(TABLE_NAME, START_LSN, SEQVAL)
+        # a row id breaks ties, so many copies of one change still spread over files
+        df.withColumn("_tb", F.monotonically_increasing_id())
+        .repartitionByRange(n, TABLE_NAME, START_LSN, SEQVAL, "_tb")
+        .sortWithinPartitions(TABLE_NAME, START_LSN, SEQVAL, "_tb")
+        .drop("_tb")
         .write.mode(mode)
         .partitionBy(TABLE_NAME)
         .parquet(path)
