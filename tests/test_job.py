@@ -60,3 +60,10 @@ def test_job_stream_parquet(spark, scratch):
     subprocess.run(cmd, check=True, env=env, timeout=600, capture_output=True)
     out = spark.read.parquet(f"{scratch}/out")
     assert out.count() == 29 and out.where(F.col("operation") == 3).count() == 0
+
+
+def test_catalog_columns(spark):
+    from tidemark.sources.changelog import catalog_columns
+
+    make_log(spark, [("t", 1, 1, 2, 1, "a")]).createOrReplaceTempView("cdc_t_view")
+    assert catalog_columns(spark, "cdc_t_view") == ["id", "name"]

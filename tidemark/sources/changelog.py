@@ -48,6 +48,12 @@ def discover_columns(df: DataFrame) -> list[str]:
     return source_columns(df)
 
 
+def catalog_columns(spark: SparkSession, table: str, database: str | None = None) -> list[str]:
+    """Source columns of a change table registered in the catalog (or a view)."""
+    skip = set(SYSTEM_COLUMNS) | {TABLE_NAME}
+    return [c.name for c in spark.catalog.listColumns(table, database) if c.name not in skip]
+
+
 def scan_changes(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Project ``table_name``, the system columns and the source columns.
 
