@@ -63,13 +63,15 @@ def main(argv: list[str] | None = None) -> int:
     publish = json_lines_publisher(a.out)
     budget = a.max_message_bytes or (PREMIUM_MESSAGE_BYTES if a.tier == "premium" else STANDARD_MESSAGE_BYTES)
     sizer = BatchSizer(a.sample_size, budget, a.buffer_factor, a.resample_seconds)
-    start = (store.latest_version() or 0) * 1000
     cycles = 1 if a.mode == "drain" else a.cycles
-    for i in range(cycles):
-        r = run_cycle(spark, logs, tables, store, publish, cycle_id=start + i, mode=a.mode, sizer=sizer)
-        print(f"cycle {start + i}: published={r.published} rows={r.rows} offsets_version={r.offsets_version}",
+    for _ in range(cycles):
+        # a cycle is numbered by the offsets version it will save; a replayed cycle
+        # writes into the same folder again (at-least-once)
+        cycle_id = (store.latest_version() or 0) + 1
+        r = run_cycle(spark, logs, tables, store, publish, cycle_id=cycle_id, mode=a.mode, sizer=sizer)
+        print(f"cycle {cycle_id}: published={r.published} rows={r.rows} offsets_version={r.offsets_version}",
               file=sys.stderr)
-        if r.rows == 0:
+        if r.rows == 0 or not r.published:
             break
     return 0
 
