@@ -214,3 +214,16 @@ def test_recent_first_sample_equals_full_sample(spark):
     a = {r.table_name: r.batch_size for r in table_batch_sizes(spark, tables, log, recent_from=bytes(b10(560))).collect()}
     b = {r.table_name: r.batch_size for r in table_batch_sizes(spark, tables, log).collect()}
     assert a == b
+
+
+def test_sample_with_copies_is_weighted_not_multiplied(spark):
+    from tidemark.operators.batching import sample_recent, sample_row_bytes, sample_stats
+
+    rows = [("t", i, i, 2, i, "abc") for i in range(1, 200)] + [("t", 500, 500, 2, 7, "abc") for _ in range(5000)]
+    log = make_log(spark, rows)
+    s = sample_recent(log, 100, 1)
+    assert s.count() == 1 + 0 and s.first().sample_weight == 100   # the copies fill the newest 100
+    st = sample_stats(sample_row_bytes(s)).first()
+    assert st.sample_rows == 100
+    plain = sample_stats(sample_row_bytes(sample_recent(log, 100, 1, two_phase=False))).first()
+    assert (st.total_bytes, st.sample_rows) == (plain.total_bytes, plain.sample_rows)

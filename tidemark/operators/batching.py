@@ -45,7 +45,12 @@ def sample_recent(
     that keeps ``sample_size`` keys per table and task before the shuffle),
     then the full rows are fetched by a join with those keys, which hold at most
     ``sample_size`` x tables rows and are broadcast when that bound is known.
-    Adds ``sample_rank``.
+
+    Copies of one change (same table, LSN, seq and code) come back as one row
+    with ``sample_weight`` = the number of its copies inside the newest
+    ``sample_size``; the copies are collapsed by a partial aggregate, so a key
+    with millions of copies neither multiplies rows nor fills one task.  Adds
+    ``sample_rank`` (the key's first position) and ``sample_weight``.
     """
     keys = [TABLE_NAME, START_LSN, SEQVAL, OPERATION]
     w = Window.partitionBy(TABLE_NAME).orderBy(
@@ -56,12 +61,14 @@ def sample_recent(
             log.withColumn("sample_rank", F.row_number().over(w))
             .where(F.col("sample_rank") <= F.lit(int(sample_size)))
             .withColumn("sample_rank", F.col("sample_rank").cast("long"))
+            .withColumn("sample_weight", F.lit(1).cast("long"))
         )
     top = (
         log.select(*[F.col(f"`{k}`") for k in keys])
-        .withColumn("sample_rank", F.row_number().over(w))
-        .where(F.col("sample_rank") <= F.lit(int(sample_size)))
-        .select(*[F.col(f"`{k}`").alias(f"_k{i}") for i, k in enumerate(keys)], F.col("sample_rank").cast("long"))
+        .withColumn("_rn", F.row_number().over(w))
+        .where(F.col("_rn") <= F.lit(int(sample_size)))
+        .groupBy(*[F.col(f"`{k}`").alias(f"_k{i}") for i, k in enumerate(keys)])
+        .agg(F.min("_rn").cast("long").alias("sample_rank"), F.count(F.lit(1)).alias("sample_weight"))
     )
     bound = None if table_bound is None else table_bound * int(sample_size)
     top = broadcast_bounded(top, bound)
@@ -69,7 +76,14 @@ def sample_recent(
     for i, k in enumerate(keys):
         c = F.col(f"`{k}`").eqNullSafe(F.col(f"_k{i}"))
         cond = c if cond is None else cond & c
-    return log.join(top, cond, "inner").drop(*[f"_k{i}" for i in range(len(keys))])
+    joined = log.join(top, cond, "inner")
+    # one representative row per key: copies are the same change, so any copy will do
+    # (and they collapse map-side in the partial aggregate)
+    cols = log.columns
+    rep = joined.groupBy(*[f"_k{i}" for i in range(len(keys))], "sample_rank", "sample_weight").agg(
+        F.any_value(F.struct(*[F.col(f"`{c}`") for c in cols])).alias("_rep")
+    )
+    return rep.select(*[F.col("_rep").getField(c).alias(c) for c in cols], "sample_rank", "sample_weight")
 
 
 def recent_first_sample(
@@ -103,23 +117,26 @@ def recent_first_sample(
 
 def sample_row_bytes(sample: DataFrame) -> DataFrame:
     """Byte length of each sampled raw row as JSON (``table_name`` and helper columns left out)."""
-    raw = sample.drop("sample_rank")
+    raw = sample.drop("sample_rank", "sample_weight")
     return sample.select(
         TABLE_NAME,
         START_LSN,
         SEQVAL,
         OPERATION,
         "sample_rank",
+        "sample_weight",
         F.octet_length(raw_record_json(raw)).alias("row_bytes"),
     )
 
 
 def sample_stats(row_bytes: DataFrame) -> DataFrame:
-    """Per table: total bytes, rows sampled, average bytes per row."""
+    """Per table: total bytes, rows sampled, average bytes per row (copies weighted)."""
+    total = F.sum(F.col("row_bytes") * F.col("sample_weight"))
+    rows = F.sum("sample_weight")
     return row_bytes.groupBy(TABLE_NAME).agg(
-        F.sum("row_bytes").alias("total_bytes"),
-        F.count(F.lit(1)).alias("sample_rows"),
-        (F.sum("row_bytes").cast("double") / F.count(F.lit(1))).alias("avg_row_bytes"),
+        total.alias("total_bytes"),
+        rows.alias("sample_rows"),
+        (total.cast("double") / rows).alias("avg_row_bytes"),
     )
 
 
