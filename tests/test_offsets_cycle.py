@@ -92,17 +92,31 @@ def test_drain_mode_numbers_batches(spark):
     assert counts == [(0, 50), (1, 50), (2, 30)]
 
 
-def test_offset_store_skips_a_crashed_version(spark, scratch):
+def test_offset_store_ignores_a_partial_version(spark, scratch):
+    from pyspark.sql import functions as F
+
+    store = OffsetStore(spark, f"{scratch}/offsets", slots=3)
+    two = spark.createDataFrame([("t", b10(1), T0, b10(1)), ("u", b10(1), T0, b10(1))], OFFSETS_ROWS_SCHEMA)
+    assert store.write(two) == 1
+    assert store.write(two.withColumn("last_lsn", F.lit(bytearray(b10(2))))) == 2
+    # a save of version 3 that crashed after writing one of its two rows
+    partial = spark.createDataFrame([("t", b10(9), T1, b10(9))], OFFSETS_ROWS_SCHEMA)
+    partial.withColumn("version", F.lit(3).cast("long")).withColumn("n_rows", F.lit(2).cast("long")) \
+        .write.mode("overwrite").parquet(f"{scratch}/offsets/slot=0")
+    assert store.latest_version() == 2
+    assert {bytes(r.last_lsn) for r in store.read().collect()} == {bytes(b10(2))}
+    # the next save takes version 3 again and replaces the partial one
+    assert store.write(partial) == 3 and store.read().count() == 1
+
+
+def test_offset_store_stays_bounded(spark, scratch):
     import os
 
-    store = OffsetStore(spark, f"{scratch}/offsets")
-    first = spark.createDataFrame([("t", b10(1), T0, b10(1))], OFFSETS_ROWS_SCHEMA)
-    assert store.write(first) == 1
-    os.makedirs(f"{scratch}/offsets/version=2/_temporary/0")  # what a crashed save leaves
-    assert store.latest_version() == 1
-    second = spark.createDataFrame([("t", b10(2), T1, b10(2))], OFFSETS_ROWS_SCHEMA)
-    assert store.write(second) == 3
-    assert bytes(store.read().first().last_lsn) == bytes(b10(2))
+    store = OffsetStore(spark, f"{scratch}/offsets", slots=3)
+    for i in range(1, 8):
+        store.write(spark.createDataFrame([("t", b10(i), T0, b10(i))], OFFSETS_ROWS_SCHEMA))
+    assert store.latest_version() == 7 and bytes(store.read().first().last_lsn) == bytes(b10(7))
+    assert sorted(d for d in os.listdir(f"{scratch}/offsets") if d.startswith("slot=")) == ["slot=0", "slot=1", "slot=2"]
 
 
 def test_batch_sizer_resamples_after_interval(spark, scratch):

@@ -1,15 +1,13 @@
 """Offsets table: one row per table with the last published ``(lsn, seq)``.
 
 Parquet has no ``MERGE``, and a job cannot overwrite the files it reads, so the
-store keeps versions: each save writes a new ``version=N`` directory and readers
-take the highest committed version.  A failed save leaves the previous version
-in place, so the feed replays the unsaved batch (at-least-once).
+store keeps versions in a small ring of folders and readers take the newest
+complete one.  A failed save leaves the previous version in place, so the feed
+replays the unsaved batch (at-least-once).
 """
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -59,49 +57,68 @@ def merge_offsets(offsets: DataFrame, updates: DataFrame, now) -> DataFrame:
 
 
 class OffsetStore:
-    """Versioned offsets table under one directory (``<root>/version=N``)."""
+    """Offsets table kept in a fixed ring of folders: ``<root>/slot=0 .. slot=K-1``.
+
+    Version ``v`` overwrites folder ``v mod K``; every row carries its
+    ``version`` and the version's row count.  Readers take the newest version
+    whose rows are all present, so a save that crashed halfway (an emptied or
+    half-written folder) is never read and the previous version stays in force.
+    The store never grows: a reader lists and reads at most K small folders.
+    """
 
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, slots: int = 3):
+        if slots < 2:
+            raise ValueError("keep at least two slots, so a crashed save leaves a complete version")
         self.spark = spark
         self.root = root.rstrip("/")
+        self.slots = slots
 
     def _all(self) -> DataFrame | None:
         try:
-            return self.spark.read.option("mergeSchema", "true").parquet(self.root)
+            df = self.spark.read.option("mergeSchema", "true").parquet(self.root)
         except Exception as e:  # no committed version yet
             if "PATH_NOT_FOUND" in str(e) or "UNABLE_TO_INFER_SCHEMA" in str(e):
                 return None
             raise
+        return df if "version" in df.columns else None
+
+    def _complete(self, df: DataFrame) -> DataFrame:
+        """Versions whose rows are all present."""
+        return (
+            df.groupBy("version")
+            .agg(F.count(F.lit(1)).alias("_have"), F.max("n_rows").alias("_want"))
+            .where(F.col("_have") == F.col("_want"))
+        )
 
     def latest_version(self) -> int | None:
-        """Highest version with committed files, from the file listing (no job)."""
         df = self._all()
         if df is None:
             return None
-        found = [int(m.group(1)) for f in df.inputFiles() if (m := re.search(r"/version=(\d+)/", f))]
-        return max(found) if found else None
+        v = self._complete(df).agg(F.max("version")).first()[0]
+        return None if v is None else int(v)
 
     def read(self) -> DataFrame:
-        """Latest committed version, upgraded to the current schema (empty if none)."""
+        """Latest complete version, upgraded to the current schema (empty if none)."""
         v = self.latest_version()
         if v is None:
             return empty_offsets(self.spark)
-        return upgrade_offsets(self._all().where(F.col("version") == v).drop("version"))
+        rows = self._all().where(F.col("version") == v).drop("version", "n_rows", "slot")
+        return upgrade_offsets(rows)
 
-    def write(self, offsets: DataFrame, attempts: int = 5) -> int:
+    def write(self, offsets: DataFrame) -> int:
         """Commit ``offsets`` as the next version and return its number.
 
-        A save that crashed leaves a ``version=N`` folder with no committed
-        files (readers ignore it); the next save then moves on to ``N + 1``.
+        The offsets hold one row per table, so they are counted first and the
+        count is stored with every row.
         """
-        data = upgrade_offsets(offsets).coalesce(1)
+        data = upgrade_offsets(offsets)
+        n = data.count()
         v = (self.latest_version() or 0) + 1
-        for _ in range(attempts):
-            try:
-                data.write.mode("errorifexists").parquet(f"{self.root}/version={v}")
-                return v
-            except Exception as e:
-                if "PATH_ALREADY_EXISTS" not in str(e) and "already exists" not in str(e):
-                    raise
-                v += 1
-        raise RuntimeError(f"could not find a free offsets version under {self.root}")
+        (
+            data.withColumn("version", F.lit(v).cast("long"))
+            .withColumn("n_rows", F.lit(n).cast("long"))
+            .coalesce(1)
+            .write.mode("overwrite")
+            .parquet(f"{self.root}/slot={v % self.slots}")
+        )
+        return v
