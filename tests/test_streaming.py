@@ -98,3 +98,30 @@ def test_failed_micro_batch_is_replayed(spark, scratch):
     # the restarted query replays the same batch from the same source offsets
     assert run(None).exception() is None
     assert _ids(spark, out) == list(range(1, 11))
+
+
+def test_micro_batch_handler_strict_drain_and_replay(spark, scratch):
+    import pytest
+
+    from tidemark.operators.offsets import OffsetStore
+    from tidemark.plans.cycle import json_lines_publisher
+    from tidemark.streaming.stream import micro_batch_handler
+
+    store = OffsetStore(spark, f"{scratch}/offsets")
+    out = f"{scratch}/out"
+    handle = micro_batch_handler(["t", "u"], store, json_lines_publisher(out), mode="drain", buckets=2)
+    # micro-batch 0: 120 wide rows of t (batch size 50) and 3 rows of u
+    b0 = make_log(spark, [("t", i, i, 2, i, "x" * 9000) for i in range(1, 121)] + [("u", i, 500 + i, 2, i, "u") for i in range(1, 4)])
+    handle(b0, 0)
+    assert store.latest_version() == 1
+    # micro-batch 1: a late row of t below its cursor (dropped) and new rows
+    b1 = make_log(spark, [("t", 5, 5, 2, 1005, "late"), ("t", 200, 200, 2, 200, "new"), ("u", 9, 900, 2, 9, "u")])
+    handle(b1, 1)
+    ids = spark.read.text(out).select("table_name", F.get_json_object("value", "$.data.id").cast("int").alias("id"))
+    got = sorted((r.table_name, r.id) for r in ids.collect())
+    assert got == sorted([("t", i) for i in range(1, 121)] + [("t", 200)] + [("u", i) for i in (1, 2, 3, 9)])
+    # a failing publish raises (the stream would replay) and leaves the offsets alone
+    bad = micro_batch_handler(["t"], store, lambda df, i: False)
+    with pytest.raises(RuntimeError):
+        bad(make_log(spark, [("t", 300, 300, 2, 300, "x")]), 2)
+    assert store.latest_version() == 2
