@@ -219,3 +219,33 @@ def test_publisher_spreads_a_copy_group_over_files(spark, scratch):
     assert r.rows == 49 + 3000
     sizes = [sum(1 for _ in open(f)) for f in glob.glob(f"{out}/cycle=1/table_name=t/part-*")]
     assert sum(sizes) == 3049 and max(sizes) < 3000
+
+
+def test_envelope_cycles(spark, scratch):
+    import glob
+    import json
+
+    import pytest
+
+    from tidemark.plans.cycle import envelope_publisher
+
+    rows = [("t", i, i, 2, i, "x" * 9000) for i in range(1, 131)] + [("u", i, 500 + i, 1, i, None) for i in range(1, 8)]
+    store = OffsetStore(spark, f"{scratch}/offsets")
+    out = f"{scratch}/out"
+    log = make_log(spark, rows)
+    r = run_cycle(spark, [log], ["t", "u"], store, envelope_publisher(out), 1, mode="drain", envelopes=True, buckets=2)
+    assert r.published and r.rows == 137
+    seen, sizes = [], []
+    for f in sorted(glob.glob(f"{out}/cycle=1/table_name=*/part-*")):
+        for line in open(f):
+            env = json.loads(line)
+            assert set(env) == {"table_name", "server_name", "changes", "metadata"}
+            assert env["metadata"]["batch_size"] == len(env["changes"])
+            sizes.append(len(env["changes"]))
+            seen += [(c["table_name"], c["data"]["id"]) for c in env["changes"]]
+    assert sorted(seen) == sorted([("t", str(i)) for i in range(1, 131)] + [("u", str(i)) for i in range(1, 8)])
+    assert max(sizes) <= 50
+    # offsets moved to the last enveloped change; the next cycle has nothing left
+    assert run_cycle(spark, [log], ["t", "u"], store, envelope_publisher(out), 2, mode="drain", envelopes=True).rows == 0
+    with pytest.raises(ValueError):
+        run_cycle(spark, [log], ["t"], store, envelope_publisher(out), 3, mode="poll", envelopes=True)

@@ -1,7 +1,7 @@
 """Run the change feed as a job.
 
     python -m tidemark poll   --log PATH --tables a,b --offsets PATH --out PATH [--cycles N]
-    python -m tidemark drain  --log PATH --tables a,b --offsets PATH --out PATH
+    python -m tidemark drain  --log PATH --tables a,b --offsets PATH --out PATH [--envelopes]
     python -m tidemark stream --log PATH --tables a,b --out PATH --checkpoint PATH
 
 ``poll`` runs N poll cycles (each publishes at most one batch per table, then
@@ -18,7 +18,7 @@ import sys
 from tidemark.operators.batching import BatchSizer
 from tidemark.operators.offsets import OffsetStore
 from tidemark.schema import PREMIUM_MESSAGE_BYTES, STANDARD_MESSAGE_BYTES
-from tidemark.plans.cycle import json_lines_publisher, run_cycle
+from tidemark.plans.cycle import envelope_publisher, json_lines_publisher, run_cycle
 from tidemark.session import get_session
 from tidemark.sources.changelog import read_change_log
 
@@ -41,6 +41,9 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--max-files-per-trigger", type=int)
     ap.add_argument("--processing-time", help="e.g. '5 seconds'; default: drain available files and stop")
     ap.add_argument("--format", default="text", choices=["text", "parquet"], help="stream sink format")
+    ap.add_argument("--envelopes", action="store_true", help="drain: publish batch envelopes instead of change lines")
+    ap.add_argument("--server-name", default="localhost")
+    ap.add_argument("--poll-interval", default="5s", help="recorded in envelope metadata")
     a = ap.parse_args(argv)
     tables = [t for t in a.tables.split(",") if t]
     spark = get_session("tidemark-job")
@@ -60,7 +63,10 @@ def main(argv: list[str] | None = None) -> int:
         ap.error(f"{a.mode} needs --offsets")
     logs = [read_change_log(spark, p, tables, merge_schema=True) for p in a.log]
     store = OffsetStore(spark, a.offsets)
-    publish = json_lines_publisher(a.out)
+    if a.envelopes and a.mode != "drain":
+        ap.error("--envelopes needs drain mode")
+    publish = envelope_publisher(a.out) if a.envelopes else json_lines_publisher(a.out)
+    extra = dict(envelopes=True, server_name=a.server_name, poll_interval=a.poll_interval) if a.envelopes else {}
     budget = a.max_message_bytes or (PREMIUM_MESSAGE_BYTES if a.tier == "premium" else STANDARD_MESSAGE_BYTES)
     sizer = BatchSizer(a.sample_size, budget, a.buffer_factor, a.resample_seconds)
     cycles = 1 if a.mode == "drain" else a.cycles
@@ -68,7 +74,7 @@ def main(argv: list[str] | None = None) -> int:
         # a cycle is numbered by the offsets version it will save; a replayed cycle
         # writes into the same folder again (at-least-once)
         cycle_id = (store.latest_version() or 0) + 1
-        r = run_cycle(spark, logs, tables, store, publish, cycle_id=cycle_id, mode=a.mode, sizer=sizer)
+        r = run_cycle(spark, logs, tables, store, publish, cycle_id=cycle_id, mode=a.mode, sizer=sizer, **extra)
         print(f"cycle {cycle_id}: published={r.published} rows={r.rows} offsets_version={r.offsets_version}",
               file=sys.stderr)
         if r.rows == 0 or not r.published:

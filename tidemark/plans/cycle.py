@@ -32,7 +32,7 @@ from tidemark.operators.batching import (
 from tidemark.operators.common import run_concurrently, table_count
 from tidemark.operators.cursor import changes_after, load_cursors, poll
 from tidemark.operators.offsets import OffsetStore, merge_offsets
-from tidemark.plans.feed import decoded_changes, with_change_json
+from tidemark.plans.feed import batch_envelopes, decoded_changes, with_change_json
 from tidemark.schema import (
     DEFAULT_BUFFER_FACTOR,
     DEFAULT_SAMPLE_SIZE,
@@ -75,6 +75,9 @@ def cycle_changes(
     buckets: int | str = "auto",
     sizer: BatchSizer | None = None,
     now: _dt.datetime | None = None,
+    envelopes: bool = False,
+    server_name: str = "localhost",
+    poll_interval: str = "5s",
 ) -> DataFrame:
     """Changes to publish in this cycle, uniform across logs.
 
@@ -82,7 +85,14 @@ def cycle_changes(
     ``mode="drain"``: the whole backlog, numbered into batches.
     With a ``sizer``, batch sizes are reused until its resample interval passes.
     Columns: ``table_name``, system columns, ``batch_no``, ``change_json``.
+
+    ``envelopes=True`` (drain mode) gives one row per batch envelope instead:
+    ``table_name``, ``batch_no``, ``n_changes``, ``envelope_json`` and the
+    envelope's last ``(lsn, seq)``; copies of a hugely copied change are split
+    over several envelopes, so every group stays small.
     """
+    if envelopes and mode != "drain":
+        raise ValueError("envelopes are built from drain batches (mode='drain')")
     tables = sorted(set(tables))
     bound = table_count(tables)
     # The highest saved cursor bounds the window the sampler reads first.
@@ -106,7 +116,10 @@ def cycle_changes(
             b = drain_batches(changes_after(d, cursor, bound), sizes, bound, buckets)
         else:
             raise ValueError(f"unknown mode {mode!r}")
-        u = with_change_json(b).select(TABLE_NAME, START_LSN, SEQVAL, OPERATION, "batch_no", "change_json")
+        if envelopes:
+            u = batch_envelopes(b, server_name, poll_interval, with_high_water=True)
+        else:
+            u = with_change_json(b).select(TABLE_NAME, START_LSN, SEQVAL, OPERATION, "batch_no", "change_json")
         out = u if out is None else out.unionByName(u)
     return out
 
@@ -125,7 +138,10 @@ def run_cycle(
     checkpoint_dir(spark)
     offsets = store.read()
     batch = cycle_changes(spark, logs, tables, offsets, now=now, **kw).checkpoint(eager=True)
-    n = batch.count()
+    if "n_changes" in batch.columns:  # envelopes: count the changes they hold
+        n = batch.agg(F.sum("n_changes")).first()[0] or 0
+    else:
+        n = batch.count()
     if n == 0:
         return CycleResult(True, 0, None)
     try:
@@ -174,3 +190,26 @@ def json_lines_publisher(path: str, files: int | None = None) -> Publisher:
 def published_keys(batch: DataFrame) -> DataFrame:
     """``(table_name, lsn, seq, operation)`` in hex: the de-duplication key of published rows."""
     return batch.select(TABLE_NAME, lsn_hex(START_LSN).alias("lsn"), lsn_hex(SEQVAL).alias("seq"), OPERATION)
+
+
+def envelope_publisher(path: str) -> Publisher:
+    """Publisher writing one batch envelope (JSON) per line, partitioned by table.
+
+    For ``run_cycle(..., mode="drain", envelopes=True)``.  Envelopes keep their
+    batch order within a table; each cycle appends a ``cycle=N`` folder.
+    """
+
+    def publish(batch: DataFrame, cycle_id: int) -> bool:
+        n = batch.sparkSession.sparkContext.defaultParallelism
+        (
+            batch.repartitionByRange(n, TABLE_NAME, "batch_no")
+            .select(F.lit(cycle_id).alias("cycle"), TABLE_NAME, "batch_no", F.col("envelope_json").alias("value"))
+            .sortWithinPartitions("cycle", TABLE_NAME, "batch_no")
+            .drop("batch_no")
+            .write.mode("append")
+            .partitionBy("cycle", TABLE_NAME)
+            .text(path)
+        )
+        return True
+
+    return publish

@@ -105,7 +105,9 @@ def change_events(decoded: DataFrame) -> DataFrame:
     )
 
 
-def batch_envelopes(batched: DataFrame, server_name: str, poll_interval: str) -> DataFrame:
+def batch_envelopes(
+    batched: DataFrame, server_name: str, poll_interval: str, with_high_water: bool = False
+) -> DataFrame:
     """One envelope per ``(table_name, batch_no)``: the batch's events in order.
 
     ``batched`` is a decoded frame with ``batch_no``.  A batch holds at most
@@ -118,13 +120,18 @@ def batch_envelopes(batched: DataFrame, server_name: str, poll_interval: str) ->
         *keys,
         F.struct(F.col(START_LSN).alias("k1"), F.col(SEQVAL).alias("k2"), change_event_struct().alias("ev")).alias("_e"),
     )
-    g = per.groupBy(*keys).agg(
-        F.array_sort(F.collect_list("_e")).alias("_evs"), F.count(F.lit(1)).alias("n_changes")
-    )
+    aggs = [F.array_sort(F.collect_list("_e")).alias("_evs"), F.count(F.lit(1)).alias("n_changes")]
+    if with_high_water:
+        aggs.append(F.max(F.struct(F.col("_e.k1").alias("k1"), F.col("_e.k2").alias("k2"))).alias("_hw"))
+    g = per.groupBy(*keys).agg(*aggs)
     env = F.struct(
         F.col(TABLE_NAME).alias("table_name"),
         F.lit(server_name).alias("server_name"),
         F.transform("_evs", lambda e: e["ev"]).alias("changes"),
         F.struct(F.col("n_changes").alias("batch_size"), F.lit(poll_interval).alias("poll_interval")).alias("metadata"),
     )
-    return g.select(TABLE_NAME, "batch_no", "n_changes", to_json_keep_nulls(env).alias("envelope_json"))
+    out = [TABLE_NAME, "batch_no", "n_changes", to_json_keep_nulls(env).alias("envelope_json")]
+    if with_high_water:
+        # the last change of the envelope, for saving offsets after publishing it
+        out += [F.col("_hw.k1").alias(START_LSN), F.col("_hw.k2").alias(SEQVAL)]
+    return g.select(*out)
