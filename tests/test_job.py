@@ -67,3 +67,17 @@ def test_catalog_columns(spark):
 
     make_log(spark, [("t", 1, 1, 2, 1, "a")]).createOrReplaceTempView("cdc_t_view")
     assert catalog_columns(spark, "cdc_t_view") == ["id", "name"]
+
+
+def test_jdbc_lsn_range_predicates():
+    import pytest
+
+    from tidemark.sources.changelog import lsn_range_predicates
+
+    p = lsn_range_predicates([("00000000000000000000", "00000000000000001000"), ("00000000000000001000", "ffffffffffffffffffff")])
+    assert p == ["[__$start_lsn] >= 0x00000000000000000000 AND [__$start_lsn] < 0x00000000000000001000",
+                 "[__$start_lsn] >= 0x00000000000000001000 AND [__$start_lsn] < 0xffffffffffffffffffff"]
+    with pytest.raises(ValueError):
+        lsn_range_predicates([("00", "10"), ("08", "20")])
+    with pytest.raises(ValueError):
+        lsn_range_predicates([("0x; DROP TABLE t", "10")])

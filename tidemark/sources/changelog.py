@@ -94,10 +94,26 @@ def read_change_log_jdbc(
     ``predicates`` (half-open ``[lo, hi)`` hex bounds).  Untested here: no
     database server is available in the build environment.
     """
-    preds = [
-        f"[{START_LSN}] >= 0x{lo} AND [{START_LSN}] < 0x{hi}" for lo, hi in lsn_ranges
-    ]
-    return spark.read.jdbc(url, table, predicates=preds, properties=properties or {})
+    return spark.read.jdbc(url, table, predicates=lsn_range_predicates(lsn_ranges), properties=properties or {})
+
+
+def lsn_range_predicates(lsn_ranges: list[tuple[str, str]]) -> list[str]:
+    """One JDBC partition predicate per half-open hex LSN range ``[lo, hi)``.
+
+    The ranges must not overlap, so every change is read by exactly one
+    partition; the bounds are validated as hex so nothing else reaches the SQL.
+    """
+    out = []
+    for lo, hi in lsn_ranges:
+        bytes.fromhex(lo), bytes.fromhex(hi)  # raises on anything but hex
+        if lo >= hi:
+            raise ValueError(f"empty LSN range [{lo}, {hi})")
+        out.append(f"[{START_LSN}] >= 0x{lo} AND [{START_LSN}] < 0x{hi}")
+    ends = sorted(lsn_ranges)
+    for (a_lo, a_hi), (b_lo, b_hi) in zip(ends, ends[1:]):
+        if b_lo < a_hi:
+            raise ValueError(f"overlapping LSN ranges [{a_lo}, {a_hi}) and [{b_lo}, {b_hi})")
+    return out
 
 
 def write_change_log(df: DataFrame, path: str, files_per_write: int | None = None, mode: str = "append") -> None:
