@@ -162,3 +162,40 @@ def test_poll_with_a_huge_copy_group(spark):
     cur2 = resume_cursor(spark, ["t"], offs, log)
     p2 = poll(log, cur2, sizes, 1).select("poll_rank", "id").collect()
     assert sorted(r.poll_rank for r in p2) == list(range(1, 11))
+
+
+def test_changes_after_matches_brute_force(spark):
+    import random
+
+    from tidemark.operators import cursor as C
+
+    rnd = random.Random(23)
+    for trial in range(6):
+        n_tables = rnd.choice([1, 3, 7])
+        tables = [f"t{k}" for k in range(n_tables)]
+        rows = []
+        for i in range(300):
+            rows.append((rnd.choice(tables), rnd.randrange(0, 40), rnd.randrange(0, 40), rnd.choice([1, 2, 3, 4, 5]), i, "x"))
+        log = make_log(spark, rows)
+        cur = {}
+        for t in tables:
+            kind = rnd.random()
+            if kind < 0.15:
+                cur[t] = (None, bytes(b10(0)))                       # NULL LSN: reads nothing
+            elif kind < 0.3:
+                continue                                             # not configured here
+            else:
+                cur[t] = (bytes(b10(rnd.randrange(0, 40))), bytes(b10(rnd.randrange(0, 40))))
+        want = sorted(
+            i for t, l, s, op, i, _ in rows
+            if t in cur and cur[t][0] is not None and op in (1, 2, 4)
+            and (l > int.from_bytes(cur[t][0], "big")
+                 or (l == int.from_bytes(cur[t][0], "big") and s > int.from_bytes(cur[t][1], "big")))
+        )
+        for limit in (0, 100):   # join path and literal path
+            C.MAX_LITERAL_TABLES, saved = limit, C.MAX_LITERAL_TABLES
+            try:
+                got = sorted(r.id for r in changes_after(log, cur).select("id").collect())
+            finally:
+                C.MAX_LITERAL_TABLES = saved
+            assert got == want, (trial, limit)
