@@ -199,3 +199,28 @@ def test_changes_after_matches_brute_force(spark):
             finally:
                 C.MAX_LITERAL_TABLES = saved
             assert got == want, (trial, limit)
+
+
+def test_poll_matches_brute_force(spark):
+    import random
+
+    rnd = random.Random(31)
+    for trial in range(4):
+        tables = ["a", "b", "c"]
+        rows = [(rnd.choice(tables), rnd.randrange(0, 30), rnd.randrange(0, 5), rnd.choice([1, 2, 3, 4]), i, "x")
+                for i in range(400)]
+        log = make_log(spark, rows)
+        cur = {t: (bytes(b10(rnd.randrange(0, 10))), bytes(b10(rnd.randrange(0, 5)))) for t in tables}
+        sizes = {t: rnd.randrange(1, 60) for t in tables}
+        want = set()
+        for t in tables:
+            cl, cs = (int.from_bytes(x, "big") for x in cur[t])
+            after = sorted((l, s, i) for tt, l, s, op, i, _ in rows
+                           if tt == t and op in (1, 2, 4) and (l > cl or (l == cl and s > cs)))
+            keys = [(l, s) for l, s, _ in after]
+            for l, s, i in after:
+                rank = 1 + sum(1 for k in keys if k < (l, s))
+                if rank <= sizes[t]:
+                    want.add((i, rank))
+        got = {(r.id, r.poll_rank) for r in poll(log, cur, sizes, 3).select("id", "poll_rank").collect()}
+        assert got == want, trial
