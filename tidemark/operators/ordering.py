@@ -162,7 +162,11 @@ def sequence_rank(
     if buckets == "auto":
         # Few input splits means a small input: one window task per table is fine
         # and the counting pass is skipped.  Otherwise size buckets from a count.
-        if df.rdd.getNumPartitions() <= SMALL_INPUT_PARTITIONS:
+        try:
+            parts = df.rdd.getNumPartitions()
+        except Exception:  # no RDD view (for example Spark Connect): decide from a count
+            parts = None
+        if parts is not None and parts <= SMALL_INPUT_PARTITIONS:
             buckets = 1
         else:
             n_rows = df.count()
