@@ -66,3 +66,11 @@ def run_concurrently(*thunks: Callable):
     with ThreadPoolExecutor(max_workers=len(thunks)) as pool:
         futures = [pool.submit(t) for t in thunks]
         return [f.result() for f in futures]
+
+
+def default_parallelism(spark: SparkSession) -> int:
+    """The cluster's default parallelism; the shuffle partition count where it is not visible."""
+    try:
+        return int(spark.sparkContext.defaultParallelism)
+    except Exception:  # no SparkContext on the client (for example Spark Connect)
+        return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))

@@ -29,7 +29,7 @@ from tidemark.operators.batching import (
     table_batch_sizes,
     table_high_water,
 )
-from tidemark.operators.common import run_concurrently, table_count
+from tidemark.operators.common import default_parallelism, run_concurrently, table_count
 from tidemark.operators.cursor import changes_after, load_cursors, poll
 from tidemark.operators.offsets import OffsetStore, merge_offsets
 from tidemark.plans.feed import batch_envelopes, decoded_changes, with_change_json
@@ -167,7 +167,7 @@ def json_lines_publisher(path: str, files: int | None = None) -> Publisher:
     """
 
     def publish(batch: DataFrame, cycle_id: int) -> bool:
-        n = files or batch.sparkSession.sparkContext.defaultParallelism
+        n = files or default_parallelism(batch.sparkSession)
         # A row id breaks ties so that many copies of one change still spread over
         # files; the cycle hands over a checkpointed batch, so the ids are stable.
         (
@@ -200,7 +200,7 @@ def envelope_publisher(path: str) -> Publisher:
     """
 
     def publish(batch: DataFrame, cycle_id: int) -> bool:
-        n = batch.sparkSession.sparkContext.defaultParallelism
+        n = default_parallelism(batch.sparkSession)
         (
             batch.repartitionByRange(n, TABLE_NAME, "batch_no")
             .select(F.lit(cycle_id).alias("cycle"), TABLE_NAME, "batch_no", F.col("envelope_json").alias("value"))

@@ -55,13 +55,17 @@ def checkpoint_dir(spark: SparkSession) -> str:
     local runs); on a cluster a machine-local folder would not survive a lost
     executor, so a missing setting is an error there.
     """
-    d = spark.sparkContext.getCheckpointDir()
+    try:
+        sc = spark.sparkContext
+    except Exception:  # no SparkContext on the client: the server owns the setting
+        return spark.conf.get("spark.checkpoint.dir", "")
+    d = sc.getCheckpointDir()
     if d:
         return d
-    conf = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    conf = sc.getConf().get("spark.checkpoint.dir", None)
     if not conf:
-        if not spark.sparkContext.master.startswith("local"):
+        if not sc.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a shared folder (for example on HDFS or object storage)")
         conf = tempfile.mkdtemp(prefix="tidemark-ckpt-")
-    spark.sparkContext.setCheckpointDir(conf)
-    return spark.sparkContext.getCheckpointDir() or conf
+    sc.setCheckpointDir(conf)
+    return sc.getCheckpointDir() or conf

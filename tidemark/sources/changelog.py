@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.operators.common import default_parallelism
 from tidemark.schema import OPERATION, SEQVAL, START_LSN, SYSTEM_COLUMNS, TABLE_NAME, q, source_columns
 
 
@@ -125,7 +126,7 @@ def write_change_log(df: DataFrame, path: str, files_per_write: int | None = Non
     pushed ``lsn >= cursor`` skips everything already published.  A hot table
     is spread over several files by the range partitioning.
     """
-    n = files_per_write or df.sparkSession.sparkContext.defaultParallelism
+    n = files_per_write or default_parallelism(df.sparkSession)
     (
         # a row id breaks ties, so many copies of one change still spread over files
         df.withColumn("_tb", F.monotonically_increasing_id())
