@@ -81,3 +81,20 @@ def test_jdbc_lsn_range_predicates():
         lsn_range_predicates([("00", "10"), ("08", "20")])
     with pytest.raises(ValueError):
         lsn_range_predicates([("0x; DROP TABLE t", "10")])
+
+
+def test_grouped_cursor_scans_on_a_partitioned_log(spark, scratch):
+    from tidemark.operators.cursor import changes_after
+    from tidemark.sources.changelog import write_change_log
+
+    tables = [f"t{k}" for k in range(10)]
+    rows = [(t, i, i, 2, i, "x") for t in tables for i in range(1, 201)]
+    write_change_log(make_log(spark, rows), f"{scratch}/log", files_per_write=4)
+    log = read_change_log(spark, f"{scratch}/log", tables)
+    # t0 is quiet with an old cursor; the others are near the end
+    cur = {t: ((190).to_bytes(10, "big"), (190).to_bytes(10, "big")) for t in tables}
+    cur["t0"] = ((5).to_bytes(10, "big"), (5).to_bytes(10, "big"))
+    after = changes_after(log, cur)
+    assert after.count() == 195 + 9 * 10
+    plan = after._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Union") >= 1

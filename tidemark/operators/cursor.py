@@ -167,21 +167,57 @@ def cursor_predicate(cursors: Cursors) -> Column:
     return pred if pred is not None else F.lit(False)
 
 
+MAX_CURSOR_GROUPS = 16
+
+
+def _partitioned_by_table(log: DataFrame) -> bool:
+    try:
+        files = log.inputFiles()
+    except Exception:
+        return False
+    return bool(files) and all(f"/{TABLE_NAME}=" in f for f in files)
+
+
+def _pruned_by_cursor(log: DataFrame, live: Cursors) -> DataFrame:
+    """Pushed ``table_name IN (...)`` and ``lsn >= floor`` filters for many cursors.
+
+    On a log partitioned by ``table_name``, tables are grouped by cursor LSN
+    (up to ``MAX_CURSOR_GROUPS``) and each group is scanned with its own floor,
+    so one quiet table with an old cursor does not pull every other table's
+    history into the scan; directory pruning keeps the groups apart.  On other
+    logs one scan with the lowest floor is cheaper than several full scans.
+    """
+    order = sorted(live.items(), key=lambda kv: kv[1][0])
+    if len(order) <= 1 or not _partitioned_by_table(log):
+        floor = order[0][1][0]
+        return log.where(F.col(TABLE_NAME).isin([t for t, _ in order]) & (F.col(START_LSN) >= F.lit(bytearray(floor))))
+    n_groups = min(MAX_CURSOR_GROUPS, len(order))
+    out = None
+    for g in range(n_groups):
+        part = order[g * len(order) // n_groups:(g + 1) * len(order) // n_groups]
+        if not part:
+            continue
+        floor = part[0][1][0]
+        scan = log.where(F.col(TABLE_NAME).isin([t for t, _ in part]) & (F.col(START_LSN) >= F.lit(bytearray(floor))))
+        out = scan if out is None else out.unionByName(scan)
+    return out
+
+
 def changes_after(log: DataFrame, cursor, table_bound: int | None = None) -> DataFrame:
     """Published changes strictly after each table's cursor (tables without a cursor drop out).
 
     ``cursor`` is a cursor frame or driver-side ``Cursors``.  With up to
     ``MAX_LITERAL_TABLES`` live tables the exact cursor becomes a literal filter
-    pushed into the Parquet scan; with more, ``table_name IN (...)`` and
-    ``lsn >= min(cursor)`` are pushed (partition pruning and row-group
-    skipping) and a broadcast join applies each table's exact cursor.
+    pushed into the Parquet scan; with more, ``table_name IN (...)`` and an
+    ``lsn >=`` floor are pushed (per group of tables on a table-partitioned
+    log, see ``_pruned_by_cursor``) and a broadcast join applies each table's
+    exact cursor.
     """
     if isinstance(cursor, dict):
         live = {t: c for t, c in cursor.items() if c[0] is not None}
         if len(live) <= MAX_LITERAL_TABLES:
             return op_filter(log.where(cursor_predicate(live)))
-        floor = min(c[0] for c in live.values())
-        log = log.where(F.col(TABLE_NAME).isin(sorted(live)) & (F.col(START_LSN) >= F.lit(bytearray(floor))))
+        log = _pruned_by_cursor(log, live)
         cursor = cursor_frame(log.sparkSession, live)
         table_bound = len(live)
     cur = broadcast_bounded(
