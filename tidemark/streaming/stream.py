@@ -126,11 +126,9 @@ def published_high_water(spark: SparkSession, out_path: str, fmt: str = "text")
         meta = pub.select(TABLE_NAME, F.col("lsn").alias("l"), F.col("seq").alias("s"))
     else:
         pub = spark.read.format("text").load(out_path)
-        meta = pub.select(
-            TABLE_NAME,
-            F.get_json_object("value", "$.metadata.LSN").alias("l"),
-            F.get_json_object("value", "$.metadata.Seq").alias("s"),
-        )
+        # one parse per line, keeping only the two metadata fields
+        m = F.from_json("value", "metadata struct<LSN: string, Seq: string>").getField("metadata")
+        meta = pub.select(TABLE_NAME, m.getField("LSN").alias("l"), m.getField("Seq").alias("s"))
     hw = meta.groupBy(TABLE_NAME).agg(F.max(F.struct("l", "s")).alias("c"))
     return hw.select(TABLE_NAME, F.unhex("c.l").alias("lsn"), F.unhex("c.s").alias("seq"))
 
