@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import langid, mixing, packing, quality, toxicity
+from tidemark.llm import embdedup, langid, mixing, packing, quality, topk, toxicity
 from tidemark.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,11 +22,21 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
+def op4_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and component of every embedding."""
+    return embdedup.near_duplicates(read_table(spark, sf_dir, "embeddings"))
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every piece of every document with its place in a packed sequence."""
     return packing.pack(read_table(spark, sf_dir, "documents"))
 
 
+def op6_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five best matches of every embedding whose id 50 divides."""
+    return topk.top_k(read_table(spark, sf_dir, "embeddings"))
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that the mix takes of every document."""
     return mixing.mix_plan(read_table(spark, sf_dir, "documents"))
@@ -40,11 +50,14 @@ def op9_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op2_toxicity": op2_toxicity,
     "op3_quality": op3_quality,
+    "op4_embedding_dedup": op4_embedding_dedup,
     "op5_packing": op5_packing,
+    "op6_topk": op6_topk,
     "op7_mixing": op7_mixing,
     "op9_langid": op9_langid,
 }
 
 ORACLE: dict[str, str] = {
+    "op6_topk": topk.ORACLE_SQL,
     "op7_mixing": mixing.ORACLE_SQL,
 }
