@@ -6,12 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import embdedup, langid, mixing, packing, quality, topk, toxicity
+from tidemark.llm import embdedup, langid, mixing, ngramjoin, packing, quality, topk, toxicity
 from tidemark.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shingle count and near-duplicate component of every document."""
+    return ngramjoin.jaccard_components(read_table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Expected severity, grade and rejection of every document."""
     return toxicity.grade(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
@@ -48,6 +53,7 @@ def op9_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_ngram_jaccard": op1_ngram_jaccard,
     "op2_toxicity": op2_toxicity,
     "op3_quality": op3_quality,
     "op4_embedding_dedup": op4_embedding_dedup,
