@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import embdedup, langid, mixing, ngramjoin, packing, quality, topk, toxicity
+from tidemark.llm import embdedup, langid, linededup, mixing, ngramjoin, packing, quality, topk, toxicity
 from tidemark.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -47,6 +47,11 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_plan(read_table(spark, sf_dir, "documents"))
 
 
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of every document before and after line dedup, and the digest of what is kept."""
+    return linededup.line_report(read_table(spark, sf_dir, "documents"))
+
+
 def op9_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Predicted language of every document."""
     return langid.identify(read_table(spark, sf_dir, "documents"))
@@ -60,6 +65,7 @@ QUERIES: dict[str, Query] = {
     "op5_packing": op5_packing,
     "op6_topk": op6_topk,
     "op7_mixing": op7_mixing,
+    "op8_line_dedup": op8_line_dedup,
     "op9_langid": op9_langid,
 }
 
