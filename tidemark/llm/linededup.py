@@ -247,7 +247,10 @@ def with_kept_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     return d.select("_d", _keep_lines(F.col("_d.text"), F.col("first"), F.col("last")).alias("k")).select("_d", "k.*")
 
 
-@F.pandas_udf("kept string, n_lines long, n_kept long")
+_KEPT = T.StructType([T.StructField("kept", T.StringType()), T.StructField("n_lines", T.LongType()), T.StructField("n_kept", T.LongType())])
+
+
+@F.pandas_udf(_KEPT)
 def _keep_lines(text: pd.Series, first: pd.Series, last: pd.Series) -> pd.DataFrame:
     """A text without the lines of its deleted runs, and its lines before and after."""
     out = []
