@@ -20,20 +20,25 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def checkpoint(df: DataFrame) -> DataFrame:
-    """Cut the lineage in the folder named by ``spark.checkpoint.dir``.
+def checkpoint_folder(spark: SparkSession) -> str:
+    """The folder named by ``spark.checkpoint.dir``, which driver and executors share.
 
-    The folder must be shared by driver and executors.  Only a local-mode
-    session without one (tests) gets a scratch folder.
+    Only a local-mode session without one (tests) gets a scratch folder.
     """
-    sc = df.sparkSession.sparkContext
+    sc = spark.sparkContext
     if not sc.getCheckpointDir():
         where = sc.getConf().get("spark.checkpoint.dir", None)
         if not where:
-            if not sc.master.startswith("local["):
+            if sc.master != "local" and not sc.master.startswith("local["):
                 raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
             where = tempfile.mkdtemp(prefix="tidemark-llm-")
         sc.setCheckpointDir(where)
+    return sc.getCheckpointDir()
+
+
+def checkpoint(df: DataFrame) -> DataFrame:
+    """Cut the lineage in the shared checkpoint folder."""
+    checkpoint_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import embdedup, langid, linededup, mixing, ngramjoin, packing, quality, topk, toxicity
+from tidemark.llm import embdedup, langid, linededup, mixing, ngramjoin, packing, quality, revisit, topk, toxicity
 from tidemark.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -57,6 +57,11 @@ def op9_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(read_table(spark, sf_dir, "documents"))
 
 
+def op10_revisit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Outcome, stored response and effective headers of every capture of ``pages``."""
+    return revisit.resolve_pages(read_table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_ngram_jaccard": op1_ngram_jaccard,
     "op2_toxicity": op2_toxicity,
@@ -67,9 +72,11 @@ QUERIES: dict[str, Query] = {
     "op7_mixing": op7_mixing,
     "op8_line_dedup": op8_line_dedup,
     "op9_langid": op9_langid,
+    "op10_revisit": op10_revisit,
 }
 
 ORACLE: dict[str, str] = {
     "op6_topk": topk.ORACLE_SQL,
     "op7_mixing": mixing.ORACLE_SQL,
+    "op10_revisit": revisit.ORACLE_SQL,
 }
