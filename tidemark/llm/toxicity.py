@@ -4,7 +4,7 @@ Features are hashed words and word beginnings of the whole text.  Of the
 labelled documents a bounded, hash-chosen sample is learned from
 (``TRAIN_PER_CLASS`` of each label).  Their feature counts are taken in Spark;
 the ``N_FEATURES`` features that the labels tell apart best are kept.  Toxic
-training documents get severity grades from the share of their words that bear
+training documents get severity grades from the number of their words that bear
 such features (thirds of the sample), clean ones grade 0.  One weight vector is
 shared by the ordered thresholds (proportional odds); the result is the
 expected grade.  What reaches the driver is bounded by these parameters.
@@ -31,13 +31,13 @@ from pyspark.sql import types as T
 from tidemark.llm.common import checkpoint, small_batches, text_list
 
 BUCKETS = 1 << 22
-BEGINNINGS = (3, 4, 5)        # characters of the word beginnings
+BEGINNINGS = (3, 4, 5, 6, 7, 8)  # characters of the word beginnings; a word is longer than its beginnings
 TRAIN_PER_CLASS = 6000        # labelled documents learned from, of each label: the lowest hashes of the id
 N_FEATURES = 2000             # features kept
 MIN_DOCUMENTS = 3             # of training documents that hold a kept feature
-MIN_G = 15.0                  # least G statistic of a kept feature; lower ones are noise
-GRADES = 4                    # clean, and thirds of the toxic by density
-L2 = 1e-3
+MIN_G = 10.0                  # least G statistic of a kept feature; lower ones are noise
+GRADES = 4                    # clean, and thirds of the toxic by bearing words
+L2 = 1e-4
 STEPS = 400
 REJECT_AT = 0.5               # expected severity from which a document is rejected
 WORDS_CACHED = 200_000
@@ -45,12 +45,12 @@ _EDGE = bytes(c for c in range(33, 127) if not chr(c).isalnum())
 
 
 def word_features(word: bytes) -> tuple[int, ...]:
-    """Hashed features of one lower-case word: itself and its beginnings (of a longer word)."""
+    """Hashed features of one lower-case word: itself, and its beginnings as stems of a longer word."""
     word = word.strip(_EDGE)
     if not word:
         return ()
     text = word.decode("utf-8", "replace")
-    keys = {b"w:" + word} | {f"{n}:{text[:n]}".encode() for n in BEGINNINGS if len(text) >= n}
+    keys = {b"w:" + word} | {f"{n}:{text[:n]}".encode() for n in BEGINNINGS if len(text) > n}
     return tuple(sorted({zlib.crc32(k) % BUCKETS for k in keys}))
 
 
@@ -153,7 +153,7 @@ def fit(train: DataFrame, grades: int = GRADES, n_features: int = N_FEATURES) ->
     columns = {r["feature"]: k for k, r in enumerate(kept.select("feature").collect())}
     model = OrdinalModel(columns, np.zeros(len(columns)), np.zeros(0))
     rows_schema = T.StructType(
-        [T.StructField("toxic", T.IntegerType()), T.StructField("share", T.DoubleType()), T.StructField("columns", T.ArrayType(T.LongType())), T.StructField("n", T.ArrayType(T.DoubleType()))]
+        [T.StructField("toxic", T.IntegerType()), T.StructField("hits", T.LongType()), T.StructField("columns", T.ArrayType(T.LongType())), T.StructField("n", T.ArrayType(T.DoubleType()))]
     )
 
     def sparse(batches):
@@ -161,18 +161,18 @@ def fit(train: DataFrame, grades: int = GRADES, n_features: int = N_FEATURES) ->
             out = []
             for text in text_list(b.column("text")):
                 c, n, bearing = model.counts(text)
-                out.append((bearing / max(1, len(words_of(text))), c, n.astype(np.float64)))
+                out.append((bearing, c, n.astype(np.float64)))
             yield pa.RecordBatch.from_arrays(
-                [b.column("toxic"), pa.array([x[0] for x in out], pa.float64()), pa.array([x[1] for x in out], pa.list_(pa.int64())), pa.array([x[2] for x in out], pa.list_(pa.float64()))],
+                [b.column("toxic"), pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.list_(pa.int64())), pa.array([x[2] for x in out], pa.list_(pa.float64()))],
                 names=rows_schema.names,
             )
 
     rows = train.mapInArrow(sparse, rows_schema).collect()  # at most 2 * TRAIN_PER_CLASS rows of at most N_FEATURES columns
-    rows.sort(key=lambda r: (r["toxic"], r["share"], r["columns"], r["n"]))
+    rows.sort(key=lambda r: (r["toxic"], r["hits"], r["columns"], r["n"]))
     toxic = np.array([r["toxic"] for r in rows])
-    shares = np.array([r["share"] for r in rows])
-    cuts = np.quantile(shares[toxic == 1], np.arange(1, grades - 1) / (grades - 1))
-    grade = np.where(toxic == 1, 1 + np.searchsorted(cuts, shares, side="left"), 0)
+    hits = np.array([r["hits"] for r in rows])
+    cuts = np.quantile(hits[toxic == 1], np.arange(1, grades - 1) / (grades - 1))
+    grade = np.where(toxic == 1, 1 + np.searchsorted(cuts, hits, side="left"), 0)
     row = np.repeat(np.arange(len(rows)), [len(r["columns"]) for r in rows])
     col = np.array([c for r in rows for c in r["columns"]], dtype=np.int64)
     value = np.log1p(np.array([n for r in rows for n in r["n"]], dtype=np.float64))
@@ -181,7 +181,7 @@ def fit(train: DataFrame, grades: int = GRADES, n_features: int = N_FEATURES) ->
 
 
 def _fit_ordinal(grade, row, col, value, d: int, grades: int) -> tuple[np.ndarray, np.ndarray]:
-    """Proportional odds by full-batch Adam on the mean log loss with L2 on the weights.
+    """Proportional odds by full-batch Adam on the mean log loss with L2 on the weights, which stay non-negative.
 
     The thresholds are a first one and positive steps, so they stay in order.
     """
@@ -205,6 +205,7 @@ def _fit_ordinal(grade, row, col, value, d: int, grades: int) -> tuple[np.ndarra
         m = 0.9 * m + 0.1 * grad
         v = 0.999 * v + 0.001 * grad * grad
         theta = theta - 0.05 * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
+        theta[:d] = np.maximum(theta[:d], 0.0)  # kept features are evidence of toxicity, never against it
     steps = np.exp(theta[d + 1 :])
     return theta[:d], theta[d] + np.concatenate([[0.0], np.cumsum(steps)])
 
