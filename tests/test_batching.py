@@ -12,7 +12,7 @@ from tidemark.operators.batching import (
     sample_recent,
     table_batch_sizes,
 )
-from tidemark.operators.ordering import sample_boundaries, sequence_rank, with_bucket
+from tidemark.operators.ordering import sequence_rank
 from tidemark.schema import SEQVAL, START_LSN, TABLE_NAME
 
 
@@ -75,17 +75,10 @@ def test_bucketed_rank_equals_window_rank(spark, buckets, ties):
     log = _random_log(spark, tie_every=ties)
     w = Window.partitionBy(TABLE_NAME).orderBy(START_LSN, SEQVAL)
     want = sorted(tuple(r) for r in log.select("id", F.rank().over(w).alias("r")).collect())
-    got = sorted(tuple(r) for r in sequence_rank(log, "r", buckets=buckets, table_bound=4).select("id", "r").collect())
+    got = sorted(tuple(r) for r in sequence_rank(log, "r", buckets=buckets).select("id", "r").collect())
     assert got == want
 
 
-def test_boundaries_keep_ties_together(spark):
-    log = make_log(spark, [("t", 5, 5, 2, i, "same") for i in range(40)] + [("t", i, i, 2, i, "x") for i in range(6, 60)])
-    bounds = sample_boundaries(log, 8)
-    b = with_bucket(log, bounds, "b").where(F.col("name") == "same").select("b").distinct().count()
-    assert b == 1
-
-
 def _simulate_polls(rows, size):
     """Successive polls: TOP(size) strictly after the cursor, cursor = last row."""
     batches, cur = [], (-1, -1)
@@ -132,23 +125,8 @@ def test_drain_ties_share_a_batch(spark):
     assert by[10] == by[11] == 0 and by[12] == 1
 
 
-def test_bucket_search_matches_bisect(spark):
-    import bisect
-
-    rows = [("t", (i * 7919) % 1000, i, 2, i, "x") for i in range(1, 400)]
-    log = make_log(spark, rows)
-    for nb in (1, 2, 7, 64, 300):
-        bounds = sample_boundaries(log, nb + 1)
-        got = {r.id: r.b for r in with_bucket(log, bounds, "b").select("id", "b").collect()}
-        for t, l, s, _, i, _ in rows:
-            key = (bytes(b10(l)), bytes(b10(s)))
-            assert got[i] == bisect.bisect_right(bounds, key)
-
-
 @pytest.mark.parametrize("buckets", [4, 12])
 def test_rank_with_a_huge_copy_group(spark, buckets):
-    from tidemark.operators.ordering import heavy_keys, sample_keys
-
     rnd = random.Random(5)
     rows = []
     for i in range(900):
@@ -158,10 +136,9 @@ def test_rank_with_a_huge_copy_group(spark, buckets):
     rows += [("t1", 40, 6000, 2, 20_000 + i, "copy2") for i in range(300)]
     rows += [("t0", 7, 7, 2, 30_000 + i, "tie") for i in range(3)]            # a few light copies
     log = make_log(spark, rows)
-    assert len(heavy_keys(sample_keys(log, buckets))) >= 1
     w = Window.partitionBy(TABLE_NAME).orderBy(START_LSN, SEQVAL)
     want = sorted(tuple(r) for r in log.select("id", F.rank().over(w).alias("r")).collect())
-    got = sorted(tuple(r) for r in sequence_rank(log, "r", buckets=buckets, table_bound=2).select("id", "r").collect())
+    got = sorted(tuple(r) for r in sequence_rank(log, "r", buckets=buckets).select("id", "r").collect())
     assert got == want
 
 
@@ -172,10 +149,10 @@ def test_envelopes_stay_small_with_a_copy_group(spark):
     log = make_log(spark, rows)
     d = decoded_changes(log)
     sizes = spark.createDataFrame([("t", 100)], "table_name string, batch_size int")
-    b = drain_batches(d, sizes, 1, buckets=6)
+    b = drain_batches(d, sizes, 1, buckets=6, envelope_parts=True)
     env = batch_envelopes(b, "h", "5s").select("batch_no", "n_changes").collect()
     assert sum(r.n_changes for r in env) == 399 + 2000
-    assert max(r.n_changes for r in env) <= 120   # parts of ~50 copies; plain batches of 100
+    assert max(r.n_changes for r in env) <= 100
     # ranks are still exact
     w = Window.partitionBy(TABLE_NAME).orderBy(START_LSN, SEQVAL)
     want = sorted(tuple(r) for r in log.select("id", F.rank().over(w).alias("r")).collect())
@@ -183,22 +160,6 @@ def test_envelopes_stay_small_with_a_copy_group(spark):
     assert got == want
 
 
-@pytest.mark.parametrize("n", [0, 1, 2, 5, 255, 256, 700])
-@pytest.mark.parametrize("strict", [False, True])
-def test_count_below_matches_bisect(spark, n, strict):
-    import bisect
-
-    from tidemark.operators.ordering import count_below
-
-    rnd = random.Random(n * 7 + strict)
-    keys = sorted({"%06d" % rnd.randrange(0, 50_000) for _ in range(n)})
-    probes = ["%06d" % rnd.randrange(0, 50_000) for _ in range(150)] + keys[:20]
-    df = spark.createDataFrame([(p,) for p in probes], "k string")
-    got = [r.c for r in df.select("k", count_below(keys, F.col("k"), strict).alias("c")).orderBy("k").collect()]
-    fn = bisect.bisect_left if strict else bisect.bisect_right
-    assert got == [fn(keys, p) for p in sorted(probes)]
-
-
 def test_recent_first_sample_equals_full_sample(spark):
     from tidemark.operators.batching import recent_first_sample, sample_recent
 
@@ -227,3 +188,31 @@ def test_sample_with_copies_is_weighted_not_multiplied(spark):
     assert st.sample_rows == 100
     plain = sample_stats(sample_row_bytes(sample_recent(log, 100, 1, two_phase=False))).first()
     assert (st.total_bytes, st.sample_rows) == (plain.total_bytes, plain.sample_rows)
+
+
+def test_ranges_never_change_ranks_or_envelopes(spark):
+    """One range or many: the same ranks and envelope sizes, with NULL seqs, copies and a hot table."""
+    from tidemark.plans.feed import batch_envelopes, decoded_changes
+
+    rnd = random.Random(9)
+    rows = [("hot" if i % 4 else "u", rnd.randrange(1, 60), None if i % 50 == 0 else rnd.randrange(1, 9), 2, i, "v") for i in range(600)]
+    rows += [("hot", 30, 5, 2, 10_000 + i, "copy") for i in range(1500)]
+    log = make_log(spark, rows)
+    w = Window.partitionBy(TABLE_NAME).orderBy(START_LSN, SEQVAL)
+    want = sorted(tuple(r) for r in log.select("id", F.rank().over(w).alias("r")).collect())
+    seen = []
+    for buckets in (1, 4, 11):
+        d = drain_batches(decoded_changes(log), {"hot": 100, "u": 70}, 2, buckets=buckets, envelope_parts=True)
+        assert sorted(tuple(r) for r in d.select(F.col("data.id").cast("long"), "seq_rank").collect()) == want
+        env = batch_envelopes(d, "h", "5s").select(TABLE_NAME, "batch_no", "n_changes").collect()
+        assert max(r.n_changes for r in env if r.table_name == "hot") <= 100
+        assert max(r.n_changes for r in env if r.table_name == "u") <= 70
+        seen.append(sorted(tuple(r) for r in env))
+    assert seen[0] == seen[1] == seen[2]
+
+
+def test_a_table_without_a_size_has_the_default(spark):
+    log = make_log(spark, [("t", i, i, 2, i, "x") for i in range(1, 251)])
+    for sizes in ({}, {"other": 7}, spark.createDataFrame([("other", 7)], "table_name string, batch_size int")):
+        got = {r.batch_no: r["count"] for r in drain_batches(log, sizes, 1).groupBy("batch_no").count().collect()}
+        assert got == {0: 100, 1: 100, 2: 50}

@@ -118,8 +118,21 @@ def test_poll_plans_window_group_limit(spark):
     log = make_log(spark, [("t", i, i, 2, i, "x") for i in range(1, 50)])
     cur = resume_cursor(spark, ["t"], offsets(spark, []), log)
     sizes = table_batch_sizes(spark, ["t"], log)
-    plan = poll(log, cur, sizes, 1)._jdf.queryExecution().executedPlan().toString()
-    assert "WindowGroupLimit" in plan
+    # the key ranking is checkpointed, so look at its plan, not at that of the join-back
+    plans = []
+    cls = type(log)
+    saved = cls.checkpoint
+
+    def spy(self, eager=True):
+        plans.append(self._jdf.queryExecution().executedPlan().toString())
+        return saved(self, eager)
+
+    cls.checkpoint = spy
+    try:
+        poll(log, cur, sizes, 1)
+    finally:
+        cls.checkpoint = saved
+    assert any("WindowGroupLimit" in p for p in plans)
 
 
 def test_loaded_cursors_equal_cursor_frame(spark):
@@ -224,3 +237,46 @@ def test_poll_matches_brute_force(spark):
                     want.add((i, rank))
         got = {(r.id, r.poll_rank) for r in poll(log, cur, sizes, 3).select("id", "poll_rank").collect()}
         assert got == want, trial
+
+
+def test_null_seq_reads_the_same_in_both_paths(spark):
+    """A NULL cursor seq matches later LSNs only, with 4 tables (literal path) as with 5 (join path)."""
+    for n in (4, 5):
+        tables = [f"t{k}" for k in range(n)]
+        log = make_log(spark, [(t, l, 1, 2, l, "x") for t in tables for l in (5, 6)])
+        got = changes_after(log, {t: (bytes(b10(5)), None) for t in tables})
+        assert sorted((r.table_name, r.id) for r in got.collect()) == [(t, 6) for t in tables]
+
+
+def test_poll_sizes_default_and_refusal(spark):
+    import pytest
+
+    log = make_log(spark, [("t", i, i, 2, i, "x") for i in range(1, 301)])
+    cur = {"t": (bytes(b10(0)), bytes(b10(0)))}
+    assert poll(log, cur, {}, 1).count() == 100
+    with pytest.raises(ValueError):
+        poll(log, cur, {"t": 2000}, 1)
+    big = spark.createDataFrame([("t", 2000)], "table_name string, batch_size int")
+    with pytest.raises(Exception, match="max_batch"):
+        poll(log, cur, big, 1).count()
+
+
+def test_a_poll_reads_a_bounded_window_of_wide_rows(spark, scratch):
+    from tidemark.sources.changelog import read_change_log, write_change_log
+
+    for n in (2, 300):
+        tables = [f"t{k}" for k in range(n)]
+        path = f"{scratch}/log{n}"
+        write_change_log(make_log(spark, [(t, i, i, 2, i, "x") for t in tables for i in range(1, 9)]), path, files_per_write=2)
+        log = read_change_log(spark, path, tables)
+        cur = {t: (bytes(b10(2)), bytes(b10(2))) for t in tables}
+        p = poll(log, cur, {t: 3 for t in tables}, n)
+        assert p.count() == 3 * n
+        spark.conf.set("spark.sql.maxMetadataStringLength", "20000")
+        try:
+            plan = poll(log, cur, {t: 3 for t in tables}, n)._jdf.queryExecution().executedPlan().toString()
+        finally:
+            spark.conf.unset("spark.sql.maxMetadataStringLength")
+        scans = [x for x in plan.split("\n") if "FileScan" in x]
+        assert scans and all("LessThanOrEqual(`__$start_lsn`" in x and "GreaterThan" in x for x in scans)
+        assert "Exchange hashpartitioning" not in plan and "SortMergeJoin" not in plan

@@ -26,7 +26,7 @@ def test_job_poll_then_drain(spark, scratch):
     env = dict(os.environ, PYTHONPATH=REPO, BENCH_CPUS="2")
     base = [sys.executable, "-m", "tidemark"]
     args = ["--log", f"{scratch}/log", "--tables", "t,u", "--offsets", f"{scratch}/offsets", "--out", f"{scratch}/out"]
-    subprocess.run(base + ["poll", *args, "--cycles", "1"], check=True, env=env, timeout=600, capture_output=True)
+    subprocess.run(base + ["poll", *args, "--cycles", "1", "--poll-seconds", "0"], check=True, env=env, timeout=600, capture_output=True)
     subprocess.run(base + ["drain", *args], check=True, env=env, timeout=600, capture_output=True)
     out = spark.read.text(f"{scratch}/out")
     ids = out.select(F.col("table_name"), F.get_json_object("value", "$.data.id").cast("int").alias("id"))
@@ -81,6 +81,10 @@ def test_jdbc_lsn_range_predicates():
         lsn_range_predicates([("00", "10"), ("08", "20")])
     with pytest.raises(ValueError):
         lsn_range_predicates([("0x; DROP TABLE t", "10")])
+    # bytes, not text, and an open end
+    assert lsn_range_predicates([("0B", None), ("0a", "0b")]) == ["[__$start_lsn] >= 0x0a AND [__$start_lsn] < 0x0b", "[__$start_lsn] >= 0x0b"]
+    with pytest.raises(ValueError):
+        lsn_range_predicates([("0A", None), ("0b", "0c")])
 
 
 def test_grouped_cursor_scans_on_a_partitioned_log(spark, scratch):
@@ -98,3 +102,46 @@ def test_grouped_cursor_scans_on_a_partitioned_log(spark, scratch):
     assert after.count() == 195 + 9 * 10
     plan = after._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Union") >= 1
+
+
+def _job(*args):
+    env = dict(os.environ, PYTHONPATH=REPO, BENCH_CPUS="2")
+    return subprocess.run([sys.executable, "-m", "tidemark", *args], env=env, timeout=600, capture_output=True, text=True)
+
+
+def test_job_polls_past_idle_and_many_saves(spark, scratch):
+    rows = [("t", i, i, 2, i, "x" * 9000) for i in range(1, 301)] + [("quiet", 1, 1, 2, 1, "q")]
+    make_log(spark, rows).write.partitionBy("table_name").parquet(f"{scratch}/log")
+    args = ["--log", f"{scratch}/log", "--tables", "t,quiet", "--offsets", f"{scratch}/offsets", "--out", f"{scratch}/out"]
+    r = _job("poll", *args, "--cycles", "9", "--poll-seconds", "0")
+    assert r.returncode == 0, r.stderr[-2000:]
+    assert r.stderr.count("published rows=0") >= 2  # idle polls do not end the run
+    out = spark.read.text(f"{scratch}/out").select("table_name", F.get_json_object("value", "$.data.id").cast("int").alias("id"))
+    assert sorted((x.table_name, x.id) for x in out.collect()) == sorted([("t", i) for i in range(1, 301)] + [("quiet", 1)])
+
+
+def test_job_ends_with_an_error_when_publishing_fails(spark, scratch):
+    make_log(spark, [("t", 1, 1, 2, 1, "x")]).write.partitionBy("table_name").parquet(f"{scratch}/log")
+    open(f"{scratch}/out", "w").write("a file where the output folder should be")
+    r = _job("drain", "--log", f"{scratch}/log", "--tables", "t", "--offsets", f"{scratch}/offsets", "--out", f"{scratch}/out",
+             "--poll-seconds", "0", "--retries", "2")
+    assert r.returncode == 1 and "publishing 1 changes failed" in r.stderr
+    assert not os.path.exists(f"{scratch}/offsets")
+
+
+def test_job_stream_reads_every_log_after_the_saved_cursor(spark, scratch):
+    from conftest import b10
+    from tidemark.operators.offsets import OffsetStore
+
+    make_log(spark, [("t", i, i, 2, i, "x") for i in range(1, 30)]).write.parquet(f"{scratch}/a/part=1")
+    make_log(spark, [("t", 30, 30, 2, 30, "x")]).withColumn("added", F.lit("new")).write.parquet(f"{scratch}/a/part=2")
+    make_log(spark, [("z", i, i, 2, i, "x") for i in range(1, 8)]).drop("name").write.parquet(f"{scratch}/b")
+    store = OffsetStore(spark, f"{scratch}/offsets")
+    store.write(spark.createDataFrame([("t", b10(20), None, b10(20))], "table_name string, last_lsn binary, updated_at timestamp_ntz, last_seq binary"))
+    r = _job("stream", "--log", f"{scratch}/a", "--log", f"{scratch}/b", "--tables", "t,z", "--out", f"{scratch}/out",
+             "--checkpoint", f"{scratch}/ckpt", "--offsets", f"{scratch}/offsets")
+    assert r.returncode == 0, r.stderr[-2000:]
+    out = spark.read.text(f"{scratch}/out").select("table_name", "value").collect()
+    assert sorted(x.table_name for x in out) == ["t"] * 10 + ["z"] * 7
+    assert sum('"added":"new"' in x.value for x in out) == 1
+    assert {x.table_name: int.from_bytes(x.last_lsn, "big") for x in store.read().collect()} == {"t": 30, "z": 7}

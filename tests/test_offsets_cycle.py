@@ -249,3 +249,100 @@ def test_envelope_cycles(spark, scratch):
     assert run_cycle(spark, [log], ["t", "u"], store, envelope_publisher(out), 2, mode="drain", envelopes=True).rows == 0
     with pytest.raises(ValueError):
         run_cycle(spark, [log], ["t"], store, envelope_publisher(out), 3, mode="poll", envelopes=True)
+
+
+def test_twenty_saves_with_a_quiet_table(spark, scratch):
+    """The store takes saves without end; every change is published once."""
+    rows = [("t", i, i, 2, i, "x" * 9000) for i in range(1, 1001)] + [("quiet", 1, 1, 2, 7, "q")]
+    log = make_log(spark, rows).repartition(4)
+    store = OffsetStore(spark, f"{scratch}/offsets")
+    published = []
+
+    def publish(batch, cycle_id):
+        published.extend((r.table_name, r.id) for r in batch.select("table_name", F.get_json_object("change_json", "$.data.id").alias("id")).collect())
+        return True
+
+    for c in range(20):
+        r = run_cycle(spark, [log], ["t", "quiet"], store, publish, cycle_id=c, now=T1)
+        assert r.published and r.offsets_version == c + 1
+    assert sorted(published) == sorted([("t", str(i)) for i in range(1, 1001)] + [("quiet", "7")])
+    assert {r.table_name for r in store.read().collect()} == {"t", "quiet"}
+
+
+def test_micro_batches_save_without_end(spark, scratch):
+    from tidemark.streaming.stream import micro_batch_handler
+
+    store = OffsetStore(spark, f"{scratch}/offsets")
+    seen = []
+    handle = micro_batch_handler(["t", "quiet"], store, lambda df, i: bool(seen.append(df.count()) or True), mode="drain", buckets=2)
+    handle(make_log(spark, [("quiet", 1, 1, 2, 0, "q"), ("t", 1, 1, 2, 1, "x")]), 0)
+    for i in range(1, 8):
+        handle(make_log(spark, [("t", i + 1, i + 1, 2, i, "x")]), i)
+    assert seen == [2] + [1] * 7 and store.latest_version() == 8
+
+
+def test_one_table_in_two_logs_loses_nothing(spark, scratch):
+    a = make_log(spark, [("t", i, 1, 2, i, "x" * 9000) for i in range(1, 200, 2)])
+    b = make_log(spark, [("t", i, 1, 2, i, "x" * 9000) for i in range(2, 201, 2)]).withColumnRenamed("name", "other")
+    for mode in ("poll", "drain"):
+        store = OffsetStore(spark, f"{scratch}/offsets-{mode}")
+        out = f"{scratch}/out-{mode}"
+        for c in range(6):
+            r = run_cycle(spark, [a, b], ["t"], store, json_lines_publisher(out), cycle_id=c, now=T1, mode=mode)
+            if not r.rows:
+                break
+        ids = spark.read.text(out).select(F.get_json_object("value", "$.data.id").cast("int").alias("id"))
+        assert sorted(r.id for r in ids.collect()) == list(range(1, 200))[:199] + [200]
+
+
+def test_failure_keeps_its_cause(spark, scratch, caplog):
+    def failing(batch, cycle_id):
+        raise OSError("disk full")
+
+    store = OffsetStore(spark, f"{scratch}/offsets")
+    r = run_cycle(spark, [_log(spark)], ["t", "u"], store, failing)
+    assert isinstance(r.error, OSError) and "disk full" in caplog.text
+
+
+def test_cycles_checkpoint_keys_only(spark, scratch):
+    import os
+
+    rows = [("t", i, i, 2, i, os.urandom(6000).hex()) for i in range(1, 300)]
+    log = make_log(spark, rows)
+    root = spark.sparkContext.getCheckpointDir().replace("file:", "")
+
+    def used():
+        return sum(os.path.getsize(os.path.join(d, f)) for d, _, fs in os.walk(root) for f in fs)
+
+    before = used()
+    store = OffsetStore(spark, f"{scratch}/offsets")
+    assert run_cycle(spark, [log], ["t"], store, json_lines_publisher(f"{scratch}/out"), mode="drain").rows == 299
+    assert used() - before < 1_000_000  # the rows themselves are 3.6 MB
+
+
+def test_capture_columns_stay_out_of_data(spark):
+    from tidemark.functions.decode import raw_record_json
+    from tidemark.plans.feed import decoded_changes
+
+    log = make_log(spark, [("t", 1, 1, 2, 5, "a")])
+    log = log.withColumn("__$end_lsn", F.lit(None).cast("binary")).withColumn("__$update_mask", F.lit(bytearray(b"\x07"))).withColumn("__$command_id", F.lit(1))
+    assert decoded_changes(log).select("data.*").columns == ["id", "name"]
+    assert "__$update_mask" in log.select(raw_record_json(log)).first()[0]
+
+
+def test_odd_column_names_and_values(spark):
+    import json
+
+    from tidemark.plans.feed import decoded_changes, with_change_json
+
+    log = make_log(spark, [("t", 1, 1, 2, 5, "a")]).withColumn("order.id", F.lit(1.23456)).withColumn("a`b", F.lit(float("nan")))
+    log = log.withColumn("at", F.lit("2024-01-01 12:00:00").cast("timestamp_ntz"))
+    saved = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        log = log.withColumn("moment", F.timestamp_seconds(F.lit(1704110400)))
+        data = json.loads(with_change_json(decoded_changes(log)).select("change_json").first()[0])["data"]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", saved)
+    assert data["order.id"] == "1.23456" and data["a`b"] == "NaN"
+    assert data["moment"] == "2024-01-01T12:00:00Z" and data["at"] == "2024-01-01T12:00:00Z"

@@ -1,19 +1,26 @@
 """Run the change feed as a job.
 
-    python -m tidemark poll   --log PATH --tables a,b --offsets PATH --out PATH [--cycles N]
+    python -m tidemark poll   --log PATH --tables a,b --offsets PATH --out PATH [--cycles N] [--poll-seconds S]
     python -m tidemark drain  --log PATH --tables a,b --offsets PATH --out PATH [--envelopes]
-    python -m tidemark stream --log PATH --tables a,b --out PATH --checkpoint PATH
+    python -m tidemark stream --log PATH --tables a,b --out PATH --checkpoint PATH [--offsets PATH]
 
-``poll`` runs N poll cycles (each publishes at most one batch per table, then
-saves offsets); ``drain`` publishes the whole backlog numbered into batches in
-one cycle; ``stream`` runs the file-stream feed until no new files are left.
-Job arguments replace a configuration file; the trigger replaces poll backoff.
+``poll`` runs N poll cycles (0: without end), each at most one batch per table,
+then offsets are saved; an idle poll waits like any other.  A cycle that fails
+is logged and tried again from the same cursor; after ``--retries`` failures in
+a row the job ends with status 1.  ``drain`` publishes the whole backlog
+numbered into batches in one cycle; ``stream`` runs the file-stream feed over
+all logs until no new files are left, after the saved cursors (strictly) and
+with offsets saved at the end if ``--offsets`` is given.  Job arguments replace
+a configuration file; the fixed wait replaces poll backoff.
 """
 
 from __future__ import annotations
 
 import argparse
+import datetime as dt
+import logging
 import sys
+import time
 
 from tidemark.operators.batching import BatchSizer
 from tidemark.operators.offsets import OffsetStore
@@ -23,6 +30,9 @@ from tidemark.session import get_session
 from tidemark.sources.changelog import read_change_log
 
 
+log = logging.getLogger(__name__)
+
+
 def main(argv: list[str] | None = None) -> int:
     ap = argparse.ArgumentParser(prog="tidemark")
     ap.add_argument("mode", choices=["poll", "drain", "stream"])
@@ -31,7 +41,9 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--out", required=True)
     ap.add_argument("--offsets")
     ap.add_argument("--checkpoint")
-    ap.add_argument("--cycles", type=int, default=1)
+    ap.add_argument("--cycles", type=int, default=1, help="poll cycles; 0 polls without end")
+    ap.add_argument("--poll-seconds", type=float, default=5.0, help="wait between poll cycles")
+    ap.add_argument("--retries", type=int, default=3, help="failed cycles in a row that end the job")
     ap.add_argument("--tier", choices=["standard", "premium"], default="standard",
                     help="message budget: 256 KiB (standard) or 1 MiB (premium)")
     ap.add_argument("--max-message-bytes", type=int, help="overrides --tier")
@@ -45,23 +57,19 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--server-name", default="localhost")
     ap.add_argument("--poll-interval", default="5s", help="recorded in envelope metadata")
     a = ap.parse_args(argv)
+    logging.basicConfig(stream=sys.stderr, level=logging.INFO, format="%(asctime)s %(levelname)s %(message)s")
     tables = [t for t in a.tables.split(",") if t]
     spark = get_session("tidemark-job")
 
     if a.mode == "stream":
-        from tidemark.streaming.stream import published_stream, read_change_stream, start_text_feed
-
         if not a.checkpoint:
             ap.error("stream needs --checkpoint")
-        schema = spark.read.parquet(a.log[0]).schema
-        s = read_change_stream(spark, a.log[0], schema, tables, a.max_files_per_trigger)
-        q = start_text_feed(published_stream(s), a.out, a.checkpoint, processing_time=a.processing_time, fmt=a.format)
-        q.awaitTermination()
-        return 0
+        return _stream(spark, a, tables)
 
     if not a.offsets:
         ap.error(f"{a.mode} needs --offsets")
-    logs = [read_change_log(spark, p, tables, merge_schema=True) for p in a.log]
+    # opened anew for every cycle, so files and columns added meanwhile are seen
+    logs = lambda: [read_change_log(spark, p, tables, merge_schema=True) for p in a.log]
     store = OffsetStore(spark, a.offsets)
     if a.envelopes and a.mode != "drain":
         ap.error("--envelopes needs drain mode")
@@ -69,16 +77,57 @@ def main(argv: list[str] | None = None) -> int:
     extra = dict(envelopes=True, server_name=a.server_name, poll_interval=a.poll_interval) if a.envelopes else {}
     budget = a.max_message_bytes or (PREMIUM_MESSAGE_BYTES if a.tier == "premium" else STANDARD_MESSAGE_BYTES)
     sizer = BatchSizer(a.sample_size, budget, a.buffer_factor, a.resample_seconds)
-    cycles = 1 if a.mode == "drain" else a.cycles
-    for _ in range(cycles):
+    done, failed = 0, 0
+    while True:
         # a cycle is numbered by the offsets version it will save; a replayed cycle
         # writes into the same folder again (at-least-once)
         cycle_id = (store.latest_version() or 0) + 1
-        r = run_cycle(spark, logs, tables, store, publish, cycle_id=cycle_id, mode=a.mode, sizer=sizer, **extra)
-        print(f"cycle {cycle_id}: published={r.published} rows={r.rows} offsets_version={r.offsets_version}",
-              file=sys.stderr)
-        if r.rows == 0 or not r.published:
-            break
+        try:
+            r = run_cycle(spark, logs(), tables, store, publish, cycle_id=cycle_id, mode=a.mode, sizer=sizer, **extra)
+        except Exception:  # reading or saving failed: the cursor has not moved
+            log.exception("cycle %s failed", cycle_id)
+            r = None
+        if r is not None and r.published:
+            print(f"cycle {cycle_id}: published rows={r.rows} offsets_version={r.offsets_version}", file=sys.stderr)
+            done, failed = done + 1, 0
+            if a.mode == "drain" or done == a.cycles:
+                return 0
+        else:
+            failed += 1
+            if failed >= a.retries:
+                log.error("giving up after %s failed cycles in a row", failed)
+                return 1
+        time.sleep(a.poll_seconds)
+
+
+def _stream(spark, a, tables: list[str]) -> int:
+    """All logs in one stream; strict cursor and saved offsets with ``--offsets``."""
+    from pyspark.sql import functions as F
+
+    from tidemark.operators.cursor import cursor_frame, load_cursors
+    from tidemark.schema import OPERATION, SEQVAL, START_LSN, TABLE_NAME
+    from tidemark.streaming.stream import published_stream, read_change_stream, save_stream_offsets, start_text_feed
+
+    store = OffsetStore(spark, a.offsets) if a.offsets else None
+    schemas = [spark.read.option("mergeSchema", "true").parquet(p).schema for p in a.log]
+    cursor = None
+    if store is not None:
+        keys = None
+        for p, schema in zip(a.log, schemas):
+            k = spark.read.schema(schema).parquet(p).select(TABLE_NAME, START_LSN, SEQVAL, OPERATION)
+            keys = k if keys is None else keys.unionByName(k)
+        cursor = cursor_frame(spark, load_cursors(spark, tables, store.read(), keys))
+    feed = None
+    for p, schema in zip(a.log, schemas):
+        s = published_stream(read_change_stream(spark, p, schema, tables, a.max_files_per_trigger), cursor, len(tables))
+        feed = s if feed is None else feed.unionByName(s)
+    query = start_text_feed(feed, a.out, a.checkpoint, processing_time=a.processing_time, fmt=a.format)
+    try:
+        query.awaitTermination()
+    finally:
+        if store is not None and query.recentProgress:
+            now = F.lit(dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)).cast("timestamp_ntz")
+            store.write(save_stream_offsets(spark, a.out, store.read(), now, a.format))
     return 0
 
 

@@ -17,6 +17,7 @@ from tidemark.schema import (
     START_LSN,
     TABLE_NAME,
     ZERO_CURSOR_HEX,
+    q,
     source_columns,
 )
 
@@ -61,21 +62,28 @@ def lsn_from_long(c) -> Column:
     return F.unhex(F.lpad(F.hex(_col(c)), 20, "0"))
 
 
-def stringify(name: str, dtype: T.DataType, double_scale: int | None = None) -> Column:
+def utc_timestamp(c) -> Column:
+    """A ``TIMESTAMP`` as the zone-less time of day in UTC, whatever the session's zone."""
+    micros = F.unix_micros(_col(c)).cast("decimal(38,0)")
+    seconds = (micros / F.lit(1_000_000).cast("decimal(38,0)")).cast("decimal(18,6)")
+    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(secs=seconds)
+
+
+def stringify(name: str, dtype: T.DataType) -> Column:
     """Render one data column as a nullable string, NULL kept.
 
-    strings as is; integers and decimals by cast; timestamps as ISO-8601 with a
-    ``T`` and a trailing ``Z`` (fraction trimmed); booleans ``true``/``false``;
-    binary as base64; floats by cast, or as a fixed-scale decimal when
-    ``double_scale`` is given; arrays, maps and structs as JSON.
+    strings as is; numbers by cast; timestamps in UTC as ISO-8601 with a ``T``
+    and a trailing ``Z`` (fraction trimmed; zone-less ones as they are);
+    booleans ``true``/``false``; binary as base64; arrays, maps and structs as
+    JSON.
     """
-    c = F.col(name)
+    c = F.col(q(name))
     if isinstance(dtype, T.StringType):
         return c
+    if isinstance(dtype, T.TimestampType):
+        c = utc_timestamp(c)
     if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
         return F.concat(F.replace(c.cast("string"), F.lit(" "), F.lit("T")), F.lit("Z"))
-    if isinstance(dtype, (T.FloatType, T.DoubleType)) and double_scale is not None:
-        return c.cast(T.DecimalType(38, double_scale)).cast("string")
     if isinstance(dtype, T.BinaryType):
         return F.base64(c)
     if isinstance(dtype, (T.ArrayType, T.MapType, T.StructType)):
@@ -83,11 +91,11 @@ def stringify(name: str, dtype: T.DataType, double_scale: int | None = None) ->
     return c.cast("string")
 
 
-def data_struct(df: DataFrame, columns: list[str] | None = None, double_scale: int | None = None) -> Column:
+def data_struct(df: DataFrame, columns: list[str] | None = None) -> Column:
     """``struct`` of every source column as string, keys in sorted order."""
     names = sorted(columns if columns is not None else source_columns(df))
     types = {f.name: f.dataType for f in df.schema.fields}
-    return F.struct(*[stringify(n, types[n], double_scale).alias(n) for n in names])
+    return F.struct(*[stringify(n, types[n]).alias(n) for n in names])
 
 
 def metadata_struct(table=TABLE_NAME) -> Column:
@@ -101,10 +109,10 @@ def metadata_struct(table=TABLE_NAME) -> Column:
     )
 
 
-def change_struct(df: DataFrame, columns: list[str] | None = None, double_scale: int | None = None) -> Column:
+def change_struct(df: DataFrame, columns: list[str] | None = None) -> Column:
     """``{data, metadata}`` of one change."""
     return F.struct(
-        data_struct(df, columns, double_scale).alias("data"),
+        data_struct(df, columns).alias("data"),
         metadata_struct().alias("metadata"),
     )
 
@@ -120,9 +128,10 @@ def raw_record_json(df: DataFrame, exclude=(TABLE_NAME,)) -> Column:
     """
     names = [f.name for f in df.schema.fields if f.name not in set(exclude)]
     return F.to_json(
-        F.struct(*[F.col(f"`{n}`") for n in names]),
+        F.struct(*[F.col(q(n)) for n in names]),
         {
             "ignoreNullFields": "false",
+            "timeZone": "UTC",
             "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
             "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
         },

@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from tidemark.functions.decode import raw_record_json
 from tidemark.operators.common import broadcast_bounded, collect_bounded, table_count, table_frame
-from tidemark.operators.ordering import sequence_rank
+from tidemark.operators.ordering import ranked_keys, with_ranked_keys
 from tidemark.schema import (
     DEFAULT_BATCH,
     DEFAULT_BUFFER_FACTOR,
@@ -29,6 +29,7 @@ from tidemark.schema import (
     STANDARD_MESSAGE_BYTES,
     START_LSN,
     TABLE_NAME,
+    q,
 )
 
 
@@ -64,24 +65,24 @@ def sample_recent(
             .withColumn("sample_weight", F.lit(1).cast("long"))
         )
     top = (
-        log.select(*[F.col(f"`{k}`") for k in keys])
+        log.select(*[F.col(q(k)) for k in keys])
         .withColumn("_rn", F.row_number().over(w))
         .where(F.col("_rn") <= F.lit(int(sample_size)))
-        .groupBy(*[F.col(f"`{k}`").alias(f"_k{i}") for i, k in enumerate(keys)])
+        .groupBy(*[F.col(q(k)).alias(f"_k{i}") for i, k in enumerate(keys)])
         .agg(F.min("_rn").cast("long").alias("sample_rank"), F.count(F.lit(1)).alias("sample_weight"))
     )
     bound = None if table_bound is None else table_bound * int(sample_size)
     top = broadcast_bounded(top, bound)
     cond = None
     for i, k in enumerate(keys):
-        c = F.col(f"`{k}`").eqNullSafe(F.col(f"_k{i}"))
+        c = F.col(q(k)).eqNullSafe(F.col(f"_k{i}"))
         cond = c if cond is None else cond & c
     joined = log.join(top, cond, "inner")
     # one representative row per key: copies are the same change, so any copy will do
     # (and they collapse map-side in the partial aggregate)
     cols = log.columns
     rep = joined.groupBy(*[f"_k{i}" for i in range(len(keys))], "sample_rank", "sample_weight").agg(
-        F.any_value(F.struct(*[F.col(f"`{c}`") for c in cols])).alias("_rep")
+        F.any_value(F.struct(*[F.col(q(c)) for c in cols])).alias("_rep")
     )
     return rep.select(*[F.col("_rep").getField(c).alias(c) for c in cols], "sample_rank", "sample_weight")
 
@@ -184,6 +185,11 @@ def table_batch_sizes(
             sample = sample_recent(lg, sample_size, bound)
         s = sample_stats(sample_row_bytes(sample))
         stats = s if stats is None else stats.unionByName(s)
+    if len(logs) > 1:  # a table found in several logs is sampled in each
+        total, rows = F.sum("total_bytes"), F.sum("sample_rows")
+        stats = stats.groupBy(TABLE_NAME).agg(
+            total.alias("total_bytes"), rows.alias("sample_rows"), (total.cast("double") / rows).alias("avg_row_bytes")
+        )
     cfg = table_frame(spark, tables)
     st = broadcast_bounded(stats, table_count(tables))
     j = cfg.join(st, TABLE_NAME, "left")
@@ -216,28 +222,57 @@ def batch_metrics(
     )
 
 
+COPIES_PER_TASK = 10_000      # copies of one change that one task numbers
+
+
+def with_batch_size(df: DataFrame, batch_sizes, table_bound: int | None = None) -> DataFrame:
+    """Adds ``batch_size``; a table without a size has the default of 100.
+
+    ``batch_sizes`` is a frame (``table_name``, ``batch_size``) or a driver-side dict.
+    """
+    if isinstance(batch_sizes, dict):
+        from tidemark.operators.cursor import size_lookup
+
+        return df.withColumn("batch_size", F.coalesce(size_lookup(batch_sizes), F.lit(DEFAULT_BATCH)))
+    sizes = broadcast_bounded(batch_sizes.select(F.col(TABLE_NAME).alias("_st"), F.col("batch_size").alias("_bs")), table_bound)
+    return df.join(sizes, F.col(TABLE_NAME) == F.col("_st"), "left").withColumn(
+        "batch_size", F.coalesce("_bs", F.lit(DEFAULT_BATCH))
+    ).drop("_st", "_bs")
+
+
 def drain_batches(
     changes: DataFrame,
-    batch_sizes: DataFrame,
+    batch_sizes: DataFrame | dict,
     table_bound: int | None = None,
-    buckets: int | str = "auto",
+    buckets: int | None = None,
+    envelope_parts: bool = False,
+    keys: DataFrame | None = None,
 ) -> DataFrame:
     """Split every table's backlog into consecutive batches: ``batch_no = (rank - 1) div batch_size``.
 
     Equal to polling again and again when no two changes tie on ``(lsn, seq)``;
-    tied changes share a batch.  Adds ``seq_rank``, ``batch_size``, ``batch_no``
-    and ``envelope_part`` (0, except for the copies of a hugely copied change,
-    which are spread over parts of at most about 50 rows for message building).
-    """
-    ranked = sequence_rank(changes, "seq_rank", buckets=buckets, table_bound=table_bound, part_size=MIN_BATCH)
-    if isinstance(batch_sizes, dict):
-        from tidemark.operators.cursor import size_lookup
+    tied changes share a batch.  Adds ``seq_rank``, ``batch_size`` and ``batch_no``.
 
-        sized = ranked.withColumn("batch_size", size_lookup(batch_sizes)).where(F.col("batch_size").isNotNull())
-    else:
-        sizes = broadcast_bounded(batch_sizes.select(TABLE_NAME, "batch_size"), table_bound)
-        sized = ranked.join(sizes, TABLE_NAME, "inner")
-    return sized.withColumn("batch_no", F.floor((F.col("seq_rank") - 1) / F.col("batch_size")).cast("long"))
+    ``envelope_parts`` adds ``envelope_part`` for message building: rows of one
+    ``(table, batch, part)`` are at most ``batch_size``.  Only the last key of a
+    batch can run over it; its copies then fill parts of their own.  ``keys``
+    takes ``ranked_keys`` of more than these changes (several logs together).
+    """
+    keys = ranked_keys(changes, buckets) if keys is None else keys
+    ranked = with_ranked_keys(changes, keys).withColumn("seq_rank", F.col("key_rank").cast("long")).drop("key_rank")
+    sized = with_batch_size(ranked, batch_sizes, table_bound)
+    out = sized.withColumn("batch_no", F.floor((F.col("seq_rank") - 1) / F.col("batch_size")).cast("long"))
+    if not envelope_parts:
+        return out.drop("copies")
+    over = (F.col("seq_rank") - 1) % F.col("batch_size") + F.col("copies") > F.col("batch_size")
+    within = out.where(~over).withColumn("envelope_part", F.lit(0).cast("long"))
+    ways = F.ceil(F.col("copies") / F.lit(COPIES_PER_TASK))
+    # the row id only spreads rows that are copies of one change
+    salted = out.where(over).withColumn("_salt", F.pmod(F.xxhash64(F.monotonically_increasing_id()), ways))
+    number = F.row_number().over(Window.partitionBy(TABLE_NAME, q(START_LSN), q(SEQVAL), "_salt").orderBy(OPERATION))
+    part = F.lit(1) + F.col("_salt") + ways * F.floor((number - 1) / F.col("batch_size"))
+    beyond = salted.withColumn("envelope_part", part.cast("long")).drop("_salt")
+    return within.unionByName(beyond).drop("copies")
 
 
 def batch_counts(batches: DataFrame) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -72,5 +73,5 @@ def default_parallelism(spark: SparkSession) -> int:
     """The cluster's default parallelism; the shuffle partition count where it is not visible."""
     try:
         return int(spark.sparkContext.defaultParallelism)
-    except Exception:  # no SparkContext on the client (for example Spark Connect)
+    except PySparkException:  # no SparkContext on the client (for example Spark Connect)
         return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))

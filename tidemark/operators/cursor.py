@@ -13,7 +13,9 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.decode import zero_cursor
 from tidemark.operators.common import broadcast_bounded, collect_bounded, table_count, table_frame
+from tidemark.operators.batching import with_batch_size
 from tidemark.schema import MAX_BATCH, OPERATION, PUBLISHED_OPS, SEQVAL, START_LSN, TABLE_NAME
+from tidemark.session import checkpoint_dir
 
 
 def after_cursor(lsn, seq) -> Column:
@@ -162,20 +164,20 @@ def cursor_predicate(cursors: Cursors) -> Column:
     for t, (lsn, seq) in sorted(cursors.items()):
         if lsn is None:
             continue
-        term = (F.col(TABLE_NAME) == F.lit(t)) & after_cursor(bytearray(lsn), bytearray(seq if seq is not None else b""))
+        # a NULL seq compares as NULL here and in the join path: later LSNs only
+        bound = F.lit(None).cast("binary") if seq is None else bytearray(seq)
+        term = (F.col(TABLE_NAME) == F.lit(t)) & after_cursor(bytearray(lsn), bound)
         pred = term if pred is None else pred | term
     return pred if pred is not None else F.lit(False)
 
 
 MAX_CURSOR_GROUPS = 16
+BY_TABLE = "partitioned_by_table"   # column metadata set by the log reader
 
 
 def _partitioned_by_table(log: DataFrame) -> bool:
-    try:
-        files = log.inputFiles()
-    except Exception:
-        return False
-    return bool(files) and all(f"/{TABLE_NAME}=" in f for f in files)
+    """True when the reader found one folder per table (see ``read_change_log``)."""
+    return bool(log.schema[TABLE_NAME].metadata.get(BY_TABLE))
 
 
 def _pruned_by_cursor(log: DataFrame, live: Cursors) -> DataFrame:
@@ -216,7 +218,9 @@ def changes_after(log: DataFrame, cursor, table_bound: int | None = None) -> Dat
     if isinstance(cursor, dict):
         live = {t: c for t, c in cursor.items() if c[0] is not None}
         if len(live) <= MAX_LITERAL_TABLES:
-            return op_filter(log.where(cursor_predicate(live)))
+            # the floor reaches the scan even where an OR over tables and LSNs does not
+            floor = F.col(START_LSN) >= F.lit(bytearray(min(c[0] for c in live.values()))) if live else F.lit(False)
+            return op_filter(log.where(cursor_predicate(live) & floor))
         log = _pruned_by_cursor(log, live)
         cursor = cursor_frame(log.sparkSession, live)
         table_bound = len(live)
@@ -228,10 +232,88 @@ def changes_after(log: DataFrame, cursor, table_bound: int | None = None) -> Dat
     return j.where(after_cursor(F.col("_clsn"), F.col("_cseq"))).drop("_ct", "_clsn", "_cseq")
 
 
+def poll_keys(
+    logs: list[DataFrame],
+    cursor,
+    batch_sizes,
+    table_bound: int | None = None,
+    max_batch: int = MAX_BATCH,
+) -> DataFrame:
+    """Keys of one poll over all logs together: the first ``batch_size`` changes of every table.
+
+    Columns ``_pt, _pl, _ps`` (table, LSN, seq), ``poll_rank`` and
+    ``batch_size``; at most ``max_batch`` distinct keys per table, checkpointed.
+    The literal bound lets Spark plan a ``WindowGroupLimit`` that keeps
+    ``max_batch`` keys per table and task before the shuffle, so even a table
+    (or one key's copies) holding most of the log sends few keys.  A batch size
+    above ``max_batch`` is refused, never cut.
+    """
+    if isinstance(batch_sizes, dict) and max(batch_sizes.values(), default=0) > max_batch:
+        raise ValueError(f"a batch size is above max_batch = {max_batch}")
+    keys = None
+    for log in logs:
+        k = changes_after(log, cursor, table_bound).select(TABLE_NAME, START_LSN, SEQVAL)
+        keys = k if keys is None else keys.unionByName(k)
+    w = Window.partitionBy(TABLE_NAME).orderBy(F.col(START_LSN), F.col(SEQVAL))
+    # a key's rank is the row number of its first copy (copies are contiguous in the order)
+    first = keys.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= F.lit(max_batch))
+    ranked = first.groupBy(TABLE_NAME, START_LSN, SEQVAL).agg(F.min("_rn").alias("poll_rank"))
+    sized = with_batch_size(ranked, batch_sizes, table_bound)
+    too_large = F.raise_error(F.concat(F.lit(f"a batch size is above max_batch = {max_batch}: "), F.col("batch_size").cast("string")))
+    size = F.when(F.col("batch_size") > max_batch, too_large.cast("int")).otherwise(F.col("batch_size"))
+    top = sized.withColumn("batch_size", size).where(F.col("poll_rank") <= F.col("batch_size"))
+    checkpoint_dir(top.sparkSession)
+    return top.select(
+        F.col(TABLE_NAME).alias("_pt"),
+        F.col(START_LSN).alias("_pl"),
+        F.col(SEQVAL).alias("_ps"),
+        F.col("poll_rank").cast("long").alias("poll_rank"),
+        "batch_size",
+    ).checkpoint(eager=True)
+
+
+def last_lsns(top: DataFrame, table_bound: int) -> dict[str, bytes]:
+    """Last LSN of every table among polled keys (one row per table)."""
+    rows = collect_bounded(top.groupBy("_pt").agg(F.max("_pl")), table_bound, "last polled LSNs")
+    return {r[0]: bytes(r[1]) for r in rows if r[1] is not None}
+
+
+def up_to(log: DataFrame, last: dict[str, bytes]) -> DataFrame:
+    """Changes of the given tables up to their last LSN.
+
+    Pushed to the scan: exact bounds for few tables, ``table_name IN (...)`` and
+    the highest bound for many (a broadcast of one row per table does the rest).
+    """
+    if not last:
+        return log.where(F.lit(False))
+    if len(last) <= MAX_LITERAL_TABLES:
+        pred = None
+        for t, lsn in sorted(last.items()):
+            term = (F.col(TABLE_NAME) == F.lit(t)) & (F.col(START_LSN) <= F.lit(bytearray(lsn)))
+            pred = term if pred is None else pred | term
+        return log.where(pred & (F.col(START_LSN) <= F.lit(bytearray(max(last.values())))))
+    spark = log.sparkSession
+    ends = spark.createDataFrame([(t, bytearray(x)) for t, x in sorted(last.items())], "_ut string, _ul binary")
+    near = log.where(F.col(TABLE_NAME).isin(sorted(last)) & (F.col(START_LSN) <= F.lit(bytearray(max(last.values())))))
+    return near.join(broadcast_bounded(ends, len(last)), F.col(TABLE_NAME) == F.col("_ut")).where(F.col(START_LSN) <= F.col("_ul")).drop("_ut", "_ul")
+
+
+def polled_changes(log: DataFrame, cursor, top: DataFrame, table_bound: int | None = None, last: dict | None = None) -> DataFrame:
+    """The full rows of polled keys in one log; adds ``batch_size`` and ``poll_rank``.
+
+    With ``last`` (see ``last_lsns``) the scan ends at each table's last polled
+    LSN, so a poll reads its own window of wide rows and not the backlog.
+    """
+    after = changes_after(log if last is None else up_to(log, last), cursor, table_bound)
+    cond = (F.col(TABLE_NAME) == F.col("_pt")) & (F.col(START_LSN) == F.col("_pl")) & (F.col(SEQVAL) == F.col("_ps"))
+    # the keys are checkpointed, so their number is known and not only bounded
+    return after.join(broadcast_bounded(top, top.count()), cond, "inner").drop("_pt", "_pl", "_ps")
+
+
 def poll(
     log: DataFrame,
-    cursor: DataFrame,
-    batch_sizes: DataFrame,
+    cursor,
+    batch_sizes,
     table_bound: int | None = None,
     max_batch: int = MAX_BATCH,
 ) -> DataFrame:
@@ -239,51 +321,18 @@ def poll(
 
     ``cursor`` and ``batch_sizes`` are frames or driver-side per-table values
     (``load_cursors`` / ``batch_size_values``); with values the cursor reaches
-    the scan as pushed filters and the only shuffle carries at most
-    ``max_batch`` keys per table and task.
+    the scan as pushed filters.  A table without a size has the default of 100.
 
     Order is ``(lsn, seq)`` within a table.  Rows tied on ``(lsn, seq)`` share a
     rank and are kept together, so a batch can run over its size at a tie.
 
-    Two phases: the ranking runs on the key columns only, and the literal bound
-    ``row_number <= max_batch`` lets Spark plan a ``WindowGroupLimit`` that trims
-    each table to ``max_batch`` keys per task *before* the shuffle, so even a
-    table (or one key's copies) holding most of the log sends few keys across
-    the network.  The full rows
-    of the chosen keys (at most ``max_batch`` x tables, broadcast when that is
-    small) are then fetched by a join, so wide rows are never sorted.
-    Adds ``batch_size`` and ``poll_rank`` columns.
+    Two phases: the ranking runs on the key columns only (``poll_keys``); the
+    full rows of the chosen keys are then read from a window of the log that
+    ends at each table's last chosen LSN.  Adds ``batch_size`` and ``poll_rank``.
     """
-    after = changes_after(log, cursor, table_bound)
-    keys = after.select(TABLE_NAME, START_LSN, SEQVAL)
-    w = Window.partitionBy(TABLE_NAME).orderBy(F.col(START_LSN), F.col(SEQVAL))
-    # row_number keeps at most max_batch rows per table and task even when one key
-    # has a huge number of copies; a key's rank is the row number of its first copy
-    # (copies are contiguous in the order), which is exactly rank().
-    first = keys.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= F.lit(max_batch))
-    ranked = first.groupBy(TABLE_NAME, START_LSN, SEQVAL).agg(F.min("_rn").alias("poll_rank"))
-    if isinstance(batch_sizes, dict):
-        size = size_lookup(batch_sizes)
-        sized = ranked.withColumn("batch_size", size).where(F.col("batch_size").isNotNull())
-    else:
-        sizes = broadcast_bounded(
-            batch_sizes.select(F.col(TABLE_NAME).alias("_st"), F.col("batch_size")), table_bound
-        )
-        sized = ranked.join(sizes, F.col(TABLE_NAME) == F.col("_st"), "inner").drop("_st")
-    # Distinct keys with rank <= max_batch are at most max_batch per table.
-    top = (
-        sized.where(F.col("poll_rank") <= F.col("batch_size"))
-        .select(
-            F.col(TABLE_NAME).alias("_pt"),
-            F.col(START_LSN).alias("_pl"),
-            F.col(SEQVAL).alias("_ps"),
-            F.col("poll_rank").cast("long").alias("poll_rank"),
-            "batch_size",
-        )
-    )
-    bound = None if table_bound is None else table_bound * max_batch
-    cond = (F.col(TABLE_NAME) == F.col("_pt")) & (F.col(START_LSN) == F.col("_pl")) & (F.col(SEQVAL) == F.col("_ps"))
-    return after.join(broadcast_bounded(top, bound), cond, "inner").drop("_pt", "_pl", "_ps")
+    top = poll_keys([log], cursor, batch_sizes, table_bound, max_batch)
+    last = last_lsns(top, table_bound) if table_bound is not None else None
+    return polled_changes(log, cursor, top, table_bound, last)
 
 
 def size_lookup(sizes: dict) -> Column:

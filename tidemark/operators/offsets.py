@@ -1,13 +1,14 @@
 """Offsets table: one row per table with the last published ``(lsn, seq)``.
 
 Parquet has no ``MERGE``, and a job cannot overwrite the files it reads, so the
-store keeps versions in a small ring of folders and readers take the newest
-complete one.  A failed save leaves the previous version in place, so the feed
+store keeps versions in a small ring of folders, takes its rows as values, and
+readers take the newest complete one.  A failed save leaves the previous version in place, so the feed
 replays the unsaved batch (at-least-once).
 """
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -57,13 +58,15 @@ def merge_offsets(offsets: DataFrame, updates: DataFrame, now) -> DataFrame:
 
 
 class OffsetStore:
-    """Offsets table kept in a fixed ring of folders: ``<root>/slot=0 .. slot=K-1``.
+    """Offsets table kept in a small ring of folders: ``<root>/slot=0 .. slot=K-1``.
 
-    Version ``v`` overwrites folder ``v mod K``; every row carries its
-    ``version`` and the version's row count.  Readers take the newest version
-    whose rows are all present, so a save that crashed halfway (an emptied or
-    half-written folder) is never read and the previous version stays in force.
-    The store never grows: a reader lists and reads at most K small folders.
+    Version ``v`` is written to folder ``v mod K``; every row carries its
+    ``version`` and that version's row count.  Readers take the newest version
+    whose rows are all there, so a save that crashed halfway is never read.
+
+    The offsets are one row per table.  ``read`` returns them as values and
+    ``write`` takes the rows as values before it touches a folder, so no plan
+    ever depends on files that a later save replaces.
     """
 
     def __init__(self, spark: SparkSession, root: str, slots: int = 3):
@@ -73,50 +76,44 @@ class OffsetStore:
         self.root = root.rstrip("/")
         self.slots = slots
 
-    def _all(self) -> DataFrame | None:
+    def _latest(self) -> tuple[int, list] | None:
+        """Newest complete version and its rows, read in one go."""
         try:
             df = self.spark.read.option("mergeSchema", "true").parquet(self.root)
-        except Exception as e:  # no committed version yet
-            if "PATH_NOT_FOUND" in str(e) or "UNABLE_TO_INFER_SCHEMA" in str(e):
+        except AnalysisException as e:
+            if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):  # nothing saved yet
                 return None
             raise
-        return df if "version" in df.columns else None
-
-    def _complete(self, df: DataFrame) -> DataFrame:
-        """Versions whose rows are all present."""
-        return (
-            df.groupBy("version")
-            .agg(F.count(F.lit(1)).alias("_have"), F.max("n_rows").alias("_want"))
-            .where(F.col("_have") == F.col("_want"))
-        )
+        if "version" not in df.columns:
+            return None
+        rows = df.select(*[f.name for f in OFFSETS_SCHEMA.fields if f.name in df.columns], "version", "n_rows").collect()
+        by: dict[int, list] = {}
+        for r in rows:
+            by.setdefault(int(r["version"]), []).append(r)
+        complete = [v for v, rs in by.items() if len(rs) == rs[0]["n_rows"]]
+        return (max(complete), by[max(complete)]) if complete else None
 
     def latest_version(self) -> int | None:
-        df = self._all()
-        if df is None:
-            return None
-        v = self._complete(df).agg(F.max("version")).first()[0]
-        return None if v is None else int(v)
+        found = self._latest()
+        return None if found is None else found[0]
 
     def read(self) -> DataFrame:
-        """Latest complete version, upgraded to the current schema (empty if none)."""
-        v = self.latest_version()
-        if v is None:
+        """Latest complete version in the current schema, as local rows (empty if none)."""
+        found = self._latest()
+        if found is None:
             return empty_offsets(self.spark)
-        rows = self._all().where(F.col("version") == v).drop("version", "n_rows", "slot")
-        return upgrade_offsets(rows)
+        names = [f.name for f in OFFSETS_SCHEMA.fields]
+        rows = [tuple(r[n] if n in r else None for n in names) for r in found[1]]
+        return self.spark.createDataFrame(rows, OFFSETS_SCHEMA)
 
     def write(self, offsets: DataFrame) -> int:
-        """Commit ``offsets`` as the next version and return its number.
-
-        The offsets hold one row per table, so they are counted first and the
-        count is stored with every row.
-        """
-        data = upgrade_offsets(offsets)
-        n = data.count()
+        """Commit ``offsets`` (one row per table) as the next version and return its number."""
+        rows = upgrade_offsets(offsets).collect()
         v = (self.latest_version() or 0) + 1
         (
-            data.withColumn("version", F.lit(v).cast("long"))
-            .withColumn("n_rows", F.lit(n).cast("long"))
+            self.spark.createDataFrame(rows, OFFSETS_SCHEMA)
+            .withColumn("version", F.lit(v).cast("long"))
+            .withColumn("n_rows", F.lit(len(rows)).cast("long"))
             .coalesce(1)
             .write.mode("overwrite")
             .parquet(f"{self.root}/slot={v % self.slots}")

@@ -2,268 +2,73 @@
 
 ``rank() over (partition by table_name order by lsn, seq)`` puts each table in a
 single task; a table holding a third of the log would then be sorted by one
-core.  ``sequence_rank`` computes the same rank in steps:
-
-1. Range buckets.  A bounded random sample of ``(table, lsn, seq)`` keys goes to
-   the driver once (``buckets x oversample`` rows at most); every ``k``-th
-   sorted key becomes a boundary.  The boundaries are fixed as literals, so
-   re-evaluating the plan (for example after a lost executor) gives the same
-   buckets.  Different sequence values of one LSN may fall in different
-   buckets, so one huge transaction is split too.
-2. Local rank inside ``(table_name, bucket)`` with a window: many tasks per table.
-3. Offsets: rows per ``(table_name, bucket)`` (a partial aggregate, then a frame of
-   at most tables x buckets rows), a running sum per table, joined back.
-
-Copies of one key share a rank and cannot be split by a range, so a key with
-very many copies (seen at least half a bucket's worth of times in the sample)
-is taken out: its copies are counted by a partial aggregate, the key enters the
-window as one marker row, every other rank is shifted by the copies of the
-heavy keys before it (a lookup in a sorted literal list), and the copies get
-their rank by a broadcast join with the markers.  No task holds a copy group.
-
-With ``buckets=1`` this is the plain window.
+core.  ``sequence_rank`` computes the same rank in steps, the same ones for
+every input size:
+
+1. Copies of one ``(table, lsn, seq)`` share a rank, so they are counted first
+   (a partial aggregate); from here on every key is one narrow row.
+2. The keys are dealt by range over ``(table, lsn, seq)``, so a hot table fills
+   many partitions, and checkpointed, which fixes the ranges.
+3. Within a range a window adds up the copies of the smaller keys; the totals of
+   the ranges before it (one row per table and range) give the rest.
+4. The ranks are joined back to the changes by key.
 """
 
 from __future__ import annotations
 
-import math
-from collections import Counter
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from tidemark.operators.common import broadcast_bounded, collect_bounded
 from tidemark.schema import SEQVAL, START_LSN, TABLE_NAME
+from tidemark.session import checkpoint_dir
 
-ROWS_PER_BUCKET = 2_000_000   # target rows per window task at scale
-MAX_BUCKETS = 4096            # boundaries travel as one literal array per step
-OVERSAMPLE = 20               # sampled keys per bucket
-HEAVY_SAMPLES = OVERSAMPLE // 2  # sampled copies that mark a key as heavy (~half a bucket)
-SAMPLE_SEED = 17
-SMALL_INPUT_PARTITIONS = 8    # "auto": at most this many input splits -> plain window
-KEY_BYTES = 10
-TREE_MAX_KEYS = 255           # up to this many literals: a comparison tree (codegen); above: a folded search
-TABLE_SEP = "\x01"
-
+KEY = (TABLE_NAME, START_LSN, SEQVAL)
 
-def _sort_key() -> Column:
-    """Fixed-width hex of ``(lsn, seq)``: its string order is the binary order."""
-    return F.concat(
-        F.lpad(F.hex(F.col(START_LSN)), 2 * KEY_BYTES, "0"), F.lpad(F.hex(F.col(SEQVAL)), 2 * KEY_BYTES, "0")
-    )
 
+def _same(names: tuple[str, ...], prefix: str) -> Column:
+    """Null-safe equality of key columns with their prefixed twins (still an equi-join)."""
+    cond = None
+    for n in names:
+        c = F.col(n).eqNullSafe(F.col(f"{prefix}{n}"))
+        cond = c if cond is None else cond & c
+    return cond
 
-def _bound_key(lsn: bytes, seq: bytes) -> str:
-    return lsn.hex().upper().rjust(2 * KEY_BYTES, "0") + seq.hex().upper().rjust(2 * KEY_BYTES, "0")
 
+def ranked_keys(df: DataFrame, buckets: int | None = None) -> DataFrame:
+    """Every distinct ``(table_name, lsn, seq)`` with ``copies`` and ``key_rank``, narrow.
 
-def count_below(keys: list[str], key: Column, strict: bool = False) -> Column:
-    """Number of sorted literal ``keys`` that are ``<= key`` (``< key`` when strict).
-
-    Up to ``TREE_MAX_KEYS`` literals: a balanced tree of single string
-    comparisons (one expression, compiled by whole-stage codegen).  Above that:
-    a binary search over one literal array, ``log2(n)`` halving steps folded
-    with ``aggregate``, so the expression does not grow with ``n``.  (A chain
-    of projections would be expanded exponentially by the optimizer's
-    constraint inference, so neither form uses one.)
+    ``key_rank`` is what ``rank()`` gives the key's rows: one more than the rows
+    of the table with a smaller key (NULLs first).  ``buckets`` is the number of
+    ranges (default: the session's shuffle partitions); it does not change the
+    result.
     """
-    n = len(keys)
-    if n == 0:
-        return F.lit(0)
-
-    def below(lit: Column) -> Column:
-        return (lit < key) if strict else (lit <= key)
-
-    if n <= TREE_MAX_KEYS:
-
-        def node(lo: int, hi: int) -> Column:
-            if lo == hi:
-                return F.lit(lo)
-            mid = (lo + hi) // 2
-            return F.when(below(F.lit(keys[mid])), node(mid + 1, hi)).otherwise(node(lo, mid))
-
-        return node(0, n)
-    arr = F.split(F.lit(",".join(keys)), ",")
-    steps = F.array(*[F.lit(1 << k) for k in reversed(range(n.bit_length()))])
-
-    def step(acc, size):
-        cand = acc + size
-        return F.when((cand <= F.lit(n)) & below(F.element_at(arr, cand)), cand).otherwise(acc)
-
-    return F.aggregate(steps, F.lit(0), step)
-
-
-def with_bucket(df: DataFrame, bounds: list[tuple[bytes, bytes]], name: str = "_bucket") -> DataFrame:
-    """Add ``name`` = number of boundaries ``<=`` the row's ``(lsn, seq)``."""
-    keys = [_bound_key(l, s) for l, s in bounds]
-    return df.withColumn("_bkey", _sort_key()).withColumn(name, count_below(keys, F.col("_bkey"))).drop("_bkey")
-
-
-def choose_buckets(n_rows: int, rows_per_bucket: int = ROWS_PER_BUCKET, max_buckets: int = MAX_BUCKETS) -> int:
-    return max(1, min(max_buckets, math.ceil(n_rows / rows_per_bucket)))
-
-
-def sample_keys(df: DataFrame, buckets: int, n_rows: int | None = None) -> list[tuple[str, bytes, bytes]]:
-    """A bounded random sample of ``(table, lsn, seq)`` keys (at most ``2 x buckets x OVERSAMPLE``)."""
-    keys = df.select(TABLE_NAME, START_LSN, SEQVAL).where(F.col(START_LSN).isNotNull())
-    if n_rows is None:
-        n_rows = keys.count()
-    want = buckets * OVERSAMPLE
-    frac = min(1.0, want / max(n_rows, 1))
-    # The limit only caps the sample handed to the driver; it never touches results.
-    rows = keys.sample(False, frac, SAMPLE_SEED).limit(want * 2).collect()
-    return [(r[0], bytes(r[1]), bytes(r[2]) if r[2] is not None else b"") for r in rows]
-
-
-def boundaries(points: list[tuple[str, bytes, bytes]], buckets: int) -> list[tuple[bytes, bytes]]:
-    pts = sorted((l, s) for _, l, s in points)
-    if buckets <= 1 or not pts:
-        return []
-    out = []
-    for i in range(1, buckets):
-        b = pts[min(len(pts) - 1, (i * len(pts)) // buckets)]
-        if not out or b > out[-1]:
-            out.append(b)
-    return out
-
-
-def sample_boundaries(df: DataFrame, buckets: int, n_rows: int | None = None) -> list[tuple[bytes, bytes]]:
-    """``buckets - 1`` sorted ``(lsn, seq)`` boundaries from a bounded random sample."""
-    if buckets <= 1:
-        return []
-    return boundaries(sample_keys(df, buckets, n_rows), buckets)
-
-
-def heavy_keys(points: list[tuple[str, bytes, bytes]], min_copies: int = HEAVY_SAMPLES) -> list[tuple[str, bytes, bytes]]:
-    """Keys seen at least ``min_copies`` times in the sample (about half a bucket or more)."""
-    return sorted(k for k, c in Counter(points).items() if c >= max(2, min_copies))
-
-
-def sequence_rank(
-    df: DataFrame,
-    out: str = "seq_rank",
-    buckets: int | str = "auto",
-    table_bound: int | None = None,
-    part_size: int | None = None,
-) -> DataFrame:
-    """Add ``rank() over (partition by table_name order by lsn, seq)`` as ``out``.
-
-    ``buckets="auto"`` uses the plain window for inputs of a few splits and
-    otherwise sizes buckets from a row count (one narrow pass); an int forces
-    the number.  ``table_bound`` is a proven bound on the number of tables,
-    used to decide whether the bucket-offset frame may be broadcast.
-
-    With ``part_size``, an ``envelope_part`` column is added: 0 for every row
-    except the copies of heavy keys, which are spread over
-    ``ceil(copies / part_size)`` parts so that a group built per part stays small.
-    """
-    n_rows = None
-    if buckets == "auto":
-        # Few input splits means a small input: one window task per table is fine
-        # and the counting pass is skipped.  Otherwise size buckets from a count.
-        try:
-            parts = df.rdd.getNumPartitions()
-        except Exception:  # no RDD view (for example Spark Connect): decide from a count
-            parts = None
-        if parts is not None and parts <= SMALL_INPUT_PARTITIONS:
-            buckets = 1
-        else:
-            n_rows = df.count()
-            buckets = choose_buckets(n_rows)
-    part = (lambda d: d.withColumn("envelope_part", F.lit(0).cast("long"))) if part_size else (lambda d: d)
-    if buckets <= 1:
-        w = Window.partitionBy(TABLE_NAME).orderBy(F.col(START_LSN), F.col(SEQVAL))
-        return part(df.withColumn(out, F.rank().over(w).cast("long")))
-
-    points = sample_keys(df, buckets, n_rows)
-    bounds = boundaries(points, buckets)
-    heavy = heavy_keys(points)
-    bucket_bound = None if table_bound is None else table_bound * (len(bounds) + 1)
-    if not heavy:
-        return part(_bucketed_rank(df.withColumn("_marker", F.lit(0)), bounds, bucket_bound, out).drop("_marker"))
-    return _rank_with_heavy_keys(df, bounds, heavy, bucket_bound, out, part_size)
-
-
-def _bucketed_rank(df: DataFrame, bounds, bucket_bound: int | None, out: str) -> DataFrame:
-    """Rank counting only rows with ``_marker = 0``; a marker row gets the rank a row of its key would get."""
-    b = with_bucket(df, bounds)
-    counts = b.groupBy(TABLE_NAME, "_bucket").agg(F.sum(F.lit(1) - F.col("_marker")).alias("_n"))
-    run = Window.partitionBy(TABLE_NAME).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, 0)
-    offsets = counts.select(TABLE_NAME, "_bucket", (F.sum("_n").over(run) - F.col("_n")).alias("_offset"))
-    w = Window.partitionBy(TABLE_NAME, "_bucket").orderBy(F.col(START_LSN), F.col(SEQVAL))
-    upto = w.rowsBetween(Window.unboundedPreceding, 0)
-    # markers never share a key with other rows, so the markers counted up to a row
-    # are exactly the markers ordered before it (and the same for tied rows)
-    local = b.withColumn("_local", F.rank().over(w) - (F.sum("_marker").over(upto) - F.col("_marker")))
-    return (
-        local.join(broadcast_bounded(offsets, bucket_bound), [TABLE_NAME, "_bucket"], "inner")
-        .withColumn(out, (F.col("_offset") + F.col("_local")).cast("long"))
-        .drop("_bucket", "_local", "_offset")
-    )
-
-
-def _rank_with_heavy_keys(
-    df: DataFrame, bounds, heavy, bucket_bound: int | None, out: str, part_size: int | None = None
-) -> DataFrame:
     spark = df.sparkSession
-    hschema = T.StructType(
-        [
-            T.StructField("_ht", T.StringType()),
-            T.StructField("_hl", T.BinaryType()),
-            T.StructField("_hs", T.BinaryType()),
-        ]
+    checkpoint_dir(spark)
+    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    keys = df.groupBy(*KEY).agg(F.count(F.lit(1)).alias("copies"))
+    dealt = keys.repartitionByRange(n, *KEY).withColumn("_range", F.spark_partition_id()).checkpoint(eager=True)
+    inside = Window.partitionBy(TABLE_NAME, "_range").orderBy(START_LSN, SEQVAL).rowsBetween(Window.unboundedPreceding, -1)
+    below = Window.partitionBy(TABLE_NAME).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    totals = dealt.groupBy(TABLE_NAME, "_range").agg(F.sum("copies").alias("_n"))
+    before = totals.select(
+        F.col(TABLE_NAME).alias(f"_b{TABLE_NAME}"), F.col("_range").alias("_brange"), F.coalesce(F.sum("_n").over(below), F.lit(0)).alias("_before")
     )
-    hk = spark.createDataFrame([(t, bytearray(l), bytearray(s)) for t, l, s in heavy], hschema)
-    hb = broadcast_bounded(hk, len(heavy))
-    cond = (F.col(TABLE_NAME) == F.col("_ht")) & (F.col(START_LSN) == F.col("_hl")) & (F.col(SEQVAL) == F.col("_hs"))
-    heavy_rows = df.join(hb, cond, "left_semi")
-    light = df.join(hb, cond, "left_anti")
+    local = dealt.withColumn("_inside", F.coalesce(F.sum("copies").over(inside), F.lit(0)))
+    j = local.join(before, _same((TABLE_NAME,), "_b") & (F.col("_range") == F.col("_brange")))
+    return j.select(*KEY, "copies", (F.col("_before") + F.col("_inside") + 1).alias("key_rank"))
 
-    # copies per heavy key: a partial aggregate, at most len(heavy) rows to the driver
-    counted = collect_bounded(heavy_rows.groupBy(TABLE_NAME, START_LSN, SEQVAL).count(), len(heavy), "heavy keys")
-    copies = {(r[0], bytes(r[1]), bytes(r[2])): int(r[3]) for r in counted}
-    entries, cums, tabs, run, last_t = [], [], [], 0, None
-    for t, l, s in heavy:
-        run = (run if t == last_t else 0) + copies.get((t, l, s), 0)
-        last_t = t
-        entries.append(t + TABLE_SEP + _bound_key(l, s))
-        cums.append(str(run))
-        tabs.append(t)
 
-    # copies of heavy keys of the same table ordered before the row's key
-    probe = F.concat(F.col(TABLE_NAME), F.lit(TABLE_SEP), _sort_key())
-    idx = count_below(entries, probe, strict=True)
-    tab_arr = F.split(F.lit(TABLE_SEP.join(tabs)), TABLE_SEP)
-    cum_arr = F.split(F.lit(",".join(cums)), ",")
-    at = F.greatest(idx, F.lit(1))
-    shift = F.when(
-        (idx > 0) & (F.element_at(tab_arr, at) == F.col(TABLE_NAME)), F.element_at(cum_arr, at).cast("long")
-    ).otherwise(F.lit(0).cast("long"))
+def with_ranked_keys(df: DataFrame, keys: DataFrame) -> DataFrame:
+    """Joins ``copies`` and ``key_rank`` of ``ranked_keys`` to the changes.
 
-    markers = hk.select(
-        F.col("_ht").alias(TABLE_NAME), F.col("_hl").alias(START_LSN), F.col("_hs").alias(SEQVAL), F.lit(1).alias("_marker")
-    )
-    both = light.withColumn("_marker", F.lit(0)).unionByName(markers, allowMissingColumns=True)
-    ranked = _bucketed_rank(both, bounds, bucket_bound, "_lrank").withColumn(out, F.col("_lrank") + shift)
+    The copies of a hot key meet one row on the other side; AQE splits such a
+    partition (``spark.sql.adaptive.skewJoin``).
+    """
+    k = keys.select(*[F.col(n).alias(f"_k{n}") for n in KEY], "copies", "key_rank")
+    return df.join(k, _same(KEY, "_k")).drop(*[f"_k{n}" for n in KEY])
 
-    light_out = ranked.where(F.col("_marker") == 0).drop("_marker", "_lrank")
-    mark_rank = ranked.where(F.col("_marker") == 1).select(
-        F.col(TABLE_NAME).alias("_ht"), F.col(START_LSN).alias("_hl"), F.col(SEQVAL).alias("_hs"), F.col(out).alias("_hr")
-    )
-    heavy_out = (
-        heavy_rows.join(broadcast_bounded(mark_rank, len(heavy)), cond, "inner")
-        .withColumn(out, F.col("_hr"))
-        .drop("_ht", "_hl", "_hs", "_hr")
-    )
-    if part_size:
-        # spread each heavy key's copies over ceil(copies / part_size) parts; the row
-        # id keeps identical copies apart (Spark reruns such a stage as a whole)
-        kv = []
-        for t, l, s in heavy:
-            kv += [F.lit(t + TABLE_SEP + _bound_key(l, s)), F.lit(max(1, math.ceil(copies.get((t, l, s), 1) / part_size)))]
-        n_parts = F.element_at(F.create_map(*kv), F.concat(F.col(TABLE_NAME), F.lit(TABLE_SEP), _sort_key()))
-        h = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns], F.monotonically_increasing_id())
-        light_out = light_out.withColumn("envelope_part", F.lit(0).cast("long"))
-        heavy_out = heavy_out.withColumn("envelope_part", (F.lit(1) + F.pmod(h, n_parts)).cast("long"))
-    return light_out.unionByName(heavy_out)
+
+def sequence_rank(df: DataFrame, out: str = "seq_rank", buckets: int | None = None) -> DataFrame:
+    """Add ``rank() over (partition by table_name order by lsn, seq)`` as ``out``."""
+    ranked = with_ranked_keys(df, ranked_keys(df, buckets))
+    return ranked.withColumn(out, F.col("key_rank").cast("long")).drop("copies", "key_rank")

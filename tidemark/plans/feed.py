@@ -29,7 +29,6 @@ from tidemark.schema import OPERATION, PUBLISHED_OPS, SEQVAL, START_LSN, TABLE_N
 def decoded_changes(
     log: DataFrame,
     ops: Iterable[int] | None = PUBLISHED_OPS,
-    double_scale: int | None = None,
     timestamp_col: str | None = None,
 ) -> DataFrame:
     """Filter operation codes, decode them and build the ``data`` struct.
@@ -49,7 +48,7 @@ def decoded_changes(
         SEQVAL,
         OPERATION,
         operation_type(OPERATION).alias("operation_type"),
-        data_struct(log, cols, double_scale).alias("data"),
+        data_struct(log, cols).alias("data"),
         ts.alias("commit_time"),
     )
     return out.where(F.col("operation_type").isNotNull())
@@ -72,14 +71,13 @@ def uniform_changes(decoded: DataFrame) -> DataFrame:
 def multi_table_changes(
     logs: list[DataFrame],
     tables: Iterable[str] | None = None,
-    double_scale: int | None = None,
 ) -> DataFrame:
     """Decode every log with its own columns, then union the uniform results."""
     out = None
     for lg in logs:
         if tables is not None:
             lg = lg.where(F.col(TABLE_NAME).isin(sorted(set(tables))))
-        u = uniform_changes(decoded_changes(lg, double_scale=double_scale))
+        u = uniform_changes(decoded_changes(lg))
         out = u if out is None else out.unionByName(u)
     return out
 
@@ -112,8 +110,8 @@ def batch_envelopes(
 
     ``batched`` is a decoded frame with ``batch_no``.  A batch holds at most
     ``batch_size`` changes plus ties; with ``envelope_part`` (from
-    ``drain_batches``) the copies of a hugely copied change are split over
-    several envelopes, so every group stays small.
+    ``drain_batches(..., envelope_parts=True)``) no envelope holds more than
+    ``batch_size`` changes.
     """
     keys = [TABLE_NAME, "batch_no"] + (["envelope_part"] if "envelope_part" in batched.columns else [])
     per = batched.select(

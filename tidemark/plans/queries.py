@@ -53,12 +53,12 @@ from tidemark.sources.fixtures import (
 )
 
 # Fixed parameters of the registered queries.
-DOUBLE_SCALE = 2                   # doubles rendered as decimal(., 2) in data
 SERVER_NAME = "localhost"
 POLL_INTERVAL = "5s"
 MERGE_TIME = "2024-06-02 08:30:00"
 RANGE_FROM_TXN = 10                # lsn_range bounds, as transaction numbers
 RANGE_TO_TXN = 2000
+BUCKETS = 13                       # ranges of the *_bucketed queries; the others follow the session
 MISSING_TABLE = "refunds"          # configured, but absent from every log
 
 ALL_TABLES = EVENT_TABLES + DOCUMENT_TABLES
@@ -98,12 +98,12 @@ def q_lsn_hex(spark, sf):
 
 
 def q_row_data(spark, sf):
-    d = decoded_changes(documents_ct(spark, sf), double_scale=DOUBLE_SCALE)
+    d = decoded_changes(documents_ct(spark, sf))
     return d.select(*_keys(d), "data.doc_id", "data.n_chars", "data.source", "data.text")
 
 
 def q_change_envelope(spark, sf):
-    d = decoded_changes(events_ct(spark, sf), double_scale=DOUBLE_SCALE)
+    d = decoded_changes(events_ct(spark, sf))
     return d.select(
         *_keys(d),
         F.col(OPERATION).alias("operation_id"),
@@ -113,17 +113,22 @@ def q_change_envelope(spark, sf):
 
 
 def q_change_json(spark, sf):
-    d = uniform_changes(decoded_changes(events_ct(spark, sf), double_scale=DOUBLE_SCALE))
+    d = uniform_changes(decoded_changes(events_ct(spark, sf)))
     return d.select(F.col("change_json").alias("value"))
 
 
 def q_multi_table_feed(spark, sf):
-    u = multi_table_changes([events_ct(spark, sf), documents_ct(spark, sf)], ALL_TABLES, DOUBLE_SCALE)
+    u = multi_table_changes([events_ct(spark, sf), documents_ct(spark, sf)], ALL_TABLES)
     return u.select(*_keys(u), F.col(OPERATION).alias("operation"), "change_json")
 
 
 def q_ordered_feed(spark, sf):
-    r = sequence_rank(op_filter(events_ct(spark, sf)), "ord", table_bound=len(EVENT_TABLES))
+    r = sequence_rank(op_filter(events_ct(spark, sf)), "ord")
+    return r.select(*_keys(r), "ord")
+
+
+def q_ordered_feed_bucketed(spark, sf):
+    r = sequence_rank(op_filter(events_ct(spark, sf)), "ord", buckets=BUCKETS)
     return r.select(*_keys(r), "ord")
 
 
@@ -133,7 +138,7 @@ def q_lsn_display(spark, sf):
 
 
 def q_change_event(spark, sf):
-    d = decoded_changes(events_ct(spark, sf), double_scale=DOUBLE_SCALE, timestamp_col="ts")
+    d = decoded_changes(events_ct(spark, sf), timestamp_col="ts")
     return change_events(d)
 
 
@@ -183,11 +188,11 @@ def q_seq_backfill(spark, sf):
 
 
 def q_null_cursor(spark, sf):
+    """Changes after every cursor; the table whose stored LSN is NULL reads none."""
     log = events_ct(spark, sf)
     cur = load_cursors(spark, EVENT_TABLES, offsets_fixture(log), log)
-    nulls = {t: c for t, c in cur.items() if c[0] is None}
-    n = changes_after(log, nulls, len(nulls)).groupBy(TABLE_NAME).agg(F.count(F.lit(1)).alias("n_changes"))
-    return cursor_frame(spark, nulls).select(TABLE_NAME).join(n, TABLE_NAME, "left").select(
+    n = changes_after(log, cur, len(cur)).groupBy(TABLE_NAME).agg(F.count(F.lit(1)).alias("n_changes"))
+    return cursor_frame(spark, cur).select(TABLE_NAME).join(n, TABLE_NAME, "left").select(
         TABLE_NAME, F.coalesce("n_changes", F.lit(0)).alias("n_changes")
     )
 
@@ -210,19 +215,19 @@ def q_change_poll(spark, sf):
 # --- batch sizing -----------------------------------------------------------------
 
 def q_sample_recent(spark, sf):
-    s = sample_recent(events_ct(spark, sf))
+    s = sample_recent(events_ct(spark, sf), table_bound=len(EVENT_TABLES))
     return s.select(*_keys(s), F.col(OPERATION).alias("operation"), "sample_rank")
 
 
 def q_sample_row_bytes(spark, sf):
-    b = sample_row_bytes(sample_recent(events_ct(spark, sf)))
+    b = sample_row_bytes(sample_recent(events_ct(spark, sf), table_bound=len(EVENT_TABLES)))
     return b.select(*_keys(b), F.col(OPERATION).alias("operation"), "sample_rank", "row_bytes")
 
 
 def q_sample_stats(spark, sf):
     out = None
-    for log in (events_ct(spark, sf), documents_ct(spark, sf)):
-        s = sample_stats(sample_row_bytes(sample_recent(log)))
+    for log, n in ((events_ct(spark, sf), len(EVENT_TABLES)), (documents_ct(spark, sf), len(DOCUMENT_TABLES))):
+        s = sample_stats(sample_row_bytes(sample_recent(log, table_bound=n)))
         out = s if out is None else out.unionByName(s)
     return out
 
@@ -246,7 +251,7 @@ def q_batch_metrics(spark, sf):
 
 # --- draining a backlog ---------------------------------------------------------------
 
-def _drain(spark, sf):
+def _drain(spark, sf, buckets=None):
     ev, docs = events_ct(spark, sf), documents_ct(spark, sf)
     offs = offsets_fixture(ev)
     logs = [ev, docs]
@@ -258,7 +263,7 @@ def _drain(spark, sf):
         lambda: batch_size_values(table_batch_sizes(spark, ALL_TABLES, logs), len(ALL_TABLES)),
     )
     after = changes_after(keys, cur, len(ALL_TABLES))
-    return drain_batches(after, sizes, len(ALL_TABLES))
+    return drain_batches(after, sizes, len(ALL_TABLES), buckets)
 
 
 def q_drain_batches(spark, sf):
@@ -266,6 +271,11 @@ def q_drain_batches(spark, sf):
     return d.select(*_keys(d), "seq_rank", "batch_no")
 
 
+def q_drain_batches_bucketed(spark, sf):
+    d = _drain(spark, sf, BUCKETS)
+    return d.select(*_keys(d), "seq_rank", "batch_no")
+
+
 def q_batch_counts(spark, sf):
     return batch_counts(_drain(spark, sf))
 
@@ -278,8 +288,8 @@ def q_batch_high_water(spark, sf):
 def q_batch_envelope(spark, sf):
     docs = documents_ct(spark, sf)
     sizes = batch_size_values(table_batch_sizes(spark, DOCUMENT_TABLES, docs), len(DOCUMENT_TABLES))
-    d = decoded_changes(docs, double_scale=DOUBLE_SCALE)
-    b = drain_batches(d, sizes, len(DOCUMENT_TABLES))
+    d = decoded_changes(docs)
+    b = drain_batches(d, sizes, len(DOCUMENT_TABLES), envelope_parts=True)
     return batch_envelopes(b, SERVER_NAME, POLL_INTERVAL)
 
 
@@ -315,6 +325,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "change_json": q_change_json,
     "multi_table_feed": q_multi_table_feed,
     "ordered_feed": q_ordered_feed,
+    "ordered_feed_bucketed": q_ordered_feed_bucketed,
     "resume_cursor": q_resume_cursor,
     "seq_backfill": q_seq_backfill,
     "null_cursor": q_null_cursor,
@@ -326,6 +337,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "batch_size_default": q_batch_size_default,
     "batch_metrics": q_batch_metrics,
     "drain_batches": q_drain_batches,
+    "drain_batches_bucketed": q_drain_batches_bucketed,
     "batch_counts": q_batch_counts,
     "batch_high_water": q_batch_high_water,
     "offsets_upgrade": q_offsets_upgrade,

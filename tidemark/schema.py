@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 START_LSN = "__$start_lsn"
 SEQVAL = "__$seqval"
 OPERATION = "__$operation"
+CAPTURE_PREFIX = "__$"
 SYSTEM_COLUMNS = (START_LSN, SEQVAL, OPERATION)
 TABLE_NAME = "table_name"
 
@@ -64,10 +65,13 @@ BATCH_STATS_SCHEMA = T.StructType(
 
 
 def source_columns(df_or_schema) -> list[str]:
-    """Source-table columns of a change log: everything but the system columns."""
+    """Source-table columns of a change log: no ``table_name`` and no column of the capture itself.
+
+    A change table may hold more capture columns than the three that are read
+    (an end LSN, an update mask, a command id); all start with ``__$``.
+    """
     schema = getattr(df_or_schema, "schema", df_or_schema)
-    skip = set(SYSTEM_COLUMNS) | {TABLE_NAME}
-    return [f.name for f in schema.fields if f.name not in skip]
+    return [f.name for f in schema.fields if f.name != TABLE_NAME and not f.name.startswith(CAPTURE_PREFIX)]
 
 
 def q(name: str) -> str:

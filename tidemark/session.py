@@ -11,6 +11,7 @@ from __future__ import annotations
 import os
 import tempfile
 
+from pyspark.errors import PySparkException
 from pyspark.sql import SparkSession
 
 LOCAL_DEFAULTS = {
@@ -20,6 +21,8 @@ LOCAL_DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # checkpoints of control keys go when the driver no longer refers to them
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -57,7 +60,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """
     try:
         sc = spark.sparkContext
-    except Exception:  # no SparkContext on the client: the server owns the setting
+    except PySparkException:  # no SparkContext on the client: the server owns the setting
         return spark.conf.get("spark.checkpoint.dir", "")
     d = sc.getCheckpointDir()
     if d:

@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators.common import default_parallelism
-from tidemark.schema import OPERATION, SEQVAL, START_LSN, SYSTEM_COLUMNS, TABLE_NAME, q, source_columns
+from tidemark.operators.cursor import BY_TABLE
+from tidemark.schema import CAPTURE_PREFIX, OPERATION, SEQVAL, START_LSN, SYSTEM_COLUMNS, TABLE_NAME, q, source_columns
 
 
 def read_change_log(
@@ -35,9 +36,21 @@ def read_change_log(
     if merge_schema:
         reader = reader.option("mergeSchema", "true")
     df = reader.parquet(path)
+    if _has_table_folders(spark, path):
+        df = df.withMetadata(TABLE_NAME, {BY_TABLE: True})
     return only_tables(df, tables)
 
 
+def _has_table_folders(spark: SparkSession, path: str) -> bool:
+    """True for a log with a folder per table (the folders are listed, not the files)."""
+    jvm = getattr(spark, "_jvm", None)
+    if jvm is None:  # a client without a JVM: the readers then use one floor for all tables
+        return False
+    glob = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{TABLE_NAME}=*")
+    found = glob.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(glob)
+    return found is not None and len(found) > 0
+
+
 def only_tables(df: DataFrame, tables: Iterable[str] | None) -> DataFrame:
     if tables is None:
         return df
@@ -51,8 +64,8 @@ def discover_columns(df: DataFrame) -> list[str]:
 
 def catalog_columns(spark: SparkSession, table: str, database: str | None = None) -> list[str]:
     """Source columns of a change table registered in the catalog (or a view)."""
-    skip = set(SYSTEM_COLUMNS) | {TABLE_NAME}
-    return [c.name for c in spark.catalog.listColumns(table, database) if c.name not in skip]
+    names = [c.name for c in spark.catalog.listColumns(table, database)]
+    return [n for n in names if n != TABLE_NAME and not n.startswith(CAPTURE_PREFIX)]
 
 
 def scan_changes(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
@@ -86,34 +99,37 @@ def read_change_log_jdbc(
     spark: SparkSession,
     url: str,
     table: str,
-    lsn_ranges: list[tuple[str, str]],
+    table_name: str,
+    lsn_ranges: list[tuple[str, str | None]],
     properties: dict | None = None,
 ) -> DataFrame:
-    """Read a change table over JDBC, one partition per LSN range.
+    """Read one change table over JDBC, one partition per LSN range, as a change log of ``table_name``.
 
     A binary LSN cannot be a JDBC ``partitionColumn``, so the ranges are given as
-    ``predicates`` (half-open ``[lo, hi)`` hex bounds).  Untested here: no
-    database server is available in the build environment.
+    ``predicates`` (half-open ``[lo, hi)`` hex bounds; the last may be open).
+    Untested here: no database server is available in the build environment.
     """
-    return spark.read.jdbc(url, table, predicates=lsn_range_predicates(lsn_ranges), properties=properties or {})
+    df = spark.read.jdbc(url, table, predicates=lsn_range_predicates(lsn_ranges), properties=properties or {})
+    return df.withColumn(TABLE_NAME, F.lit(table_name))
 
 
-def lsn_range_predicates(lsn_ranges: list[tuple[str, str]]) -> list[str]:
-    """One JDBC partition predicate per half-open hex LSN range ``[lo, hi)``.
+def lsn_range_predicates(lsn_ranges: list[tuple[str, str | None]]) -> list[str]:
+    """One JDBC partition predicate per half-open hex LSN range ``[lo, hi)``; ``hi`` None is open.
 
     The ranges must not overlap, so every change is read by exactly one
-    partition; the bounds are validated as hex so nothing else reaches the SQL.
+    partition; the bounds are read as bytes, so nothing but hex reaches the SQL
+    and letter case does not matter.
     """
+    bounds = sorted(((bytes.fromhex(lo), None if hi is None else bytes.fromhex(hi)) for lo, hi in lsn_ranges), key=lambda r: r[0])
     out = []
-    for lo, hi in lsn_ranges:
-        bytes.fromhex(lo), bytes.fromhex(hi)  # raises on anything but hex
-        if lo >= hi:
-            raise ValueError(f"empty LSN range [{lo}, {hi})")
-        out.append(f"[{START_LSN}] >= 0x{lo} AND [{START_LSN}] < 0x{hi}")
-    ends = sorted(lsn_ranges)
-    for (a_lo, a_hi), (b_lo, b_hi) in zip(ends, ends[1:]):
-        if b_lo < a_hi:
-            raise ValueError(f"overlapping LSN ranges [{a_lo}, {a_hi}) and [{b_lo}, {b_hi})")
+    for lo, hi in bounds:
+        if hi is not None and lo >= hi:
+            raise ValueError(f"empty LSN range [{lo.hex()}, {hi.hex()})")
+        end = "" if hi is None else f" AND [{START_LSN}] < 0x{hi.hex()}"
+        out.append(f"[{START_LSN}] >= 0x{lo.hex()}{end}")
+    for (a_lo, a_hi), (b_lo, _) in zip(bounds, bounds[1:]):
+        if a_hi is None or b_lo < a_hi:
+            raise ValueError(f"LSN ranges from {a_lo.hex()} and {b_lo.hex()} overlap")
     return out
 
 

@@ -85,20 +85,21 @@ def offsets_fixture(log: DataFrame, updated_at: str = FIXTURE_TIME) -> DataFrame
     from tidemark.functions.decode import zero_cursor
     from tidemark.operators.cursor import op_filter
 
-    pub = op_filter(log)
-    multi = (
-        pub.groupBy(TABLE_NAME, START_LSN)
-        .agg(F.count(F.lit(1)).alias("n"), F.min(SEQVAL).alias("first_seq"))
-        .where(F.col("n") >= 2)
-        .groupBy(TABLE_NAME)
-        .agg(F.min(F.struct(F.col(START_LSN).alias("lsn"), F.col("first_seq").alias("seq"))).alias("c"))
+    # one pass: per (table, LSN) count, first and last seq; then one row per table
+    per_lsn = op_filter(log).groupBy(TABLE_NAME, START_LSN).agg(
+        F.count(F.lit(1)).alias("n"), F.min(SEQVAL).alias("first_seq"), F.max(SEQVAL).alias("last_seq")
     )
-    newest = pub.groupBy(TABLE_NAME).agg(
-        F.max(F.struct(F.col(START_LSN).alias("lsn"), F.col(SEQVAL).alias("seq"))).alias("c")
+    lsn = F.col(START_LSN).alias("lsn")
+    per_table = per_lsn.groupBy(TABLE_NAME).agg(
+        F.min(F.when(F.col("n") >= 2, F.struct(lsn, F.col("first_seq").alias("seq")))).alias("inside"),
+        F.max(F.struct(lsn, F.col("last_seq").alias("seq"))).alias("newest"),
+    )
+    t = F.col(TABLE_NAME)
+    null = F.lit(None).cast("binary")
+    rows = per_table.where(t.isin("view", "purchase") | (t.isin("click", "error") & F.col("inside").isNotNull()))
+    return rows.select(
+        TABLE_NAME,
+        F.when(t == "view", F.col("newest.lsn")).when(t == "purchase", null).otherwise(F.col("inside.lsn")).alias("last_lsn"),
+        F.lit(updated_at).cast("timestamp_ntz").alias("updated_at"),
+        F.when(t == "view", F.col("newest.seq")).when(t == "purchase", zero_cursor()).when(t == "error", null).otherwise(F.col("inside.seq")).alias("last_seq"),
     )
-    ts = F.lit(updated_at).cast("timestamp_ntz")
-    click = multi.where(F.col(TABLE_NAME) == "click").select(TABLE_NAME, F.col("c.lsn").alias("last_lsn"), ts.alias("updated_at"), F.col("c.seq").alias("last_seq"))
-    view = newest.where(F.col(TABLE_NAME) == "view").select(TABLE_NAME, F.col("c.lsn").alias("last_lsn"), ts.alias("updated_at"), F.col("c.seq").alias("last_seq"))
-    error = multi.where(F.col(TABLE_NAME) == "error").select(TABLE_NAME, F.col("c.lsn").alias("last_lsn"), ts.alias("updated_at"), F.lit(None).cast("binary").alias("last_seq"))
-    purchase = newest.where(F.col(TABLE_NAME) == "purchase").select(TABLE_NAME, F.lit(None).cast("binary").alias("last_lsn"), ts.alias("updated_at"), zero_cursor().alias("last_seq"))
-    return click.unionByName(view).unionByName(error).unionByName(purchase)

@@ -52,7 +52,6 @@ def published_stream(
     changes: DataFrame,
     cursor: DataFrame | None = None,
     table_bound: int | None = None,
-    double_scale: int | None = None,
 ) -> DataFrame:
     """Stateless: (optional strict cursor) -> op filter -> decode -> JSON line.
 
@@ -70,7 +69,7 @@ def published_stream(
             .where(after_cursor(F.col("_clsn"), F.col("_cseq")))
             .drop("_ct", "_clsn", "_cseq")
         )
-    d = with_change_json(decoded_changes(src, double_scale=double_scale))
+    d = with_change_json(decoded_changes(src))
     return d.select(
         TABLE_NAME,
         lsn_hex(START_LSN).alias("lsn"),
@@ -155,7 +154,7 @@ def micro_batch_handler(tables: Iterable[str], store, publish, mode: str = "drai
     def handle(batch: DataFrame, batch_id: int) -> None:
         r = run_cycle(batch.sparkSession, [batch], tables, store, publish, cycle_id=int(batch_id), mode=mode, **kw)
         if not r.published:
-            raise RuntimeError(f"publishing micro-batch {batch_id} failed; it will be replayed")
+            raise RuntimeError(f"publishing micro-batch {batch_id} failed; it will be replayed") from r.error
 
     return handle
 
