@@ -6,8 +6,8 @@ first by a counting sketch of all documents (any total order is exact; the
 sketch, of fixed size, only decides how selective it is).  Two sets with
 Jaccard similarity of at least the threshold share a shingle among the first
 ``n - ceil(t n) + 1`` of each, so only those prefixes are shuffled.  Candidate
-pairs pass a length filter, a positional filter on their first common shingle
-and a suffix filter on partition counts, each once, and
+pairs pass a length and a positional filter at a common shingle, once each a
+suffix filter on partition counts, and
 are then verified by exact intersection.
 
 Components need every link between different components, not all pairs of a
@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import checkpoint, field_type, mix64, small_batches
+from tidemark.llm.common import checkpoint, field_type, mix64, release, small_batches
 from tidemark.llm.components import connected_components
 
 SHINGLE = 5
@@ -44,36 +44,68 @@ SKETCH_BITS = 20              # the sketch has 2**SKETCH_BITS counters
 SKETCH_BLOCKS = 64
 HOT_ROWS = 100_000            # rows of a shingle's list that one task should sort; longer lists are salted
 PARTS = 64                    # partitions of a set whose counts the suffix filter compares
-STAR_ROUNDS = 3               # rounds of centres before the rest is enumerated
-WORDS_CACHED = 300_000
+FILTER_PROBES = 4
+FILTER_BITS = 28             # the filter that finds documents again has 2**FILTER_BITS bits at most
+STAR_ROUNDS = 2               # rounds of centres before the rest is enumerated
+TEXT_CHUNK = 1 << 20          # bytes of a text hashed at a time
 
 
-class _WordHash(dict):
-    """64-bit hashes of words; bounded."""
+_BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
+_PLACE = np.uint64(0xD1342543DE82EF95)
+_SPACE = np.zeros(256, dtype=bool)
+_SPACE[[32, 9, 10, 11, 12, 13]] = True
 
-    def __missing__(self, word: bytes) -> int:
-        out = xxhash.xxh3_64_intdigest(word)
-        if len(word) <= 64:
-            if len(self) >= WORDS_CACHED:
-                self.clear()
-            self[word] = out
-        return out
 
+def _powers(base: np.uint64, n: int) -> np.ndarray:
+    out = np.full(n, base, dtype=np.uint64)
+    out[0] = 1
+    return np.cumprod(out, dtype=np.uint64)
 
-_words = _WordHash()
+
+_UP = _powers(_BASE, TEXT_CHUNK)
+_DOWN = _powers(np.uint64(pow(int(_BASE), -1, 1 << 64)), TEXT_CHUNK)
+
+
+def word_hashes(raw: bytes) -> np.ndarray:
+    """64-bit hashes (uint64) of the words of a text: polynomials in its bytes, mixed with the length.
+
+    Prefix sums of ``byte * base ** place`` give every word at once; dividing
+    by the power of its start makes the hash the same at any place.
+    """
+    out = []
+    while raw:
+        part = raw
+        if len(raw) > TEXT_CHUNK:
+            last = max(raw.rfind(s, 0, TEXT_CHUNK) for s in (b" ", b"\n", b"\t", b"\r", b"\x0b", b"\x0c"))
+            if last < 0:  # a chunk without white space: its one long word is hashed by itself
+                word = raw.split(None, 1)[0] if raw.split(None, 1) else b""
+                out.append(np.array([xxhash.xxh3_64_intdigest(word)], dtype=np.uint64))
+                raw = raw[raw.index(word) + len(word) :] if word else b""
+                continue
+            part = raw[: last + 1]
+        raw = raw[len(part) :]
+        b = np.frombuffer(part, dtype=np.uint8)
+        edge = np.diff(np.concatenate([[True], _SPACE[b], [True]]).astype(np.int8))
+        start, end = np.flatnonzero(edge < 0), np.flatnonzero(edge > 0)
+        sums = np.zeros(len(b) + 1, dtype=np.uint64)
+        np.cumsum((b + np.uint64(1)) * _UP[: len(b)], out=sums[1:])
+        out.append(mix64((sums[end] - sums[start]) * _DOWN[start] + (end - start).astype(np.uint64)))
+    return np.concatenate(out) if out else np.zeros(0, dtype=np.uint64)
 
 
 def shingle_set(text: str | None, shingle: int = SHINGLE) -> np.ndarray:
     """Sorted distinct shingle hashes (uint64) of a whole text; A-Z are lower-cased, words end at ASCII white space."""
-    words = (text or "").encode("utf-8", "replace").lower().split()
-    if not words:
-        return np.zeros(0, dtype=np.uint64)
-    w = np.fromiter(map(_words.__getitem__, words), dtype=np.uint64, count=len(words))
+    w = word_hashes((text or "").encode("utf-8", "replace").lower())
+    if not len(w):
+        return w
     size = min(shingle, len(w))
-    h = np.full(len(w) - size + 1, size, dtype=np.uint64)
-    for k in range(size):
-        h = mix64(h) + w[k : k + len(h)]
-    return np.unique(mix64(h))
+    n = len(w) - size + 1
+    h = w[:n] + np.uint64(size)
+    for k in range(1, size):  # Horner's rule: every place has a multiplier of its own
+        h *= _PLACE
+        h += w[k : k + n]
+    h = np.sort(mix64(h))
+    return h[np.concatenate([[True], h[1:] != h[:-1]])]
 
 
 def _node(s: np.ndarray) -> int | None:
@@ -86,10 +118,14 @@ def _ceil_share(n, percent: int):
 
 
 def document_nodes(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """``(doc_id, n_shingles, node)`` of every document, and sketch rows ``(block, total)`` of every task."""
+    """``(doc_id, row, n_shingles, node)`` of every document, and sketch rows ``(block, total)`` of every task.
+
+    ``row`` is a hash that finds the document again, see ``_row``.
+    """
     schema = T.StructType(
         [
             T.StructField("doc_id", field_type(docs, "doc_id")),
+            T.StructField("row", T.LongType()),
             T.StructField("n_shingles", T.LongType()),
             T.StructField("node", T.LongType()),
             T.StructField("block", T.IntegerType()),
@@ -107,7 +143,10 @@ def document_nodes(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
             sketch += np.bincount(slots.astype(np.int64), minlength=len(sketch)).astype(np.uint32)
             n = b.num_rows
             yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array([_node(s) for s in sets], pa.int64()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())],
+                [
+                    b.column("doc_id"), b.column("row"), pa.array([len(s) for s in sets], pa.int64()), pa.array([_node(s) for s in sets], pa.int64()),
+                    pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary()),
+                ],
                 names=schema.names,
             )
         if rows:
@@ -115,11 +154,16 @@ def document_nodes(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
             n = len(blocks)
             id_type = b.column("doc_id").type
             yield pa.RecordBatch.from_arrays(
-                [pa.nulls(n, id_type), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.array(range(n), pa.int32()), pa.array(blocks, pa.binary())],
+                [pa.nulls(n, id_type), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.array(range(n), pa.int32()), pa.array(blocks, pa.binary())],
                 names=schema.names,
             )
 
-    return docs.select("doc_id", "text").mapInArrow(run, schema)
+    return docs.select("doc_id", _row().alias("row"), "text").mapInArrow(run, schema)
+
+
+def _row() -> Column:
+    """Hash of a document's id, or of its text where the id is NULL."""
+    return F.when(F.col("doc_id").isNotNull(), F.xxhash64("doc_id")).otherwise(F.xxhash64("text"))
 
 
 def _sketch(parts: DataFrame) -> np.ndarray:
@@ -195,25 +239,61 @@ def _parts(s: np.ndarray) -> bytes:
     return counts.astype("<u4").tobytes()
 
 
-def node_sets(docs: DataFrame, wanted: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """``(node, parts, shingles)`` of the wanted documents (``key``, see ``_key``): partition counts and the whole set."""
+def _filter_places(row: np.ndarray, bits: int) -> np.ndarray:
+    """The ``FILTER_PROBES`` places of each hash in a filter of ``bits`` bits."""
+    h = row.view(np.uint64)
+    step = (h >> np.uint64(32)) | np.uint64(1)
+    return ((h[:, None] + step[:, None] * np.arange(FILTER_PROBES, dtype=np.uint64)) & np.uint64(bits - 1)).astype(np.int64)
+
+
+def _row_filter(rows: DataFrame) -> np.ndarray:
+    """Bloom filter of the hashes in ``rows`` (``row``): some 16 to 32 bits for each, ``2**FILTER_BITS`` at most.
+
+    A fuller filter lets more documents pass than are wanted, which costs work
+    and changes nothing.
+    """
+    bits = 1 << min(FILTER_BITS, max(15, (16 * rows.count()).bit_length()))
+    place = T.StructType([T.StructField("at", T.LongType())])
+    schema = T.StructType([T.StructField("block", T.LongType()), T.StructField("bits", T.BinaryType())])
+
+    def places(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array(_filter_places(b.column("row").to_numpy(), bits).ravel())], names=["at"])
+
+    def mark(group: pa.Table) -> pa.Table:
+        block = np.zeros(1 << 15, dtype=np.uint8)
+        block[group.column("at").to_numpy() & 0x7FFF] = 1
+        return pa.table([group.column("block").slice(0, 1), pa.array([np.packbits(block).tobytes()], pa.binary())], names=schema.names)
+
+    at = rows.select("row").mapInArrow(places, place).distinct()
+    found = at.select("at", F.shiftright("at", 15).alias("block")).groupBy("block").applyInArrow(mark, schema).collect()
+    out = np.zeros((bits >> 15, 1 << 12), dtype=np.uint8)
+    for r in found:
+        out[r["block"]] = np.frombuffer(r["bits"], dtype=np.uint8)
+    return out.ravel()
+
+
+def node_sets(docs: DataFrame, rows: DataFrame, shingle: int = SHINGLE) -> DataFrame:
+    """``(node, parts, shingles)`` of the wanted documents (``row``): partition counts and the whole set.
+
+    The documents are found by a bit filter while they are read, so no text is shuffled.
+    """
     schema = T.StructType([T.StructField("node", T.LongType()), T.StructField("parts", T.BinaryType()), T.StructField("shingles", T.BinaryType())])
+    shared = docs.sparkSession.sparkContext.broadcast(_row_filter(rows))  # 2**(FILTER_BITS - 3) bytes at most
 
     def run(batches):
+        bits = shared.value
         for b in small_batches(batches, 4 << 20):
-            sets = [s for s in (shingle_set(t, shingle) for t in b.column("text").to_pylist()) if len(s)]
+            at = _filter_places(b.column("row").to_numpy(), 8 * len(bits))
+            wanted = np.flatnonzero((bits[at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1).all(axis=1))
+            sets = [s for s in (shingle_set(t, shingle) for t in b.column("text").take(pa.array(wanted)).to_pylist()) if len(s)]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([_node(s) for s in sets], pa.int64()), pa.array([_parts(s) for s in sets], pa.binary()), pa.array([s.tobytes() for s in sets], pa.binary())],
                 names=schema.names,
             )
 
-    rows = docs.select(_key(docs).alias("key"), "text").join(wanted, "key", "left_semi")
-    return rows.select("text").mapInArrow(run, schema)
-
-
-def _key(docs: DataFrame) -> Column:
-    """Text form of a document's id, or of its text's hash where the id is NULL."""
-    return F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("text "), F.xxhash64("text").cast("string")))
+    # a copy that passes the filter by chance, or a repeated row, must not double a node
+    return docs.select(_row().alias("row"), "text").mapInArrow(run, schema).dropDuplicates(["node"])
 
 
 def _least_overlap(na: Column, nb: Column, percent: int) -> Column:
@@ -224,23 +304,23 @@ def _length_ok(na: Column, nb: Column, percent: int) -> Column:
     return F.least(na, nb) * 100 >= F.greatest(na, nb) * percent
 
 
-def _distinct_pairs(matches: DataFrame, percent: int) -> DataFrame:
-    """Pairs ``(a, b, na, nb)``, a < b, that pass the positional filter at their first common shingle.
+def _may_match(na: Column, pa: Column, nb: Column, pb: Column, percent: int) -> Column:
+    """Length filter, and positional filter for a common shingle at places ``pa`` and ``pb``.
 
-    ``matches`` has a row for each common prefix shingle: ``x, nx, posx, y, ny, posy``.
+    The first common shingle of a similar pair leaves room for the least
+    overlap on both sides, so one such row is enough to bring the pair up.
     """
+    return _length_ok(na, nb, percent) & (F.least(na - pa, nb - pb) >= _least_overlap(na, nb, percent))
+
+
+def _distinct_pairs(matches: DataFrame) -> DataFrame:
+    """Pairs ``(a, b, na, nb)``, a < b, once each; ``matches`` has ``x, nx, y, ny``."""
     swap = F.col("x") > F.col("y")
 
     def pick(first, second):
         return F.when(swap, F.col(second)).otherwise(F.col(first))
 
-    m = matches.select(
-        pick("x", "y").alias("a"), pick("y", "x").alias("b"), pick("nx", "ny").alias("na"), pick("ny", "nx").alias("nb"),
-        (F.col("nx") - F.col("posx") - 1).alias("restx"), (F.col("ny") - F.col("posy") - 1).alias("resty"),
-    )
-    # the first common shingle leaves the longest rest on both sides
-    p = m.groupBy("a", "b", "na", "nb").agg(F.max(F.least("restx", "resty")).alias("rest"))
-    return p.where(F.col("rest") + 1 >= _least_overlap(F.col("na"), F.col("nb"), percent)).select("a", "b", "na", "nb")
+    return matches.select(pick("x", "y").alias("a"), pick("y", "x").alias("b"), pick("nx", "ny").alias("na"), pick("ny", "nx").alias("nb")).distinct()
 
 
 def _star(lists: DataFrame, priority: Column, percent: int) -> DataFrame:
@@ -251,27 +331,34 @@ def _star(lists: DataFrame, priority: Column, percent: int) -> DataFrame:
     """
     centre = F.max(F.struct(priority.alias("p"), "node", "n", "pos", "comp")).alias("c")
     c = lists.groupBy("token").agg(centre, F.min("comp").alias("lo"), F.max("comp").alias("hi")).where(F.col("lo") < F.col("hi")).select(F.col("token").alias("_t"), "c")
-    m = lists.join(c, F.col("token") == F.col("_t")).where((F.col("comp") != F.col("c.comp")) & _length_ok(F.col("n"), F.col("c.n"), percent))
-    return m.select(
-        F.col("node").alias("x"), F.col("n").alias("nx"), F.col("pos").alias("posx"), F.col("c.node").alias("y"), F.col("c.n").alias("ny"), F.col("c.pos").alias("posy")
+    m = lists.join(c, F.col("token") == F.col("_t")).where(
+        (F.col("comp") != F.col("c.comp")) & _may_match(F.col("n"), F.col("pos"), F.col("c.n"), F.col("c.pos"), percent)
     )
+    return m.select(F.col("node").alias("x"), F.col("n").alias("nx"), F.col("c.node").alias("y"), F.col("c.n").alias("ny"))
 
 
 def _across(lists: DataFrame, percent: int) -> DataFrame:
-    """Every pair of nodes of different components that share a prefix shingle and pass the length filter."""
-    per = lists.groupBy("token", "comp").agg(F.min("n").alias("lo"), F.max("n").alias("hi"))
-    x, y = per.select("token", F.col("comp").alias("cx"), F.col("lo").alias("lox"), F.col("hi").alias("hix")), per.select(
-        F.col("token").alias("_t"), F.col("comp").alias("cy"), F.col("lo").alias("loy"), F.col("hi").alias("hiy")
-    )
+    """Every pair of nodes of different components that share a prefix shingle and pass the filters that rows allow.
+
+    ``lists`` has ``token, node, n, pos, comp`` and the node's ``centre`` and ``away`` (NULL if it has none).
+    """
+    # the filters on the bounds of a component first: most pairs of components go here
+    per = lists.groupBy("token", "comp").agg(F.min("n").alias("lo"), F.max("n").alias("hi"), F.max(F.col("n") - F.col("pos")).alias("rest"))
+    bounds = ("lo", "hi", "rest")
+    x = per.select("token", F.col("comp").alias("cx"), *[F.col(c).alias(f"{c}x") for c in bounds])
+    y = per.select(F.col("token").alias("_t"), F.col("comp").alias("cy"), *[F.col(c).alias(f"{c}y") for c in bounds])
     near = (F.col("hix") * 100 >= F.col("loy") * percent) & (F.col("hiy") * 100 >= F.col("lox") * percent)
+    near = near & (F.least("restx", "resty") >= _least_overlap(F.col("lox"), F.col("loy"), percent))
     meet = x.join(y, (F.col("token") == F.col("_t")) & (F.col("cx") < F.col("cy")) & near).select("token", "cx", "cy")
-    left = lists.select(F.col("token").alias("_tx"), F.col("comp").alias("_cx"), F.col("node").alias("x"), F.col("n").alias("nx"), F.col("pos").alias("posx"))
-    right = lists.select(F.col("token").alias("_ty"), F.col("comp").alias("_cy"), F.col("node").alias("y"), F.col("n").alias("ny"), F.col("pos").alias("posy"))
+    own = ("node", "n", "pos", "centre", "away")
+    left = lists.select(F.col("token").alias("_tx"), F.col("comp").alias("_cx"), *[F.col(c).alias(f"{c}x") for c in own])
+    right = lists.select(F.col("token").alias("_ty"), F.col("comp").alias("_cy"), *[F.col(c).alias(f"{c}y") for c in own])
     m = meet.join(left, (F.col("token") == F.col("_tx")) & (F.col("cx") == F.col("_cx")))
-    # before the first common shingle is known: what stands before, the shingle and what is left
-    most = F.least("posx", "posy") + 1 + F.least(F.col("nx") - F.col("posx") - 1, F.col("ny") - F.col("posy") - 1)
-    near = _length_ok(F.col("nx"), F.col("ny"), percent) & (most >= _least_overlap(F.col("nx"), F.col("ny"), percent))
-    return m.join(right, (F.col("token") == F.col("_ty")) & (F.col("cy") == F.col("_cy")) & near).select("x", "nx", "posx", "y", "ny", "posy")
+    # Jaccard distance is a metric: a common centre may hold two nodes apart
+    apart = (F.col("centrex") == F.col("centrey")) & (F.abs(F.col("awayx") - F.col("awayy")) > 1.0 - percent / 100.0 + 1e-9)
+    near = _may_match(F.col("nx"), F.col("posx"), F.col("ny"), F.col("posy"), percent) & ~F.coalesce(apart, F.lit(False))
+    pairs = m.join(right, (F.col("token") == F.col("_ty")) & (F.col("cy") == F.col("_cy")) & near)
+    return pairs.select(F.col("nodex").alias("x"), "nx", F.col("nodey").alias("y"), "ny")
 
 
 def _not_far_apart(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -322,39 +409,43 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 def jaccard_components(docs: DataFrame, percent: int = PERCENT, shingle: int = SHINGLE) -> DataFrame:
     """``(doc_id, n_shingles, component_id, node)`` of every document."""
+    spark = docs.sparkSession
     found = checkpoint(document_nodes(docs.select("doc_id", "text"), shingle))
-    rows = found.where(F.col("n_shingles").isNotNull()).select("doc_id", "n_shingles", "node")
+    rows = found.where(F.col("n_shingles").isNotNull()).select("doc_id", "row", "n_shingles", "node")
     sketch = _sketch(found.where(F.col("block").isNotNull()).select("block", "total"))
     postings = checkpoint(shared_postings(prefix_postings(docs, sketch, percent, shingle)))
-    keyed = rows.where(F.col("node").isNotNull()).groupBy("node").agg(F.count(F.lit(1)).alias("copies"), F.min("doc_id").alias("least_id"))
-    in_lists = postings.select("node").distinct()
-    # texts of one document of every node in a list; a node of NULL ids is found by its text's hash
-    ids = keyed.join(in_lists, "node", "left_semi").where(F.col("least_id").isNotNull()).select(F.col("least_id").cast("string").alias("key"))
-    unnamed = docs.where(F.col("doc_id").isNull()).select(_key(docs).alias("key"))
-    sets = checkpoint(node_sets(docs, ids.unionByName(unnamed).distinct(), shingle).join(in_lists, "node", "left_semi"))
+    release(spark)
+    keyed = checkpoint(rows.where(F.col("node").isNotNull()).groupBy("node").agg(F.count(F.lit(1)).alias("copies"), F.min("row").alias("row")))
     lists = postings.join(keyed.select("node", "copies"), "node")
-    labels, done, home = None, None, None
+    sets, done, home = None, None, None
+    labels = spark.createDataFrame([], "node long, root long")
     for turn in range(STAR_ROUNDS + 1):
-        if labels is None:
-            current = lists.withColumn("comp", F.col("node"))
-        else:
-            current = lists.join(labels, "node", "left").withColumn("comp", F.coalesce("root", "node")).drop("root")
+        current = lists.join(labels, "node", "left").withColumn("comp", F.coalesce("root", "node")).drop("root")
+        if turn:
+            current = checkpoint(_mixed_lists(current))
+            if current.isEmpty():
+                break
+            lists = current.drop("comp")
         if turn < STAR_ROUNDS:
-            # the most copied set first (an original usually is), then centres at random
-            priority = F.col("copies") if turn == 0 else F.xxhash64("node", F.lit(turn))
-            matches = _star(current, priority, percent)
+            # the most copied set first (an original usually is), then a centre of its own for every list
+            matches = _star(current, F.col("copies") if turn == 0 else F.xxhash64("node", "token", F.lit(turn)), percent)
         else:
-            current = checkpoint(_mixed_lists(current))
-            matches = _across(current, percent)
-        pairs = _distinct_pairs(matches, percent)
-        if done is not None:
+            matches = _across(current.join(home, "node", "left"), percent)
+        pairs = _distinct_pairs(matches)
+        if turn:
             pairs = pairs.join(done.select("a", "b"), ["a", "b"], "left_anti")
-            pairs = _near_by_centre(pairs, home, percent)
+        pairs = checkpoint(pairs)
+        release(spark)
+        wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+        if sets is not None:
+            wanted = wanted.join(sets.select("node"), "node", "left_anti")
+        more = checkpoint(node_sets(docs, keyed.join(wanted, "node", "left_semi").select("row"), shingle))
+        sets = more if sets is None else sets.unionByName(more)
         checked = checkpoint(_verified(_not_far_apart(pairs, sets, percent), sets, percent))
-        home = _homes(checked) if turn == 0 else home
+        home = home or _homes(checked)
         done = checked if done is None else done.unionByName(checked)
-        links = done.where("linked").select(F.col("a").alias("src"), F.col("b").alias("dst"))
-        labels = connected_components(links)
+        labels = connected_components(done.where("linked").select(F.col("a").alias("src"), F.col("b").alias("dst")))
+        release(spark)
     member = rows.join(labels, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = member.where(F.col("root").isNotNull()).groupBy("root").agg(F.min("doc_id").alias("component_id")).withColumnRenamed("root", "_r")
     out = member.join(least, F.col("root") == F.col("_r"), "left")
@@ -375,15 +466,6 @@ def _homes(checked: DataFrame) -> DataFrame:
     return checkpoint(both.groupBy("node").agg(F.min(F.struct("distance", "centre")).alias("h")).select("node", F.col("h.centre").alias("centre"), F.col("h.distance").alias("away")))
 
 
-def _near_by_centre(pairs: DataFrame, home: DataFrame, percent: int) -> DataFrame:
-    """Drops pairs that a common centre holds apart: Jaccard distance is a metric."""
-    h = home.select(F.col("node").alias("_n"), F.col("centre").alias("_c"), F.col("away").alias("_w"))
-    p = pairs.join(h.withColumnsRenamed({"_c": "ca", "_w": "wa"}), F.col("a") == F.col("_n"), "left").drop("_n")
-    p = p.join(h.withColumnsRenamed({"_c": "cb", "_w": "wb"}), F.col("b") == F.col("_n"), "left").drop("_n")
-    apart = (F.col("ca") == F.col("cb")) & (F.abs(F.col("wa") - F.col("wb")) > 1.0 - percent / 100.0 + 1e-9)
-    return p.where(~F.coalesce(apart, F.lit(False))).select("a", "b", "na", "nb")
-
-
 def keep_one(docs: DataFrame, percent: int = PERCENT, shingle: int = SHINGLE) -> DataFrame:
     """One document of each component, that of the smallest ``doc_id``, with its own columns.
 
