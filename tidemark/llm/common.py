@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
 
@@ -42,6 +43,20 @@ def checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+BROADCAST_ROWS = 200_000
+
+
+def counted_broadcast(df: DataFrame) -> DataFrame:
+    """Hints a broadcast of a narrow checkpointed table that is counted to be small; else leaves the join to AQE."""
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+
+
+def release(spark: SparkSession) -> None:
+    """Lets Spark's cleaner drop the shuffle files of plans that checkpoints have replaced."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def field_type(df: DataFrame, name: str) -> T.DataType:
     return df.schema[name].dataType
 
@@ -82,10 +97,11 @@ def small_batches(batches, limit_bytes: int = 8 << 20, column: str = "text"):
 def mix64(x: np.ndarray) -> np.ndarray:
     """A 64-bit finaliser (public constants of SplitMix64) over a uint64 array."""
     x = x ^ (x >> np.uint64(30))
-    x = x * np.uint64(0xBF58476D1CE4E5B9)
-    x = x ^ (x >> np.uint64(27))
-    x = x * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
+    x *= np.uint64(0xBF58476D1CE4E5B9)
+    x ^= x >> np.uint64(27)
+    x *= np.uint64(0x94D049BB133111EB)
+    x ^= x >> np.uint64(31)
+    return x
 
 
 def tokenizer_path(name: str) -> str:

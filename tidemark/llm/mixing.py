@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import WORD, checkpoint, sqrt_buckets
+from tidemark.llm.common import WORD, checkpoint, counted_broadcast, sqrt_buckets
 
 DEFAULT_WEIGHTS = (1, 2, 3)   # given to the sources in code point order, repeating
 MAX_REPEAT = 3                # a source's target is at most this many times its size
@@ -80,7 +80,7 @@ def prefix_sums(sized: DataFrame, targets: DataFrame) -> DataFrame:
     Two levels: a running sum inside each key range of the source, plus the
     total of the ranges before it.
     """
-    t = targets.select(F.col("source").alias("_s"), "source_size", "target", sqrt_buckets(F.col("n_docs")).alias("_ranges"))
+    t = counted_broadcast(targets).select(F.col("source").alias("_s"), "source_size", "target", sqrt_buckets(F.col("n_docs")).alias("_ranges"))
     d = sized.join(t, F.col("source").eqNullSafe(F.col("_s"))).drop("_s")
     d = d.withColumn("_range", F.floor(F.col("key") / F.lit(float(KEY_SPACE)) * F.col("_ranges")))
     inside = Window.partitionBy("source", "_range").orderBy("key").rangeBetween(Window.unboundedPreceding, -1)
@@ -124,7 +124,7 @@ def with_taken(rows: DataFrame, cuts: DataFrame) -> DataFrame:
 
     ``rows`` has ``source``, ``size`` and ``key``; ``cuts`` has one row per source.
     """
-    c = cuts.withColumnRenamed("source", "_s")
+    c = counted_broadcast(cuts).withColumnRenamed("source", "_s")
     # one document alone at the cut takes exactly the rest; rows that share its key take their shares
     share = F.least(F.col("size"), F.floor(F.col("cut_words") * F.col("size") / F.col("cut_size")))
     tail = (
