@@ -40,7 +40,7 @@ GRADES = 4                    # clean, and thirds of the toxic by bearing words
 L2 = 1e-4
 STEPS = 400
 REJECT_AT = 0.5               # expected severity from which a document is rejected
-WORDS_CACHED = 200_000
+WORDS_CACHED = 100_000
 _EDGE = bytes(c for c in range(33, 127) if not chr(c).isalnum())
 
 
