@@ -1,0 +1,397 @@
+"""Mixing, packing, classifiers, search, embedding dedup and revisits."""
+
+import math
+import random
+import zlib
+from collections import defaultdict
+
+import duckdb
+import numpy as np
+import pytest
+from llm_fixtures import TEXTS, documents  # noqa: F401
+from pyspark.sql import functions as F
+
+from tidemark.llm import embdedup, langid, mixing, packing, quality, queries, revisit, topk, toxicity
+
+SF = "/root/testdata/sf0.001"
+SMALL = "/root/testdata/sf0.01"
+
+
+def _duck(sf, *tables):
+    con = duckdb.connect()
+    for t in tables:
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf}/{t}.parquet')")
+    return con
+
+
+@pytest.mark.parametrize("name", sorted(queries.ORACLE))
+def test_queries_match_sql(spark, name):
+    con = _duck(SF, "documents", "embeddings", "pages")
+    df = queries.QUERIES[name](spark, SF)
+    cur = con.execute(queries.ORACLE[name])
+    names = [d[0] for d in cur.description]
+    assert sorted(names) == sorted(df.columns)
+    want = sorted((tuple(r) for r in cur.fetchall()), key=repr)
+    assert sorted((tuple(r) for r in df.select(*names).collect()), key=repr) == want
+
+
+# --- mixing -------------------------------------------------------------------
+
+ODD = [(i, t, "en", s) for i, (t, s) in enumerate([(t, s) for t in TEXTS for s in ("b", None, "a")])]
+
+
+def _water(sizes):
+    total = sum(sizes.values())
+    order = sorted(sizes, key=lambda s: (s is None, s or ""))
+    weight = {s: (1, 2, 3)[k % 3] for k, s in enumerate(order)}
+    full, target = set(), {}
+    while True:
+        free = [s for s in order if s not in full]
+        left = total - sum(3 * sizes[s] for s in full)
+        target = {s: 3 * sizes[s] if s in full else left * weight[s] / sum(weight[x] for x in free) for s in order}
+        over = [s for s in free if target[s] > 3 * sizes[s]]
+        if not over:
+            return target
+        full |= set(over)
+
+
+def test_mix_plan_targets_and_cuts(spark, documents):  # noqa: F811
+    rnd = random.Random(1)
+    rows = [(i, "w " * rnd.randrange(0, 30), "en", rnd.choice(["a", "b", "c", "d", "tiny", None])) for i in range(300)]
+    rows = [r for r in rows if r[3] != "tiny"] + [(1000, "x y", "en", "tiny")] + [(2000 + i, t, la, s) for i, t, la, s in ODD]
+    got = mixing.mix_plan(documents(rows)).collect()
+    size = {r[0]: len((r[1] or "").encode().split()) for r in rows}
+    per, taken = defaultdict(int), defaultdict(int)
+    source = {r[0]: r[3] for r in rows}
+    for r in rows:
+        per[r[3]] += size[r[0]]
+    want = _water(per)
+    for r in got:
+        assert r.size == size[r.doc_id] and r.source_size == per[source[r.doc_id]] and 0 <= r.taken <= 3 * r.size
+        assert r.target == pytest.approx(want[source[r.doc_id]])
+        taken[source[r.doc_id]] += r.taken
+    assert len(got) == len(rows)
+    for s in per:
+        assert abs(taken[s] - want[s]) <= 0.5
+    assert sorted(map(tuple, got)) == sorted(map(tuple, mixing.mix_plan(documents(rows).repartition(7)).collect()))
+
+
+def test_mix_takes_the_planned_words(spark, documents):  # noqa: F811
+    rnd = random.Random(2)
+    rows = [(i, " ".join(f"w{k}" for k in range(rnd.randrange(0, 20))) + rnd.choice(["", "\n"]), "en", rnd.choice("ab")) for i in range(80)]
+    rows += [(500, "only small", "en", "c"), (501, None, "en", None)]
+    docs = documents(rows)
+    mixed = mixing.mix(docs)
+    assert mixed.columns == docs.columns
+    words = defaultdict(int)
+    text = {r[0]: r[1] for r in rows}
+    for r in mixed.collect():
+        words[r.doc_id] += len((r.text or "").split())
+        assert (text[r.doc_id] or "").startswith(r.text or "")
+    plan = {r.doc_id: (r.size, r.taken) for r in mixing.mix_plan(docs).collect()}
+    assert all(words[i] == taken for i, (size, taken) in plan.items() if size)
+
+
+def test_mix_of_repeated_rows_and_nothing(spark, documents):  # noqa: F811
+    rows = [(7, "a b c", "en", "s")] * 4 + [(8, "d", "en", "t")] + [(None, "e f", "en", "t")] * 2
+    got = mixing.mix_plan(documents(rows)).collect()
+    assert len(got) == 7 and all(0 <= r.taken <= 3 * r.size for r in got)
+    assert mixing.mix_plan(documents([])).count() == 0 and mixing.mix(documents([])).count() == 0
+    silent = mixing.mix_plan(documents([(1, "", "en", "s"), (2, None, "en", None)])).collect()
+    assert [(r.size, r.taken, r.target) for r in silent] == [(0, 0, 0.0)] * 2
+
+
+# --- packing ------------------------------------------------------------------
+
+
+@pytest.fixture(scope="module")
+def tokenizer():
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(packing.tokenizer_path(packing.VOCABULARY))
+
+
+def _check_packing(rows, got, tokenizer, seq_len):
+    pieces = defaultdict(list)
+    for d, t, *_ in rows:
+        ids = tokenizer.encode(t or "", add_special_tokens=False).ids + [0]
+        for k, at in enumerate(range(0, len(ids), seq_len)):
+            part = np.array(ids[at : at + seq_len], dtype="<u4")
+            pieces[d, k].append((at, len(part), zlib.crc32(part.tobytes())))
+    for r in got:
+        pieces[r.doc_id, r.piece].remove((r.start, r.length, r.ids_crc32))
+    assert not any(pieces.values())
+    by = defaultdict(list)
+    for r in got:
+        by[r.sequence_id].append((r.offset, r.length))
+    for parts in by.values():
+        at = 0
+        for offset, length in sorted(parts):
+            assert offset == at
+            at += length
+        assert at <= seq_len
+    return by
+
+
+@pytest.mark.parametrize("seq_len", [7, 64, 2048])
+def test_packing_round_trip(spark, documents, tokenizer, seq_len):  # noqa: F811
+    rnd = random.Random(seq_len)
+    rows = [(i, t, "en", "s") for i, t in enumerate(TEXTS)]
+    rows += [(100 + i, " ".join(rnd.choice(["the", "Ünïcode", "don't", "x9,y", "naïveté"]) for _ in range(rnd.randrange(0, 150))), "de", "s") for i in range(150)]
+    rows += [(None, "no id", "en", "s"), rows[4], rows[4]]
+    got = packing.pack(documents(rows).repartition(3), seq_len=seq_len).collect()
+    by = _check_packing(rows, got, tokenizer, seq_len)
+    total = sum(r.length for r in got)
+    assert len(by) <= math.ceil(total / seq_len) * 1.2 + 1
+
+
+def test_packed_sequences_hold_the_ids(spark, documents, tokenizer):  # noqa: F811
+    rows = [(i, "some words here " * i, "en", "s") for i in range(20)]
+    packed = packing.pack(documents(rows), seq_len=32, with_ids=True)
+    ids = {r.sequence_id: list(r.ids) for r in packing.sequences(packed).collect()}
+    for r in packed.collect():
+        assert ids[r.sequence_id][r.offset : r.offset + r.length] == list(r.ids)
+    assert packing.pack(documents([])).count() == 0
+
+
+def test_word_path_equals_whole_texts(tokenizer):
+    rnd = random.Random(6)
+    words = packing._WordIds(packing.tokenizer_path(packing.VOCABULARY))
+    letters = list("abcXYZ éßñ'’.,!$%0123\t\n\r\x0b\x0c\x1c\x85  ́İΣ漢😀<|>") + ["<|endoftext|>", "'s ", "don't "] + list("aeiéüÀß" * 4)
+    for _ in range(3000):
+        text = "".join(rnd.choice(letters) for _ in range(rnd.randrange(0, 30)))
+        assert np.frombuffer(words.text(text), dtype="<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def test_best_fit_plan_places_every_piece():
+    rnd = random.Random(4)
+    for _ in range(60):
+        counts = {rnd.randrange(1, 33): rnd.randrange(1, 40) for _ in range(rnd.randrange(1, 12))}
+        room, placed = defaultdict(list), defaultdict(list)
+        for length, rank, n, first, offset in packing.best_fit_plan(counts, 32):
+            placed[length] += range(rank, rank + n)
+            for k in range(n):
+                room[first + k].append((offset, length))
+        assert {k: sorted(v) for k, v in placed.items()} == {k: list(range(n)) for k, n in counts.items()}
+        for parts in room.values():
+            assert [o for o, _ in sorted(parts)] == list(np.cumsum([0] + [x for _, x in sorted(parts)])[:-1]) and sum(x for _, x in parts) <= 32
+
+
+# --- classifiers ----------------------------------------------------------------
+
+
+def test_language_accuracy_and_odd_texts(spark, documents):  # noqa: F811
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    got = langid.identify(docs).join(docs.select("doc_id", F.col("lang")), "doc_id").collect()
+    held = [r for r in got if r.held_out]
+    assert {r.doc_id for r in held} == {r.doc_id for r in got if zlib.crc32(str(r.doc_id).encode()) % 5 == 0}
+    assert np.mean([r.lang == r.lang_pred for r in held]) > 0.97 and all(0 <= r.score <= 1 for r in got)
+    rows = [(i, t, lang, "s") for i, (t, lang) in enumerate((t, la) for t in [*TEXTS, "y" * 2_000_000] for la in ("en", None))] + [(None, "abc", "de", "s")]
+    odd = {r.doc_id: r for r in langid.identify(documents(rows)).collect()}
+    assert len(odd) == len(rows) and odd[0].lang_pred == "und" and odd[0].score == 0.0 and odd[10].lang_pred == "und"
+    assert not odd[None].held_out
+    assert langid.identify(documents([])).count() == 0
+    nothing = langid.identify(documents([(1, "abc", None, "s")])).first()
+    assert (nothing.lang_pred, nothing.score) == ("und", 0.0)
+
+
+def test_language_scores_match_a_plain_sum(spark, documents):  # noqa: F811
+    rows = [(i, t, la, "s") for i, (t, la) in enumerate([("abab abba", "x"), ("cdcd cd", "y"), ("abcd", "x"), ("dcdc", "y")] * 3)]
+    model = langid.fit(documents(rows))
+    text = "abdc"
+    want = model.matrix[-1].copy()
+    chars = langid.code_points(text)
+    for n in langid.SIZES:
+        for b in langid.ngram_buckets(chars, n):
+            want = want + model.matrix[b]
+    assert model.log_scores(text) == pytest.approx(want)
+
+
+def test_quality_accuracy_and_odd_texts(spark, documents):  # noqa: F811
+    docs, labels = (spark.read.parquet(f"{SMALL}/{t}.parquet") for t in ("documents", "labels"))
+    got = quality.classify(docs, labels).join(labels, "doc_id").collect()
+    held = [r for r in got if r.held_out]
+    assert {r.doc_id for r in held} == {r.doc_id for r in got if zlib.crc32(str(r.doc_id).encode()) % 4 == 2}
+    assert np.mean([r.predicted == r.quality for r in held]) > 0.9 and all(0 <= r.score <= 1 for r in got)
+    odd = documents([(i, t, "en", "s") for i, t in enumerate(TEXTS)] + [(None, "abc", "en", "s")])
+    marks = spark.createDataFrame([(0, 1), (1, 0), (3, 1), (3, 1), (4, None), (5, 7), (6, 0), (None, 1)], "doc_id long, quality int")
+    assert quality.classify(odd, marks).count() == len(TEXTS) + 1
+    assert {r.score for r in quality.classify(odd, marks.where("quality = 1")).collect()} == {1.0}
+    assert {r.score for r in quality.classify(odd, marks.limit(0)).collect()} == {0.5}
+    assert quality.classify(documents([]), marks).count() == 0
+
+
+def test_discriminant_matches_densities():
+    rng = np.random.default_rng(0)
+    a, b = rng.normal(size=(50, 3)), rng.normal(size=(60, 3)) @ np.diag([1, 2, 3]) + 1
+    classes = []
+    for x in (a, b):
+        c = np.cov(x.T, bias=True)
+        f = np.linalg.cholesky(c)
+        classes.append((math.log(0.5), x.mean(axis=0), np.linalg.inv(f), float(np.log(np.diag(f)).sum())))
+    model = quality.Discriminant(classes, temperature=1.0)
+    p = rng.normal(size=3)
+
+    def density(x):
+        c, d = np.cov(x.T, bias=True), p - x.mean(axis=0)
+        return math.exp(-0.5 * d @ np.linalg.solve(c, d)) / math.sqrt(np.linalg.det(c))
+
+    assert model.scores(p[None, :])[0] == pytest.approx(density(b) / (density(a) + density(b)))
+
+
+def test_toxicity_accuracy_and_odd_texts(spark, documents):  # noqa: F811
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
+    held = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    got = toxicity.grade(docs, labels.where(~held)).join(labels.where(held), "doc_id").collect()
+    # some 6 % of the labels do not follow from the texts
+    assert np.mean([r.rejected for r in got if r.toxic]) > 0.9 and np.mean([r.rejected for r in got if not r.toxic]) < 0.005
+    assert all(0 <= r.expected_severity <= toxicity.GRADES - 1 for r in got)
+    odd = documents([(i, t, "en", "s") for i, t in enumerate(TEXTS)] + [(3, "one", "en", "s")])
+    kept = toxicity.keep_clean(odd, labels)
+    assert kept.columns == odd.columns and kept.count() == len(TEXTS) + 1
+    assert toxicity.grade(odd, labels.limit(0)).where("rejected").count() == 0
+    assert toxicity.grade(documents([]), labels).count() == 0
+
+
+def test_ordinal_fit_recovers_order():
+    rng = np.random.default_rng(1)
+    x = rng.normal(size=2000)
+    grade = np.digitize(2 * x + rng.logistic(size=2000), [-1.0, 0.5, 2.0])
+    w, cut = toxicity._fit_ordinal(grade, np.arange(2000), np.zeros(2000, dtype=np.int64), x, 1, 4)
+    assert w[0] == pytest.approx(2, abs=0.35) and (np.diff(cut) > 0).all() and cut == pytest.approx([-1, 0.5, 2], abs=0.4)
+
+
+# --- vectors --------------------------------------------------------------------
+
+
+def _vectors(spark, rows):
+    return spark.createDataFrame([(i, v, 0) for i, v in rows], "vec_id long, embedding array<float>, label int").withColumn("rep", F.lit("clash")).withColumn("dim", F.lit(1))
+
+
+BAD = [None, [], [float("nan"), 1.0, 0.0], [1.0, None, 0.0], [float("inf"), 0.0, 1.0], [0.0, -0.0, 0.0]]
+
+
+def test_embedding_links_match_brute_force(spark):
+    rng = np.random.default_rng(3)
+    centres = rng.normal(size=(40, 24))
+    data = np.vstack([c + rng.normal(size=(k, 24)) * 0.08 for c, k in zip(centres, rng.integers(1, 40, size=40))]).astype(np.float32)
+    data = np.vstack([data, data[:5], data[:1] * 2])
+    rows = [(i * 2, [float(x) for x in v]) for i, v in enumerate(data)]
+    rows += [(5001 + i, v) for i, v in enumerate(BAD)] + [(None, [1.0] * 24)]
+    got = {r.vec_id: r for r in embdedup.near_duplicates(_vectors(spark, rows).repartition(4)).collect()}
+    assert len(got) == len(rows)
+    x = data.astype(np.float64)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    linked = x @ x.T >= 0.9
+    np.fill_diagonal(linked, False)
+    found = sum(got[i * 2].n_links for i in range(len(data)))
+    assert 0.9 * linked.sum() <= found <= linked.sum()
+    assert all(got[i * 2].n_links <= linked[i].sum() for i in range(len(data)))
+    root = embdedup._roots(len(data), *np.nonzero(linked))
+    same = [got[i * 2].component_id == 2 * root[i] for i in range(len(data))]
+    assert np.mean(same) > 0.95 and all(got[i * 2].kept == (got[i * 2].component_id == i * 2) for i in range(len(data)))
+    assert all((got[5001 + i].n_links, got[5001 + i].component_id, got[5001 + i].kept) == (0, 5001 + i, True) for i in range(len(BAD)))
+
+
+def test_embedding_hot_bucket_in_cells(spark, monkeypatch):
+    monkeypatch.setattr(embdedup, "CELL_ROWS", 16)
+    rng = np.random.default_rng(4)
+    base = rng.normal(size=16)
+    rows = [(i, [float(x) for x in base + rng.normal(size=16) * 0.02]) for i in range(150)]
+    rows += [(1000 + i, rows[0][1]) for i in range(7)]
+    got = embdedup.near_duplicates(_vectors(spark, rows)).collect()
+    assert {r.n_links for r in got} == {156} and {r.component_id for r in got} == {0} and sum(r.kept for r in got) == 1
+    assert embdedup.near_duplicates(_vectors(spark, [])).count() == 0
+
+
+def brute_top(rows, mod=50, k=5):
+    ok = {}
+    for i, v in rows:
+        if i is not None and v and all(x is not None and math.isfinite(x) for x in v):
+            q = [math.floor(256 * float(np.float32(x))) for x in v]
+            ok[i] = min(ok.get(i, q), q)
+    out = []
+    for i in ok:
+        if i % mod == 0:
+            scores = sorted((-sum(a * b for a, b in zip(ok[i], w)), j) for j, w in ok.items() if j != i and len(w) == len(ok[i]))
+            out += [(i, r + 1, j, -s) for r, (s, j) in enumerate(scores[:k])]
+    return sorted(out)
+
+
+def test_top_k_matches_brute_force(spark, monkeypatch):
+    for name, value in (("RANGE_ROWS", 60), ("PIVOT_ROWS", 100), ("BLOCK_ROWS", 8), ("QUERY_ROWS", 3)):
+        monkeypatch.setattr(topk, name, value)
+    rng = np.random.default_rng(5)
+    rows = [(i, [float(x) for x in np.round(rng.normal(size=6), 1)]) for i in range(520)]
+    rows += [(600 + i, rows[0][1]) for i in range(90)] + [(2000 + i, v) for i, v in enumerate(BAD)]
+    rows += [(50, rows[7][1]), (None, rows[3][1]), (3000, [1.0, 2.0]), (3001, [2.0, 1.0]), (3050, [1e30] * 6)]
+    rows = [r for r in rows if r[1] != [1e30] * 6]
+    got = topk.top_k(_vectors(spark, rows).repartition(3))
+    assert sorted(tuple(r) for r in got.select("query_id", "rank", "vec_id", "score").collect()) == brute_top(rows)
+    assert topk.top_k(_vectors(spark, [])).count() == 0
+    assert [tuple(r) for r in topk.top_k(_vectors(spark, [(0, [1.0]), (1, [-1.0])])).collect()] == [(0, 1, 1, -65536)]
+
+
+# --- revisits -------------------------------------------------------------------
+
+
+def _records(spark, rows):
+    return spark.createDataFrame(rows, "record_id long, url string, captured long, status int, headers map<string,string>").withColumn("_part", F.lit("clash"))
+
+
+def test_revisits(spark):
+    tag = {"ETag": '"1"', "Content-Type": "text/html", "Date": "d0"}
+    rows = [
+        (1, "http://www.A.org/x/", 10, 200, tag),
+        (2, "https://a.org:443/x?utm_source=q#f", 20, 304, {"etag": 'W/"1"', "date": "d1", "Content-Length": "0"}),
+        (3, "http://a.org/x", 5, 304, {"ETag": '"1"'}),                       # before any response
+        (4, "http://a.org/x", 30, 304, {"ETag": '"2"'}),                      # another body
+        (5, "http://a.org/x", 40, 200, {"Last-Modified": "m"}),
+        (6, "http://a.org/x", 41, 304, {"Last-Modified": "m"}),
+        (7, "http://a.org/x", 42, 304, None),                                 # nothing to check
+        (8, None, 50, 304, {"ETag": '"1"'}),
+        (9, "http://a.org/x", 60, 404, {}),
+        (10, "http://a.org/x?b=2&a=1", None, 200, {}),
+        (11, "http://a.org/x?a=1&b=2", 1, 304, {}),
+        (12, "http://a.org/x", 41, 304, {"Last-Modified": "m"}),
+        (12, "http://a.org/x", 41, 304, {"Last-Modified": "m"}),
+    ]
+    got = revisit.resolve(_records(spark, rows)).collect()
+    by = {r.record_id: (r.outcome, r.original_id) for r in got}
+    assert len(got) == len(rows)
+    assert by == {
+        1: ("full", 1), 2: ("resolved", 1), 3: ("no_original", None), 4: ("mismatch", 1), 5: ("full", 5), 6: ("resolved", 5),
+        7: ("mismatch", 5), 8: ("no_original", None), 9: ("other", None), 10: ("full", 10), 11: ("mismatch", 10), 12: ("resolved", 5),
+    }
+    merged = next(r.headers for r in got if r.record_id == 2)
+    assert merged == {"etag": 'W/"1"', "content-type": "text/html", "date": "d1"}
+    bodies = spark.createDataFrame([(1, 200, "body one"), (5, 200, "body five")], "record_id long, status int, body string")
+    with_body = {r.record_id: r.body for r in revisit.with_bodies(revisit.resolve(_records(spark, rows)), bodies).collect()}
+    assert with_body[2] == "body one" and with_body[6] == "body five" and 4 not in with_body
+    assert revisit.resolve(_records(spark, [])).count() == 0
+
+
+def test_a_hot_url_over_many_partitions(spark):
+    rnd = random.Random(9)
+    rows = [(i, "http://h.org/a" if i % 3 else f"http://h.org/{i}", rnd.randrange(200), 200 if rnd.random() < 0.05 else 304, {"ETag": "1"}) for i in range(900)]
+    saved = spark.conf.get("spark.sql.shuffle.partitions")
+    for parts in ("1", "17"):
+        spark.conf.set("spark.sql.shuffle.partitions", parts)
+        try:
+            got = {r.record_id: r.original_id for r in revisit.resolve(_records(spark, rows)).collect()}
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", saved)
+        last = {}
+        for i, url, at, status, _ in sorted(rows, key=lambda r: (r[2], r[0])):
+            if status == 200:
+                last[url] = i
+            assert got[i] == last.get(url)
+
+
+def test_canonical_urls(spark):
+    cases = {
+        "HTTP://WWW.Ex.org:80/A/": "ex.org/A", "https://ex.org": "ex.org", "http://ex.org/?ref=1": "ex.org", "http://ex.org/p?z=1&utm_medium=a&b=2#x": "ex.org/p?b=2&z=1",
+        "ex.org/p": "ex.org/p", "": "", "http://ex.org/a.html?q=a/b?c": "ex.org/a.html?q=a/b?c",
+    }
+    df = spark.createDataFrame([(k,) for k in cases], "url string")
+    assert {r.url: r.c for r in df.select("url", revisit.canonical_url(F.col("url")).alias("c")).collect()} == cases
