@@ -17,6 +17,9 @@ from pyspark.sql import types as T
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+ARROW_BATCH = "8m"            # bytes of an Arrow batch, about
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -24,8 +27,12 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def checkpoint_folder(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``, which driver and executors share.
 
-    Only a local-mode session without one (tests) gets a scratch folder.
+    Only a local-mode session without one (tests) gets a scratch folder.  Every
+    operator passes here before it runs, so this also keeps Arrow batches of
+    long texts small: buffers of the default size stay with the Python workers
+    and the JVM after use.
     """
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", ARROW_BATCH)
     sc = spark.sparkContext
     if not sc.getCheckpointDir():
         where = sc.getConf().get("spark.checkpoint.dir", None)
