@@ -304,6 +304,28 @@ def test_embedding_hot_bucket_in_cells(spark, monkeypatch):
     assert embdedup.near_duplicates(_vectors(spark, [])).count() == 0
 
 
+@pytest.mark.parametrize("common", [0.0, 0.5, 0.8, 0.95])
+def test_embedding_recall_with_a_common_direction(spark, common):
+    """Pairs just above the threshold are found however much all vectors have in common."""
+    rng = np.random.default_rng(11)
+
+    def unit(x):
+        return x / np.linalg.norm(x, axis=-1, keepdims=True)
+
+    base = math.sqrt(common) * unit(rng.normal(size=48)) + math.sqrt(1 - common) * unit(rng.normal(size=(900, 48)))
+    base = unit(base)
+    step = rng.normal(size=base.shape)
+    step = unit(step - (step * base).sum(axis=1, keepdims=True) * base)
+    data = np.vstack([base, 0.905 * base + math.sqrt(1 - 0.905**2) * step]).astype(np.float32)
+    got = {r.vec_id: r.n_links for r in embdedup.near_duplicates(_vectors(spark, [(i, [float(c) for c in v]) for i, v in enumerate(data)])).collect()}
+    x = unit(data.astype(np.float64))
+    linked = x @ x.T >= 0.9
+    np.fill_diagonal(linked, False)
+    assert linked.sum() >= 1800
+    assert all(got[i] <= linked[i].sum() for i in range(len(data)))
+    assert sum(got.values()) >= 0.95 * linked.sum()
+
+
 def brute_top(rows, mod=50, k=5):
     ok = {}
     for i, v in rows:

@@ -5,8 +5,12 @@ components whose signs are balanced binary codes.  The codes are cut into the
 keys of several Hamming tables: vectors that agree in a whole key of any table
 are candidates, and are reranked by the cosine of the original vectors in
 double precision.  The key length follows log2 of the row count, so a bucket
-holds about ``BUCKET_ROWS`` rows, and the number of tables is the least that
-finds a pair at the threshold itself with probability ``RECALL``.
+holds about ``BUCKET_ROWS`` rows.  The number of tables is measured: partners
+made at the threshold of the sample's rows are coded as all rows are (centring
+widens the angle of vectors that share a mean direction), and tables are added
+until the share ``RECALL`` of them meets in a whole key.  Where that takes so
+many tables that shorter keys cost less, keys are shorter; without any bits all
+pairs are compared.
 
 Scale: equal vectors are one row with a count first.  A bucket above
 ``CELL_ROWS`` rows is cut into chunks that meet pairwise in cells, so no task
@@ -37,15 +41,15 @@ from tidemark.llm.topk import finite
 THRESHOLD = 0.9
 SAMPLE_ROWS = 10_000          # vectors that the rotations are learned on: the lowest hashes of the id
 ITERATIONS = 40
-RECALL = 0.97                 # chance that a pair at the threshold itself shares a key of some table
+RECALL = 0.97                 # share of the pairs at the threshold itself that share a key of some table
 BUCKET_ROWS = 256             # rows of a bucket, about
 MIN_BITS = 6
 CELL_ROWS = 1024              # rows of one chunk of a hot bucket
 SEED = 7
 
 
-def learn_rotations(sample: np.ndarray, n_bits: int, iterations: int = ITERATIONS, seed: int = SEED) -> tuple[np.ndarray, np.ndarray]:
-    """``(mean, projection)``: ``n_bits`` code bits are the signs of ``(x - mean) @ projection``.
+def _rotations(sample: np.ndarray, iterations: int = ITERATIONS, seed: int = SEED):
+    """The mean, and an endless series of projections: code bits are the signs of ``(x - mean) @ projection``.
 
     Each rotation is started at random and alternates between the codes that
     fit it and the rotation that fits the codes (an orthogonal Procrustes
@@ -54,25 +58,75 @@ def learn_rotations(sample: np.ndarray, n_bits: int, iterations: int = ITERATION
     mean = sample.mean(axis=0)
     x = sample - mean
     _, _, axes = np.linalg.svd(x, full_matrices=False)
-    rng = np.random.default_rng(seed)
-    parts: list[np.ndarray] = []
     v = x @ axes.T
     d = v.shape[1]
-    while sum(p.shape[1] for p in parts) < n_bits:
-        r = np.linalg.qr(rng.standard_normal((d, d)))[0]
-        for _ in range(iterations):
-            code = np.where(v @ r >= 0, 1.0, -1.0)
-            u, _, w = np.linalg.svd(code.T @ v)
-            r = (u @ w).T
-        parts.append(axes.T @ r)
-    return mean, np.hstack(parts)[:, :n_bits]
 
+    def series():
+        rng = np.random.default_rng(seed)
+        while True:
+            r = np.linalg.qr(rng.standard_normal((d, d)))[0]
+            for _ in range(iterations):
+                code = np.where(v @ r >= 0, 1.0, -1.0)
+                u, _, w = np.linalg.svd(code.T @ v)
+                r = (u @ w).T
+            yield axes.T @ r
+
+    return mean, series()
+
+
+def threshold_partners(sample: np.ndarray, threshold: float, seed: int = SEED) -> list[np.ndarray]:
+    """Two partners of every unit vector at a cosine of ``threshold``, as unit vectors.
+
+    They differ from it in a random direction, and in the direction of the
+    difference of two rows (so along the data's own spread).
+    """
+    rng = np.random.default_rng(seed)
+    n = len(sample)
+    out = []
+    for step in (rng.standard_normal(sample.shape), sample[rng.permutation(n)] - sample[rng.permutation(n)]):
+        step = step - (step * sample).sum(axis=1, keepdims=True) * sample
+        size = np.sqrt((step * step).sum(axis=1, keepdims=True))
+        ok = size[:, 0] > 1e-9
+        step = np.where(ok[:, None], step / np.where(ok[:, None], size, 1.0), 0.0)
+        partner = threshold * sample + math.sqrt(max(0.0, 1.0 - threshold * threshold)) * step
+        out.append(np.where(ok[:, None], partner, sample))
+    return out
+
+
+def _cost(n_rows: int, bits: int, tables: float) -> float:
+    """Rows shuffled, in units of a row compared, and rows compared."""
+    return tables * n_rows * (BUCKET_ROWS + n_rows / 2.0**bits)
+
+
+def table_model(sample: np.ndarray, n_rows: int, threshold: float, recall: float = RECALL) -> tuple[np.ndarray, np.ndarray, int, int]:
+    """``(mean, projection, bits, tables)`` for ``n_rows`` rows, from a sample of their unit vectors."""
+    mean, series = _rotations(sample)
+    kinds = [p - mean for p in threshold_partners(sample, threshold)]
+    x = sample - mean
+    projection = next(series)
+    agreement = min(float(((x @ projection >= 0) == (p @ projection >= 0)).mean()) for p in kinds)
+
+    def expected(bits: int) -> float:
+        agree = agreement**bits
+        return math.log(1.0 - recall) / math.log1p(-agree) if 0.0 < agree < 1.0 else 1.0 if agree else math.inf
 
-def table_shape(n_rows: int, threshold: float, recall: float = RECALL) -> tuple[int, int]:
-    """Key bits and number of tables for ``n_rows`` rows."""
-    bits = max(MIN_BITS, math.ceil(math.log2(max(2, n_rows) / BUCKET_ROWS)))
-    agree = (1.0 - math.acos(threshold) / math.pi) ** bits
-    return bits, max(1, math.ceil(math.log(1.0 - recall) / math.log(1.0 - agree)))
+    most = max(MIN_BITS, math.ceil(math.log2(max(2, n_rows) / BUCKET_ROWS)))
+    bits = min(range(most, -1, -1), key=lambda b: _cost(n_rows, b, max(1.0, expected(b))))
+    tables, at = 0, 0
+    wanted = recall + 2.0 * math.sqrt(recall * (1.0 - recall) / len(sample))  # the sample's own error
+    met = [np.zeros(len(x), dtype=bool) for _ in kinds]
+    while bits and min(float(m.mean()) for m in met) < wanted:
+        if _cost(n_rows, bits, tables + 1) > _cost(n_rows, 0, 1):
+            bits = 0
+            break
+        while projection.shape[1] < at + bits:
+            projection = np.hstack([projection, next(series)])
+        part = projection[:, at : at + bits]
+        own = x @ part >= 0
+        for m, p in zip(met, kinds, strict=True):
+            m |= (own == (p @ part >= 0)).all(axis=1)
+        tables, at = tables + 1, at + bits
+    return (mean, projection[:, :at], bits, tables) if bits else (mean, projection[:, :0], 0, 1)
 
 
 def _roots(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
@@ -164,13 +218,13 @@ def near_duplicates(embeddings: DataFrame, threshold: float = THRESHOLD, sample_
 def _links(reps: DataFrame, threshold: float, sample_rows: int, recall: float, spark) -> DataFrame:
     """``(rep, links, least)`` of the vectors of one length, by table and cell."""
     n_rows = reps.count()
-    bits, tables = table_shape(n_rows, threshold, recall)
     taken = reps.orderBy(F.xxhash64("rep"), "rep").select("embedding").limit(sample_rows).toArrow()  # sample_rows vectors
     sample = np.asarray(taken.column(0).combine_chunks().flatten()).reshape(taken.num_rows, -1).astype(np.float64)
     # lengths do not matter for a cosine; the largest component is divided out first, so no square overflows
     sample = sample / np.abs(sample).max(axis=1, keepdims=True)
     sample = sample / np.sqrt((sample * sample).sum(axis=1, keepdims=True))
-    model = spark.sparkContext.broadcast(learn_rotations(sample, bits * tables))  # length x (bits * tables) numbers
+    mean, projection, bits, tables = table_model(sample, n_rows, threshold, recall)
+    model = spark.sparkContext.broadcast((mean, projection))  # length x (bits * tables) numbers
     schema = T.StructType(
         [*reps.select("rep", "copies", "embedding").schema.fields, T.StructField("keys", T.ArrayType(T.LongType()))]
     )
