@@ -85,6 +85,16 @@ def test_keep_one_of_each_group(spark, documents):
     assert {r.key for r in kept.select("key").collect()} == {"clash key"}
 
 
+def test_keep_one_tells_rows_by_their_text(spark, documents):
+    """Only copies go: other rows of an id stay, and copies without an id go like those with one."""
+    a, b, c, d, e = (" ".join(f"{x}{k}" for k in range(12)) for x in "abcde")
+    rows = [(1, a), (2, a), (2, b), (3, c), (3, d), (3, d), (None, e), (None, e), (None, e + " "), (None, b), (4, ""), (4, None), (None, "")]
+    kept = ngramjoin.keep_one(documents([(i, t, "en", "s") for i, t in rows]).repartition(3)).select("doc_id", "text").collect()
+    assert sorted((r.doc_id, r.text) for r in kept if (r.text or "").strip() and r.doc_id) == [(1, a), (2, b), (3, c), (3, d)]
+    assert [r.text.strip() for r in kept if (r.text or "").strip() and r.doc_id is None] == [e]
+    assert sorted(((r.doc_id, r.text) for r in kept if not (r.text or "").strip()), key=repr) == [(4, ""), (4, None), (None, "")]
+
+
 def test_empty_tables(spark, documents):
     empty = documents([])
     assert ngramjoin.jaccard_components(empty).count() == 0

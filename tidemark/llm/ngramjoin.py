@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import checkpoint, field_type, mix64, release, small_batches
+from tidemark.llm.common import checkpoint, counted_broadcast, field_type, mix64, release, small_batches
 from tidemark.llm.components import connected_components
 
 SHINGLE = 5
@@ -118,14 +118,15 @@ def _ceil_share(n, percent: int):
 
 
 def document_nodes(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """``(doc_id, row, n_shingles, node)`` of every document, and sketch rows ``(block, total)`` of every task.
+    """``(doc_id, row, th, n_shingles, node)`` of every document, and sketch rows ``(block, total)`` of every task.
 
-    ``row`` is a hash that finds the document again, see ``_row``.
+    ``row`` is a hash that finds the document again, see ``_row``; ``th`` is a hash of its text.
     """
     schema = T.StructType(
         [
             T.StructField("doc_id", field_type(docs, "doc_id")),
             T.StructField("row", T.LongType()),
+            T.StructField("th", T.LongType()),
             T.StructField("n_shingles", T.LongType()),
             T.StructField("node", T.LongType()),
             T.StructField("block", T.IntegerType()),
@@ -144,7 +145,7 @@ def document_nodes(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
             n = b.num_rows
             yield pa.RecordBatch.from_arrays(
                 [
-                    b.column("doc_id"), b.column("row"), pa.array([len(s) for s in sets], pa.int64()), pa.array([_node(s) for s in sets], pa.int64()),
+                    b.column("doc_id"), b.column("row"), b.column("th"), pa.array([len(s) for s in sets], pa.int64()), pa.array([_node(s) for s in sets], pa.int64()),
                     pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary()),
                 ],
                 names=schema.names,
@@ -154,11 +155,11 @@ def document_nodes(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
             n = len(blocks)
             id_type = b.column("doc_id").type
             yield pa.RecordBatch.from_arrays(
-                [pa.nulls(n, id_type), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.array(range(n), pa.int32()), pa.array(blocks, pa.binary())],
+                [pa.nulls(n, id_type), *[pa.nulls(n, pa.int64()) for _ in range(4)], pa.array(range(n), pa.int32()), pa.array(blocks, pa.binary())],
                 names=schema.names,
             )
 
-    return docs.select("doc_id", _row().alias("row"), "text").mapInArrow(run, schema)
+    return docs.select("doc_id", _row().alias("row"), F.xxhash64("text").alias("th"), "text").mapInArrow(run, schema)
 
 
 def _row() -> Column:
@@ -407,11 +408,11 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return p.mapInArrow(run, CHECK_SCHEMA)
 
 
-def jaccard_components(docs: DataFrame, percent: int = PERCENT, shingle: int = SHINGLE) -> DataFrame:
-    """``(doc_id, n_shingles, component_id, node)`` of every document."""
+def _members(docs: DataFrame, percent: int, shingle: int) -> DataFrame:
+    """``(doc_id, row, th, n_shingles, node, root)`` of every document; ``root`` names its component."""
     spark = docs.sparkSession
     found = checkpoint(document_nodes(docs.select("doc_id", "text"), shingle))
-    rows = found.where(F.col("n_shingles").isNotNull()).select("doc_id", "row", "n_shingles", "node")
+    rows = found.where(F.col("n_shingles").isNotNull()).select("doc_id", "row", "th", "n_shingles", "node")
     sketch = _sketch(found.where(F.col("block").isNotNull()).select("block", "total"))
     postings = checkpoint(shared_postings(prefix_postings(docs, sketch, percent, shingle)))
     release(spark)
@@ -446,7 +447,12 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT, shingle: int = S
         done = checked if done is None else done.unionByName(checked)
         labels = connected_components(done.where("linked").select(F.col("a").alias("src"), F.col("b").alias("dst")))
         release(spark)
-    member = rows.join(labels, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    return rows.join(labels, "node", "left").withColumn("root", F.coalesce("root", "node"))
+
+
+def jaccard_components(docs: DataFrame, percent: int = PERCENT, shingle: int = SHINGLE) -> DataFrame:
+    """``(doc_id, n_shingles, component_id, node)`` of every document."""
+    member = _members(docs, percent, shingle)
     least = member.where(F.col("root").isNotNull()).groupBy("root").agg(F.min("doc_id").alias("component_id")).withColumnRenamed("root", "_r")
     out = member.join(least, F.col("root") == F.col("_r"), "left")
     return out.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"), "node")
@@ -467,16 +473,21 @@ def _homes(checked: DataFrame) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, percent: int = PERCENT, shingle: int = SHINGLE) -> DataFrame:
-    """One document of each component, that of the smallest ``doc_id``, with its own columns.
+    """One document of each component, with its own columns: the row of the least ``(doc_id, text hash)``.
 
-    Rows that share a ``doc_id`` count as one document: it goes if any of its
-    texts is a later copy, else the row of the smallest text stays, once.
-    Documents without words or without an id all stay.
+    Rows are told apart by id and text, so a document goes only if its own text
+    is a copy, whatever other rows have its id; a NULL ``doc_id`` comes after
+    all others.  A repeated row stays once.  Documents without words all stay.
     """
-    c = jaccard_components(docs, percent, shingle)
-    gone = c.where(F.col("node").isNotNull() & (F.col("doc_id") != F.col("component_id"))).select(F.col("doc_id").alias("_gone")).distinct()
-    rows = docs.select(F.struct(*[F.col(f"`{x}`") for x in docs.columns]).alias("_d"), F.col("doc_id").alias("_id"))
-    left = rows.where(F.col("_id").isNotNull()).join(gone, F.col("_id") == F.col("_gone"), "left_anti")
-    once = left.groupBy("_id").agg(F.min_by("_d", F.coalesce("_d.text", F.lit(""))).alias("_d")).select("_d")
-    out = once.unionByName(rows.where(F.col("_id").isNull()).select("_d"))
+    member = checkpoint(_members(docs, percent, shingle).where(F.col("node").isNotNull()).select("doc_id", "th", "root"))
+    own = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "th")
+    first = member.groupBy("root").agg(F.min(own).alias("first"), F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
+    first = counted_broadcast(checkpoint(first.select(F.col("root").alias("_root"), "first")))
+    # rows of components of several rows: those of the first key stay once, the others go
+    fate = member.join(first, F.col("root") == F.col("_root")).groupBy(F.col("doc_id").alias("_i"), F.col("th").alias("_t")).agg(F.max(own == F.col("first")).alias("_once"))
+    fate = counted_broadcast(checkpoint(fate))
+    rows = docs.select(F.struct(*[F.col(f"`{x}`") for x in docs.columns]).alias("_d"), F.col("doc_id").alias("_id"), F.xxhash64("text").alias("_th"))
+    rows = rows.join(fate, F.col("_id").eqNullSafe(F.col("_i")) & (F.col("_th") == F.col("_t")), "left")
+    once = rows.where("_once").groupBy("_id", "_th").agg(F.min_by("_d", F.xxhash64(F.to_json("_d"))).alias("_d")).select("_d")
+    out = rows.where(F.col("_once").isNull()).select("_d").unionByName(once)
     return out.select(*[F.col(f"_d.`{x}`").alias(x) for x in docs.columns])
