@@ -101,6 +101,24 @@ def test_mix_of_repeated_rows_and_nothing(spark, documents):  # noqa: F811
     assert [(r.size, r.taken, r.target) for r in silent] == [(0, 0, 0.0)] * 2
 
 
+def test_mix_of_many_sources_and_a_shared_key(spark, documents, monkeypatch):  # noqa: F811
+    """Sources are ranked in ranges, and rows without an id are one row of the prefix sums."""
+    rnd = random.Random(9)
+    rows = [(i, "w " * rnd.randrange(0, 30), "en", rnd.choice([None, *[f"s{k}" for k in range(60)]])) for i in range(700)]
+    rows += [(None, "x " * 3, "en", "s1")] * 40
+    docs = documents(rows)
+    sized = mixing.sized_documents(docs).cache()
+    whole = {r.source: tuple(r) for r in mixing.source_targets(sized).collect()}
+    monkeypatch.setattr(mixing, "SOURCE_ROWS", 7)
+    targets = mixing.source_targets(sized).cache()
+    assert {r.source: tuple(r) for r in targets.collect()} == whole
+    want = _water({x: whole[x][2] for x in whole})
+    assert all(whole[x][3] == pytest.approx(want[x]) for x in whole)
+    prefix = mixing.prefix_sums(sized, targets).collect()
+    assert len(prefix) == sized.select("source", "key").distinct().count() < len(rows)
+    assert max(r.words_before + r.size for r in prefix if r.source == "s1") == whole["s1"][2]
+
+
 # --- packing ------------------------------------------------------------------
 
 

@@ -8,7 +8,8 @@ budget above the source's size repeats whole epochs first.
 Scale: the work runs on narrow rows ``(doc_id, source, size, key)``.  A source
 is cut into about sqrt(n) ranges of the key, which is uniform, so a source
 with a third of all rows is spread over many tasks; the second level sees one
-row per range.  The cut points are one row per source and are joined to the
+row per range.  Rows that share a key are one row there, and sources are ranked
+in ranges of ``SOURCE_ROWS``, however many there are.  The cut points are one row per source and are joined to the
 documents, so texts are never shuffled.
 
 Defined results: a NULL text has size 0; a NULL source is a source of its own
@@ -27,6 +28,7 @@ from tidemark.llm.common import WORD, checkpoint, counted_broadcast, sqrt_bucket
 
 DEFAULT_WEIGHTS = (1, 2, 3)   # given to the sources in code point order, repeating
 MAX_REPEAT = 3                # a source's target is at most this many times its size
+SOURCE_ROWS = 10_000          # sources of one range when they are ranked, about
 KEY_SPACE = 1 << 60           # keys are 60 bits
 
 
@@ -54,34 +56,52 @@ def source_targets(sized: DataFrame, weights=DEFAULT_WEIGHTS, max_repeat: int =
     its source's size and the excess goes to the others by weight, until none
     is above.  Sorted by cap per weight, the sources that stop are a prefix:
     the first source whose cap is not below the level that the rest would get
-    ends it.  The windows run over one row per source.
+    ends it.
     """
-    per = sized.groupBy("source").agg(F.count(F.lit(1)).alias("n_docs"), F.sum("size").alias("source_size"))
-    turn = F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())) - 1
-    w = F.element_at(F.array(*[F.lit(int(x)) for x in weights]), (turn % len(weights) + 1).cast("int")).cast("long")
+    per = checkpoint(sized.groupBy("source").agg(F.count(F.lit(1)).alias("n_docs"), F.sum("size").alias("source_size")))
+    n_ranges = max(1, -(-per.count() // SOURCE_ROWS))
+    per = _sums_before(per.withColumn("_one", F.lit(1).cast("long")), [F.col("source").asc_nulls_last()], {"_one": "turn"}, n_ranges)
+    w = F.element_at(F.array(*[F.lit(int(x)) for x in weights]), (F.col("turn") % len(weights) + 1).cast("int")).cast("long")
     per = per.withColumn("weight", w).withColumn("cap", F.col("source_size") * F.lit(int(max_repeat)))
-    everything = Window.partitionBy()
-    before = Window.orderBy((F.col("cap") / F.col("weight")).asc(), F.col("source").asc_nulls_last())
-    earlier = before.rowsBetween(Window.unboundedPreceding, -1)
-    level = (
-        (F.sum("source_size").over(everything) - F.coalesce(F.sum("cap").over(earlier), F.lit(0))).cast("double")
-        / (F.sum("weight").over(everything) - F.coalesce(F.sum("weight").over(earlier), F.lit(0))).cast("double")
-    )
+    by = [(F.col("cap") / F.col("weight")).asc(), F.col("source").asc_nulls_last()]
+    per = checkpoint(_sums_before(per, by, {"cap": "_caps", "weight": "_weights"}, n_ranges))
+    whole = per.agg(F.sum("source_size").alias("_all_size"), F.sum("weight").alias("_all_weight"))
+    per = per.crossJoin(F.broadcast(whole))  # one row
+    level = (F.col("_all_size") - F.col("_caps")).cast("double") / (F.col("_all_weight") - F.col("_weights")).cast("double")
     per = per.withColumn("level", level)
     free = F.col("cap").cast("double") >= F.col("level") * F.col("weight")
-    per = per.withColumn("shared", F.min(F.when(free, F.struct(F.col("cap") / F.col("weight"), "level"))).over(everything)["level"])
+    shared = per.agg(F.min(F.when(free, F.struct(F.col("cap") / F.col("weight"), "level"))).alias("_shared")).select(F.col("_shared.level").alias("shared"))
+    per = per.crossJoin(F.broadcast(shared))  # one row
     target = F.least(F.col("cap").cast("double"), F.coalesce(F.col("shared") * F.col("weight"), F.col("cap").cast("double")))
     return per.select("source", "n_docs", "source_size", target.alias("target"))
 
 
+def _sums_before(df: DataFrame, order: list[Column], sums: dict[str, str], n_ranges: int) -> DataFrame:
+    """Adds the sums of columns over the rows before each row in ``order``, by two levels.
+
+    Rows are dealt by range and checkpointed, which fixes the ranges; a window
+    runs inside each range, and one over the totals of the ranges.
+    """
+    dealt = checkpoint(df.repartitionByRange(n_ranges, *order).withColumn("_range", F.spark_partition_id()))
+    inside = Window.partitionBy("_range").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    below = Window.orderBy("_r").rowsBetween(Window.unboundedPreceding, -1)
+    totals = dealt.groupBy(F.col("_range").alias("_r")).agg(*[F.sum(c).alias(f"_n{c}") for c in sums])
+    totals = totals.select("_r", *[F.coalesce(F.sum(f"_n{c}").over(below), F.lit(0)).alias(f"_b{c}") for c in sums])
+    own = dealt.select("*", *[F.coalesce(F.sum(c).over(inside), F.lit(0)).alias(f"_i{c}") for c in sums])
+    joined = own.join(totals, F.col("_range") == F.col("_r"))
+    return joined.select(*df.columns, *[(F.col(f"_b{c}") + F.col(f"_i{c}")).alias(out) for c, out in sums.items()])
+
+
 def prefix_sums(sized: DataFrame, targets: DataFrame) -> DataFrame:
-    """Adds ``source_size``, ``target`` and ``words_before``: the words of the source at smaller keys.
+    """``(source, key, size, source_size, target, words_before)``, one row per source and key.
 
-    Two levels: a running sum inside each key range of the source, plus the
-    total of the ranges before it.
+    ``words_before`` are the words of the source at smaller keys, by two
+    levels: a running sum inside each key range of the source, plus the total
+    of the ranges before it.  Rows that share a key are added up first.
     """
     t = counted_broadcast(targets).select(F.col("source").alias("_s"), "source_size", "target", sqrt_buckets(F.col("n_docs")).alias("_ranges"))
-    d = sized.join(t, F.col("source").eqNullSafe(F.col("_s"))).drop("_s")
+    keys = sized.groupBy("source", "key").agg(F.sum("size").alias("size"))
+    d = keys.join(t, F.col("source").eqNullSafe(F.col("_s"))).drop("_s")
     d = d.withColumn("_range", F.floor(F.col("key") / F.lit(float(KEY_SPACE)) * F.col("_ranges")))
     inside = Window.partitionBy("source", "_range").orderBy("key").rangeBetween(Window.unboundedPreceding, -1)
     ranges = d.groupBy("source", "_range").agg(F.sum("size").alias("_total"))
