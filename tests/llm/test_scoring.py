@@ -225,6 +225,20 @@ def test_language_scores_match_a_plain_sum(spark, documents):  # noqa: F811
     assert model.log_scores(text) == pytest.approx(want)
 
 
+def test_languages_in_blocks(spark, documents, monkeypatch):  # noqa: F811
+    """More languages than one matrix holds give the results of one matrix."""
+    rnd = random.Random(6)
+    alphabets = {f"l{k}": "".join(rnd.sample("abcdefghijklmnop", 6)) for k in range(7)}
+    rows = [(i, " ".join("".join(rnd.choice(a) for _ in range(4)) for _ in range(6)), la, "s") for i, (la, a) in enumerate(list(alphabets.items()) * 20)]
+    rows += [(1000 + i, t, None, "s") for i, t in enumerate(TEXTS)] + [(None, "abcd", "l0", "s"), rows[3]]
+    docs = documents(rows).repartition(3)
+    want = sorted(((tuple(r)) for r in langid.identify(docs).collect()), key=repr)
+    monkeypatch.setattr(langid, "MAX_LANGUAGES", 3)
+    got = sorted(((tuple(r)) for r in langid.identify(docs).collect()), key=repr)
+    assert len(got) == len(rows) and [r[:3] for r in got] == [r[:3] for r in want]
+    assert [r[3] for r in got] == pytest.approx([r[3] for r in want])
+
+
 def test_quality_accuracy_and_odd_texts(spark, documents):  # noqa: F811
     docs, labels = (spark.read.parquet(f"{SMALL}/{t}.parquet") for t in ("documents", "labels"))
     got = quality.classify(docs, labels).join(labels, "doc_id").collect()

@@ -2,8 +2,9 @@
 
 Training is one pass over all learnable documents: each task counts hashed
 n-grams by language in numpy and the counts are summed by (language, block of
-buckets).  The log-probability matrix (languages x buckets) is broadcast; its
-size depends on the number of languages only and is checked.  Scoring adds the
+buckets).  The log-probability matrix (languages x buckets) is broadcast.  More
+than ``MAX_LANGUAGES`` languages are learned and scored in blocks of so many,
+one matrix at a time, and the best of the blocks is taken.  Scoring adds the
 matrix rows of a document's n-grams, in blocks, so a very long text needs no
 more memory than a block.
 
@@ -30,7 +31,7 @@ from tidemark.llm.common import blocks_of, checkpoint, field_type, remainder_of_
 BUCKETS = 1 << 15
 SIZES = (1, 2, 3)             # lengths of the n-grams
 SMOOTHING = 0.5
-MAX_LANGUAGES = 500           # the broadcast matrix holds this many languages at most; more are refused
+MAX_LANGUAGES = 500           # a broadcast matrix holds this many languages at most; more take further matrices
 HELD_OUT_MOD = 5
 N_BLOCKS = 16
 CHUNK = 1 << 19               # characters scored at a time
@@ -75,6 +76,14 @@ class LanguageModel:
             total = total + counts[seen] @ self.matrix[seen]
         return total
 
+    def best(self, text: str | None) -> tuple[str | None, float, float]:
+        """Best language, its log score and the log of the sum of all scores; no language for a text without letters."""
+        if not text or not _LETTER.search(text):
+            return None, 0.0, 0.0
+        s = self.log_scores(text)
+        best = int(np.argmax(s))
+        return self.languages[best], float(s[best]), float(s[best] + np.log(np.exp(s - s[best]).sum()))
+
     def predict(self, text: str | None) -> tuple[str, float]:
         if not text or not self.languages or not _LETTER.search(text):
             return UNDETERMINED, 0.0
@@ -83,33 +92,57 @@ class LanguageModel:
         return self.languages[best], float(1.0 / np.exp(s - s[best]).sum())
 
 
-def fit(train: DataFrame, smoothing: float = SMOOTHING) -> LanguageModel:
-    """Naive Bayes over every row of ``train`` (``text``, ``lang``) whose language is known."""
-    known = train.where(F.col("lang").isNotNull()).select(F.col("lang").cast("string").alias("lang"), "text")
+def _known(train: DataFrame) -> DataFrame:
+    return train.where(F.col("lang").isNotNull()).select(F.col("lang").cast("string").alias("lang"), "text")
+
+
+def _language_names(train: DataFrame) -> list[str]:
+    return sorted(r["lang"] for r in _known(train).select("lang").distinct().collect())  # one short text per language
+
+
+def fit_blocks(train: DataFrame, languages: list[str], smoothing: float = SMOOTHING):
+    """Naive Bayes over every row of ``train`` (``text``, ``lang``) whose language is known: a model per block of ``languages``."""
+    known = _known(train)
     schema = T.StructType([T.StructField("lang", T.StringType()), T.StructField("block", T.IntegerType()), T.StructField("total", T.BinaryType())])
+    many = len(languages) > MAX_LANGUAGES
+    if many:
+        known = known.sortWithinPartitions("lang")  # a task then holds the counts of one language at a time
+
+    def emit(counts):
+        for lang, own in counts.items():
+            for k, block in enumerate(blocks_of(own, N_BLOCKS)):
+                yield pa.RecordBatch.from_arrays([pa.array([lang]), pa.array([k], pa.int32()), pa.array([block], pa.binary())], names=schema.names)
 
     def count(batches):
         counts: dict[str, np.ndarray] = {}
         for b in small_batches(batches, 2 << 20):
             for lang, text in zip(b.column("lang").to_pylist(), text_list(b.column("text")), strict=True):
+                if many and counts and lang not in counts:
+                    yield from emit(counts)
+                    counts = {}
                 own = counts.setdefault(lang, np.zeros(BUCKETS + N_BLOCKS))
                 for found in ngram_counts(text):
                     own[:BUCKETS] += found
                 own[BUCKETS] += 1
-        for lang, own in counts.items():
-            for k, block in enumerate(blocks_of(own, N_BLOCKS)):
-                yield pa.RecordBatch.from_arrays([pa.array([lang]), pa.array([k], pa.int32()), pa.array([block], pa.binary())], names=schema.names)
+        yield from emit(counts)
 
     totals = checkpoint(summed_blocks(known.mapInArrow(count, schema), "lang"))
-    languages = sorted(r["lang"] for r in totals.select("lang").distinct().limit(MAX_LANGUAGES + 1).collect())
-    if len(languages) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages to learn")
-    if not languages:
+    n_docs = _known(train).count() if many else 0
+    for at in range(0, len(languages), MAX_LANGUAGES):
+        names = languages[at : at + MAX_LANGUAGES]
+        part = totals.where(F.col("lang").isin(names)) if many else totals
+        by = {(r["lang"], r["block"]): np.frombuffer(r["total"], dtype=np.float64) for r in part.collect()}  # MAX_LANGUAGES x BUCKETS numbers
+        counts = np.stack([np.concatenate([by[lang, k] for k in range(N_BLOCKS)]) for lang in names], axis=1)
+        n, c = counts[BUCKETS], counts[:BUCKETS] + smoothing
+        yield LanguageModel(names, np.vstack([np.log(c / c.sum(axis=0)), np.log(n / (n_docs or n.sum()))]))
+
+
+def fit(train: DataFrame, smoothing: float = SMOOTHING) -> LanguageModel:
+    """One model of all languages of ``train``."""
+    models = list(fit_blocks(train, _language_names(train), smoothing))
+    if not models:
         return LanguageModel([], np.zeros((BUCKETS + 1, 0)))
-    by = {(r["lang"], r["block"]): np.frombuffer(r["total"], dtype=np.float64) for r in totals.collect()}  # languages x BUCKETS numbers
-    counts = np.stack([np.concatenate([by[lang, k] for k in range(N_BLOCKS)]) for lang in languages], axis=1)
-    n, c = counts[BUCKETS], counts[:BUCKETS] + smoothing
-    return LanguageModel(languages, np.vstack([np.log(c / c.sum(axis=0)), np.log(n / n.sum())]))
+    return LanguageModel([x for m in models for x in m.languages], np.hstack([m.matrix for m in models]))
 
 
 def predict(docs: DataFrame, model: LanguageModel) -> DataFrame:
@@ -129,9 +162,42 @@ def predict(docs: DataFrame, model: LanguageModel) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(score, schema)
 
 
+def predict_by_blocks(docs: DataFrame, models) -> DataFrame:
+    """As ``predict``, with models of some of the languages each, in the order of the languages; one is held at a time."""
+    spark = docs.sparkSession
+    rows = checkpoint(docs.select("doc_id", "text").withColumn("_row", F.monotonically_increasing_id()))
+    schema = T.StructType([T.StructField("_row", T.LongType()), T.StructField("lang", T.StringType()), T.StructField("best", T.DoubleType()), T.StructField("total", T.DoubleType())])
+    found = None
+    for n, model in enumerate(models):
+        shared = spark.sparkContext.broadcast(model)
+
+        def score(batches, shared=shared):
+            for b in small_batches(batches):
+                out = [shared.value.best(t) for t in text_list(b.column("text"))]
+                kinds = (pa.string(), pa.float64(), pa.float64())
+                yield pa.RecordBatch.from_arrays([b.column("_row"), *[pa.array([x[c] for x in out], kinds[c]) for c in range(3)]], names=schema.names)
+
+        one = checkpoint(rows.select("_row", "text").mapInArrow(score, schema).withColumn("turn", F.lit(-n)))
+        shared.destroy()
+        found = one if found is None else found.unionByName(one)
+    top = F.max(F.struct("best", "turn", "lang")).alias("top")
+    each = found.groupBy("_row").agg(top, F.collect_list("total").alias("totals"))  # one total per block of languages
+    total = F.aggregate(F.array_sort("totals"), F.lit(0.0), lambda acc, x: acc + F.exp(x - F.col("top.best")))
+    each = each.select(F.col("_row").alias("_r"), F.col("top.lang").alias("lang"), (F.lit(1.0) / total).alias("score"))
+    out = rows.select("doc_id", "_row").join(each, F.col("_row") == F.col("_r"))
+    unknown = F.col("lang").isNull()
+    return out.select("doc_id", F.when(unknown, F.lit(UNDETERMINED)).otherwise(F.col("lang")).alias("lang_pred"), F.when(unknown, F.lit(0.0)).otherwise(F.col("score")).alias("score"))
+
+
 def identify(docs: DataFrame, held_out_mod: int = HELD_OUT_MOD) -> DataFrame:
     """Learns from the documents that are not held out and predicts all: ``(doc_id, held_out, lang_pred, score)``."""
     rest = remainder_of_id(F.col("doc_id"), held_out_mod)
-    model = fit(docs.where(rest != 0).select("text", "lang"))
+    train = docs.where(rest != 0).select("text", "lang")
+    languages = _language_names(train)
     held = F.coalesce(remainder_of_id(F.col("doc_id"), held_out_mod) == 0, F.lit(False))
-    return predict(docs, model).select("doc_id", held.alias("held_out"), "lang_pred", "score")
+    models = fit_blocks(train, languages)
+    if len(languages) > MAX_LANGUAGES:
+        found = predict_by_blocks(docs, models)
+    else:
+        found = predict(docs, next(models, LanguageModel([], np.zeros((BUCKETS + 1, 0)))))
+    return found.select("doc_id", held.alias("held_out"), "lang_pred", "score")
