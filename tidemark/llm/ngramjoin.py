@@ -7,7 +7,7 @@ sketch, of fixed size, only decides how selective it is).  Two sets with
 Jaccard similarity of at least the threshold share a shingle among the first
 ``n - ceil(t n) + 1`` of each, so only those prefixes are shuffled.  Candidate
 pairs pass a length and a positional filter at a common shingle, once each a
-suffix filter on partition counts, and
+bound on the partition counts of the whole sets (in place of a suffix filter), and
 are then verified by exact intersection.
 
 Components need every link between different components, not all pairs of a
@@ -363,7 +363,7 @@ def _across(lists: DataFrame, percent: int) -> DataFrame:
 
 
 def _not_far_apart(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Suffix filter: pairs whose partition counts allow the least overlap.
+    """In place of a suffix filter: pairs whose partition counts, of the whole sets, allow the least overlap.
 
     Elements can only match inside their partition, so two sets differ by at
     least the sum of the differences of their partition counts.
