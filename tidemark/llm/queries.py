@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import embdedup, langid, linededup, mixing, ngramjoin, packing, quality, revisit, topk, toxicity
+from tidemark.llm import embdedup, langid, linededup, mixing, ngramjoin, packing, periodic, quality, revisit, tokencount, topk, toxicity, whitening
 from tidemark.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -62,6 +62,21 @@ def op10_revisit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return revisit.resolve_pages(read_table(spark, sf_dir, "pages"))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whitened components of every embedding."""
+    return whitening.whiten(read_table(spark, sf_dir, "embeddings"))
+
+
+def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes and tokens of every document."""
+    return tokencount.token_counts(read_table(spark, sf_dir, "documents"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of every document with planted tails, and what is left without repetitions."""
+    return periodic.run_report(periodic.with_planted_tail(read_table(spark, sf_dir, "documents")))
+
+
 QUERIES: dict[str, Query] = {
     "op1_ngram_jaccard": op1_ngram_jaccard,
     "op2_toxicity": op2_toxicity,
@@ -73,6 +88,9 @@ QUERIES: dict[str, Query] = {
     "op8_line_dedup": op8_line_dedup,
     "op9_langid": op9_langid,
     "op10_revisit": op10_revisit,
+    "op11_whitening": op11_whitening,
+    "op12_token_counts": op12_token_counts,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 
 ORACLE: dict[str, str] = {
