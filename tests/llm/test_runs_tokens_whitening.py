@@ -1,5 +1,6 @@
 """Periodic runs, token counts and embedding whitening against brute force and whole-text encoders."""
 
+import functools
 import hashlib
 import os
 import random
@@ -151,15 +152,21 @@ def test_planted_tails_are_words_again(spark, documents):  # noqa: F811
 
 # --- token counts -----------------------------------------------------------------
 
-def whole_count(name, text):
+@functools.cache
+def library(name):
     path = tokenizer_path(name)
     if name.endswith(".model"):
         import sentencepiece
 
-        return len(sentencepiece.SentencePieceProcessor(model_file=path).encode(text))
+        return sentencepiece.SentencePieceProcessor(model_file=path).encode
     from tokenizers import Tokenizer
 
-    return len(Tokenizer.from_file(path).encode(text, add_special_tokens=False).ids)
+    model = Tokenizer.from_file(path)
+    return lambda text: model.encode(text, add_special_tokens=False).ids
+
+
+def whole_count(name, text):
+    return len(library(name)(text))
 
 
 VOCABULARIES = ("word_bpe_49k.json", "byte_bpe_50k.json", "piece_bpe_32k.model")
