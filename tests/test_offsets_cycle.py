@@ -119,6 +119,60 @@ def test_offset_store_stays_bounded(spark, scratch):
     assert sorted(d for d in os.listdir(f"{scratch}/offsets") if d.startswith("slot=")) == ["slot=0", "slot=1", "slot=2"]
 
 
+def test_interleaved_saves_of_two_jobs_keep_both_tables(spark, scratch):
+    """Each store saves from what it read before the other saved."""
+    a, b = OffsetStore(spark, f"{scratch}/offsets"), OffsetStore(spark, f"{scratch}/offsets")
+    for i in range(1, 26):
+        frames = [(s, t, s.read()) for s, t in ((a, "t1"), (b, "t2"))]
+        for s, t, before in frames:
+            up = spark.createDataFrame([(t, b10(i), b10(i))], "table_name string, lsn binary, seq binary")
+            s.write(merge_offsets(before, up, T1))
+    got = {r.table_name: bytes(r.last_lsn) for r in OffsetStore(spark, f"{scratch}/offsets").read().collect()}
+    assert got == {"t1": bytes(b10(25)), "t2": bytes(b10(25))}
+    assert a.latest_version() == 50
+
+
+def test_saves_at_the_same_time_take_different_versions(spark, scratch):
+    from concurrent.futures import ThreadPoolExecutor
+
+    def job(t):
+        store, versions = OffsetStore(spark, f"{scratch}/offsets"), []
+        for i in range(1, 7):
+            up = spark.createDataFrame([(t, b10(i), b10(i))], "table_name string, lsn binary, seq binary")
+            versions.append(store.write(merge_offsets(store.read(), up, T1)))
+        return versions
+
+    tables = ["t1", "t2", "t3"]
+    with ThreadPoolExecutor(3) as pool:
+        versions = [v for vs in pool.map(job, tables) for v in vs]
+    assert sorted(versions) == list(range(1, 19))
+    store = OffsetStore(spark, f"{scratch}/offsets")
+    assert {r.table_name: bytes(r.last_lsn) for r in store.read().collect()} == {t: bytes(b10(6)) for t in tables}
+
+
+def test_a_save_that_comes_too_late_does_not_count(spark, scratch):
+    from tidemark.sources.files import Folder
+
+    store = OffsetStore(spark, f"{scratch}/offsets", slots=2)
+    for i in (1, 2, 3):
+        store.write(spark.createDataFrame([("t", b10(i), T0, b10(i))], OFFSETS_ROWS_SCHEMA))
+    # version 1 came and went; a job that still holds it open may not take it
+    assert not store._commit(Folder(spark, store.root), 1, [("late", b10(9), T0, b10(9))])
+    assert store.latest_version() == 3 and {r.table_name for r in store.read().collect()} == {"t"}
+
+
+def test_a_taken_version_is_not_replaced(spark, scratch):
+    """The file of a version is published once, whoever comes second."""
+    from tidemark.sources.files import Folder
+
+    folder = Folder(spark, f"{scratch}/f")
+    for k in (1, 2):
+        spark.range(k).coalesce(1).write.parquet(f"{scratch}/f/_aside{k}")
+    part = {k: next(n for n in folder.names(f"_aside{k}") if n.startswith("part-")) for k in (1, 2)}
+    assert folder.publish(f"_aside1/{part[1]}", "x/v1") and not folder.publish(f"_aside2/{part[2]}", "x/v1")
+    assert spark.read.parquet(f"{scratch}/f/x/v1").count() == 1 and folder.names("missing") == []
+
+
 def test_batch_sizer_resamples_after_interval(spark, scratch):
     from tidemark.operators.batching import BatchSizer
 
