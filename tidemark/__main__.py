@@ -9,15 +9,15 @@ then offsets are saved; an idle poll waits like any other.  A cycle that fails
 is logged and tried again from the same cursor; after ``--retries`` failures in
 a row the job ends with status 1.  ``drain`` publishes the whole backlog
 numbered into batches in one cycle; ``stream`` runs the file-stream feed over
-all logs until no new files are left, after the saved cursors (strictly) and
-with offsets saved at the end if ``--offsets`` is given.  Job arguments replace
+all logs until no new files are left, strictly after the stream's frontier and
+with that frontier saved as offsets at the end if ``--offsets`` is given; it may be
+stopped at any point.  Job arguments replace
 a configuration file; the fixed wait replaces poll backoff.
 """
 
 from __future__ import annotations
 
 import argparse
-import datetime as dt
 import logging
 import sys
 import time
@@ -53,6 +53,7 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--max-files-per-trigger", type=int)
     ap.add_argument("--processing-time", help="e.g. '5 seconds'; default: drain available files and stop")
     ap.add_argument("--format", default="text", choices=["text", "parquet"], help="stream sink format")
+    ap.add_argument("--replay-delay", help="stream: drop changes that come again within this time, e.g. '2 hours'")
     ap.add_argument("--envelopes", action="store_true", help="drain: publish batch envelopes instead of change lines")
     ap.add_argument("--server-name", default="localhost")
     ap.add_argument("--poll-interval", default="5s", help="recorded in envelope metadata")
@@ -101,33 +102,14 @@ def main(argv: list[str] | None = None) -> int:
 
 
 def _stream(spark, a, tables: list[str]) -> int:
-    """All logs in one stream; strict cursor and saved offsets with ``--offsets``."""
-    from pyspark.sql import functions as F
-
-    from tidemark.operators.cursor import cursor_frame, load_cursors
-    from tidemark.schema import OPERATION, SEQVAL, START_LSN, TABLE_NAME
-    from tidemark.streaming.stream import published_stream, read_change_stream, save_stream_offsets, start_text_feed
+    """All logs in one stream; strictly after the frontier and with saved offsets with ``--offsets``."""
+    from tidemark.streaming.stream import run_feed
 
     store = OffsetStore(spark, a.offsets) if a.offsets else None
-    schemas = [spark.read.option("mergeSchema", "true").parquet(p).schema for p in a.log]
-    cursor = None
-    if store is not None:
-        keys = None
-        for p, schema in zip(a.log, schemas):
-            k = spark.read.schema(schema).parquet(p).select(TABLE_NAME, START_LSN, SEQVAL, OPERATION)
-            keys = k if keys is None else keys.unionByName(k)
-        cursor = cursor_frame(spark, load_cursors(spark, tables, store.read(), keys))
-    feed = None
-    for p, schema in zip(a.log, schemas):
-        s = published_stream(read_change_stream(spark, p, schema, tables, a.max_files_per_trigger), cursor, len(tables))
-        feed = s if feed is None else feed.unionByName(s)
-    query = start_text_feed(feed, a.out, a.checkpoint, processing_time=a.processing_time, fmt=a.format)
-    try:
-        query.awaitTermination()
-    finally:
-        if store is not None and query.recentProgress:
-            now = F.lit(dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)).cast("timestamp_ntz")
-            store.write(save_stream_offsets(spark, a.out, store.read(), now, a.format))
+    run_feed(
+        spark, a.log, tables, a.out, a.checkpoint, store, a.format,
+        a.max_files_per_trigger, a.processing_time, replay_delay=a.replay_delay,
+    )
     return 0
 
 

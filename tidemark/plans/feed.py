@@ -23,22 +23,25 @@ from tidemark.functions.decode import (
     to_json_keep_nulls,
 )
 from tidemark.operators.cursor import op_filter
-from tidemark.schema import OPERATION, PUBLISHED_OPS, SEQVAL, START_LSN, TABLE_NAME, source_columns
+from tidemark.schema import OPERATION, PUBLISHED_OPS, SEQVAL, START_LSN, TABLE_NAME, q, source_columns
 
 
 def decoded_changes(
     log: DataFrame,
     ops: Iterable[int] | None = PUBLISHED_OPS,
     timestamp_col: str | None = None,
+    keep: Iterable[str] = (),
 ) -> DataFrame:
     """Filter operation codes, decode them and build the ``data`` struct.
 
     ``ops=None`` keeps every code; rows whose code does not decode are dropped
     either way.  Output: ``table_name``, system columns, ``operation_type``,
     ``data`` (struct of strings, keys sorted) and ``commit_time`` (ISO string of
-    ``timestamp_col``, or NULL).
+    ``timestamp_col``, or NULL).  Columns named in ``keep`` are carried along and
+    stay out of ``data``.
     """
-    cols = source_columns(log)
+    keep = list(keep)
+    cols = [c for c in source_columns(log) if c not in keep]
     src = op_filter(log, ops) if ops is not None else log
     types = {f.name: f.dataType for f in log.schema.fields}
     ts = stringify(timestamp_col, types[timestamp_col]) if timestamp_col else F.lit(None).cast("string")
@@ -50,6 +53,7 @@ def decoded_changes(
         operation_type(OPERATION).alias("operation_type"),
         data_struct(log, cols).alias("data"),
         ts.alias("commit_time"),
+        *[F.col(q(c)) for c in keep],
     )
     return out.where(F.col("operation_type").isNotNull())
 
