@@ -2,6 +2,7 @@
 
     python -m tidemark poll   --log PATH --tables a,b --offsets PATH --out PATH [--cycles N] [--poll-seconds S]
     python -m tidemark drain  --log PATH --tables a,b --offsets PATH --out PATH [--envelopes]
+    python -m tidemark drain  --log PATH --tables a,b --out PATH --atomic
     python -m tidemark stream --log PATH --tables a,b --out PATH --checkpoint PATH [--offsets PATH]
 
 ``poll`` runs N poll cycles (0: without end), each at most one batch per table,
@@ -25,8 +26,9 @@ import time
 from tidemark.operators.batching import BatchSizer
 from tidemark.operators.offsets import OffsetStore
 from tidemark.schema import PREMIUM_MESSAGE_BYTES, STANDARD_MESSAGE_BYTES
-from tidemark.plans.cycle import envelope_publisher, json_lines_publisher, run_cycle
+from tidemark.plans.cycle import envelope_publisher, json_lines_publisher, run_committed_cycle, run_cycle
 from tidemark.session import get_session
+from tidemark.sources.commit_sink import CommittedFeed
 from tidemark.sources.changelog import read_change_log
 
 
@@ -53,6 +55,7 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--max-files-per-trigger", type=int)
     ap.add_argument("--processing-time", help="e.g. '5 seconds'; default: drain available files and stop")
     ap.add_argument("--format", default="text", choices=["text", "parquet"], help="stream sink format")
+    ap.add_argument("--atomic", action="store_true", help="poll and drain: lines and offsets in one commit in --out")
     ap.add_argument("--replay-delay", help="stream: drop changes that come again within this time, e.g. '2 hours'")
     ap.add_argument("--envelopes", action="store_true", help="drain: publish batch envelopes instead of change lines")
     ap.add_argument("--server-name", default="localhost")
@@ -67,11 +70,14 @@ def main(argv: list[str] | None = None) -> int:
             ap.error("stream needs --checkpoint")
         return _stream(spark, a, tables)
 
-    if not a.offsets:
-        ap.error(f"{a.mode} needs --offsets")
+    if a.atomic:
+        if a.offsets or a.envelopes:
+            ap.error("--atomic keeps its offsets with the lines; it takes neither --offsets nor --envelopes")
+    elif not a.offsets:
+        ap.error(f"{a.mode} needs --offsets or --atomic")
     # opened anew for every cycle, so files and columns added meanwhile are seen
     logs = lambda: [read_change_log(spark, p, tables, merge_schema=True) for p in a.log]
-    store = OffsetStore(spark, a.offsets)
+    store = None if a.atomic else OffsetStore(spark, a.offsets)
     if a.envelopes and a.mode != "drain":
         ap.error("--envelopes needs drain mode")
     publish = envelope_publisher(a.out) if a.envelopes else json_lines_publisher(a.out)
@@ -82,9 +88,12 @@ def main(argv: list[str] | None = None) -> int:
     while True:
         # a cycle is numbered by the offsets version it will save; a replayed cycle
         # writes into the same folder again (at-least-once)
-        cycle_id = (store.latest_version() or 0) + 1
+        cycle_id = ((CommittedFeed(spark, a.out).latest_cycle() if a.atomic else store.latest_version()) or 0) + 1
         try:
-            r = run_cycle(spark, logs(), tables, store, publish, cycle_id=cycle_id, mode=a.mode, sizer=sizer, **extra)
+            if a.atomic:
+                r = run_committed_cycle(spark, logs(), tables, a.out, mode=a.mode, sizer=sizer)
+            else:
+                r = run_cycle(spark, logs(), tables, store, publish, cycle_id=cycle_id, mode=a.mode, sizer=sizer, **extra)
         except Exception:  # reading or saving failed: the cursor has not moved
             log.exception("cycle %s failed", cycle_id)
             r = None

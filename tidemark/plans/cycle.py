@@ -40,6 +40,7 @@ from tidemark.schema import (
     TABLE_NAME,
 )
 from tidemark.session import checkpoint_dir
+from tidemark.sources.commit_sink import CommittedFeed
 
 Publisher = Callable[[DataFrame, int], bool]
 log = logging.getLogger(__name__)
@@ -210,6 +211,45 @@ def run_cycle(
     return CycleResult(True, cycle.rows, store.write(merged))
 
 
+def run_committed_cycle(
+    spark: SparkSession, logs: list[DataFrame], tables: Iterable[str], path: str, now: _dt.datetime | None = None, **kw
+) -> CycleResult:
+    """Resume -> read -> publish lines and offsets in one commit (see ``sources.commit_sink``).
+
+    The feed's folder holds its own offsets, so there is no save that could fail after
+    the publish, and no change becomes visible twice.  One job at a time per folder.
+    """
+    checkpoint_dir(spark)
+    feed = CommittedFeed(spark, path)
+    feed.sweep()
+    offsets = feed.read()
+    cycle = plan_cycle(spark, logs, tables, offsets, now=now, **kw)
+    if cycle.rows == 0:
+        return CycleResult(True, 0, None)
+    number = (feed.latest_cycle() or 0) + 1
+    try:
+        feed.commit(in_table_order(cycle.batch), number, offsets)
+    except Exception as e:  # nothing of the batch is visible; the cause is kept
+        log.exception("cycle %s: publishing %s changes failed; nothing was committed", number, cycle.rows)
+        return CycleResult(False, cycle.rows, None, e)
+    return CycleResult(True, cycle.rows, number)
+
+
+def in_table_order(batch: DataFrame, files: int | None = None) -> DataFrame:
+    """``(table_name, lsn, seq, value)`` of a batch, dealt by range and sorted, so that files follow the order.
+
+    A hash of the line breaks ties, so changes that share a key still spread over files.
+    """
+    n = files or default_parallelism(batch.sparkSession)
+    return (
+        batch.withColumn("_tb", F.xxhash64(OPERATION, "change_json"))
+        .repartitionByRange(n, TABLE_NAME, START_LSN, SEQVAL, "_tb")
+        .select(TABLE_NAME, START_LSN, SEQVAL, "_tb", F.col("change_json").alias("value"))
+        .sortWithinPartitions(TABLE_NAME, START_LSN, SEQVAL, "_tb")
+        .drop("_tb")
+    )
+
+
 def json_lines_publisher(path: str, files: int | None = None) -> Publisher:
     """Publisher writing one JSON line per change, partitioned by table.
 
@@ -222,14 +262,9 @@ def json_lines_publisher(path: str, files: int | None = None) -> Publisher:
     """
 
     def publish(batch: DataFrame, cycle_id: int) -> bool:
-        n = files or default_parallelism(batch.sparkSession)
-        # A hash of the line breaks ties, so changes that share a key still spread over files.
         (
-            batch.withColumn("_tb", F.xxhash64(OPERATION, "change_json"))
-            .repartitionByRange(n, TABLE_NAME, START_LSN, SEQVAL, "_tb")
-            .select(TABLE_NAME, START_LSN, SEQVAL, "_tb", F.col("change_json").alias("value"))
-            .sortWithinPartitions(TABLE_NAME, START_LSN, SEQVAL, "_tb")
-            .drop(START_LSN, SEQVAL, "_tb")
+            in_table_order(batch, files)
+            .drop(START_LSN, SEQVAL)
             .write.mode("append")
             .partitionBy(TABLE_NAME)
             .text(f"{path}/cycle={cycle_id}")

@@ -31,6 +31,14 @@ class Folder:
     def exists(self, name: str) -> bool:
         return bool(self._fs.exists(self._at(name)))
 
+    def read_text(self, name: str) -> str:
+        """Content of a small file."""
+        stream = self._fs.open(self._at(name))
+        try:
+            return str(self._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+        finally:
+            stream.close()
+
     def delete(self, name: str) -> None:
         self._fs.delete(self._at(name), True)
 
