@@ -77,7 +77,11 @@ def stringify(name: str, dtype: T.DataType) -> Column:
     booleans ``true``/``false``; binary as base64; arrays, maps and structs as
     JSON.
     """
-    c = F.col(q(name))
+    return stringify_value(F.col(q(name)), dtype)
+
+
+def stringify_value(c: Column, dtype: T.DataType) -> Column:
+    """``stringify`` of an expression of the given type."""
     if isinstance(dtype, T.StringType):
         return c
     if isinstance(dtype, T.TimestampType):

@@ -8,6 +8,7 @@ columns are then unioned in a uniform shape
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame
@@ -23,7 +24,8 @@ from tidemark.functions.decode import (
     to_json_keep_nulls,
 )
 from tidemark.operators.cursor import op_filter
-from tidemark.schema import OPERATION, PUBLISHED_OPS, SEQVAL, START_LSN, TABLE_NAME, q, source_columns
+from tidemark.operators.messages import BLOCK_MESSAGES, KEY, byte_cuts
+from tidemark.schema import OPERATION, PUBLISHED_OPS, SEQVAL, STANDARD_MESSAGE_BYTES, START_LSN, TABLE_NAME, q, source_columns
 
 
 def decoded_changes(
@@ -107,6 +109,48 @@ def change_events(decoded: DataFrame) -> DataFrame:
     )
 
 
+def _envelope_ends(server_name: str, poll_interval: str):
+    """JSON before and behind the changes of an envelope; the latter takes the number of changes."""
+    before = to_json_keep_nulls(F.struct(F.col(TABLE_NAME).alias("table_name"), F.lit(server_name).alias("server_name")))
+    before = F.concat(F.expr("left(_b, length(_b) - 1)"), F.lit(',"changes":[')), before
+    behind = lambda n: F.concat(
+        F.lit('],"metadata":{"batch_size":'), n.cast("string"), F.lit(',"poll_interval":' + json.dumps(poll_interval, ensure_ascii=False) + "}}")
+    )
+    return before, behind
+
+
+def byte_envelopes(
+    decoded: DataFrame, server_name: str, poll_interval: str, max_bytes: int = STANDARD_MESSAGE_BYTES, ranges: int | None = None, block_messages: int = BLOCK_MESSAGES
+) -> DataFrame:
+    """Envelopes of at most ``max_bytes`` bytes each, by greedy cuts in the order of every table's changes.
+
+    Columns ``table_name``, ``envelope_no``, ``n_changes``, ``envelope_bytes`` and
+    ``envelope_json``.  Only an envelope that holds one change may be larger.  The room
+    for changes counts a comma for each and 19 digits for their number.  Copies of one
+    change (same key, code and content) are one change.  Changes of one key are in the
+    order of their code, then their content's digest.
+    """
+    (head, head_json), behind = _envelope_ends(server_name, poll_interval)
+    digit = F.lit(10**18).cast("long")
+    taken = F.octet_length(head) + F.octet_length(behind(digit))
+    ev = decoded.select(TABLE_NAME, START_LSN, SEQVAL, OPERATION, to_json_keep_nulls(change_event_struct()).alias("event_json"))
+    ev = ev.withColumn("digest", F.md5("event_json"))
+    narrow = ev.groupBy(*KEY).agg(F.max(F.octet_length("event_json") + 1).cast("long").alias("bytes"))
+    roomy = narrow.withColumn("_b", head_json).withColumn("_room", F.greatest(F.lit(1), F.lit(int(max_bytes)) - taken)).drop("_b")
+    cuts = byte_cuts(roomy.select(*KEY, "bytes", "_room"), F.col("_room"), ranges, block_messages)
+    c = cuts.select(*[F.col(k).alias(f"_c{k}") for k in KEY], "envelope_no")
+    cond = None
+    for k in KEY:
+        e = F.col(k).eqNullSafe(F.col(f"_c{k}"))
+        cond = e if cond is None else cond & e
+    once = ev.groupBy(*KEY).agg(F.min("event_json").alias("event_json"))
+    placed = once.join(c, cond).select(TABLE_NAME, "envelope_no", F.struct(START_LSN, SEQVAL, OPERATION, "digest", "event_json").alias("_e"))
+    g = placed.groupBy(TABLE_NAME, "envelope_no").agg(F.array_sort(F.collect_list("_e")).alias("_es"), F.count(F.lit(1)).alias("n_changes"))
+    body = F.array_join(F.transform("_es", lambda e: e["event_json"]), ",")
+    out = g.withColumn("_b", head_json).withColumn("envelope_json", F.concat(head, body, behind(F.col("n_changes"))))
+    return out.select(TABLE_NAME, "envelope_no", "n_changes", F.octet_length("envelope_json").alias("envelope_bytes"), "envelope_json")
+
+
 def batch_envelopes(
     batched: DataFrame, server_name: str, poll_interval: str, with_high_water: bool = False
 ) -> DataFrame:

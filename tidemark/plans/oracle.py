@@ -344,9 +344,10 @@ b AS (
         "FROM b GROUP BY table_name, batch_no",
     ),
     "lsn_range": W(
-        "",
-        f"SELECT {KEYS}, operation FROM events_ct WHERE operation IN (1, 2, 4) AND start_lsn "
-        "BETWEEN unhex('0000000000000000000a') AND unhex('000000000000000007d0')",
+        """
+last AS (SELECT max(event_id // 4 + 1) AS m FROM events)""",
+        f"SELECT {KEYS}, operation FROM events_ct, last WHERE operation IN (1, 2, 4) AND start_lsn "
+        "BETWEEN unhex(lpad(hex(m // 10), 20, '0')) AND unhex(lpad(hex(m // 2), 20, '0'))",
     ),
     "feed_catalog": W(
         "",
@@ -356,6 +357,79 @@ b AS (
         "FROM documents_ct GROUP BY table_name",
     ),
 }
+# An envelope's room: the budget less what stands around its changes (a count of 19 digits).
+HEAD = "CAST(to_json({'table_name': table_name, 'server_name': 'localhost'}) AS VARCHAR)"
+ORACLE["envelope_by_bytes"] = W(
+    f"""
+ev AS (
+  SELECT table_name, start_lsn, seqval, operation,
+         CAST(to_json({event(DOC_DATA, 'CAST(NULL AS VARCHAR)')}) AS VARCHAR) AS event_json
+  FROM documents_ct WHERE operation IN (1, 2, 4)),
+sums AS (
+  SELECT *, CAST(sum(strlen(event_json) + 1) OVER w AS BIGINT) AS upto FROM ev
+  WINDOW w AS (PARTITION BY table_name ORDER BY start_lsn, seqval, operation ROWS UNBOUNDED PRECEDING)),
+rooms AS (
+  SELECT DISTINCT table_name, 262144 - (strlen({HEAD}) - 1 + strlen(',"changes":[') +
+    strlen('],"metadata":{{"batch_size":1000000000000000000,"poll_interval":"5s"}}}}')) AS room
+  FROM ev),
+ends AS (SELECT table_name, upto FROM sums),
+cuts(table_name, envelope_no, begin_at, end_at) AS (
+  SELECT table_name, CAST(-1 AS BIGINT), CAST(0 AS BIGINT), CAST(0 AS BIGINT) FROM rooms
+  UNION ALL
+  SELECT c.table_name, c.envelope_no + 1, c.end_at,
+         greatest(min(e.upto), coalesce(max(CASE WHEN e.upto <= c.end_at + r.room THEN e.upto END), 0))
+  FROM cuts c JOIN rooms r ON r.table_name = c.table_name
+              JOIN ends e ON e.table_name = c.table_name AND e.upto > c.end_at
+  GROUP BY c.table_name, c.envelope_no, c.end_at),
+joined AS (
+  SELECT c.table_name, c.envelope_no, count(*) AS n_changes,
+         concat(substr({HEAD.replace('table_name}', 'c.table_name}').replace(': table_name', ': c.table_name')}, 1,
+                       length({HEAD.replace(': table_name', ': c.table_name')}) - 1), ',"changes":[',
+                string_agg(s.event_json, ',' ORDER BY s.start_lsn, s.seqval, s.operation),
+                '],"metadata":{{"batch_size":', count(*), ',"poll_interval":"5s"}}}}') AS envelope_json
+  FROM cuts c JOIN sums s ON s.table_name = c.table_name AND s.upto > c.begin_at AND s.upto <= c.end_at
+  GROUP BY c.table_name, c.envelope_no)""",
+    "SELECT table_name, envelope_no, n_changes, CAST(strlen(envelope_json) AS INTEGER) AS envelope_bytes, envelope_json FROM joined",
+).replace("WITH ", "WITH RECURSIVE ", 1)
+ORACLE["schema_epochs"] = W(
+    """
+lasts AS (SELECT lang AS table_name, max(doc_id // 3 + 1) AS m FROM documents GROUP BY lang),
+placed AS (
+  SELECT d.*, CASE WHEN doc_id // 3 + 1 > 2 * m // 3 THEN 3 WHEN doc_id // 3 + 1 > m // 3 THEN 2 ELSE 1 END AS epoch
+  FROM documents_ct d JOIN lasts l ON l.table_name = d.table_name WHERE operation IN (1, 2, 4))""",
+    f"SELECT {KEYS}, operation, epoch, CASE epoch "
+    "WHEN 1 THEN CAST(to_json({'doc_id': CAST(doc_id AS VARCHAR), 'source': source, 'text': text}) AS VARCHAR) "
+    f"WHEN 2 THEN CAST(to_json({DOC_DATA}) AS VARCHAR) "
+    "ELSE CAST(to_json({'doc_id': CAST(doc_id AS VARCHAR), 'n_chars': CAST(CAST(n_chars AS DECIMAL(12, 2)) AS VARCHAR), "
+    "'text': text}) AS VARCHAR) END AS data_json FROM placed",
+)
+UPDATED = """
+updated AS (
+  SELECT lang AS table_name, unhex(lpad(hex(doc_id // 3 + 1), 20, '0')) AS start_lsn,
+         unhex(lpad(hex(doc_id + 1), 20, '0')) AS seqval, operation, doc_id, text,
+         CASE WHEN operation <> 3 OR doc_id % 5 <> 0 THEN source END AS source,
+         CASE WHEN operation = 3 AND doc_id % 3 = 0 THEN n_chars - 1 ELSE n_chars END AS n_chars
+  FROM (SELECT *, unnest(CASE WHEN doc_id % 16 = 5 THEN [4] WHEN doc_id % 16 = 9 THEN [3]
+                              WHEN doc_id % 4 = 1 THEN [3, 4] ELSE [2] END) AS operation FROM documents))"""
+ORACLE["all_update_old"] = W(UPDATED, f"SELECT {KEYS}, operation, doc_id, source, n_chars FROM updated WHERE operation IN (1, 2, 3, 4)")
+ORACLE["update_pairs"] = W(
+    UPDATED
+    + f""",
+images AS (SELECT table_name, start_lsn, seqval, operation, doc_id, source, n_chars, text,
+                  CAST(to_json({DOC_DATA}) AS VARCHAR) AS image FROM updated WHERE operation IN (3, 4)),
+pairs AS (
+  SELECT coalesce(b.table_name, a.table_name) AS table_name, coalesce(b.start_lsn, a.start_lsn) AS start_lsn,
+         coalesce(b.seqval, a.seqval) AS seqval, b.image AS before, a.image AS after,
+         CASE WHEN b.image IS NULL THEN 'after' WHEN a.image IS NULL THEN 'before' ELSE 'pair' END AS images,
+         CASE WHEN b.image IS NOT NULL AND a.image IS NOT NULL THEN array_to_string(list_filter([
+           CASE WHEN b.doc_id IS DISTINCT FROM a.doc_id THEN 'doc_id' END,
+           CASE WHEN b.n_chars IS DISTINCT FROM a.n_chars THEN 'n_chars' END,
+           CASE WHEN b.source IS DISTINCT FROM a.source THEN 'source' END,
+           CASE WHEN b.text IS DISTINCT FROM a.text THEN 'text' END], lambda x: x IS NOT NULL), ',') END AS changed
+  FROM (SELECT * FROM images WHERE operation = 3) b FULL JOIN (SELECT * FROM images WHERE operation = 4) a
+    ON b.table_name = a.table_name AND b.start_lsn = a.start_lsn AND b.seqval = a.seqval)""",
+    f"SELECT {KEYS}, images, changed, before, after FROM pairs",
+)
 # The number of ranges never changes a result.
 ORACLE["ordered_feed_bucketed"] = ORACLE["ordered_feed"]
 ORACLE["drain_batches_bucketed"] = ORACLE["drain_batches"]

@@ -38,9 +38,11 @@ from tidemark.operators.cursor import (
     resume_cursor,
     seq_backfill,
 )
+from tidemark.operators.epochs import epoch_data_json
+from tidemark.operators.images import all_changes, update_json, update_pairs
 from tidemark.operators.offsets import merge_offsets, upgrade_offsets
 from tidemark.operators.ordering import sequence_rank
-from tidemark.plans.feed import batch_envelopes, change_events, decoded_changes, multi_table_changes, uniform_changes
+from tidemark.plans.feed import batch_envelopes, byte_envelopes, change_events, decoded_changes, multi_table_changes, uniform_changes
 from tidemark.schema import OPERATION, SEQVAL, START_LSN, TABLE_NAME
 from tidemark.sources.changelog import scan_changes
 from tidemark.sources.fixtures import (
@@ -48,16 +50,17 @@ from tidemark.sources.fixtures import (
     EVENT_TABLES,
     FIXTURE_TIME,
     documents_ct,
+    documents_schema_history,
     events_ct,
     offsets_fixture,
+    updated_documents_ct,
 )
 
 # Fixed parameters of the registered queries.
 SERVER_NAME = "localhost"
 POLL_INTERVAL = "5s"
 MERGE_TIME = "2024-06-02 08:30:00"
-RANGE_FROM_TXN = 10                # lsn_range bounds, as transaction numbers
-RANGE_TO_TXN = 2000
+RANGE_FROM, RANGE_TO = 10, 2       # lsn_range: from a tenth to half of the log's largest LSN
 BUCKETS = 13                       # ranges of the *_bucketed queries; the others follow the session
 MISSING_TABLE = "refunds"          # configured, but absent from every log
 
@@ -143,9 +146,9 @@ def q_change_event(spark, sf):
 
 
 def q_lsn_range(spark, sf):
-    lo = bytes(8) + RANGE_FROM_TXN.to_bytes(2, "big")
-    hi = bytes(7) + RANGE_TO_TXN.to_bytes(3, "big")
-    r = changes_between(events_ct(spark, sf), lo, hi)
+    log = events_ct(spark, sf)
+    last = int.from_bytes(log.agg(F.max(START_LSN)).first()[0] or b"", "big")
+    r = changes_between(log, (last // RANGE_FROM).to_bytes(10, "big"), (last // RANGE_TO).to_bytes(10, "big"))
     return r.select(*_keys(r), F.col(OPERATION).alias("operation"))
 
 
@@ -293,6 +296,33 @@ def q_batch_envelope(spark, sf):
     return batch_envelopes(b, SERVER_NAME, POLL_INTERVAL)
 
 
+def q_envelope_by_bytes(spark, sf):
+    """Envelopes of at most the standard message budget, by greedy cuts."""
+    return byte_envelopes(decoded_changes(documents_ct(spark, sf)), SERVER_NAME, POLL_INTERVAL)
+
+
+# --- schema changes and images -----------------------------------------------------------
+
+def q_schema_epochs(spark, sf):
+    """Every published change with the columns its table had at that time."""
+    log = documents_ct(spark, sf)
+    e = epoch_data_json(op_filter(log), documents_schema_history(log))
+    return e.select(*_keys(e), F.col(OPERATION).alias("operation"), "epoch", "data_json")
+
+
+def q_update_pairs(spark, sf):
+    """Before- and after-image of every update, and the columns that differ."""
+    p = update_json(update_pairs(updated_documents_ct(spark, sf)))
+    return p.select(*_keys(p), "images", F.array_join("changed", ",").alias("changed"), "before", "after")
+
+
+def q_all_update_old(spark, sf):
+    """Rows of the change function with both images of every update."""
+    log = updated_documents_ct(spark, sf)
+    rows = all_changes(log, bytes(10), b"\xff" * 10, "all update old")
+    return rows.select(*_keys(rows), F.col(OPERATION).alias("operation"), "doc_id", "source", "n_chars")
+
+
 # --- offsets ---------------------------------------------------------------------------
 
 def _offsets_out(o: DataFrame) -> DataFrame:
@@ -347,4 +377,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "batch_envelope": q_batch_envelope,
     "lsn_range": q_lsn_range,
     "feed_catalog": q_feed_catalog,
+    "envelope_by_bytes": q_envelope_by_bytes,
+    "schema_epochs": q_schema_epochs,
+    "update_pairs": q_update_pairs,
+    "all_update_old": q_all_update_old,
 }

@@ -17,6 +17,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.functions.decode import lsn_from_long
 from tidemark.schema import OPERATION, SEQVAL, START_LSN, TABLE_NAME
@@ -66,6 +67,52 @@ def documents_ct(spark: SparkSession, sf_dir: str) -> DataFrame:
     return documents_change_log(_table(spark, sf_dir, "documents"))
 
 
+def updated_documents_ct(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A log of ``documents`` whose updates have before-images of their own.
+
+    Keys as in ``documents_change_log``; codes by ``doc_id``: every fourth is an update
+    (3, 4), of which ``doc_id % 16 = 5`` lost its before-image and ``9`` its
+    after-image; the others are inserts.  Before an update ``n_chars`` is one less where
+    3 divides the id, and ``source`` is NULL where 5 does.
+    """
+    ops = F.expr(
+        "case when doc_id % 16 = 5 then array(4) when doc_id % 16 = 9 then array(3) "
+        "when doc_id % 4 = 1 then array(3, 4) else array(2) end"
+    )
+    rows = _table(spark, sf_dir, "documents").select("*", F.explode(ops).alias(OPERATION))
+    old = F.col(OPERATION) == 3
+    return rows.select(
+        F.col("lang").alias(TABLE_NAME),
+        lsn_from_long(F.expr("doc_id div 3 + 1")).alias(START_LSN),
+        lsn_from_long(F.col("doc_id") + 1).alias(SEQVAL),
+        OPERATION,
+        "doc_id",
+        "text",
+        F.when(~old | (F.col("doc_id") % 5 != 0), F.col("source")).alias("source"),
+        F.when(old & (F.col("doc_id") % 3 == 0), F.col("n_chars") - 1).otherwise(F.col("n_chars")).alias("n_chars"),
+    )
+
+
+def documents_schema_history(log: DataFrame) -> DataFrame:
+    """Schema versions of every table of ``documents_ct``, at thirds of its transactions.
+
+    First ``doc_id`` (int), ``source`` and ``text``; then ``doc_id`` is widened and
+    ``n_chars`` (int) added; then ``n_chars`` becomes a decimal and ``source`` is dropped.
+    """
+    last = log.groupBy(TABLE_NAME).agg(F.conv(F.hex(F.max(START_LSN)), 16, 10).cast("long").alias("m"))
+    versions = (
+        ("0L", "doc_id int, source string, text string"),
+        ("m div 3 + 1", "doc_id bigint, n_chars int, source string, text string"),
+        ("2 * m div 3 + 1", "doc_id bigint, n_chars decimal(12,2), text string"),
+    )
+    parts = []
+    for first, ddl in versions:
+        cols = [(f.name, f.dataType.simpleString()) for f in T.StructType.fromDDL(ddl).fields]
+        listed = F.array(*[F.struct(F.lit(n).alias("name"), F.lit(t).alias("type")) for n, t in cols])
+        parts.append(F.struct(lsn_from_long(F.expr(first)).alias("from_lsn"), listed.alias("columns")))
+    return last.select(TABLE_NAME, F.inline(F.array(*parts)))
+
+
 # Configured feeds of the two derived logs.
 EVENT_TABLES = ("click", "error", "purchase", "signup", "view")
 DOCUMENT_TABLES = ("de", "en", "es", "fr")
