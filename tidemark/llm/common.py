@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import os
 import tempfile
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -64,6 +66,32 @@ def release(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
+def drop_folder(spark: SparkSession, path: str) -> None:
+    """Removes a folder that this library wrote."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def trim_memory() -> None:
+    """Gives a Python worker's freed memory back: Spark reuses workers, and they keep what a task once took."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim is not None:
+        trim(0)
+
+
+def map_arrow(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: T.StructType) -> DataFrame:
+    """``df.mapInArrow(run, schema)`` whose workers give their memory back when a partition ends."""
+
+    def trimmed(batches):
+        try:
+            yield from run(batches)
+        finally:
+            trim_memory()
+
+    return df.mapInArrow(trimmed, schema)
+
+
 def field_type(df: DataFrame, name: str) -> T.DataType:
     return df.schema[name].dataType
 

@@ -25,23 +25,29 @@ without an id come last; an empty table gives no rows.  Only ``doc_id`` and
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import checkpoint, small_batches
+from tidemark.llm.common import BROADCAST_ROWS, checkpoint, map_arrow, small_batches, trim_memory
 
 MIN_WORDS = 50
 _LAST = (1 << 63) - 1         # place of documents without an id
 
 
 def _place(docs: DataFrame) -> list[Column]:
-    """``(did, th)``: a document's place in the order of copies."""
-    return [F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)).alias("did"), F.xxhash64("text").alias("th")]
+    """``(did, th)``: a document's place in the order of copies; an id that is no number goes by its hash, none goes last."""
+    if isinstance(docs.schema["doc_id"].dataType, T.IntegralType):
+        number = F.col("doc_id").cast("long")
+    else:
+        number = F.coalesce(F.col("doc_id").try_cast("long"), F.xxhash64(F.col("doc_id").cast("string")))
+    number = F.when(F.col("doc_id").isNotNull(), number)
+    return [F.coalesce(number, F.lit(_LAST)).alias("did"), F.xxhash64("text").alias("th")]
 
 
 def shortest_runs(words: np.ndarray, min_words: int) -> tuple[np.ndarray, np.ndarray]:
@@ -86,7 +92,7 @@ def line_sequences(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
                 names=LINES_SCHEMA.names,
             )
 
-    rows = docs.where(F.col("text").isNotNull()).select(*_place(docs), "text").mapInArrow(run, LINES_SCHEMA)
+    rows = map_arrow(docs.where(F.col("text").isNotNull()).select(*_place(docs), "text"), run, LINES_SCHEMA)
     return rows.dropDuplicates(["did", "th"])
 
 
@@ -136,7 +142,7 @@ def ranked(rows: DataFrame) -> DataFrame:
     n_parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     key = ("a", "b", "did", "th", "pos")
     dealt = rows.repartitionByRange(n_parts, *key).sortWithinPartitions(*key)
-    local = checkpoint(dealt.select("did", "th", "pos", "a", "b", F.spark_partition_id().alias("pid")).mapInArrow(_numbered, GROUPED_SCHEMA))
+    local = checkpoint(map_arrow(dealt.select("did", "th", "pos", "a", "b", F.spark_partition_id().alias("pid")), _numbered, GROUPED_SCHEMA))
     ends = local.groupBy("pid").agg(
         F.count(F.lit(1)).alias("n"), F.min(F.struct("a", "b")).alias("first"), F.max(F.struct("a", "b")).alias("last"), F.max("g").alias("g"), F.max("p").alias("p"),
         F.sum((F.col("p") == 0).cast("long")).alias("n_first"),
@@ -210,7 +216,7 @@ def _round(state: DataFrame, ranks: DataFrame, depth: int, min_words: int) -> Da
                 [b.column("did"), b.column("th"), b.column("words"), _struct_list(runs, RUN_TYPE), _struct_list(following, NEXT_TYPE)], names=STATE_SCHEMA.names
             )
 
-    return joined.mapInArrow(run, STATE_SCHEMA)
+    return map_arrow(joined, run, STATE_SCHEMA)
 
 
 def later_copies(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
@@ -243,6 +249,8 @@ def with_kept_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     deleted = spans.groupBy(F.col("did").alias("_did"), F.col("th").alias("_th")).agg(F.collect_list(F.struct("s", "e")).alias("q"))  # of one document
     deleted = deleted.select("_did", "_th", first.alias("first"), last.alias("last"))
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_d"), *_place(docs))
+    if spans.count() <= BROADCAST_ROWS:  # then the texts stay where they are
+        deleted = F.broadcast(deleted)
     d = rows.join(deleted, (F.col("did") == F.col("_did")) & (F.col("th") == F.col("_th")), "left")
     return d.select("_d", _keep_lines(F.col("_d.text"), F.col("first"), F.col("last")).alias("k")).select("_d", "k.*")
 
@@ -250,23 +258,28 @@ def with_kept_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
 _KEPT = T.StructType([T.StructField("kept", T.StringType()), T.StructField("n_lines", T.LongType()), T.StructField("n_kept", T.LongType())])
 
 
-@F.pandas_udf(_KEPT)
-def _keep_lines(text: pd.Series, first: pd.Series, last: pd.Series) -> pd.DataFrame:
+@F.arrow_udf(_KEPT)
+def _keep_lines(batches: Iterator[tuple[pa.Array, pa.Array, pa.Array]]) -> Iterator[pa.Array]:
     """A text without the lines of its deleted runs, and its lines before and after."""
-    out = []
-    for t, s, e in zip(text, first, last, strict=True):
-        if t is None:
-            out.append((None, 0, 0))
-            continue
-        n = t.count("\n") + 1
-        if s is None:
-            out.append((t, n, n))
-            continue
-        edge = np.bincount(s, minlength=n + 1) - np.bincount(np.asarray(e) + 1, minlength=n + 1)
-        keep = np.cumsum(edge)[:n] == 0
-        lines = t.split("\n")
-        out.append(("\n".join([lines[k] for k in np.flatnonzero(keep)]), n, int(keep.sum())))
-    return pd.DataFrame(out, columns=["kept", "n_lines", "n_kept"])
+    try:
+        for text, first, last in batches:
+            out = [_kept_of(t, s, e) for t, s, e in zip(text.to_pylist(), first.to_pylist(), last.to_pylist(), strict=True)]
+            kept, before, after = zip(*out) if out else ((), (), ())
+            yield pa.StructArray.from_arrays([pa.array(kept, pa.string()), pa.array(before, pa.int64()), pa.array(after, pa.int64())], names=_KEPT.names)
+    finally:
+        trim_memory()
+
+
+def _kept_of(t: str | None, s: list[int] | None, e: list[int] | None) -> tuple[str | None, int, int]:
+    if t is None:
+        return None, 0, 0
+    n = t.count("\n") + 1
+    if s is None:
+        return t, n, n
+    edge = np.bincount(s, minlength=n + 1) - np.bincount(np.asarray(e) + 1, minlength=n + 1)
+    keep = np.cumsum(edge)[:n] == 0
+    lines = t.split("\n")
+    return "\n".join([lines[k] for k in np.flatnonzero(keep)]), n, int(keep.sum())
 
 
 def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:

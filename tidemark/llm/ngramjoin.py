@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import checkpoint, counted_broadcast, field_type, mix64, release, small_batches
+from tidemark.llm.common import checkpoint, counted_broadcast, field_type, map_arrow, mix64, release, small_batches
 from tidemark.llm.components import connected_components
 
 SHINGLE = 5
@@ -159,7 +159,7 @@ def document_nodes(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
                 names=schema.names,
             )
 
-    return docs.select("doc_id", _row().alias("row"), F.xxhash64("text").alias("th"), "text").mapInArrow(run, schema)
+    return map_arrow(docs.select("doc_id", _row().alias("row"), F.xxhash64("text").alias("th"), "text"), run, schema)
 
 
 def _row() -> Column:
@@ -221,7 +221,7 @@ def prefix_postings(docs: DataFrame, sketch: np.ndarray, percent: int = PERCENT,
                 columns = [np.concatenate(x) for x in (tokens, salts, nodes, sizes, places)]
                 yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=POSTING_SCHEMA.names)
 
-    return docs.select("text").mapInArrow(run, POSTING_SCHEMA)
+    return map_arrow(docs.select("text"), run, POSTING_SCHEMA)
 
 
 def shared_postings(postings: DataFrame) -> DataFrame:
@@ -266,7 +266,7 @@ def _row_filter(rows: DataFrame) -> np.ndarray:
         block[group.column("at").to_numpy() & 0x7FFF] = 1
         return pa.table([group.column("block").slice(0, 1), pa.array([np.packbits(block).tobytes()], pa.binary())], names=schema.names)
 
-    at = rows.select("row").mapInArrow(places, place).distinct()
+    at = map_arrow(rows.select("row"), places, place).distinct()
     found = at.select("at", F.shiftright("at", 15).alias("block")).groupBy("block").applyInArrow(mark, schema).collect()
     out = np.zeros((bits >> 15, 1 << 12), dtype=np.uint8)
     for r in found:
@@ -294,7 +294,7 @@ def node_sets(docs: DataFrame, rows: DataFrame, shingle: int = SHINGLE) -> DataF
             )
 
     # a copy that passes the filter by chance, or a repeated row, must not double a node
-    return docs.select(_row().alias("row"), "text").mapInArrow(run, schema).dropDuplicates(["node"])
+    return map_arrow(docs.select(_row().alias("row"), "text"), run, schema).dropDuplicates(["node"])
 
 
 def _least_overlap(na: Column, nb: Column, percent: int) -> Column:
@@ -382,7 +382,7 @@ def _not_far_apart(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame
             least = -((-(na + nb) * percent) // (100 + percent))
             yield b.filter(pa.array(np.abs(x - y).sum(axis=1) <= na + nb - 2 * least)).select(schema.names)
 
-    return p.mapInArrow(run, schema)
+    return map_arrow(p, run, schema)
 
 
 CHECK_SCHEMA = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.LongType()), T.StructField("distance", T.DoubleType()), T.StructField("linked", T.BooleanType())])
@@ -405,7 +405,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 linked.append(100 * both >= percent * union)
             yield pa.RecordBatch.from_arrays([b.column("a"), b.column("b"), pa.array(distance, pa.float64()), pa.array(linked, pa.bool_())], names=CHECK_SCHEMA.names)
 
-    return p.mapInArrow(run, CHECK_SCHEMA)
+    return map_arrow(p, run, CHECK_SCHEMA)
 
 
 def _members(docs: DataFrame, percent: int, shingle: int) -> DataFrame:

@@ -29,12 +29,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import checkpoint, field_type, small_batches, sqrt_buckets, text_list, tokenizer_path
+from tidemark.llm.common import checkpoint, field_type, map_arrow, small_batches, sqrt_buckets, text_list, tokenizer_path
 
 SEQ_LEN = 2048
 END_ID = 0
 VOCABULARY = "word_bpe_49k.json"
-WORDS_CACHED = 500_000        # words whose ids a Python worker remembers, in each of two generations
+WORDS_CACHED = 120_000        # words whose ids a Python worker remembers, in each of two generations
 LONG_WORD = 256               # longer words are not remembered
 
 
@@ -139,7 +139,7 @@ def tokenized_pieces(
                 columns.append(pa.array(kept, pa.list_(pa.int32())))
             yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
-    return docs.select("doc_id", "text").mapInArrow(run, schema)
+    return map_arrow(docs.select("doc_id", "text"), run, schema)
 
 
 def best_fit_plan(counts: dict[int, int], seq_len: int = SEQ_LEN) -> list[tuple[int, int, int, int, int]]:
@@ -235,7 +235,7 @@ def pack(
             out += [pa.array(plan[run, 3] + rank - plan[run, 1]), pa.array(plan[run, 4])]
             yield pa.RecordBatch.from_arrays(out, names=schema.names)
 
-    return ranked.mapInArrow(place, schema)
+    return map_arrow(ranked, place, schema)
 
 
 def sequences(packed: DataFrame) -> DataFrame:

@@ -19,16 +19,16 @@ occur; without both labels to learn from, nothing is toxic (severity 0).  Only
 from __future__ import annotations
 
 import zlib
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import checkpoint, small_batches, text_list
+from tidemark.llm.common import checkpoint, map_arrow, small_batches, text_list, trim_memory
 
 BUCKETS = 1 << 22
 BEGINNINGS = (3, 4, 5, 6, 7, 8)  # characters of the word beginnings; a word is longer than its beginnings
@@ -116,8 +116,9 @@ def training_sample(docs: DataFrame, labels: DataFrame, per_class: int = TRAIN_P
     for k in (0, 1):
         own = known.where(F.col("toxic") == k).orderBy(F.xxhash64("_id"), "_id").limit(per_class)
         pick = own if pick is None else pick.unionByName(own)
-    # at most 2 * per_class rows of two numbers
-    return docs.select("doc_id", "text").join(F.broadcast(pick), F.col("doc_id") == F.col("_id")).select("toxic", "text")
+    # at most 2 * per_class rows of two numbers; of rows that share a picked id the text of the least hash counts
+    found = docs.select("doc_id", "text").join(F.broadcast(pick.dropDuplicates(["_id", "toxic"])), F.col("doc_id") == F.col("_id"))
+    return found.groupBy("doc_id", "toxic").agg(F.min_by("text", F.xxhash64("text")).alias("text")).select("toxic", "text")
 
 
 def fit(train: DataFrame, grades: int = GRADES, n_features: int = N_FEATURES) -> OrdinalModel:
@@ -138,7 +139,7 @@ def fit(train: DataFrame, grades: int = GRADES, n_features: int = N_FEATURES) ->
     if len(sizes) < 2:
         return OrdinalModel({}, np.zeros(0), np.zeros(0))
     # Which features tell the labels apart: the G statistic of their document counts.
-    counts = train.mapInArrow(features, schema).groupBy("feature").agg(
+    counts = map_arrow(train, features, schema).groupBy("feature").agg(
         F.sum("toxic").cast("double").alias("a"), F.sum(1 - F.col("toxic")).cast("double").alias("b")
     )
     na, nb = float(sizes[1]), float(sizes[0])
@@ -167,7 +168,7 @@ def fit(train: DataFrame, grades: int = GRADES, n_features: int = N_FEATURES) ->
                 names=rows_schema.names,
             )
 
-    rows = train.mapInArrow(sparse, rows_schema).collect()  # at most 2 * TRAIN_PER_CLASS rows of at most N_FEATURES columns
+    rows = map_arrow(train, sparse, rows_schema).collect()  # at most 2 * TRAIN_PER_CLASS rows of at most N_FEATURES columns
     rows.sort(key=lambda r: (r["toxic"], r["hits"], r["columns"], r["n"]))
     toxic = np.array([r["toxic"] for r in rows])
     hits = np.array([r["hits"] for r in rows])
@@ -214,9 +215,15 @@ def severity(model: OrdinalModel, spark, text: Column) -> Column:
     """Expected severity of a text column."""
     shared = spark.sparkContext.broadcast(model)
 
-    @F.pandas_udf("double")
-    def grade(texts: pd.Series) -> pd.Series:
-        return pd.Series([shared.value.expected(t) for t in texts], dtype="float64")
+    @F.arrow_udf("double")
+    def grade(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        own = shared.value
+        try:
+            for texts in batches:
+                yield pa.array([own.expected(t) for t in texts.to_pylist()], pa.float64())
+        finally:
+            own._known = None  # the words of this partition go with it
+            trim_memory()
 
     return grade(text)
 
