@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import linededup, mixing, ngramjoin, packing, toxicity
-from tidemark.llm.common import checkpoint_folder, read_table
+from tidemark.llm.common import checkpoint_folder, drop_folder, read_table
 
 
 def _counted(docs: DataFrame) -> DataFrame:
@@ -70,4 +70,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         path = f"{folder}/{k}-{name}"
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
+        if k:
+            drop_folder(spark, f"{folder}/{k - 1}-{STAGES[k - 1][0]}")  # nothing reads it any more
     return docs
