@@ -216,3 +216,35 @@ def test_a_table_without_a_size_has_the_default(spark):
     for sizes in ({}, {"other": 7}, spark.createDataFrame([("other", 7)], "table_name string, batch_size int")):
         got = {r.batch_no: r["count"] for r in drain_batches(log, sizes, 1).groupBy("batch_no").count().collect()}
         assert got == {0: 100, 1: 100, 2: 50}
+
+
+def test_resample_reads_from_the_last_sample_on_and_equals_a_full_one(spark, monkeypatch):
+    """Over appends in any order, sizes equal those of the whole log; history is not read again."""
+    import datetime as dt
+
+    from tidemark.operators import batching
+    from tidemark.operators.batching import BatchSizer, batch_size_values, table_batch_sizes
+
+    tables = [f"t{k}" for k in range(6)]
+    rows = [(t, i, i, 2, i, "x" * (300 * (k + 1))) for k, t in enumerate(tables) for i in range(1, 40)] + [("few", 1, 1, 2, 1, "y")]
+    more = [
+        [(t, i, i, 2, i, "x" * 9000) for t in tables[:3] for i in range(40, 47)],
+        [("t4", 35, 500 + i, 2, i, "late" * 500) for i in range(5)] + [("few", i, i, 2, i, "z" * 7000) for i in range(2, 60)],
+        [("t0", 1, 900, 2, 1, "too old to count" * 999)],
+    ]
+    sizer = BatchSizer(sample_size=10, resample_seconds=1)
+    names, now = [*tables, "few", "missing"], dt.datetime(2024, 1, 1)
+    read = []
+    whole = batching.sample_recent
+    monkeypatch.setattr(batching, "sample_recent", lambda log, *a, **k: read.append(log.count()) or whole(log, *a, **k))
+    for step in [[], *more]:
+        rows = rows + step
+        log = make_log(spark, rows).repartition(3)
+        read.clear()
+        got = sizer.get(spark, names, [log], now)
+        seen = sum(read)
+        assert got == batch_size_values(table_batch_sizes(spark, names, [log], 10), len(names))
+        if now > dt.datetime(2024, 1, 1):
+            assert seen < len(rows) / 2  # ten rows a table and what is new
+        now += dt.timedelta(hours=1)
+    assert sizer.samples == 4 and set(sizer.floors[0]) == {*tables, "few"}

@@ -88,18 +88,24 @@ def sample_recent(
 
 
 def recent_first_sample(
-    log: DataFrame, tables, recent_from: bytes, sample_size: int = DEFAULT_SAMPLE_SIZE
+    log: DataFrame, tables, recent_from: bytes | dict[str, bytes], sample_size: int = DEFAULT_SAMPLE_SIZE
 ) -> DataFrame:
     """``sample_recent`` that reads history only for tables that need it.
 
-    If a table has at least ``sample_size`` rows with ``lsn >= recent_from``,
-    its newest ``sample_size`` rows all lie there, so only that window is read
-    (a pushed filter: row groups before it are skipped).  The other tables are
-    sampled from their whole history, with ``table_name IN (...)`` pruning the
-    rest.  The per-table counts of the window are one row per configured table.
+    If a table has at least ``sample_size`` rows with ``lsn >= recent_from`` (one
+    LSN, or one per table), its newest ``sample_size`` rows all lie there, so only
+    that window is read (a pushed filter: row groups before it are skipped).  The
+    other tables are sampled from their whole history, with ``table_name IN (...)``
+    pruning the rest.  The per-table counts of the window are one row per configured
+    table.
     """
     tables = sorted(set(tables))
-    window = log.where(F.col(START_LSN) >= F.lit(bytearray(recent_from)))
+    if isinstance(recent_from, dict):
+        from tidemark.operators.cursor import from_floors
+
+        window = from_floors(log, {t: recent_from[t] for t in tables if t in recent_from})
+    else:
+        window = log.where(F.col(START_LSN) >= F.lit(bytearray(recent_from)))
     counts = collect_bounded(window.groupBy(TABLE_NAME).count(), len(tables), "recent counts")
     full = sorted(r[0] for r in counts if r[1] >= sample_size)
     rest = sorted(set(tables) - set(full))
@@ -130,14 +136,18 @@ def sample_row_bytes(sample: DataFrame) -> DataFrame:
     )
 
 
-def sample_stats(row_bytes: DataFrame) -> DataFrame:
-    """Per table: total bytes, rows sampled, average bytes per row (copies weighted)."""
+def sample_stats(row_bytes: DataFrame, with_oldest: bool = False) -> DataFrame:
+    """Per table: total bytes, rows sampled, average bytes per row (copies weighted).
+
+    ``with_oldest`` adds the oldest LSN of the sample.
+    """
     total = F.sum(F.col("row_bytes") * F.col("sample_weight"))
     rows = F.sum("sample_weight")
     return row_bytes.groupBy(TABLE_NAME).agg(
         total.alias("total_bytes"),
         rows.alias("sample_rows"),
         (total.cast("double") / rows).alias("avg_row_bytes"),
+        *([F.min(START_LSN).alias("oldest_lsn")] if with_oldest else []),
     )
 
 
@@ -304,6 +314,12 @@ class BatchSizer:
     Sizes are estimated at the first call and again once ``resample_seconds``
     have passed (default hourly), as a long-running feed does.  The values are
     one per configured table, so they live on the driver.
+
+    With them each log's oldest sampled LSN per table is kept.  A log only grows, so
+    the newest rows of the next sample lie at or behind it: a resample reads the rows
+    from there on, not the history, and equals a sample of the whole log, also when
+    rows came late.  A table that had fewer rows than the sample has no such LSN, and
+    one whose rows were cleaned up since is sampled from all that is left of it.
     """
 
     def __init__(
@@ -321,6 +337,7 @@ class BatchSizer:
         self.tables: tuple | None = None
         self.last_sample_time = None
         self.samples = 0
+        self.floors: list[dict[str, bytes]] = []
 
     def due(self, tables, now) -> bool:
         if self.sizes is None or self.tables != tuple(sorted(set(tables))):
@@ -330,10 +347,24 @@ class BatchSizer:
     def get(self, spark: SparkSession, tables, logs, now, recent_from: bytes | None = None) -> dict:
         if self.due(tables, now):
             tables = sorted(set(tables))
-            frame = table_batch_sizes(
-                spark, tables, logs, self.sample_size, self.max_message_bytes, self.buffer_factor, recent_from
-            )
-            self.sizes = batch_size_values(frame, len(tables))
+            logs = logs if isinstance(logs, list) else [logs]
+            if len(self.floors) != len(logs):  # the first sample, or other logs
+                self.floors = [{} for _ in logs]
+            totals: dict[str, list[int]] = {}
+            for k, log in enumerate(logs):
+                own = log.where(F.col(TABLE_NAME).isin(tables))
+                start = self.floors[k] or ({t: recent_from for t in tables} if recent_from is not None else {})
+                sample = recent_first_sample(own, tables, start, self.sample_size) if start else sample_recent(own, self.sample_size, len(tables))
+                stats = collect_bounded(sample_stats(sample_row_bytes(sample), with_oldest=True), len(tables), "sample")
+                self.floors[k] = {r[TABLE_NAME]: bytes(r["oldest_lsn"]) for r in stats if r["sample_rows"] >= self.sample_size and r["oldest_lsn"] is not None}
+                for r in stats:
+                    seen = totals.setdefault(r[TABLE_NAME], [0, 0])
+                    seen[0] += r["total_bytes"]
+                    seen[1] += r["sample_rows"]
+            averages = spark.createDataFrame([(t, b / n if n else None) for t, (b, n) in totals.items()], "table_name string, avg_row_bytes double")
+            size = size_from_average(F.col("avg_row_bytes"), self.max_message_bytes, self.buffer_factor)
+            sized = {r[0]: r[1] for r in collect_bounded(averages.select(TABLE_NAME, size), len(tables), "batch sizes")}
+            self.sizes = {t: sized[t] if sized.get(t) is not None and sized[t] > 0 else DEFAULT_BATCH for t in tables}
             self.tables = tuple(tables)
             self.last_sample_time = now
             self.samples += 1

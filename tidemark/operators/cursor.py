@@ -298,6 +298,26 @@ def up_to(log: DataFrame, last: dict[str, bytes]) -> DataFrame:
     return near.join(broadcast_bounded(ends, len(last)), F.col(TABLE_NAME) == F.col("_ut")).where(F.col(START_LSN) <= F.col("_ul")).drop("_ut", "_ul")
 
 
+def from_floors(log: DataFrame, floors: dict[str, bytes]) -> DataFrame:
+    """Changes of the given tables at or after their floor LSN, any code.
+
+    Pushed to the scan as in ``up_to``: exact bounds for few tables, for many
+    ``table_name IN (...)`` and the lowest bound, with a broadcast for the rest.
+    """
+    if not floors:
+        return log.where(F.lit(False))
+    lowest = F.col(START_LSN) >= F.lit(bytearray(min(floors.values())))
+    if len(floors) <= MAX_LITERAL_TABLES:
+        pred = None
+        for t, lsn in sorted(floors.items()):
+            term = (F.col(TABLE_NAME) == F.lit(t)) & (F.col(START_LSN) >= F.lit(bytearray(lsn)))
+            pred = term if pred is None else pred | term
+        return log.where(pred & lowest)
+    starts = log.sparkSession.createDataFrame([(t, bytearray(x)) for t, x in sorted(floors.items())], "_ft string, _fl binary")
+    near = log.where(F.col(TABLE_NAME).isin(sorted(floors)) & lowest)
+    return near.join(broadcast_bounded(starts, len(floors)), F.col(TABLE_NAME) == F.col("_ft")).where(F.col(START_LSN) >= F.col("_fl")).drop("_ft", "_fl")
+
+
 def polled_changes(log: DataFrame, cursor, top: DataFrame, table_bound: int | None = None, last: dict | None = None) -> DataFrame:
     """The full rows of polled keys in one log; adds ``batch_size`` and ``poll_rank``.
 
