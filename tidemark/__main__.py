@@ -24,6 +24,7 @@ import sys
 import time
 
 from tidemark.operators.batching import BatchSizer
+from tidemark.operators.histogram import PollBounds
 from tidemark.operators.offsets import OffsetStore
 from tidemark.schema import PREMIUM_MESSAGE_BYTES, STANDARD_MESSAGE_BYTES
 from tidemark.plans.cycle import envelope_publisher, json_lines_publisher, run_committed_cycle, run_cycle
@@ -84,6 +85,8 @@ def main(argv: list[str] | None = None) -> int:
     extra = dict(envelopes=True, server_name=a.server_name, poll_interval=a.poll_interval) if a.envelopes else {}
     budget = a.max_message_bytes or (PREMIUM_MESSAGE_BYTES if a.tier == "premium" else STANDARD_MESSAGE_BYTES)
     sizer = BatchSizer(a.sample_size, budget, a.buffer_factor, a.resample_seconds)
+    if a.mode == "poll":
+        extra["poll_bounds"] = PollBounds(spark, f"{(a.out if a.atomic else a.offsets).rstrip('/')}-histogram")
     done, failed = 0, 0
     while True:
         # a cycle is numbered by the offsets version it will save; a replayed cycle
@@ -91,7 +94,7 @@ def main(argv: list[str] | None = None) -> int:
         cycle_id = ((CommittedFeed(spark, a.out).latest_cycle() if a.atomic else store.latest_version()) or 0) + 1
         try:
             if a.atomic:
-                r = run_committed_cycle(spark, logs(), tables, a.out, mode=a.mode, sizer=sizer)
+                r = run_committed_cycle(spark, logs(), tables, a.out, mode=a.mode, sizer=sizer, **extra)
             else:
                 r = run_cycle(spark, logs(), tables, store, publish, cycle_id=cycle_id, mode=a.mode, sizer=sizer, **extra)
         except Exception:  # reading or saving failed: the cursor has not moved

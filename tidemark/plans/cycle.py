@@ -27,6 +27,7 @@ from tidemark.functions.decode import lsn_hex
 from tidemark.operators.batching import BatchSizer, batch_size_values, drain_batches, table_batch_sizes
 from tidemark.operators.common import collect_bounded, default_parallelism, run_concurrently, table_count
 from tidemark.operators.cursor import changes_after, last_lsns, load_cursors, poll_keys, polled_changes, up_to
+from tidemark.operators.histogram import END, PollBounds
 from tidemark.operators.offsets import OffsetStore, merge_offsets
 from tidemark.operators.ordering import ranked_keys
 from tidemark.plans.feed import batch_envelopes, decoded_changes, with_change_json
@@ -103,12 +104,15 @@ def plan_cycle(
     envelopes: bool = False,
     server_name: str = "localhost",
     poll_interval: str = "5s",
+    poll_bounds: PollBounds | None = None,
 ) -> Cycle:
     """Changes to publish in this cycle, uniform across logs.
 
     ``mode="poll"``: the first batch of every table (one poll);
     ``mode="drain"``: the whole backlog, numbered into batches.
     With a ``sizer``, batch sizes are reused until its resample interval passes.
+    With ``poll_bounds``, a poll reads keys only up to the LSN by which its batches are
+    surely full, not those of the whole backlog.
     Rows: ``table_name``, system columns, ``batch_no``, ``change_json``.
 
     ``envelopes=True`` (drain mode) gives one row per batch envelope instead:
@@ -135,7 +139,8 @@ def plan_cycle(
         )
     cursor, sizes = run_concurrently(lambda: load_cursors(spark, tables, offsets, _keys(logs)), size_job)
     if mode == "poll":
-        return _poll_cycle(logs, cursor, sizes, bound)
+        uppers = poll_bounds.bounds(_keys(logs), cursor, sizes) if poll_bounds is not None else None
+        return _poll_cycle(logs, cursor, sizes, bound, uppers)
     return _drain_cycle(spark, logs, cursor, sizes, bound, buckets, envelopes, server_name, poll_interval)
 
 
@@ -143,9 +148,12 @@ def _lines(numbered: DataFrame) -> DataFrame:
     return with_change_json(numbered).select(TABLE_NAME, START_LSN, SEQVAL, OPERATION, "batch_no", "change_json")
 
 
-def _poll_cycle(logs, cursor, sizes, bound) -> Cycle:
-    top = poll_keys(logs, cursor, sizes, bound)
+def _poll_cycle(logs, cursor, sizes, bound, uppers=None) -> Cycle:
+    top = poll_keys(logs if uppers is None else [up_to(lg, uppers) for lg in logs], cursor, sizes, bound)
     last = last_lsns(top, bound)
+    if not last and uppers is not None and any(u != END for u in uppers.values()):
+        # the counted rows are gone from the log (cleaned up): read without bounds
+        return _poll_cycle(logs, cursor, sizes, bound)
     polled = [polled_changes(lg, cursor, top, bound, last).drop("poll_rank", "batch_size") for lg in logs]
     rows = sum(p.select(TABLE_NAME).count() for p in polled) if last else 0
     batch = _union([_lines(decoded_changes(p).withColumn("batch_no", F.lit(0).cast("long"))) for p in polled])
