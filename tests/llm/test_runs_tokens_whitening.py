@@ -288,3 +288,25 @@ def test_jacobi_on_the_cholesky_factor_of_graded_matrices():
 
 def test_public_vocabulary_is_read_in_place():
     assert os.path.exists(tokenizer_path("word_bpe_49k.json"))
+
+
+# --- fixes of earlier operators ------------------------------------------------------
+
+def test_line_dedup_takes_ids_that_are_no_numbers(spark):
+    from tidemark.llm import linededup
+
+    run = "\n".join(" ".join(f"w{k}{j}" for j in range(12)) for k in range(6))
+    rows = [("a-1", run + "\nown line one"), ("a-2", "other line\n" + run), ("17", run), (None, run + "\nlast")]
+    docs = spark.createDataFrame(rows, "doc_id string, text string")
+    kept = {r["doc_id"]: r for r in linededup.line_report(docs).collect()}
+    assert sum(r["n_lines"] - r["n_kept"] for r in kept.values()) == 18 and kept[None]["n_kept"] == 1
+
+
+def test_toxicity_sample_is_bounded_by_labels_not_rows(spark):
+    from tidemark.llm import toxicity
+
+    docs = spark.createDataFrame([(1, f"text {i}") for i in range(500)] + [(i, "x") for i in range(2, 40)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(1, 40)] + [(1, 1)], "doc_id long, toxic int")
+    for _ in range(2):
+        rows = toxicity.training_sample(docs, labels, 10).collect()
+        assert len(rows) <= 20
