@@ -34,7 +34,7 @@ from tidemark.llm.common import checkpoint, field_type, map_arrow, small_batches
 SEQ_LEN = 2048
 END_ID = 0
 VOCABULARY = "word_bpe_49k.json"
-WORDS_CACHED = 120_000        # words whose ids a Python worker remembers, in each of two generations
+WORDS_CACHED = 300_000        # words whose ids a Python worker remembers, in each of two generations
 LONG_WORD = 256               # longer words are not remembered
 
 
