@@ -112,6 +112,16 @@ def test_word_hashes_do_not_depend_on_place(monkeypatch):
     assert len(cut) == len(h) and (cut[:5] == h[:5]).all() and cut[-1] == h[-1]
 
 
+@pytest.mark.parametrize("size", [ngramjoin.TEXT_CHUNK - 1, ngramjoin.TEXT_CHUNK, ngramjoin.TEXT_CHUNK + 1])
+def test_very_long_words_hash_alike_at_every_place(size):
+    word = b"w" * size
+    alone = ngramjoin.word_hashes(word)
+    assert len(alone) == 1
+    for text, at, n in [(word + b"  ", 0, 1), (b" " + word, 0, 1), (b"a " + word + b" b", 1, 3), (b"a b\n" + word, 2, 3), (word + b" " + word, 1, 2)]:
+        h = ngramjoin.word_hashes(text)
+        assert len(h) == n and h[at] == alone[0]
+
+
 def test_connected_components_match_union(spark):
     rnd = random.Random(5)
     edges = [(rnd.randrange(300), rnd.randrange(300)) for _ in range(260)] + [(k, k + 1) for k in range(1000, 1100)]

@@ -7,6 +7,7 @@ from collections import defaultdict
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from llm_fixtures import TEXTS, documents  # noqa: F401
 from pyspark.sql import functions as F
@@ -336,39 +337,62 @@ def test_embedding_hot_bucket_in_cells(spark, monkeypatch):
     assert embdedup.near_duplicates(_vectors(spark, [])).count() == 0
 
 
-@pytest.mark.parametrize("common", [0.0, 0.5, 0.8, 0.95])
-def test_embedding_recall_with_a_common_direction(spark, common):
-    """Pairs just above the threshold are found however much all vectors have in common."""
-    rng = np.random.default_rng(11)
+def _unit(x):
+    return x / np.linalg.norm(x, axis=-1, keepdims=True)
 
-    def unit(x):
-        return x / np.linalg.norm(x, axis=-1, keepdims=True)
 
-    base = math.sqrt(common) * unit(rng.normal(size=48)) + math.sqrt(1 - common) * unit(rng.normal(size=(900, 48)))
-    base = unit(base)
+def _with_partners(n, dim, common, seed=11):
+    """``n`` unit vectors that share a direction, each with a partner just above the threshold."""
+    rng = np.random.default_rng(seed)
+    base = _unit(math.sqrt(common) * _unit(rng.normal(size=dim)) + math.sqrt(1 - common) * _unit(rng.normal(size=(n, dim))))
     step = rng.normal(size=base.shape)
-    step = unit(step - (step * base).sum(axis=1, keepdims=True) * base)
-    data = np.vstack([base, 0.905 * base + math.sqrt(1 - 0.905**2) * step]).astype(np.float32)
-    got = {r.vec_id: r.n_links for r in embdedup.near_duplicates(_vectors(spark, [(i, [float(c) for c in v]) for i, v in enumerate(data)])).collect()}
-    x = unit(data.astype(np.float64))
-    linked = x @ x.T >= 0.9
-    np.fill_diagonal(linked, False)
-    assert linked.sum() >= 1800
-    assert all(got[i] <= linked[i].sum() for i in range(len(data)))
-    assert sum(got.values()) >= 0.95 * linked.sum()
+    step = _unit(step - (step * base).sum(axis=1, keepdims=True) * base)
+    return np.vstack([base, 0.905 * base + math.sqrt(1 - 0.905**2) * step]).astype(np.float32)
+
+
+@pytest.mark.parametrize("common", [0.0, 0.5, 0.8, 0.95])
+def test_embedding_recall_with_a_common_direction(spark, common, monkeypatch):
+    """Pairs just above the threshold are found through codes however much all vectors have in common."""
+    data = _with_partners(10_000, 48, common)
+    shapes = []
+    model = embdedup.table_model
+    monkeypatch.setattr(embdedup, "table_model", lambda *a: shapes.append(model(*a)) or shapes[-1])
+    vectors = pa.FixedSizeListArray.from_arrays(pa.array(data.ravel()), data.shape[1]).cast(pa.list_(pa.float32()))
+    frame = spark.createDataFrame(pa.table({"vec_id": np.arange(len(data)), "embedding": vectors}))
+    got = embdedup.near_duplicates(frame.repartition(8)).toPandas().set_index("vec_id").n_links
+    assert [s[2] >= embdedup.MIN_BITS and s[3] >= 1 for s in shapes] == [True]
+    x = _unit(data.astype(np.float64))
+    linked = np.concatenate([(x[at : at + 1000] @ x.T >= 0.9).sum(axis=1) - 1 for at in range(0, len(x), 1000)])
+    assert linked.sum() >= len(data)
+    assert (got.loc[np.arange(len(data))].to_numpy() <= linked).all()
+    assert got.sum() >= 0.95 * linked.sum()
+
+
+def test_embedding_tables_are_coded_at_every_size():
+    rng = np.random.default_rng(2)
+    for n, rows, common, dim in [(1, 1, 0, 1), (2, 2, 0, 2), (3, 3, 0.5, 2), (40, 40, 0.999, 3), (500, 500, 0, 64), (2000, 51_282, 0.95, 64), (2000, 10**9, 0, 64)]:
+        x = _unit(math.sqrt(common) * _unit(rng.normal(size=dim)) + math.sqrt(1 - common) * _unit(rng.normal(size=(n, dim))))
+        projection, cut, bits, tables = embdedup.table_model(x, rows, 0.9)
+        assert embdedup.MIN_BITS <= bits <= embdedup.MAX_BITS and projection.shape == (dim, bits * tables) and cut.shape == (bits * tables,)
+
+
+def test_embedding_extreme_lengths(spark):
+    rows = [(0, [1e200, 2e200]), (1, [1e-200, 2e-200]), (2, [1.0, 2.0]), (3, [5e-324, 1e-323]), (4, [2.0, -1.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in embdedup.near_duplicates(df).collect()}
+    assert got == {0: (3, 0), 1: (3, 0), 2: (3, 0), 3: (3, 0), 4: (0, 4)}
 
 
 def brute_top(rows, mod=50, k=5):
-    ok = {}
+    ok = []
     for i, v in rows:
         if i is not None and v and all(x is not None and math.isfinite(x) for x in v):
-            q = [math.floor(256 * float(np.float32(x))) for x in v]
-            ok[i] = min(ok.get(i, q), q)
+            ok.append((i, [min(max(math.floor(256 * float(np.float32(x))), -(1 << 63)), (1 << 63) - 1) for x in v]))
     out = []
-    for i in ok:
+    for n, (i, q) in enumerate(ok):
         if i % mod == 0:
-            scores = sorted((-sum(a * b for a, b in zip(ok[i], w)), j) for j, w in ok.items() if j != i and len(w) == len(ok[i]))
-            out += [(i, r + 1, j, -s) for r, (s, j) in enumerate(scores[:k])]
+            found = [(min(max(sum(a * b for a, b in zip(q, w)), -(1 << 63)), (1 << 63) - 1), j) for m, (j, w) in enumerate(ok) if m != n and len(w) == len(q)]
+            out += [(i, r + 1, j, s) for r, (s, j) in enumerate(sorted(found, key=lambda f: (-f[0], f[1]))[:k])]
     return sorted(out)
 
 
@@ -378,14 +402,20 @@ def test_top_k_matches_brute_force(spark, monkeypatch):
     rng = np.random.default_rng(5)
     rows = [(i, [float(x) for x in np.round(rng.normal(size=6), 1)]) for i in range(520)]
     rows += [(600 + i, rows[0][1]) for i in range(90)] + [(2000 + i, v) for i, v in enumerate(BAD)]
-    rows += [(50, rows[7][1]), (None, rows[3][1]), (3000, [1.0, 2.0]), (3001, [2.0, 1.0]), (3050, [1e30] * 6)]
-    rows = [r for r in rows if r[1] != [1e30] * 6]
-    got = topk.top_k(_vectors(spark, rows).repartition(3))
-    assert sorted(tuple(r) for r in got.select("query_id", "rank", "vec_id", "score").collect()) == brute_top(rows)
+    rows += [(50, rows[7][1]), (50, rows[50][1]), (None, rows[3][1]), (3000, [1.0, 2.0]), (3001, [2.0, 1.0])]
+    for more in ([], [(3050, [1e30] * 6), (3049, [-1e30] * 6), (3100, [2e7] * 6), (3099, [2e7] * 6)]):
+        got = topk.top_k(_vectors(spark, rows + more).repartition(3))
+        assert sorted(tuple(r) for r in got.select("query_id", "rank", "vec_id", "score").collect()) == brute_top(rows + more)
     assert topk.top_k(_vectors(spark, [])).count() == 0
     assert [tuple(r) for r in topk.top_k(_vectors(spark, [(0, [1.0]), (1, [-1.0])])).collect()] == [(0, 1, 1, -65536)]
 
 
+def test_top_k_rows_that_share_an_id(spark):
+    rows = [(0, [1.0, 0.0]), (7, [1.0, 0.0]), (7, [2.0, 0.0]), (50, [0.0, 1.0])]
+    got = topk.top_k(_vectors(spark, rows)).where("query_id = 0").orderBy("rank")
+    assert [(r.vec_id, r.score) for r in got.collect()] == [(7, 131072), (7, 65536), (50, 0)]
+
+
 # --- revisits -------------------------------------------------------------------
 
 

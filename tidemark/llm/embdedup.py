@@ -5,12 +5,12 @@ components whose signs are balanced binary codes.  The codes are cut into the
 keys of several Hamming tables: vectors that agree in a whole key of any table
 are candidates, and are reranked by the cosine of the original vectors in
 double precision.  The key length follows log2 of the row count, so a bucket
-holds about ``BUCKET_ROWS`` rows.  The number of tables is measured: partners
-made at the threshold of the sample's rows are coded as all rows are (centring
-widens the angle of vectors that share a mean direction), and tables are added
-until the share ``RECALL`` of them meets in a whole key.  Where that takes so
-many tables that shorter keys cost less, keys are shorter; without any bits all
-pairs are compared.
+holds about ``BUCKET_ROWS`` rows, ``MIN_BITS`` at least: every input, however
+small, goes through codes and tables.  The number of tables is measured:
+partners made at the threshold of the sample's rows are coded as all rows are,
+and tables are added until the share ``RECALL`` of them meets in a whole key.
+Centring widens the angle of vectors that share a mean direction, so codes are
+cut at the mean or at the origin, whichever is expected to compare fewer rows.
 
 Scale: equal vectors are one row with a count first.  A bucket above
 ``CELL_ROWS`` rows is cut into chunks that meet pairwise in cells, so no task
@@ -22,6 +22,7 @@ Defined results: vectors that are NULL, zero, or hold NULL or non-finite
 components link with nothing (``n_links`` 0, own component); vectors of unequal
 length never link; rows with a NULL ``vec_id`` are returned linked to nothing;
 an empty table gives no rows.  A ``vec_id`` that repeats counts each row.
+Vectors are named by a 64-bit hash; two with one hash would count as copies.
 """
 
 from __future__ import annotations
@@ -43,47 +44,52 @@ SAMPLE_ROWS = 10_000          # vectors that the rotations are learned on: the l
 ITERATIONS = 40
 RECALL = 0.97                 # share of the pairs at the threshold itself that share a key of some table
 BUCKET_ROWS = 256             # rows of a bucket, about
-MIN_BITS = 6
+MIN_BITS = 4
+MAX_BITS = 60                 # a key is a long
+STALL = 8                     # tables without a new pair after which rotations are random
 CELL_ROWS = 1024              # rows of one chunk of a hot bucket
 SEED = 7
 
 
-def _rotations(sample: np.ndarray, iterations: int = ITERATIONS, seed: int = SEED):
-    """The mean, and an endless series of projections: code bits are the signs of ``(x - mean) @ projection``.
+def _rotations(x: np.ndarray, iterations: int = ITERATIONS, seed: int = SEED):
+    """An endless series of projections: code bits are the signs of ``x @ projection``.
 
     Each rotation is started at random and alternates between the codes that
     fit it and the rotation that fits the codes (an orthogonal Procrustes
     step); more bits than components take further rotations.
     """
-    mean = sample.mean(axis=0)
-    x = sample - mean
     _, _, axes = np.linalg.svd(x, full_matrices=False)
     v = x @ axes.T
     d = v.shape[1]
+    rng = np.random.default_rng(seed)
+    while True:
+        r = np.linalg.qr(rng.standard_normal((d, d)))[0]
+        for _ in range(iterations):
+            code = np.where(v @ r >= 0, 1.0, -1.0)
+            u, _, w = np.linalg.svd(code.T @ v)
+            r = (u @ w).T
+        yield axes.T @ r
 
-    def series():
-        rng = np.random.default_rng(seed)
-        while True:
-            r = np.linalg.qr(rng.standard_normal((d, d)))[0]
-            for _ in range(iterations):
-                code = np.where(v @ r >= 0, 1.0, -1.0)
-                u, _, w = np.linalg.svd(code.T @ v)
-                r = (u @ w).T
-            yield axes.T @ r
 
-    return mean, series()
+def _random_rotations(dim: int, seed: int = SEED + 1):
+    """Random projections: any pair at the threshold agrees in a bit with the same probability."""
+    rng = np.random.default_rng(seed)
+    while True:
+        yield np.linalg.qr(rng.standard_normal((dim, dim)))[0]
 
 
 def threshold_partners(sample: np.ndarray, threshold: float, seed: int = SEED) -> list[np.ndarray]:
-    """Two partners of every unit vector at a cosine of ``threshold``, as unit vectors.
+    """Three partners of every unit vector at a cosine of ``threshold``, as unit vectors.
 
-    They differ from it in a random direction, and in the direction of the
-    difference of two rows (so along the data's own spread).
+    They differ from it in a random direction, in the direction of the
+    difference of two rows (so along the data's own spread), and towards another
+    row (so without leaving what all rows have in common).
     """
     rng = np.random.default_rng(seed)
     n = len(sample)
     out = []
-    for step in (rng.standard_normal(sample.shape), sample[rng.permutation(n)] - sample[rng.permutation(n)]):
+    steps = rng.standard_normal(sample.shape), sample[rng.permutation(n)] - sample[rng.permutation(n)], sample[rng.permutation(n)]
+    for step in steps:
         step = step - (step * sample).sum(axis=1, keepdims=True) * sample
         size = np.sqrt((step * step).sum(axis=1, keepdims=True))
         ok = size[:, 0] > 1e-9
@@ -93,40 +99,65 @@ def threshold_partners(sample: np.ndarray, threshold: float, seed: int = SEED) -
     return out
 
 
-def _cost(n_rows: int, bits: int, tables: float) -> float:
-    """Rows shuffled, in units of a row compared, and rows compared."""
-    return tables * n_rows * (BUCKET_ROWS + n_rows / 2.0**bits)
+def _shape(n_rows: int, agreement: float, alike: float, recall: float) -> tuple[float, int]:
+    """``(cost, bits)`` of the cheapest tables: rows shuffled, in units of a row compared, and rows compared.
+
+    ``agreement`` and ``alike`` are the shares of bits in which partners, and any two rows, agree.
+    """
+    agreement, alike = min(max(agreement, 0.01), 0.9999), min(max(alike, 0.5), 0.9999)
+    most = min(MAX_BITS, max(MIN_BITS, math.ceil(math.log(max(2, n_rows) / BUCKET_ROWS) / -math.log(alike))))
+
+    def cost(bits: int) -> float:
+        tables = max(1.0, math.log(1.0 - recall) / math.log1p(-(agreement**bits)))
+        return tables * n_rows * (BUCKET_ROWS + n_rows * alike**bits / 2.0)
+
+    return min((cost(bits), bits) for bits in range(MIN_BITS, most + 1))
 
 
 def table_model(sample: np.ndarray, n_rows: int, threshold: float, recall: float = RECALL) -> tuple[np.ndarray, np.ndarray, int, int]:
-    """``(mean, projection, bits, tables)`` for ``n_rows`` rows, from a sample of their unit vectors."""
-    mean, series = _rotations(sample)
-    kinds = [p - mean for p in threshold_partners(sample, threshold)]
-    x = sample - mean
-    projection = next(series)
-    agreement = min(float(((x @ projection >= 0) == (p @ projection >= 0)).mean()) for p in kinds)
-
-    def expected(bits: int) -> float:
-        agree = agreement**bits
-        return math.log(1.0 - recall) / math.log1p(-agree) if 0.0 < agree < 1.0 else 1.0 if agree else math.inf
-
-    most = max(MIN_BITS, math.ceil(math.log2(max(2, n_rows) / BUCKET_ROWS)))
-    bits = min(range(most, -1, -1), key=lambda b: _cost(n_rows, b, max(1.0, expected(b))))
-    tables, at = 0, 0
-    wanted = recall + 2.0 * math.sqrt(recall * (1.0 - recall) / len(sample))  # the sample's own error
-    met = [np.zeros(len(x), dtype=bool) for _ in kinds]
-    while bits and min(float(m.mean()) for m in met) < wanted:
-        if _cost(n_rows, bits, tables + 1) > _cost(n_rows, 0, 1):
-            bits = 0
-            break
+    """``(projection, cut, bits, tables)`` for ``n_rows`` rows, from a sample of their unit vectors.
+
+    Code bits are ``x @ projection >= cut``.
+    """
+    kinds = threshold_partners(sample, threshold)
+    other = sample[np.random.default_rng(SEED).permutation(len(sample))]
+    origin = np.zeros(sample.shape[1])
+
+    def shaped(centre, series):
+        first = next(series)
+        own = (sample - centre) @ first >= 0
+        agreement = min(float((own == ((p - centre) @ first >= 0)).mean()) for p in kinds)
+        alike = float((own == ((other - centre) @ first >= 0)).mean())
+        return (*_shape(n_rows, agreement, alike, recall), centre, first, series)
+
+    mean = sample.mean(axis=0)
+    options = [shaped(centre, _rotations(sample - centre)) for centre in (mean, origin)]
+    found = _tables(sample, kinds, recall, *min(options, key=lambda o: o[0])[1:], stall=STALL)
+    # learned rotations that repeat each other: random ones instead
+    return found or _tables(sample, kinds, recall, *shaped(origin, _random_rotations(sample.shape[1]))[1:])
+
+
+def _tables(sample, kinds, recall, bits, centre, projection, series, stall: int | None = None):
+    """Tables until the share ``recall`` of the partners meets in a key; None after ``stall`` tables without a new one."""
+    cut = centre @ projection
+    # the sample's own error on top
+    wanted = min(1.0, recall + 2.0 * math.sqrt(recall * (1.0 - recall) / len(sample)))
+    met = [np.zeros(len(sample), dtype=bool) for _ in kinds]
+    tables, at, idle = 0, 0, 0
+    while min(float(m.mean()) for m in met) < wanted:
+        if idle == stall:
+            return None
         while projection.shape[1] < at + bits:
-            projection = np.hstack([projection, next(series)])
-        part = projection[:, at : at + bits]
-        own = x @ part >= 0
+            more = next(series)
+            projection, cut = np.hstack([projection, more]), np.concatenate([cut, centre @ more])
+        part, edge = projection[:, at : at + bits], cut[at : at + bits]
+        own = sample @ part >= edge
+        before = sum(int(m.sum()) for m in met)
         for m, p in zip(met, kinds, strict=True):
-            m |= (own == (p @ part >= 0)).all(axis=1)
+            m |= (own == (p @ part >= edge)).all(axis=1)
+        idle = 0 if sum(int(m.sum()) for m in met) > before else idle + 1
         tables, at = tables + 1, at + bits
-    return (mean, projection[:, :at], bits, tables) if bits else (mean, projection[:, :0], 0, 1)
+    return projection[:, :at], cut[:at], bits, tables
 
 
 def _roots(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
@@ -158,6 +189,7 @@ def _cell(threshold: float):
         keys = np.asarray(group.column("keys").combine_chunks().flatten()).reshape(n, -1)[order]
         copies = group.column("copies").combine_chunks().to_numpy(zero_copy_only=False)[order]
         chunk = group.column("chunk").combine_chunks().to_numpy(zero_copy_only=False)[order]
+        x /= np.abs(x).max(axis=1, keepdims=True)  # no square overflows or vanishes
         table, a, b = (group.column(c)[0].as_py() for c in ("t", "a", "b"))
         norm = np.sqrt((x * x).sum(axis=1))
         left = np.flatnonzero(chunk == a)
@@ -223,14 +255,14 @@ def _links(reps: DataFrame, threshold: float, sample_rows: int, recall: float, s
     # lengths do not matter for a cosine; the largest component is divided out first, so no square overflows
     sample = sample / np.abs(sample).max(axis=1, keepdims=True)
     sample = sample / np.sqrt((sample * sample).sum(axis=1, keepdims=True))
-    mean, projection, bits, tables = table_model(sample, n_rows, threshold, recall)
-    model = spark.sparkContext.broadcast((mean, projection))  # length x (bits * tables) numbers
+    projection, cut, bits, tables = table_model(sample, n_rows, threshold, recall)
+    model = spark.sparkContext.broadcast((projection, cut))  # length x (bits * tables) numbers
     schema = T.StructType(
         [*reps.select("rep", "copies", "embedding").schema.fields, T.StructField("keys", T.ArrayType(T.LongType()))]
     )
 
     def code(batches):
-        mean, projection = model.value
+        projection, cut = model.value
         weight = (1 << np.arange(bits, dtype=np.int64))
         for b in batches:
             if not b.num_rows:
@@ -238,7 +270,7 @@ def _links(reps: DataFrame, threshold: float, sample_rows: int, recall: float, s
             x = np.asarray(b.column("embedding").flatten()).reshape(b.num_rows, -1).astype(np.float64)
             x = x / np.abs(x).max(axis=1, keepdims=True)
             x = x / np.sqrt((x * x).sum(axis=1, keepdims=True))
-            signs = ((x - mean) @ projection >= 0).reshape(b.num_rows, tables, bits)
+            signs = (x @ projection >= cut).reshape(b.num_rows, tables, bits)
             keys = (signs * weight).sum(axis=2)
             yield pa.RecordBatch.from_arrays(
                 [b.column("rep"), b.column("copies"), b.column("embedding"), pa.array(list(keys), pa.list_(pa.int64()))], names=schema.names

@@ -70,12 +70,13 @@ def word_hashes(raw: bytes) -> np.ndarray:
     """64-bit hashes (uint64) of the words of a text: polynomials in its bytes, mixed with the length.
 
     Prefix sums of ``byte * base ** place`` give every word at once; dividing
-    by the power of its start makes the hash the same at any place.
+    by the power of its start makes the hash the same at any place.  A word of
+    ``TEXT_CHUNK`` bytes or more is hashed by itself, wherever it stands.
     """
     out = []
     while raw:
         part = raw
-        if len(raw) > TEXT_CHUNK:
+        if len(raw) >= TEXT_CHUNK:
             last = max(raw.rfind(s, 0, TEXT_CHUNK) for s in (b" ", b"\n", b"\t", b"\r", b"\x0b", b"\x0c"))
             if last < 0:  # a chunk without white space: its one long word is hashed by itself
                 word = raw.split(None, 1)[0] if raw.split(None, 1) else b""

@@ -13,9 +13,11 @@ in blocks) and give back only what can still be among the first k.
 
 Defined results: vectors that are NULL or hold NULL or non-finite components,
 and rows with a NULL ``vec_id``, take no part; rows that repeat a ``vec_id``
-count once, with the smallest vector; only vectors of equal length are
+are rows of their own: each is a candidate of the others and, if its id
+divides, a query with ranks of its own; only vectors of equal length are
 compared; ties go to the smaller ``vec_id``; an empty table gives no rows.
-Scores are exact while they fit 53 bits, and use Python integers beyond.
+Scores are exact: as doubles while they fit 53 bits, as Python integers beyond.
+Components and scores that pass a long stand at its end (and tie there).
 """
 
 from __future__ import annotations
@@ -46,10 +48,9 @@ def finite(vector: Column) -> Column:
 
 
 def quantised(embeddings: DataFrame, scale: float = SCALE) -> DataFrame:
-    """``(vec_id, v)``: integer vectors, one row per id."""
+    """``(vec_id, v)``: integer vectors of the rows that take part."""
     v = F.transform("embedding", lambda x: F.floor(x.cast("double") * F.lit(scale)).cast("long"))
-    rows = embeddings.where(F.col("vec_id").isNotNull() & finite(F.col("embedding"))).select(F.col("vec_id").cast("long").alias("vec_id"), v.alias("v"))
-    return rows.groupBy("vec_id").agg(F.min("v").alias("v"))
+    return embeddings.where(F.col("vec_id").isNotNull() & finite(F.col("embedding"))).select(F.col("vec_id").cast("long").alias("vec_id"), v.alias("v"))
 
 
 def _matrix(column: pa.Array, n: int) -> np.ndarray:
@@ -63,16 +64,21 @@ def _safe(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return a.astype(kind), b.astype(kind)
 
 
+def _in_long(scores: np.ndarray) -> np.ndarray:
+    """Scores beyond a long are put at its end; doubles are below ``_EXACT``."""
+    return np.minimum(np.maximum(scores, -(1 << 63)), (1 << 63) - 1) if scores.dtype == object else scores
+
+
 RANGE_SCHEMA = T.StructType(
-    [T.StructField("dim", T.IntegerType()), T.StructField("rng", T.LongType()), T.StructField("ids", T.ArrayType(T.LongType())), T.StructField("flat", T.BinaryType())]
+    [T.StructField("dim", T.IntegerType()), T.StructField("rng", T.LongType()), T.StructField("ids", T.ArrayType(T.LongType())), T.StructField("keys", T.ArrayType(T.LongType())), T.StructField("flat", T.BinaryType())]
 )
 
 
 def ranges_of(rows: DataFrame) -> DataFrame:
-    """One row per ``(dim, rng)``: ids and forward index, in an order that keeps like vectors in one block."""
+    """One row per ``(dim, rng)``: ids, row keys and forward index, in an order that keeps like vectors in one block."""
 
     def build(group: pa.Table) -> pa.Table:
-        ids = group.column("vec_id").combine_chunks().to_numpy(zero_copy_only=False)
+        ids, keys = (group.column(c).combine_chunks().to_numpy(zero_copy_only=False) for c in ("vec_id", "key"))
         m = _matrix(group.column("v").combine_chunks(), len(ids))
         # the direction of most spread orders the range
         x = m.astype(np.float64)
@@ -82,11 +88,10 @@ def ranges_of(rows: DataFrame) -> DataFrame:
             axis = x.T @ (x @ axis)
             size = np.linalg.norm(axis)
             axis = axis / size if size else np.ones(m.shape[1])
-        order = np.lexsort((ids, x @ axis))
-        return pa.table(
-            [group.column("dim").slice(0, 1), group.column("rng").slice(0, 1), pa.array([ids[order]], pa.list_(pa.int64())), pa.array([m[order].astype(np.int64).tobytes()], pa.binary())],
-            names=RANGE_SCHEMA.names,
-        )
+        order = np.lexsort((keys, x @ axis))
+        lists = [pa.array([a[order]], pa.list_(pa.int64())) for a in (ids, keys)]
+        flat = pa.array([m[order].astype(np.int64).tobytes()], pa.binary())
+        return pa.table([group.column("dim").slice(0, 1), group.column("rng").slice(0, 1), *lists, flat], names=RANGE_SCHEMA.names)
 
     return rows.groupBy("dim", "rng").applyInArrow(build, RANGE_SCHEMA)
 
@@ -94,24 +99,24 @@ def ranges_of(rows: DataFrame) -> DataFrame:
 class Blocks:
     """Blocks of one range: forward indexes and term bounds."""
 
-    def __init__(self, ids: np.ndarray, m: np.ndarray):
-        self.ids, self.m = ids, m
+    def __init__(self, ids: np.ndarray, keys: np.ndarray, m: np.ndarray):
+        self.ids, self.keys, self.m = ids, keys, m
         starts = np.arange(0, len(ids), BLOCK_ROWS)
         self.most = np.maximum.reduceat(m, starts, axis=0)
         self.least = np.minimum.reduceat(m, starts, axis=0)
         self.starts = starts
 
-    def best(self, query_id: int, q: np.ndarray, k: int, kth) -> list[tuple[int, int]]:
+    def best(self, query_key: int, q: np.ndarray, k: int, kth) -> list[tuple[int, int]]:
         """``(score, vec_id)`` of the range's rows that can be among the first ``k`` of the query, given its ``kth`` score so far."""
-        bounds = self.most @ np.maximum(q, 0) + self.least @ np.minimum(q, 0)
+        bounds = _in_long(self.most @ np.maximum(q, 0) + self.least @ np.minimum(q, 0))
         kept: list[tuple] = []
         for b in np.argsort(-bounds, kind="stable"):
             if kth is not None and bounds[b] < kth:
                 break
             at = self.starts[b]
-            scores = self.m[at : at + BLOCK_ROWS] @ q
+            scores = _in_long(self.m[at : at + BLOCK_ROWS] @ q)
             ids = self.ids[at : at + BLOCK_ROWS]
-            good = ids != query_id
+            good = self.keys[at : at + BLOCK_ROWS] != query_key
             if kth is not None:
                 good &= scores >= kth
             if good.any():
@@ -121,11 +126,11 @@ class Blocks:
         return [(-s, i) for s, i in kept]
 
 
-HIT_SCHEMA = T.StructType([T.StructField(n, T.LongType()) for n in ("query_id", "vec_id", "score")])
+HIT_SCHEMA = T.StructType([T.StructField(n, T.LongType()) for n in ("query_key", "query_id", "vec_id", "score")])
 
 
 def _search(pairs: DataFrame, k: int, own: bool) -> DataFrame:
-    """Hits of query blocks (``q_ids``, ``q_flat``, ``q_kth``, ``q_home``) in the range of the same row.
+    """Hits of query blocks (``q_ids``, ``q_keys``, ``q_flat``, ``q_kth``, ``q_home``) in the range of the same row.
 
     ``own``: the row's queries live in its range; otherwise those that do are left out.
     """
@@ -137,15 +142,15 @@ def _search(pairs: DataFrame, k: int, own: bool) -> DataFrame:
                 dim = r["dim"]
                 if held is None or held[0] != (dim, r["rng"]):
                     ids = np.asarray(r["ids"], dtype=np.int64)
-                    held = ((dim, r["rng"]), ids, np.frombuffer(r["flat"], dtype=np.int64).reshape(len(ids), dim))
+                    held = ((dim, r["rng"]), ids, np.asarray(r["keys"], dtype=np.int64), np.frombuffer(r["flat"], dtype=np.int64).reshape(len(ids), dim))
                 q_ids = np.asarray(r["q_ids"], dtype=np.int64)
-                m, q = _safe(held[2], np.frombuffer(r["q_flat"], dtype=np.int64).reshape(len(q_ids), dim))
-                blocks = Blocks(held[1], m)
+                m, q = _safe(held[3], np.frombuffer(r["q_flat"], dtype=np.int64).reshape(len(q_ids), dim))
+                blocks = Blocks(held[1], held[2], m)
                 out = []
-                for n, query in enumerate(q_ids):
+                for n, key in enumerate(r["q_keys"]):
                     if own or r["q_home"][n] != r["rng"]:
-                        out += [(int(query), i, s) for s, i in blocks.best(int(query), q[n], k, None if own else r["q_kth"][n])]
-                yield pa.RecordBatch.from_arrays([pa.array([x[c] for x in out], pa.int64()) for c in range(3)], names=HIT_SCHEMA.names)
+                        out += [(key, int(q_ids[n]), i, s) for s, i in blocks.best(key, q[n], k, None if own else r["q_kth"][n])]
+                yield pa.RecordBatch.from_arrays([pa.array([x[c] for x in out], pa.int64()) for c in range(4)], names=HIT_SCHEMA.names)
 
     return pairs.mapInArrow(run, HIT_SCHEMA)
 
@@ -155,6 +160,7 @@ QUERY_SCHEMA = T.StructType(
         T.StructField("q_dim", T.IntegerType()),
         T.StructField("q_block", T.LongType()),
         T.StructField("q_ids", T.ArrayType(T.LongType())),
+        T.StructField("q_keys", T.ArrayType(T.LongType())),
         T.StructField("q_flat", T.BinaryType()),
         T.StructField("q_kth", T.ArrayType(T.LongType())),
         T.StructField("q_home", T.ArrayType(T.LongType())),
@@ -163,25 +169,25 @@ QUERY_SCHEMA = T.StructType(
 
 
 def _query_blocks(queries: DataFrame) -> DataFrame:
-    """Rows ``(dim, q_block, vec_id, v, kth, rng)`` as one row per query block."""
+    """Rows ``(dim, q_block, vec_id, key, v, kth, rng)`` as one row per query block."""
 
     def build(group: pa.Table) -> pa.Table:
-        t = group.sort_by("vec_id")
+        t = group.sort_by("key")
         n = t.num_rows
         flat = _matrix(t.column("v").combine_chunks(), n).astype(np.int64).tobytes()
-        lists = [pa.array([t.column(c).to_pylist()], pa.list_(pa.int64())) for c in ("vec_id", "kth", "rng")]
-        return pa.table([t.column("dim").slice(0, 1), t.column("q_block").slice(0, 1), lists[0], pa.array([flat], pa.binary()), lists[1], lists[2]], names=QUERY_SCHEMA.names)
+        lists = [pa.array([t.column(c).to_pylist()], pa.list_(pa.int64())) for c in ("vec_id", "key", "kth", "rng")]
+        return pa.table([t.column("dim").slice(0, 1), t.column("q_block").slice(0, 1), *lists[:2], pa.array([flat], pa.binary()), *lists[2:]], names=QUERY_SCHEMA.names)
 
     return queries.groupBy("dim", "q_block").applyInArrow(build, QUERY_SCHEMA)
 
 
 def top_k(embeddings: DataFrame, query_mod: int = QUERY_MOD, k: int = K) -> DataFrame:
     """``(query_id, rank, vec_id, score)``: the ``k`` best of every row whose id ``query_mod`` divides."""
-    spark = embeddings.sparkSession
-    rows = checkpoint(quantised(embeddings).withColumn("dim", F.size("v")).where(F.col("dim") > 0))
+    # the key tells rows apart; the checkpoint fixes it
+    rows = checkpoint(quantised(embeddings).withColumn("dim", F.size("v")).where(F.col("dim") > 0).withColumn("key", F.monotonically_increasing_id()))
     n_rows = rows.count()
     n_pivots = max(1, min(MAX_PIVOTS, n_rows // PIVOT_ROWS))
-    pivots = [r["v"] for r in rows.orderBy(F.xxhash64("vec_id"), "vec_id").select("v").limit(n_pivots).collect()]  # MAX_PIVOTS rows
+    pivots = [r["v"] for r in rows.orderBy(F.xxhash64("vec_id", "key"), "key").select("v").limit(n_pivots).collect()]  # MAX_PIVOTS rows
     by_dim: dict[int, list[tuple[int, np.ndarray]]] = {}
     for i, p in enumerate(pivots):
         x = np.asarray(p, dtype=np.float64)
@@ -205,41 +211,41 @@ def top_k(embeddings: DataFrame, query_mod: int = QUERY_MOD, k: int = K) -> Data
     sizes = near.groupBy("dim", "pivot").agg(F.ceil(F.count(F.lit(1)) / F.lit(RANGE_ROWS)).alias("_parts"))
     sizes = sizes.select(F.col("dim").alias("_d"), F.col("pivot").alias("_p"), "_parts")
     near = near.join(sizes, (F.col("dim") == F.col("_d")) & (F.col("pivot") == F.col("_p")))
-    rng = F.col("pivot") + MAX_PIVOTS * F.pmod(F.xxhash64("vec_id"), F.col("_parts"))
-    near = checkpoint(near.select("vec_id", "v", "dim", rng.cast("long").alias("rng")))
+    rng = F.col("pivot") + MAX_PIVOTS * F.pmod(F.xxhash64("key"), F.col("_parts"))
+    near = checkpoint(near.select("vec_id", "key", "v", "dim", rng.cast("long").alias("rng")))
     ranges = checkpoint(ranges_of(near))
     queries = near.where(F.col("vec_id") % query_mod == 0)
 
     # First its own range, which holds the query's likeliest neighbours.
-    at_home = _query_blocks(queries.select("dim", F.col("rng").alias("q_block"), "vec_id", "v", F.lit(None).cast("long").alias("kth"), "rng"))
+    at_home = _query_blocks(queries.select("dim", F.col("rng").alias("q_block"), "vec_id", "key", "v", F.lit(None).cast("long").alias("kth"), "rng"))
     home = at_home.join(ranges, (F.col("q_dim") == F.col("dim")) & (F.col("q_block") == F.col("rng")))
     hits = checkpoint(_search(home, k, True))
-    kth = hits.groupBy("query_id").agg(F.when(F.count(F.lit(1)) >= k, F.min("score")).alias("kth"))
+    kth = hits.groupBy("query_key").agg(F.when(F.count(F.lit(1)) >= k, F.min("score")).alias("kth"))
 
     # Then query blocks against all other ranges, dealt to groups of ranges.
     n_ranges = max(1, ranges.count())
     n_blocks = max(1, -(-queries.count() // QUERY_ROWS))
-    seeded = queries.join(kth, F.col("vec_id") == F.col("query_id"), "left")
-    blocks = _query_blocks(seeded.select("dim", F.pmod(F.xxhash64("vec_id"), F.lit(n_blocks)).alias("q_block"), "vec_id", "v", "kth", "rng"))
+    seeded = queries.join(kth, F.col("key") == F.col("query_key"), "left")
+    blocks = _query_blocks(seeded.select("dim", F.pmod(F.xxhash64("key"), F.lit(n_blocks)).alias("q_block"), "vec_id", "key", "v", "kth", "rng"))
     dealt = blocks.withColumn("_g", F.explode(F.sequence(F.lit(0), F.lit(n_ranges - 1))))
     numbered = ranges.withColumn("_r", F.pmod(F.xxhash64("dim", "rng"), F.lit(n_ranges)).cast("int"))
     rest = _search(dealt.join(numbered, (F.col("q_dim") == F.col("dim")) & (F.col("_g") == F.col("_r"))), k, False)
-    best = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
+    best = Window.partitionBy("query_key").orderBy(F.col("score").desc(), "vec_id")
     out = hits.unionByName(rest).withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
     return out.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
 
 
 ORACLE_SQL = """
 WITH v AS (
-  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v
+  SELECT row_number() OVER () AS row_key, vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v
   FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
     AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)
 SELECT query_id, rank, vec_id, score FROM (
   SELECT q.vec_id AS query_id, d.vec_id,
          list_sum(list_transform(list_zip(q.v, d.v), lambda p: p[1] * p[2]))::BIGINT AS score,
-         row_number() OVER (PARTITION BY q.vec_id
+         row_number() OVER (PARTITION BY q.row_key
            ORDER BY list_sum(list_transform(list_zip(q.v, d.v), lambda p: p[1] * p[2])) DESC, d.vec_id)::INTEGER AS rank
-  FROM v q JOIN v d ON q.vec_id % 50 = 0 AND d.vec_id <> q.vec_id AND len(d.v) = len(q.v))
+  FROM v q JOIN v d ON q.vec_id % 50 = 0 AND d.row_key <> q.row_key AND len(d.v) = len(q.v))
 WHERE rank <= 5
 """
