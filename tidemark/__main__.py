@@ -58,6 +58,8 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--format", default="text", choices=["text", "parquet"], help="stream sink format")
     ap.add_argument("--atomic", action="store_true", help="poll and drain: lines and offsets in one commit in --out")
     ap.add_argument("--replay-delay", help="stream: drop changes that come again within this time, e.g. '2 hours'")
+    ap.add_argument("--order-width", type=int, help="stream: publish each table in (lsn, seq) order, in slots of this many LSNs")
+    ap.add_argument("--order-lag", type=int, default=1, help="stream: slots that wait for files read out of order")
     ap.add_argument("--envelopes", action="store_true", help="drain: publish batch envelopes instead of change lines")
     ap.add_argument("--server-name", default="localhost")
     ap.add_argument("--poll-interval", default="5s", help="recorded in envelope metadata")
@@ -69,6 +71,8 @@ def main(argv: list[str] | None = None) -> int:
     if a.mode == "stream":
         if not a.checkpoint:
             ap.error("stream needs --checkpoint")
+        if a.order_width and (a.offsets or a.replay_delay or a.format != "text"):
+            ap.error("--order-width writes text from the checkpoint alone: no --offsets, --replay-delay or other --format")
         return _stream(spark, a, tables)
 
     if a.atomic:
@@ -115,8 +119,15 @@ def main(argv: list[str] | None = None) -> int:
 
 def _stream(spark, a, tables: list[str]) -> int:
     """All logs in one stream; strictly after the frontier and with saved offsets with ``--offsets``."""
+    from tidemark.streaming.ordered import run_ordered_feed
     from tidemark.streaming.stream import run_feed
 
+    if a.order_width:
+        run_ordered_feed(
+            spark, a.log, tables, a.out, a.checkpoint, a.order_width, a.order_lag,
+            max_files_per_trigger=a.max_files_per_trigger, processing_time=a.processing_time,
+        )
+        return 0
     store = OffsetStore(spark, a.offsets) if a.offsets else None
     run_feed(
         spark, a.log, tables, a.out, a.checkpoint, store, a.format,
