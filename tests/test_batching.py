@@ -8,11 +8,12 @@ from conftest import b10, make_log
 from tidemark.operators.batching import (
     batch_counts,
     batch_high_water,
+    batch_totals,
     drain_batches,
     sample_recent,
     table_batch_sizes,
 )
-from tidemark.operators.ordering import sequence_rank
+from tidemark.operators.ordering import ranked_keys, sequence_rank
 from tidemark.schema import SEQVAL, START_LSN, TABLE_NAME
 
 
@@ -114,6 +115,9 @@ def test_drain_equals_successive_polls(spark, buckets):
     assert counts[("a", 0)] == 50 and counts[("a", 2)] == 37 and counts[("c", 0)] == 3
     hw = {(r[0], r[1]): int.from_bytes(r[3], "big") for r in batch_high_water(d).collect()}
     assert hw[("a", 0)] == sorted((l, s) for tt, l, s, *_ in rows if tt == "a")[49][1]
+    totals = batch_totals(ranked_keys(log, buckets), sizes, 3)
+    assert {(r.table_name, r.batch_no): r.n_changes for r in totals.collect()} == counts
+    assert {(r.table_name, r.batch_no): int.from_bytes(r.seq, "big") for r in totals.collect()} == hw
 
 
 def test_drain_ties_share_a_batch(spark):

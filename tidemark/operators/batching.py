@@ -277,14 +277,35 @@ def drain_batches(
     over = (F.col("seq_rank") - 1) % F.col("batch_size") + F.col("copies") > F.col("batch_size")
     within = out.where(~over).withColumn("envelope_part", F.lit(0).cast("long"))
     ways = F.ceil(F.col("copies") / F.lit(COPIES_PER_TASK))
-    # the row id only spreads rows that are copies of one change
-    salted = out.where(over).withColumn("_salt", F.pmod(F.xxhash64(F.monotonically_increasing_id()), ways))
-    number = F.row_number().over(Window.partitionBy(TABLE_NAME, q(START_LSN), q(SEQVAL), "_salt").orderBy(OPERATION))
+    # Numbers must not change if a lost task runs again, so rows are told apart by content: equal
+    # rows are counted, then dealt out again in chunks, each with its number as part of its hash.
+    key = (TABLE_NAME, START_LSN, SEQVAL)
+    rows = out.where(over).select(*key, F.struct(*[q(c) for c in out.columns]).alias("_row")).withColumn("_content", F.sha2(F.to_json("_row"), 256))
+    equal = rows.groupBy(*key, "_content").agg(F.first("_row").alias("_row"), F.count(F.lit(1)).alias("_n")).select("_row.*", "_content", "_n")
+    chunks = equal.withColumn("_chunk", F.explode(F.sequence(F.lit(0), F.floor((F.col("_n") - 1) / F.lit(COPIES_PER_TASK)))))
+    first = F.col("_chunk") * COPIES_PER_TASK
+    one = F.explode(F.sequence(first, F.least(first + COPIES_PER_TASK, "_n") - 1))
+    dealt = chunks.repartition(*key, "_content", "_chunk").withColumn("_i", one)
+    salted = dealt.withColumn("_salt", F.pmod(F.xxhash64("_content", "_i"), ways))
+    number = F.row_number().over(Window.partitionBy(*key, "_salt").orderBy("_content", "_i"))
     part = F.lit(1) + F.col("_salt") + ways * F.floor((number - 1) / F.col("batch_size"))
-    beyond = salted.withColumn("envelope_part", part.cast("long")).drop("_salt")
+    beyond = salted.withColumn("envelope_part", part.cast("long")).drop("_content", "_n", "_chunk", "_i", "_salt")
     return within.unionByName(beyond).drop("copies")
 
 
+def batch_totals(keys: DataFrame, batch_sizes: DataFrame | dict, table_bound: int | None = None) -> DataFrame:
+    """``(table_name, batch_no, n_changes, lsn, seq)`` of a drain's batches, from ``ranked_keys`` alone.
+
+    A key's rank gives its batch and its copies the count, so no change is read again:
+    one partial aggregate over the narrow keys, where they were ranked.
+    """
+    sized = with_batch_size(keys, batch_sizes, table_bound)
+    numbered = sized.withColumn("batch_no", F.floor((F.col("key_rank") - 1) / F.col("batch_size")).cast("long"))
+    last = F.max(F.struct(START_LSN, SEQVAL)).alias("_hw")
+    t = numbered.groupBy(TABLE_NAME, "batch_no").agg(F.sum("copies").alias("n_changes"), last)
+    return t.select(TABLE_NAME, "batch_no", "n_changes", F.col(f"_hw.`{START_LSN}`").alias("lsn"), F.col(f"_hw.`{SEQVAL}`").alias("seq"))
+
+
 def batch_counts(batches: DataFrame) -> DataFrame:
     return batches.groupBy(TABLE_NAME, "batch_no").agg(F.count(F.lit(1)).alias("n_changes"))
 

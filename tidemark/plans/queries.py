@@ -17,8 +17,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.decode import lsn_display, lsn_hex, stringify, to_json_keep_nulls
 from tidemark.operators.batching import (
     batch_size_values,
-    batch_counts,
-    batch_high_water,
+    batch_totals,
     batch_metrics,
     drain_batches,
     sample_recent,
@@ -41,7 +40,7 @@ from tidemark.operators.cursor import (
 from tidemark.operators.epochs import epoch_data_json
 from tidemark.operators.images import all_changes, update_json, update_pairs
 from tidemark.operators.offsets import merge_offsets, upgrade_offsets
-from tidemark.operators.ordering import sequence_rank
+from tidemark.operators.ordering import ranked_keys, sequence_rank
 from tidemark.plans.feed import batch_envelopes, byte_envelopes, change_events, decoded_changes, multi_table_changes, uniform_changes
 from tidemark.schema import OPERATION, SEQVAL, START_LSN, TABLE_NAME
 from tidemark.sources.changelog import scan_changes
@@ -254,7 +253,8 @@ def q_batch_metrics(spark, sf):
 
 # --- draining a backlog ---------------------------------------------------------------
 
-def _drain(spark, sf, buckets=None):
+def _backlog(spark, sf):
+    """Keys after every table's cursor, and the tables' batch sizes."""
     ev, docs = events_ct(spark, sf), documents_ct(spark, sf)
     offs = offsets_fixture(ev)
     logs = [ev, docs]
@@ -265,10 +265,19 @@ def _drain(spark, sf, buckets=None):
         lambda: load_cursors(spark, ALL_TABLES, offs, keys),
         lambda: batch_size_values(table_batch_sizes(spark, ALL_TABLES, logs), len(ALL_TABLES)),
     )
-    after = changes_after(keys, cur, len(ALL_TABLES))
+    return changes_after(keys, cur, len(ALL_TABLES)), sizes
+
+
+def _drain(spark, sf, buckets=None):
+    after, sizes = _backlog(spark, sf)
     return drain_batches(after, sizes, len(ALL_TABLES), buckets)
 
 
+def _totals(spark, sf):
+    after, sizes = _backlog(spark, sf)
+    return batch_totals(ranked_keys(after), sizes, len(ALL_TABLES))
+
+
 def q_drain_batches(spark, sf):
     d = _drain(spark, sf)
     return d.select(*_keys(d), "seq_rank", "batch_no")
@@ -280,12 +289,11 @@ def q_drain_batches_bucketed(spark, sf):
 
 
 def q_batch_counts(spark, sf):
-    return batch_counts(_drain(spark, sf))
+    return _totals(spark, sf).select(TABLE_NAME, "batch_no", "n_changes")
 
 
 def q_batch_high_water(spark, sf):
-    h = batch_high_water(_drain(spark, sf))
-    return h.select(TABLE_NAME, "batch_no", lsn_hex("lsn").alias("lsn"), lsn_hex("seq").alias("seq"))
+    return _totals(spark, sf).select(TABLE_NAME, "batch_no", lsn_hex("lsn").alias("lsn"), lsn_hex("seq").alias("seq"))
 
 
 def q_batch_envelope(spark, sf):
