@@ -122,6 +122,49 @@ def test_very_long_words_hash_alike_at_every_place(size):
         assert len(h) == n and h[at] == alone[0]
 
 
+def test_suffix_filter_drops_no_link():
+    """At every common shingle of the prefixes a similar pair passes; most other pairs of one length do not."""
+    import pyarrow as pa
+
+    rng = np.random.default_rng(6)
+    universe = np.unique(rng.integers(0, 1 << 63, 4000, dtype=np.uint64))
+    counts = rng.integers(1, 9, 1 << ngramjoin.SKETCH_BITS).astype(np.uint32)
+    links = dropped = others = 0
+    for _ in range(600):
+        n = int(rng.integers(1, 160))
+        x = rng.choice(universe, n, replace=False)
+        swap = int(rng.integers(0, max(1, n // 3) + 1))
+        y = np.concatenate([x[swap:], rng.choice(universe, int(rng.integers(0, swap + 3)), replace=False)])
+        x, y = np.unique(x), np.unique(y)
+        if not len(y):
+            continue
+        fx, fy = (s[ngramjoin._prefix(s, counts, 80)[0]] for s in (x, y))
+        common = [h for h in fx.tolist() if h in set(fy.tolist())]
+        parts = [pa.array([ngramjoin._parts(s, counts, 80)] * max(1, len(common)), pa.binary()) for s in (x, y)]
+        both = len(np.intersect1d(x, y))
+        linked = 100 * both >= 80 * (len(x) + len(y) - both)
+        assert common or not linked
+        if not common:
+            continue
+        at = [np.array([s.tolist().index(h) for h in common]) for s in (fx, fy)]
+        sizes = [np.full(len(common), len(s)) for s in (x, y)]
+        anywhere = ngramjoin.suffix_near(*parts, *at, *sizes, False)
+        at_first = ngramjoin.suffix_near(*[p.slice(0, 1) for p in parts], *[a[:1] for a in at], *[n[:1] for n in sizes], True)
+        if linked:
+            links += 1
+            assert anywhere.all() and at_first.all()
+        else:
+            others += 1
+            dropped += not at_first[0]
+    assert links > 100 and others > 100 and dropped > others / 2, (links, others, dropped)
+
+
+def test_pairs_keep_their_first_common_place(spark):
+    rows = [(7, 20, 3, 5, 21, 4), (5, 21, 2, 7, 20, 1), (7, 20, 9, 5, 21, 9), (1, 9, 0, 2, 9, 0)]
+    got = ngramjoin._distinct_pairs(spark.createDataFrame(rows, "x long, nx int, px int, y long, ny int, py int"))
+    assert sorted(tuple(r) for r in got.collect()) == [(1, 2, 9, 9, 0, 0), (5, 7, 21, 20, 2, 1)]
+
+
 def test_connected_components_match_union(spark):
     rnd = random.Random(5)
     edges = [(rnd.randrange(300), rnd.randrange(300)) for _ in range(260)] + [(k, k + 1) for k in range(1000, 1100)]

@@ -7,8 +7,8 @@ sketch, of fixed size, only decides how selective it is).  Two sets with
 Jaccard similarity of at least the threshold share a shingle among the first
 ``n - ceil(t n) + 1`` of each, so only those prefixes are shuffled.  Candidate
 pairs pass a length and a positional filter at a common shingle, once each a
-bound on the partition counts of the whole sets (in place of a suffix filter), and
-are then verified by exact intersection.
+suffix filter (partition counts of what stands behind their first common
+shingle in the rare-first order), and are then verified by exact intersection.
 
 Components need every link between different components, not all pairs of a
 group.  So nodes that share a shingle first meet one centre of its list (one
@@ -30,6 +30,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -43,7 +44,7 @@ PERCENT = 80                  # threshold of the similarity, in percent
 SKETCH_BITS = 20              # the sketch has 2**SKETCH_BITS counters
 SKETCH_BLOCKS = 64
 HOT_ROWS = 100_000            # rows of a shingle's list that one task should sort; longer lists are salted
-PARTS = 64                    # partitions of a set whose counts the suffix filter compares
+PARTS = 64                    # partitions of a suffix whose counts the suffix filter compares
 FILTER_PROBES = 4
 FILTER_BITS = 28             # the filter that finds documents again has 2**FILTER_BITS bits at most
 STAR_ROUNDS = 2               # rounds of centres before the rest is enumerated
@@ -185,6 +186,13 @@ def _sketch(parts: DataFrame) -> np.ndarray:
     return out.ravel()
 
 
+def _prefix(s: np.ndarray, counts: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places of a set's prefix in the rare-first order (ties in the order of the hash), and their counters."""
+    c = counts[(s >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)]
+    first = np.argsort(c, kind="stable")[: len(s) - _ceil_share(len(s), percent) + 1]
+    return first, c[first]
+
+
 POSTING_SCHEMA = T.StructType(
     [T.StructField("token", T.LongType()), T.StructField("salt", T.IntegerType()), T.StructField("node", T.LongType()), T.StructField("n", T.IntegerType()), T.StructField("pos", T.IntegerType())]
 )
@@ -210,10 +218,9 @@ def prefix_postings(docs: DataFrame, sketch: np.ndarray, percent: int = PERCENT,
                     continue
                 seen.add(node)
                 n = len(s)
-                c = counts[(s >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)]
-                first = np.argsort(c, kind="stable")[: n - _ceil_share(n, percent) + 1]  # ties in the order of the hash
+                first, often = _prefix(s, counts, percent)
                 tokens.append(s[first].view(np.int64))
-                ways = np.maximum(c[first].astype(np.int64) - usual, 0) // HOT_ROWS
+                ways = np.maximum(often.astype(np.int64) - usual, 0) // HOT_ROWS
                 salts.append(np.where(ways > 0, 1 + (node & 0xFFFFFF) % (1 + ways), 0).astype(np.int32))
                 nodes.append(np.full(len(first), node, dtype=np.int64))
                 sizes.append(np.full(len(first), n, dtype=np.int32))
@@ -235,10 +242,41 @@ def shared_postings(postings: DataFrame) -> DataFrame:
     return seen.where(fresh & ((F.col("salt") > 0) | (F.col("_least") != F.col("_most")))).select("token", "node", "n", "pos")
 
 
-def _parts(s: np.ndarray) -> bytes:
-    """Counts of a set's elements by the low bits of their hashes."""
-    counts = np.bincount((s & np.uint64(PARTS - 1)).astype(np.int64), minlength=PARTS)
-    return counts.astype("<u4").tobytes()
+def _parts(s: np.ndarray, counts: np.ndarray, percent: int) -> bytes:
+    """What the suffix filter reads of a set: counts of its partitions, then the partition of every prefix element, rare first.
+
+    The partition is the low bits of the hash.  The prefix takes one byte an element, so the counts
+    behind any place of it can be had without the set.
+    """
+    part = (s & np.uint64(PARTS - 1)).astype(np.uint8)
+    return np.bincount(part, minlength=PARTS).astype("<u4").tobytes() + part[_prefix(s, counts, percent)[0]].tobytes()
+
+
+def _behind(parts: pa.Array, at: np.ndarray) -> np.ndarray:
+    """Partition counts (rows x PARTS) of the elements behind place ``at`` of every row's prefix."""
+    n, head = len(parts), 4 * PARTS
+    raw = np.frombuffer(b"".join(parts.to_pylist()), dtype=np.uint8)
+    sizes = np.asarray(pc.binary_length(parts)).astype(np.int64)
+    start = np.cumsum(sizes) - sizes
+    whole = raw[start[:, None] + np.arange(head)].view("<u4").astype(np.int64)
+    taken = at + 1
+    row = np.repeat(np.arange(n), taken)
+    place = np.arange(len(row)) - np.repeat(np.cumsum(taken) - taken, taken)
+    front = raw[start[row] + head + place].astype(np.int64)
+    return whole - np.bincount(row * PARTS + front, minlength=n * PARTS).reshape(n, PARTS)
+
+
+def suffix_near(px: pa.Array, py: pa.Array, at_x: np.ndarray, at_y: np.ndarray, nx: np.ndarray, ny: np.ndarray, first: bool, percent: int = PERCENT) -> np.ndarray:
+    """Suffix filter: False where two sets with a common shingle at ``at_x`` and ``at_y`` cannot be similar.
+
+    Similar sets differ in ``nx + ny - 2 * least overlap`` elements at most.  Behind the common
+    shingle elements match inside their partition only, so the suffixes differ in the sum of the
+    differences of their partition counts at least.  Before it nothing matches if it is the ``first``
+    common one; else the fronts differ in the difference of their lengths at least.
+    """
+    least = -((-(nx + ny) * percent) // (100 + percent))
+    fronts = at_x + at_y if first else np.abs(at_x - at_y)
+    return fronts + np.abs(_behind(px, at_x) - _behind(py, at_y)).sum(axis=1) <= nx + ny - 2 * least
 
 
 def _filter_places(row: np.ndarray, bits: int) -> np.ndarray:
@@ -275,22 +313,22 @@ def _row_filter(rows: DataFrame) -> np.ndarray:
     return out.ravel()
 
 
-def node_sets(docs: DataFrame, rows: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """``(node, parts, shingles)`` of the wanted documents (``row``): partition counts and the whole set.
+def node_sets(docs: DataFrame, rows: DataFrame, sketch: np.ndarray, percent: int = PERCENT, shingle: int = SHINGLE) -> DataFrame:
+    """``(node, parts, shingles)`` of the wanted documents (``row``): see ``_parts``, and the whole set.
 
     The documents are found by a bit filter while they are read, so no text is shuffled.
     """
     schema = T.StructType([T.StructField("node", T.LongType()), T.StructField("parts", T.BinaryType()), T.StructField("shingles", T.BinaryType())])
-    shared = docs.sparkSession.sparkContext.broadcast(_row_filter(rows))  # 2**(FILTER_BITS - 3) bytes at most
+    shared = docs.sparkSession.sparkContext.broadcast((_row_filter(rows), sketch))  # 2**(FILTER_BITS - 3) bytes at most, and the sketch
 
     def run(batches):
-        bits = shared.value
+        bits, counts = shared.value
         for b in small_batches(batches, 4 << 20):
             at = _filter_places(b.column("row").to_numpy(), 8 * len(bits))
             wanted = np.flatnonzero((bits[at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1).all(axis=1))
             sets = [s for s in (shingle_set(t, shingle) for t in b.column("text").take(pa.array(wanted)).to_pylist()) if len(s)]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([_node(s) for s in sets], pa.int64()), pa.array([_parts(s) for s in sets], pa.binary()), pa.array([s.tobytes() for s in sets], pa.binary())],
+                [pa.array([_node(s) for s in sets], pa.int64()), pa.array([_parts(s, counts, percent) for s in sets], pa.binary()), pa.array([s.tobytes() for s in sets], pa.binary())],
                 names=schema.names,
             )
 
@@ -316,13 +354,17 @@ def _may_match(na: Column, pa: Column, nb: Column, pb: Column, percent: int) ->
 
 
 def _distinct_pairs(matches: DataFrame) -> DataFrame:
-    """Pairs ``(a, b, na, nb)``, a < b, once each; ``matches`` has ``x, nx, y, ny``."""
+    """Pairs ``(a, b, na, nb, pa, pb)``, a < b, once each, at the first of their common shingles that met; ``matches`` has ``x, nx, px, y, ny, py``."""
     swap = F.col("x") > F.col("y")
 
     def pick(first, second):
         return F.when(swap, F.col(second)).otherwise(F.col(first))
 
-    return matches.select(pick("x", "y").alias("a"), pick("y", "x").alias("b"), pick("nx", "ny").alias("na"), pick("ny", "nx").alias("nb")).distinct()
+    # both sets have their common shingles in one order, so the least place in a is the least in b; one long keeps the aggregate hashed
+    both = F.shiftleft(pick("px", "py").cast("long"), 32) + pick("py", "px")
+    rows = matches.select(pick("x", "y").alias("a"), pick("y", "x").alias("b"), pick("nx", "ny").alias("na"), pick("ny", "nx").alias("nb"), both.alias("_p"))
+    least = rows.groupBy("a", "b", "na", "nb").agg(F.min("_p").alias("_p"))
+    return least.select("a", "b", "na", "nb", F.shiftright("_p", 32).cast("int").alias("pa"), F.col("_p").bitwiseAND(F.lit(0xFFFFFFFF)).cast("int").alias("pb"))
 
 
 def _star(lists: DataFrame, priority: Column, percent: int) -> DataFrame:
@@ -336,7 +378,8 @@ def _star(lists: DataFrame, priority: Column, percent: int) -> DataFrame:
     m = lists.join(c, F.col("token") == F.col("_t")).where(
         (F.col("comp") != F.col("c.comp")) & _may_match(F.col("n"), F.col("pos"), F.col("c.n"), F.col("c.pos"), percent)
     )
-    return m.select(F.col("node").alias("x"), F.col("n").alias("nx"), F.col("c.node").alias("y"), F.col("c.n").alias("ny"))
+    own = [F.col("node").alias("x"), F.col("n").alias("nx"), F.col("pos").alias("px")]
+    return m.select(*own, F.col("c.node").alias("y"), F.col("c.n").alias("ny"), F.col("c.pos").alias("py"))
 
 
 def _across(lists: DataFrame, percent: int) -> DataFrame:
@@ -360,28 +403,21 @@ def _across(lists: DataFrame, percent: int) -> DataFrame:
     apart = (F.col("centrex") == F.col("centrey")) & (F.abs(F.col("awayx") - F.col("awayy")) > 1.0 - percent / 100.0 + 1e-9)
     near = _may_match(F.col("nx"), F.col("posx"), F.col("ny"), F.col("posy"), percent) & ~F.coalesce(apart, F.lit(False))
     pairs = m.join(right, (F.col("token") == F.col("_ty")) & (F.col("cy") == F.col("_cy")) & near)
-    return pairs.select(F.col("nodex").alias("x"), "nx", F.col("nodey").alias("y"), "ny")
-
+    return pairs.select(F.col("nodex").alias("x"), "nx", F.col("posx").alias("px"), F.col("nodey").alias("y"), "ny", F.col("posy").alias("py"))
 
-def _not_far_apart(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """In place of a suffix filter: pairs whose partition counts, of the whole sets, allow the least overlap.
 
-    Elements can only match inside their partition, so two sets differ by at
-    least the sum of the differences of their partition counts.
-    """
+def _suffixes_near(pairs: DataFrame, sets: DataFrame, first: bool, percent: int) -> DataFrame:
+    """Pairs that pass the suffix filter, as ``(a, b)``; ``first``: every similar pair is here with its first common shingle."""
     parts = sets.select(F.col("node").alias("_n"), "parts")
-    p = pairs.join(parts.withColumnRenamed("parts", "pa"), F.col("a") == F.col("_n")).drop("_n")
-    p = p.join(parts.withColumnRenamed("parts", "pb"), F.col("b") == F.col("_n")).drop("_n")
-    schema = T.StructType([f for f in p.schema.fields if f.name not in ("pa", "pb")])
+    p = pairs.join(parts.withColumnRenamed("parts", "sa"), F.col("a") == F.col("_n")).drop("_n")
+    p = p.join(parts.withColumnRenamed("parts", "sb"), F.col("b") == F.col("_n")).drop("_n")
+    schema = T.StructType([pairs.schema["a"], pairs.schema["b"]])
 
     def run(batches):
         for b in batches:
-            if not b.num_rows:
-                continue
-            x, y = (np.frombuffer(b"".join(b.column(c).to_pylist()), dtype="<u4").reshape(-1, PARTS).astype(np.int64) for c in ("pa", "pb"))
-            na, nb = (b.column(c).to_numpy().astype(np.int64) for c in ("na", "nb"))
-            least = -((-(na + nb) * percent) // (100 + percent))
-            yield b.filter(pa.array(np.abs(x - y).sum(axis=1) <= na + nb - 2 * least)).select(schema.names)
+            if b.num_rows:
+                na, nb, at_a, at_b = (b.column(c).to_numpy().astype(np.int64) for c in ("na", "nb", "pa", "pb"))
+                yield b.filter(pa.array(suffix_near(b.column("sa"), b.column("sb"), at_a, at_b, na, nb, first, percent))).select(schema.names)
 
     return map_arrow(p, run, schema)
 
@@ -441,9 +477,10 @@ def _members(docs: DataFrame, percent: int, shingle: int) -> DataFrame:
         wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
         if sets is not None:
             wanted = wanted.join(sets.select("node"), "node", "left_anti")
-        more = checkpoint(node_sets(docs, keyed.join(wanted, "node", "left_semi").select("row"), shingle))
+        more = checkpoint(node_sets(docs, keyed.join(wanted, "node", "left_semi").select("row"), sketch, percent, shingle))
         sets = more if sets is None else sets.unionByName(more)
-        checked = checkpoint(_verified(_not_far_apart(pairs, sets, percent), sets, percent))
+        # a centre meets a node at any of their common shingles, the last round at all of them
+        checked = checkpoint(_verified(_suffixes_near(pairs, sets, turn == STAR_ROUNDS, percent), sets, percent))
         home = home or _homes(checked)
         done = checked if done is None else done.unionByName(checked)
         labels = connected_components(done.where("linked").select(F.col("a").alias("src"), F.col("b").alias("dst")))
@@ -454,7 +491,10 @@ def _members(docs: DataFrame, percent: int, shingle: int) -> DataFrame:
 def jaccard_components(docs: DataFrame, percent: int = PERCENT, shingle: int = SHINGLE) -> DataFrame:
     """``(doc_id, n_shingles, component_id, node)`` of every document."""
     member = _members(docs, percent, shingle)
-    least = member.where(F.col("root").isNotNull()).groupBy("root").agg(F.min("doc_id").alias("component_id")).withColumnRenamed("root", "_r")
+    member = checkpoint(member)
+    # only components of several rows are named by a join, broadcast where they are counted to be few
+    least = member.where(F.col("root").isNotNull()).groupBy("root").agg(F.min("doc_id").alias("component_id"), F.count(F.lit(1)).alias("_n"))
+    least = counted_broadcast(checkpoint(least.where(F.col("_n") > 1).select(F.col("root").alias("_r"), "component_id")))
     out = member.join(least, F.col("root") == F.col("_r"), "left")
     return out.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"), "node")
 
