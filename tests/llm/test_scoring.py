@@ -397,7 +397,7 @@ def brute_top(rows, mod=50, k=5):
 
 
 def test_top_k_matches_brute_force(spark, monkeypatch):
-    for name, value in (("RANGE_ROWS", 60), ("PIVOT_ROWS", 100), ("BLOCK_ROWS", 8), ("QUERY_ROWS", 3)):
+    for name, value in (("RANGE_ROWS", 60), ("PIVOT_ROWS", 100), ("BLOCK_ROWS", 8), ("QUERY_ROWS", 3), ("BUNDLE_RANGES", 4)):
         monkeypatch.setattr(topk, name, value)
     rng = np.random.default_rng(5)
     rows = [(i, [float(x) for x in np.round(rng.normal(size=6), 1)]) for i in range(520)]
@@ -410,6 +410,20 @@ def test_top_k_matches_brute_force(spark, monkeypatch):
     assert [tuple(r) for r in topk.top_k(_vectors(spark, [(0, [1.0]), (1, [-1.0])])).collect()] == [(0, 1, 1, -65536)]
 
 
+def test_queries_travel_only_to_ranges_that_can_serve_them(spark):
+    """Ranges around far directions: a query whose kth score no other range's bounds reach stays at home; one without a kth score goes everywhere else."""
+    ranges = topk.ranges_of(
+        spark.createDataFrame(
+            [(10 * r + i, 10 * r + i, [100 * (r == d) + i for d in range(4)], 4, r) for r in range(4) for i in range(3)], "vec_id long, key long, v array<long>, dim int, rng long"
+        )
+    )
+    q = [(0, 0, [100, 0, 0, 0], 4, 0, 9000, 0), (1, 1, [100, 0, 0, 0], 4, 0, None, 0), (20, 20, [-1, 0, 100, 0], 4, 0, 198, 2), (21, 21, [-1, 0, 100, 0], 4, 0, 201, 2)]
+    blocks = topk._query_blocks(spark.createDataFrame(q, "vec_id long, key long, v array<long>, dim int, q_block long, kth long, rng long"))
+    sent = {(key, r.q_rng) for r in topk._reachable(blocks, ranges).collect() for key in r.q_keys}
+    # bounds of a far range: at most 2 of a term, at least 0 (100 in its own)
+    assert sent == {(1, 1), (1, 2), (1, 3), (20, 1), (20, 3)}
+
+
 def test_top_k_rows_that_share_an_id(spark):
     rows = [(0, [1.0, 0.0]), (7, [1.0, 0.0]), (7, [2.0, 0.0]), (50, [0.0, 1.0])]
     got = topk.top_k(_vectors(spark, rows)).where("query_id = 0").orderBy("rank")

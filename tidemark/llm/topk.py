@@ -7,9 +7,11 @@ are grouped around bounded pivots and cut into document ranges (at most
 smallest weight of every term.  A query orders a range's blocks by the sum of
 its terms' maxima and scores blocks until the bounds fall below its kth score.
 
-A query first meets its own range, which gives it a kth score to begin with;
-query blocks then meet every other range (a stated query set against all rows,
-in blocks) and give back only what can still be among the first k.
+A query first meets its own range, which gives it a kth score to begin with.
+Query blocks then meet the bounds of all ranges, a narrow table in bundles (a
+stated query set against all rows, in blocks): a query travels only to ranges
+whose summed term maxima reach its kth score, and gets back only what can still
+be among the first k.
 
 Defined results: vectors that are NULL or hold NULL or non-finite components,
 and rows with a NULL ``vec_id``, take no part; rows that repeat a ``vec_id``
@@ -38,6 +40,7 @@ PIVOT_ROWS = 2048             # rows for each pivot, up to MAX_PIVOTS pivots
 RANGE_ROWS = 4096             # rows of a document range, about
 BLOCK_ROWS = 64               # rows of a block
 QUERY_ROWS = 1024             # queries of a query block, about
+BUNDLE_RANGES = 256           # ranges whose bounds make one bundle, about
 _EXACT = float(1 << 53)
 
 
@@ -69,13 +72,18 @@ def _in_long(scores: np.ndarray) -> np.ndarray:
     return np.minimum(np.maximum(scores, -(1 << 63)), (1 << 63) - 1) if scores.dtype == object else scores
 
 
+def _highest(most: np.ndarray, least: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """The summed term maxima of a query (or of several, as rows) for every row of term bounds: no score is above."""
+    return _in_long(most @ np.maximum(q, 0).T + least @ np.minimum(q, 0).T)
+
+
 RANGE_SCHEMA = T.StructType(
-    [T.StructField("dim", T.IntegerType()), T.StructField("rng", T.LongType()), T.StructField("ids", T.ArrayType(T.LongType())), T.StructField("keys", T.ArrayType(T.LongType())), T.StructField("flat", T.BinaryType())]
+    [T.StructField("dim", T.IntegerType()), T.StructField("rng", T.LongType()), T.StructField("ids", T.ArrayType(T.LongType())), T.StructField("keys", T.ArrayType(T.LongType())), T.StructField("flat", T.BinaryType()), T.StructField("bounds", T.BinaryType())]
 )
 
 
 def ranges_of(rows: DataFrame) -> DataFrame:
-    """One row per ``(dim, rng)``: ids, row keys and forward index, in an order that keeps like vectors in one block."""
+    """One row per ``(dim, rng)``: ids, row keys and forward index, in an order that keeps like vectors in one block, and the range's term maxima and minima."""
 
     def build(group: pa.Table) -> pa.Table:
         ids, keys = (group.column(c).combine_chunks().to_numpy(zero_copy_only=False) for c in ("vec_id", "key"))
@@ -91,7 +99,8 @@ def ranges_of(rows: DataFrame) -> DataFrame:
         order = np.lexsort((keys, x @ axis))
         lists = [pa.array([a[order]], pa.list_(pa.int64())) for a in (ids, keys)]
         flat = pa.array([m[order].astype(np.int64).tobytes()], pa.binary())
-        return pa.table([group.column("dim").slice(0, 1), group.column("rng").slice(0, 1), *lists, flat], names=RANGE_SCHEMA.names)
+        bounds = pa.array([np.stack([m.max(axis=0), m.min(axis=0)]).astype(np.int64).tobytes()], pa.binary())
+        return pa.table([group.column("dim").slice(0, 1), group.column("rng").slice(0, 1), *lists, flat, bounds], names=RANGE_SCHEMA.names)
 
     return rows.groupBy("dim", "rng").applyInArrow(build, RANGE_SCHEMA)
 
@@ -108,7 +117,7 @@ class Blocks:
 
     def best(self, query_key: int, q: np.ndarray, k: int, kth) -> list[tuple[int, int]]:
         """``(score, vec_id)`` of the range's rows that can be among the first ``k`` of the query, given its ``kth`` score so far."""
-        bounds = _in_long(self.most @ np.maximum(q, 0) + self.least @ np.minimum(q, 0))
+        bounds = _highest(self.most, self.least, q)
         kept: list[tuple] = []
         for b in np.argsort(-bounds, kind="stable"):
             if kth is not None and bounds[b] < kth:
@@ -129,11 +138,8 @@ class Blocks:
 HIT_SCHEMA = T.StructType([T.StructField(n, T.LongType()) for n in ("query_key", "query_id", "vec_id", "score")])
 
 
-def _search(pairs: DataFrame, k: int, own: bool) -> DataFrame:
-    """Hits of query blocks (``q_ids``, ``q_keys``, ``q_flat``, ``q_kth``, ``q_home``) in the range of the same row.
-
-    ``own``: the row's queries live in its range; otherwise those that do are left out.
-    """
+def _search(pairs: DataFrame, k: int) -> DataFrame:
+    """Hits of queries (``q_ids``, ``q_keys``, ``q_flat``, ``q_kth``) in the range of the same row."""
 
     def run(batches):
         held: tuple | None = None
@@ -148,8 +154,7 @@ def _search(pairs: DataFrame, k: int, own: bool) -> DataFrame:
                 blocks = Blocks(held[1], held[2], m)
                 out = []
                 for n, key in enumerate(r["q_keys"]):
-                    if own or r["q_home"][n] != r["rng"]:
-                        out += [(key, int(q_ids[n]), i, s) for s, i in blocks.best(key, q[n], k, None if own else r["q_kth"][n])]
+                    out += [(key, int(q_ids[n]), i, s) for s, i in blocks.best(key, q[n], k, r["q_kth"][n])]
                 yield pa.RecordBatch.from_arrays([pa.array([x[c] for x in out], pa.int64()) for c in range(4)], names=HIT_SCHEMA.names)
 
     return pairs.mapInArrow(run, HIT_SCHEMA)
@@ -181,6 +186,50 @@ def _query_blocks(queries: DataFrame) -> DataFrame:
     return queries.groupBy("dim", "q_block").applyInArrow(build, QUERY_SCHEMA)
 
 
+BUNDLE_SCHEMA = T.StructType(
+    [T.StructField("b_dim", T.IntegerType()), T.StructField("bundle", T.IntegerType()), T.StructField("rngs", T.ArrayType(T.LongType())), T.StructField("bounds", T.BinaryType())]
+)
+SENT_SCHEMA = T.StructType(
+    [T.StructField("q_dim", T.IntegerType()), T.StructField("q_rng", T.LongType()), *[f for f in QUERY_SCHEMA.fields if f.name in ("q_ids", "q_keys", "q_flat", "q_kth")]]
+)
+
+
+def _reachable(blocks: DataFrame, ranges: DataFrame) -> DataFrame:
+    """The queries of every block that a range, not their own, can still serve: one row per block and such range."""
+    n_bundles = max(1, -(-ranges.count() // BUNDLE_RANGES))
+
+    def bundle(group: pa.Table) -> pa.Table:
+        bounds = pa.array([b"".join(group.column("bounds").to_pylist())], pa.binary())
+        rngs = pa.array([group.column("rng").to_pylist()], pa.list_(pa.int64()))
+        return pa.table([group.column("dim").slice(0, 1), group.column("bundle").slice(0, 1), rngs, bounds], names=BUNDLE_SCHEMA.names)
+
+    dealt = F.pmod(F.xxhash64("dim", "rng"), F.lit(n_bundles)).cast("int")
+    bundles = ranges.select("dim", "rng", "bounds", dealt.alias("bundle")).groupBy("dim", "bundle").applyInArrow(bundle, BUNDLE_SCHEMA)
+    each = blocks.withColumn("_g", F.explode(F.sequence(F.lit(0), F.lit(n_bundles - 1))))
+
+    def run(batches):
+        for b in batches:
+            for r in b.to_pylist():
+                dim, n, n_ranges = r["q_dim"], len(r["q_ids"]), len(r["rngs"])
+                whole = np.frombuffer(r["q_flat"], dtype=np.int64).reshape(n, dim)
+                bounds, q = _safe(np.frombuffer(r["bounds"], dtype=np.int64).reshape(-1, dim), whole)
+                highest = _highest(bounds[0::2], bounds[1::2], q)
+                ids, keys = (np.asarray(r[c], dtype=np.int64) for c in ("q_ids", "q_keys"))
+                known = np.array([x is not None for x in r["q_kth"]])
+                kth = np.array([x or 0 for x in r["q_kth"]], dtype=np.int64)
+                home = np.asarray(r["q_home"], dtype=np.int64)
+                for j in range(n_ranges):
+                    go = np.flatnonzero((home != r["rngs"][j]) & (~known | (highest[j] >= kth)))
+                    if len(go):
+                        lists = [pa.array([x], pa.list_(pa.int64())) for x in (ids[go], keys[go])]
+                        kths = pa.array([[r["q_kth"][i] for i in go]], pa.list_(pa.int64()))
+                        columns = [pa.array([dim], pa.int32()), pa.array([r["rngs"][j]], pa.int64()), *lists, pa.array([whole[go].tobytes()], pa.binary()), kths]
+                        yield pa.RecordBatch.from_arrays(columns, names=SENT_SCHEMA.names)
+
+    met = each.join(bundles, (F.col("q_dim") == F.col("b_dim")) & (F.col("_g") == F.col("bundle")))
+    return met.mapInArrow(run, SENT_SCHEMA)
+
+
 def top_k(embeddings: DataFrame, query_mod: int = QUERY_MOD, k: int = K) -> DataFrame:
     """``(query_id, rank, vec_id, score)``: the ``k`` best of every row whose id ``query_mod`` divides."""
     # the key tells rows apart; the checkpoint fixes it
@@ -218,18 +267,16 @@ def top_k(embeddings: DataFrame, query_mod: int = QUERY_MOD, k: int = K) -> Data
 
     # First its own range, which holds the query's likeliest neighbours.
     at_home = _query_blocks(queries.select("dim", F.col("rng").alias("q_block"), "vec_id", "key", "v", F.lit(None).cast("long").alias("kth"), "rng"))
-    home = at_home.join(ranges, (F.col("q_dim") == F.col("dim")) & (F.col("q_block") == F.col("rng")))
-    hits = checkpoint(_search(home, k, True))
+    home = at_home.join(ranges.drop("bounds"), (F.col("q_dim") == F.col("dim")) & (F.col("q_block") == F.col("rng")))
+    hits = checkpoint(_search(home, k))
     kth = hits.groupBy("query_key").agg(F.when(F.count(F.lit(1)) >= k, F.min("score")).alias("kth"))
 
-    # Then query blocks against all other ranges, dealt to groups of ranges.
-    n_ranges = max(1, ranges.count())
+    # Then the other ranges that their bounds leave.
     n_blocks = max(1, -(-queries.count() // QUERY_ROWS))
     seeded = queries.join(kth, F.col("key") == F.col("query_key"), "left")
     blocks = _query_blocks(seeded.select("dim", F.pmod(F.xxhash64("key"), F.lit(n_blocks)).alias("q_block"), "vec_id", "key", "v", "kth", "rng"))
-    dealt = blocks.withColumn("_g", F.explode(F.sequence(F.lit(0), F.lit(n_ranges - 1))))
-    numbered = ranges.withColumn("_r", F.pmod(F.xxhash64("dim", "rng"), F.lit(n_ranges)).cast("int"))
-    rest = _search(dealt.join(numbered, (F.col("q_dim") == F.col("dim")) & (F.col("_g") == F.col("_r"))), k, False)
+    sent = _reachable(blocks, ranges).join(ranges.drop("bounds"), (F.col("q_dim") == F.col("dim")) & (F.col("q_rng") == F.col("rng")))
+    rest = _search(sent, k)
     best = Window.partitionBy("query_key").orderBy(F.col("score").desc(), "vec_id")
     out = hits.unionByName(rest).withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
     return out.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
