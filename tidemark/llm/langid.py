@@ -35,6 +35,7 @@ MAX_LANGUAGES = 500           # a broadcast matrix holds this many languages at
 HELD_OUT_MOD = 5
 N_BLOCKS = 16
 CHUNK = 1 << 19               # characters scored at a time
+CELLS = 1 << 23               # n-grams times languages of one batch
 UNDETERMINED = "und"
 _LETTER = re.compile(r"[^\W\d_]")
 
@@ -61,6 +62,20 @@ def ngram_counts(text: str):
         yield np.bincount(np.concatenate(h), minlength=BUCKETS)
 
 
+def sparse_counts(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``(row, bucket, count)`` of the n-grams of several texts at once, in that order; no n-gram crosses texts."""
+    points = [code_points(t) for t in texts]
+    chars = np.concatenate(points)
+    owner = np.repeat(np.arange(len(texts)), [len(p) for p in points])
+    keys = []
+    for n in SIZES:
+        last = owner[n - 1 :]
+        whole = last == owner[: len(last)]
+        keys.append(last[whole] * BUCKETS + ngram_buckets(chars, n)[whole])
+    key, count = np.unique(np.concatenate(keys), return_counts=True)
+    return key // BUCKETS, key % BUCKETS, count
+
+
 @dataclass
 class LanguageModel:
     """Languages and their ``BUCKETS x languages`` log probabilities (last row: priors)."""
@@ -76,20 +91,38 @@ class LanguageModel:
             total = total + counts[seen] @ self.matrix[seen]
         return total
 
-    def best(self, text: str | None) -> tuple[str | None, float, float]:
-        """Best language, its log score and the log of the sum of all scores; no language for a text without letters."""
-        if not text or not _LETTER.search(text):
-            return None, 0.0, 0.0
-        s = self.log_scores(text)
-        best = int(np.argmax(s))
-        return self.languages[best], float(s[best]), float(s[best] + np.log(np.exp(s - s[best]).sum()))
-
-    def predict(self, text: str | None) -> tuple[str, float]:
-        if not text or not self.languages or not _LETTER.search(text):
-            return UNDETERMINED, 0.0
-        s = self.log_scores(text)
-        best = int(np.argmax(s))
-        return self.languages[best], float(1.0 / np.exp(s - s[best]).sum())
+    def batch_scores(self, texts: list[str]) -> np.ndarray:
+        """``log_scores`` of several texts, as rows: sparse counts of whole texts together; a text beyond a batch is scored by itself."""
+        out = np.tile(self.matrix[-1], (len(texts), 1))
+        limit = max(1, min(CHUNK, CELLS // (len(SIZES) * max(1, len(self.languages)))))
+        sizes = np.fromiter(map(len, texts), dtype=np.int64, count=len(texts))
+        for i in np.flatnonzero(sizes > limit):
+            out[i] = self.log_scores(texts[i])
+        short = np.flatnonzero(sizes <= limit)
+        group = (np.cumsum(sizes[short]) - 1) // limit
+        for at in np.split(short, np.flatnonzero(np.diff(group)) + 1):
+            row, bucket, count = sparse_counts([texts[i] for i in at]) if len(at) else ([], [], [])
+            if len(row):
+                starts = np.flatnonzero(np.diff(row, prepend=-1))
+                out[at[row[starts]]] += np.add.reduceat(count[:, None] * self.matrix[bucket], starts, axis=0)
+        return out
+
+    def best(self, texts: list[str]) -> list[tuple[str | None, float, float]]:
+        """Of every text the best language, its log score and the log of the sum of all scores; no language for a text without letters."""
+        out: list[tuple[str | None, float, float]] = [(None, 0.0, 0.0)] * len(texts)
+        known = [i for i, t in enumerate(texts) if t and self.languages and _LETTER.search(t)]
+        if known:
+            scores = self.batch_scores([texts[i] for i in known])
+            top = scores.argmax(axis=1)
+            most = scores[np.arange(len(known)), top]
+            total = most + np.log(np.exp(scores - most[:, None]).sum(axis=1))
+            for i, lang, x, y in zip(known, top, most.tolist(), total.tolist(), strict=True):
+                out[i] = (self.languages[lang], x, y)
+        return out
+
+    def predict(self, texts: list[str]) -> list[tuple[str, float]]:
+        """Of every text the best language and its share of all scores."""
+        return [(UNDETERMINED, 0.0) if lang is None else (lang, float(np.exp(x - y))) for lang, x, y in self.best(texts)]
 
 
 def _known(train: DataFrame) -> DataFrame:
@@ -154,7 +187,7 @@ def predict(docs: DataFrame, model: LanguageModel) -> DataFrame:
 
     def score(batches):
         for b in small_batches(batches):
-            out = [shared.value.predict(t) for t in text_list(b.column("text"))]
+            out = shared.value.predict(text_list(b.column("text")))
             yield pa.RecordBatch.from_arrays(
                 [b.column("doc_id"), pa.array([x[0] for x in out]), pa.array([x[1] for x in out], pa.float64())], names=schema.names
             )
@@ -173,7 +206,7 @@ def predict_by_blocks(docs: DataFrame, models) -> DataFrame:
 
         def score(batches, shared=shared):
             for b in small_batches(batches):
-                out = [shared.value.best(t) for t in text_list(b.column("text"))]
+                out = shared.value.best(text_list(b.column("text")))
                 kinds = (pa.string(), pa.float64(), pa.float64())
                 yield pa.RecordBatch.from_arrays([b.column("_row"), *[pa.array([x[c] for x in out], kinds[c]) for c in range(3)]], names=schema.names)
 
