@@ -243,6 +243,12 @@ def test_line_dedup_of_repeated_rows(spark, documents):
     assert [(r.doc_id, r.text) for r in got.collect()] == [(1, text), (1, text)]
 
 
+def test_line_dedup_moves_texts_alike_at_every_size(spark, documents):
+    docs = documents([(i, "one two three four\nfive six", "en", "s") for i in range(3)])
+    plan = linededup.with_kept_lines(docs, 3)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join LeftOuter") == 1 and "strategy=broadcast" not in plan  # no step where the deletions outgrow a broadcast
+
+
 def test_shortest_runs_cover_what_they_must():
     rnd = random.Random(8)
     for _ in range(200):

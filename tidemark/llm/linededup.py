@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import BROADCAST_ROWS, checkpoint, map_arrow, small_batches, trim_memory
+from tidemark.llm.common import checkpoint, map_arrow, small_batches, trim_memory
 
 MIN_WORDS = 50
 _LAST = (1 << 63) - 1         # place of documents without an id
@@ -243,14 +243,16 @@ def later_copies(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
 
 
 def with_kept_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """``docs`` as a struct ``_d`` with ``kept`` (the text without later copies), ``n_lines`` and ``n_kept``."""
-    spans = checkpoint(later_copies(docs.select("doc_id", "text"), min_words))
+    """``docs`` as a struct ``_d`` with ``kept`` (the text without later copies), ``n_lines`` and ``n_kept``.
+
+    Texts meet their deletions by document at every size: what travels is in
+    proportion to the input, with no step where deletions outgrow a broadcast.
+    """
+    spans = later_copies(docs.select("doc_id", "text"), min_words)
     first, last = F.transform("q", lambda r: r["s"]), F.transform("q", lambda r: r["e"])
     deleted = spans.groupBy(F.col("did").alias("_did"), F.col("th").alias("_th")).agg(F.collect_list(F.struct("s", "e")).alias("q"))  # of one document
     deleted = deleted.select("_did", "_th", first.alias("first"), last.alias("last"))
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_d"), *_place(docs))
-    if spans.count() <= BROADCAST_ROWS:  # then the texts stay where they are
-        deleted = F.broadcast(deleted)
     d = rows.join(deleted, (F.col("did") == F.col("_did")) & (F.col("th") == F.col("_th")), "left")
     return d.select("_d", _keep_lines(F.col("_d.text"), F.col("first"), F.col("last")).alias("k")).select("_d", "k.*")
 
