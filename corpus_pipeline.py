@@ -46,7 +46,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the mixed documents with their place in training sequences."""
-    return packing.pack(docs)
+    return packing.pack(docs, lean=True)  # the stages before have filled the executors' heaps
 
 
 STAGES = [

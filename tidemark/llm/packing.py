@@ -35,6 +35,7 @@ SEQ_LEN = 2048
 END_ID = 0
 VOCABULARY = "word_bpe_49k.json"
 WORDS_CACHED = 300_000        # words whose ids a Python worker remembers, in each of two generations
+WORDS_LEAN = 50_000           # likewise where little memory is left; they go with their task
 LONG_WORD = 256               # longer words are not remembered
 
 
@@ -46,14 +47,17 @@ class _WordIds(dict):
     Latin-1 letters with marks behind it is two tokens' worth to the
     vocabulary's own splitter, so its letters go to the model in lower case
     directly; every other word takes the whole encoder.  A full generation
-    becomes the older one, so words in use stay and memory is bounded.
+    becomes the older one, so words in use stay and memory is bounded.  Spark
+    deals tasks to an executor's idle workers in turn, so ``of`` fills one memory
+    in each worker that earlier stages have left; ``lean`` ones end with their task.
     """
 
     _of_worker: dict[str, "_WordIds"] = {}
     _simple = re.compile(r"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([!-&(-/:-@\[-`{-~]*)")
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, most: int = WORDS_CACHED):
         super().__init__()
+        self.most = most
         from tokenizers import Tokenizer
         from tokenizers.pre_tokenizers import ByteLevel
 
@@ -83,7 +87,7 @@ class _WordIds(dict):
             else:
                 return self[word.lower()]
         if len(word) <= LONG_WORD:
-            if len(self) >= WORDS_CACHED:
+            if len(self) >= self.most:
                 self.older = dict(self)
                 self.clear()
             self[word] = out
@@ -97,12 +101,13 @@ class _WordIds(dict):
 
 
 def tokenized_pieces(
-    docs: DataFrame, seq_len: int = SEQ_LEN, vocabulary: str | None = None, end_id: int = END_ID, with_ids: bool = False
+    docs: DataFrame, seq_len: int = SEQ_LEN, vocabulary: str | None = None, end_id: int = END_ID, with_ids: bool = False, lean: bool = False
 ) -> DataFrame:
     """Pieces of at most ``seq_len`` ids: ``(doc_id, piece, start, length, ids_crc32[, ids])``.
 
     A document's ids are those of its whole text, then ``end_id``; only longer
-    documents are cut, the last piece may be shorter.
+    documents are cut, the last piece may be shorter.  ``lean`` takes less memory
+    and more time for the same pieces: workers keep nothing between tasks.
     """
     path = vocabulary or tokenizer_path(VOCABULARY)
     id_type = field_type(docs, "doc_id")
@@ -114,8 +119,8 @@ def tokenized_pieces(
     width = 4 * seq_len
 
     def run(batches):
-        ids = _WordIds.of(path)
-        for b in small_batches(batches):
+        ids = _WordIds(path, WORDS_LEAN) if lean else _WordIds.of(path)
+        for b in small_batches(batches, 1 << 20 if lean else 8 << 20):
             row, piece, start, length, crc, kept = [], [], [], [], [], []
             for i, text in enumerate(text_list(b.column("text"))):
                 data = ids.text(text) + end
@@ -215,10 +220,10 @@ def ranked_in_length(pieces: DataFrame) -> DataFrame:
 
 
 def pack(
-    docs: DataFrame, seq_len: int = SEQ_LEN, vocabulary: str | None = None, end_id: int = END_ID, with_ids: bool = False
+    docs: DataFrame, seq_len: int = SEQ_LEN, vocabulary: str | None = None, end_id: int = END_ID, with_ids: bool = False, lean: bool = False
 ) -> DataFrame:
     """Pieces with their place: adds ``sequence_id`` and ``offset`` to ``tokenized_pieces``."""
-    pieces = checkpoint(tokenized_pieces(docs, seq_len, vocabulary, end_id, with_ids))
+    pieces = checkpoint(tokenized_pieces(docs, seq_len, vocabulary, end_id, with_ids, lean))
     narrow = pieces.drop("ids")
     counts = {int(r["length"]): int(r["n"]) for r in narrow.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}  # seq_len rows at most
     plan = np.array(sorted(best_fit_plan(counts, seq_len)), dtype=np.int64).reshape(-1, 5)
